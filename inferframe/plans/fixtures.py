@@ -269,7 +269,7 @@ def catalog_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(MODEL_CATALOG, "endpoint string, pos int, model_id string")
 
 
-def sql_values(rows, cols) -> str:
+def sql_values(rows, cols, alias: str = "t") -> str:
     def lit(v):
         if v is None:
             return "NULL"
@@ -279,4 +279,4 @@ def sql_values(rows, cols) -> str:
             return repr(v)
         return "'" + str(v).replace("'", "''") + "'"
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-    return f"(VALUES {body}) AS t({', '.join(cols)})"
+    return f"(VALUES {body}) AS {alias}({', '.join(cols)})"
