@@ -32,9 +32,18 @@ MESSAGE = T.StructType([
     T.StructField("name", T.StringType()),
 ])
 
-_NULL_PARTS = F.lit(None).cast(T.ArrayType(PART))
-_NULL_CALLS = F.lit(None).cast(T.ArrayType(TOOL_CALL))
-_NULL_STR = F.lit(None).cast("string")
+
+
+def _null_parts() -> Column:
+    return F.lit(None).cast(T.ArrayType(PART))
+
+
+def _null_calls() -> Column:
+    return F.lit(None).cast(T.ArrayType(TOOL_CALL))
+
+
+def _null_str() -> Column:
+    return F.lit(None).cast("string")
 
 
 def _c(x) -> Column:
@@ -46,22 +55,22 @@ def message(role, content=None, parts=None, tool_calls=None, tool_call_id=None,
     """A canonical message struct; absent pieces are NULL."""
     return F.struct(
         (F.lit(role) if isinstance(role, str) else role).alias("role"),
-        (_c(content) if content is not None else _NULL_STR).cast("string").alias("content"),
-        (_c(parts) if parts is not None else _NULL_PARTS).alias("parts"),
-        (_c(tool_calls) if tool_calls is not None else _NULL_CALLS).alias("tool_calls"),
-        (_c(tool_call_id) if tool_call_id is not None else _NULL_STR).alias("tool_call_id"),
-        (_c(name) if name is not None else _NULL_STR).alias("name"),
+        (_c(content) if content is not None else _null_str()).cast("string").alias("content"),
+        (_c(parts) if parts is not None else _null_parts()).alias("parts"),
+        (_c(tool_calls) if tool_calls is not None else _null_calls()).alias("tool_calls"),
+        (_c(tool_call_id) if tool_call_id is not None else _null_str()).alias("tool_call_id"),
+        (_c(name) if name is not None else _null_str()).alias("name"),
     )
 
 
 def text_part(text) -> Column:
     return F.struct(F.lit("text").alias("type"), _c(text).cast("string").alias("text"),
-                    _NULL_STR.alias("url"))
+                    _null_str().alias("url"))
 
 
 def url_part(kind: str, url) -> Column:
     """kind: ``image_url`` or ``video_url``."""
-    return F.struct(F.lit(kind).alias("type"), _NULL_STR.alias("text"),
+    return F.struct(F.lit(kind).alias("type"), _null_str().alias("text"),
                     _c(url).cast("string").alias("url"))
 
 
@@ -248,7 +257,7 @@ def with_prompt(df: DataFrame, prompts: DataFrame, mode: str = "mode", bbox: str
     t = F.broadcast(prompts.select(F.col("mode").alias("_mode"), F.col("template").alias("_template")))
     j = df.join(t, F.col(mode) == F.col("_mode"), "left")
     grounding = F.col(mode) == "prompt_grounding_ocr"
-    box = bbox_text(F.col(bbox)) if bbox else _NULL_STR
+    box = bbox_text(F.col(bbox)) if bbox else _null_str()
     err = (F.when(F.col("_template").isNull(), F.lit("unknown_mode"))
            .when(grounding & box.isNull(), F.lit("missing_bbox")))
     text = F.when(err.isNull(), F.concat(F.lit(prefix), F.col("_template"),
