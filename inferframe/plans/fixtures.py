@@ -203,7 +203,7 @@ cand_base AS (
          '{"city":"' || p_brand || '","population":' ||
            CASE p_size % 5 WHEN 0 THEN '12' WHEN 1 THEN '12.0' WHEN 2 THEN '"12"' WHEN 3 THEN 'true' ELSE 'null' END
            || '}' AS cf,
-         list_transform(string_split(p_type, ' '), x -> lower(x)) AS cols
+         list_transform(string_split(p_type, ' '), lambda x: lower(x)) AS cols
   FROM part
 ),
 candidates AS (
