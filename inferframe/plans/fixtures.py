@@ -21,16 +21,17 @@ def tbl(spark: SparkSession, sf: str, name: str) -> DataFrame:
 # ------------------------------------------------------------------ D1 content chunks
 
 def content_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    """D1: each document streamed as 40-character fragments (``seq`` = 2*j); after every
-    7th fragment an empty heartbeat (``seq`` = 2*j+1); the last fragment carries
-    ``finish_reason='stop'``; ``created`` = epoch + seq seconds."""
+    """D1: each document streamed as 40-character fragments; after every 7th fragment an
+    empty heartbeat. ``seq`` is dense per request (fragment j sits at j + j div 7, its
+    heartbeat right after); the last text fragment carries ``finish_reason='stop'``;
+    ``created`` = epoch + seq seconds."""
     d = tbl(spark, sf, "documents").select("doc_id", "text")
     last = F.floor((F.length("text") - 1) / CHUNK_CHARS)
     ex = d.select("doc_id", "text", last.alias("last"),
                   F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("j"))
     ex = ex.select("*", F.explode(F.when(F.col("j") % 7 == 6, F.array(F.lit(0), F.lit(1)))
                                   .otherwise(F.array(F.lit(0)))).alias("hb"))
-    seq = (F.col("j") * 2 + F.col("hb")).cast("bigint")
+    seq = (F.col("j") + F.floor(F.col("j") / 7) + F.col("hb")).cast("bigint")
     return ex.select(
         F.col("doc_id").alias("request_id"), seq.alias("seq"),
         F.when(F.col("hb") == 1, F.lit("")).otherwise(
@@ -44,10 +45,10 @@ def content_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_CHUNKS = f"""
 chunks AS (
-  SELECT doc_id AS request_id, (2*j + hb)::BIGINT AS seq,
+  SELECT doc_id AS request_id, (j + j//7 + hb)::BIGINT AS seq,
          CASE WHEN hb = 1 THEN '' ELSE substring(text, (j*{CHUNK_CHARS}+1)::INTEGER, {CHUNK_CHARS}) END AS content,
          CASE WHEN hb = 0 AND j = (length(text)-1)//{CHUNK_CHARS} THEN 'stop' END AS finish_reason,
-         ({EPOCH} + 2*j + hb)::BIGINT AS created
+         ({EPOCH} + j + j//7 + hb)::BIGINT AS created
   FROM (SELECT doc_id, text, unnest(generate_series(0, (length(text)-1)//{CHUNK_CHARS})) AS j FROM documents) s,
        (SELECT unnest([0, 1]) AS hb) h
   WHERE hb = 0 OR j % 7 = 6
