@@ -31,6 +31,7 @@ from inferframe.functions.scalars import token_set
 DEFAULT_MAX_BROADCAST_QUERIES = 100_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 _CELLS_PER_STEP = 4_000_000  # doc rows x queries scored at once inside a task
+_MAX_ROWS_PER_STEP = 2048
 
 
 # ----------------------------------------------------------------------------- kernels
@@ -49,33 +50,53 @@ class DotKernel:
 
 
 class OverlapKernel:
-    """Token-id sets -> size of the intersection (exact integer counts)."""
+    """Token-id sets -> size of the intersection (exact integer counts).
+
+    Queries are held as an inverted index (sorted vocabulary -> CSR list of query
+    positions); a document batch is scored by expanding its vocabulary hits into
+    (document, query) increments and counting them with ``bincount``. Memory is linear in
+    the hits, not in vocabulary x queries."""
 
     def prepare_queries(self, qvals: list):
         arrays = [np.unique(np.asarray(v, dtype=np.int64)) for v in qvals]
-        vocab = np.unique(np.concatenate(arrays)) if arrays else np.zeros(0, np.int64)
-        inc = np.zeros((len(vocab), len(arrays)), dtype=np.float32)
-        for j, a in enumerate(arrays):
-            inc[np.searchsorted(vocab, a), j] = 1.0
-        return vocab, inc
+        if not arrays:
+            return np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), 0
+        tok = np.concatenate(arrays)
+        qpos = np.repeat(np.arange(len(arrays), dtype=np.int64), [len(a) for a in arrays])
+        order = np.argsort(tok, kind="stable")
+        tok, qpos = tok[order], qpos[order]
+        vocab, starts, counts = np.unique(tok, return_index=True, return_counts=True)
+        indptr = np.concatenate([starts, [len(tok)]]).astype(np.int64)
+        return vocab, indptr, qpos, len(arrays)
 
     def score(self, qprep, dvals) -> np.ndarray:
-        vocab, inc = qprep
+        vocab, indptr, qpos, nq = qprep
         n = len(dvals)
-        out = np.zeros((n, inc.shape[1]), dtype=np.float64)
         if len(vocab) == 0 or n == 0:
-            return out
+            return np.zeros((n, nq), dtype=np.float64)
         lens = np.fromiter((len(v) for v in dvals), dtype=np.int64, count=n)
         flat = (np.concatenate([np.asarray(v, dtype=np.int64) for v in dvals])
                 if lens.sum() else np.zeros(0, np.int64))
-        rows = np.repeat(np.arange(n), lens)
-        pos = np.searchsorted(vocab, flat)
-        pos_c = np.minimum(pos, len(vocab) - 1)
-        hit = vocab[pos_c] == flat
-        dinc = np.zeros((n, len(vocab)), dtype=np.float32)
-        dinc[rows[hit], pos_c[hit]] = 1.0
-        out[:] = dinc @ inc
-        return out
+        rows = np.repeat(np.arange(n, dtype=np.int64), lens)
+        pos = np.minimum(np.searchsorted(vocab, flat), len(vocab) - 1)
+        hit = vocab[pos] == flat
+        hrows, hpos = rows[hit], pos[hit]
+        cnt = indptr[hpos + 1] - indptr[hpos]
+        total = int(cnt.sum())
+        if total == 0:
+            return np.zeros((n, nq), dtype=np.float64)
+        first = np.repeat(indptr[hpos] - (np.cumsum(cnt) - cnt), cnt)
+        qsel = qpos[first + np.arange(total, dtype=np.int64)]
+        flat_idx = np.repeat(hrows, cnt) * nq + qsel
+        return np.bincount(flat_idx, minlength=n * nq).reshape(n, nq).astype(np.float64)
+
+
+def _nbytes(obj) -> int:
+    if isinstance(obj, np.ndarray):
+        return int(obj.nbytes)
+    if isinstance(obj, (tuple, list)):
+        return sum(_nbytes(o) for o in obj)
+    return 64
 
 
 def _topk_candidates(S: np.ndarray, k: int, q_ids: np.ndarray, d_ids: np.ndarray,
@@ -109,7 +130,7 @@ def _reduce_topk(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
 def _score_batches(qprep, q_ids, kernel, dpdf, k, vec_col, extra_cols, exclude_self,
                    min_score) -> pd.DataFrame:
     nq = len(q_ids)
-    step = max(1, _CELLS_PER_STEP // max(nq, 1))
+    step = max(1, min(_MAX_ROWS_PER_STEP, _CELLS_PER_STEP // max(nq, 1)))
     parts = []
     for s in range(0, len(dpdf), step):
         chunk = dpdf.iloc[s:s + step]
@@ -145,7 +166,6 @@ def similarity_topk(queries: DataFrame, docs: DataFrame, k: int, kernel, *,
                     min_score: float | None = None,
                     max_broadcast_queries: int = DEFAULT_MAX_BROADCAST_QUERIES,
                     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                    bytes_per_query: int = 512,
                     strategy: str = "auto", query_blocks: int | None = None,
                     doc_buckets: int | None = None) -> DataFrame:
     """Generic exact top-k over a scoring kernel; see the module docstring for the plan."""
@@ -157,16 +177,21 @@ def similarity_topk(queries: DataFrame, docs: DataFrame, k: int, kernel, *,
                     F.col(d_val).alias("dv"), *extra)
     schema = _out_schema(d, extra)
 
-    if strategy == "auto":
-        # size check of the query side: count at most bound+1 rows (cheap, bounded scan)
-        nq = q.limit(max_broadcast_queries + 1).count()
-        fits = nq <= max_broadcast_queries and nq * bytes_per_query <= max_broadcast_bytes
-        strategy = "broadcast" if fits else "block"
+    prepared = None
+    if strategy in ("auto", "broadcast"):
+        # size check of the query side in one bounded job: at most bound+1 rows are read
+        qpdf = q.limit(max_broadcast_queries + 1).toPandas()
+        if len(qpdf) <= max_broadcast_queries:
+            q_ids = qpdf["query_id"].to_numpy(dtype=np.int64)
+            prep = kernel.prepare_queries(list(qpdf["qv"]))
+            if _nbytes(prep) + q_ids.nbytes <= max_broadcast_bytes:
+                prepared = (q_ids, prep)
+        if prepared is None and strategy == "broadcast":
+            raise ValueError("query side exceeds the broadcast bound")
+        strategy = "broadcast" if prepared is not None else "block"
 
     if strategy == "broadcast":
-        qpdf = q.toPandas()  # bounded by the check above
-        q_ids = qpdf["query_id"].to_numpy(dtype=np.int64)
-        bc = spark.sparkContext.broadcast((q_ids, kernel.prepare_queries(list(qpdf["qv"]))))
+        bc = spark.sparkContext.broadcast(prepared)
 
         def run(it):
             ids, prep = bc.value
@@ -218,13 +243,9 @@ def topk_similar(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str =
     """JN1: for every query vector, the k documents with the highest dot product
     (cosine for unit vectors), ties broken by ``doc_id``. Columns:
     ``query_id, doc_id, score, <doc_cols>, rank``."""
-    dim_guess = 64
-    row = queries.select(F.size(vector).alias("n")).head(1)
-    if row and row[0]["n"]:
-        dim_guess = int(row[0]["n"])
     return similarity_topk(queries, docs, k, DotKernel(), query_id=query_id, doc_id=doc_id,
                            q_val=vector, d_val=vector, doc_cols=doc_cols,
-                           exclude_self=exclude_self, bytes_per_query=8 * dim_guess + 64, **kw)
+                           exclude_self=exclude_self, **kw)
 
 
 def token_ids(text_col) -> F.Column:
@@ -240,8 +261,7 @@ def topk_overlap(queries: DataFrame, docs: DataFrame, n: int, *, query_id: str =
     q = queries.select(F.col(query_id).alias("query_id"), token_ids(query_text).alias("tok"))
     d = docs.select(F.col(doc_id).alias("doc_id"), token_ids(doc_text).alias("tok"), *doc_cols)
     return similarity_topk(q, d, n, OverlapKernel(), query_id="query_id", doc_id="doc_id",
-                           q_val="tok", d_val="tok", doc_cols=list(doc_cols), min_score=1.0,
-                           bytes_per_query=2048, **kw)
+                           q_val="tok", d_val="tok", doc_cols=list(doc_cols), min_score=1.0, **kw)
 
 
 def rank_within_query(df: DataFrame, k: int, *, query_col: str = "query_id",

@@ -24,23 +24,27 @@ def content_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """D1: each document streamed as 40-character fragments; after every 7th fragment an
     empty heartbeat. ``seq`` is dense per request (fragment j sits at j + j div 7, its
     heartbeat right after); the last text fragment carries ``finish_reason='stop'``;
-    ``created`` = epoch + seq seconds."""
+    ``created`` = epoch + seq seconds.
+
+    The fragments are cut into an array first and exploded once, so the document text is
+    not copied into every generated row (linear, not quadratic, in the text length)."""
     d = tbl(spark, sf, "documents").select("doc_id", "text")
     last = F.floor((F.length("text") - 1) / CHUNK_CHARS)
-    ex = d.select("doc_id", "text", last.alias("last"),
-                  F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("j"))
-    ex = ex.select("*", F.explode(F.when(F.col("j") % 7 == 6, F.array(F.lit(0), F.lit(1)))
-                                  .otherwise(F.array(F.lit(0)))).alias("hb"))
-    seq = (F.col("j") + F.floor(F.col("j") / 7) + F.col("hb")).cast("bigint")
-    return ex.select(
-        F.col("doc_id").alias("request_id"), seq.alias("seq"),
-        F.when(F.col("hb") == 1, F.lit("")).otherwise(
-            F.substring(F.col("text"), (F.col("j") * CHUNK_CHARS + 1).cast("int"), CHUNK_CHARS)
-        ).alias("content"),
-        F.when((F.col("hb") == 0) & (F.col("j") == F.col("last")), F.lit("stop")).alias("finish_reason"),
-        (F.lit(EPOCH) + seq).alias("created"),
-        F.timestamp_seconds(F.lit(EPOCH) + seq).alias("ts"),
-    )
+
+    def frag(j):
+        seq = (j + F.floor(j / 7)).cast("bigint")
+        piece = F.struct(seq.alias("seq"),
+                         F.substring(F.col("text"), (j * CHUNK_CHARS + 1).cast("int"), CHUNK_CHARS).alias("content"),
+                         F.when(j == last, F.lit("stop")).alias("finish_reason"))
+        beat = F.struct((seq + 1).alias("seq"), F.lit("").alias("content"),
+                        F.lit(None).cast("string").alias("finish_reason"))
+        return F.when(j % 7 == 6, F.array(piece, beat)).otherwise(F.array(piece))
+
+    frags = F.flatten(F.transform(F.sequence(F.lit(0).cast("bigint"), last), frag))
+    ex = d.select(F.col("doc_id").alias("request_id"), F.explode(frags).alias("f"))
+    return ex.select("request_id", "f.seq", "f.content", "f.finish_reason",
+                     (F.lit(EPOCH) + F.col("f.seq")).alias("created"),
+                     F.timestamp_seconds(F.lit(EPOCH) + F.col("f.seq")).alias("ts"))
 
 
 SQL_CHUNKS = f"""

@@ -21,7 +21,7 @@ SELECT s.doc_id, s.page_idx, coalesce(p."end" > p.n_pages - 1, FALSE) AS clamped
 FROM selected_pages s JOIN page_plans p USING (doc_id)""")
 def fl_pages(spark, sf):
     """Requested inclusive page range per document (end clamped, negative start = 0)."""
-    p = PG.select_pages(page_plans(spark, sf))
+    p = PG.select_pages(page_plans(spark, sf).drop("text"))
     return p.select("doc_id", "page_idx", "clamped")
 
 
@@ -31,10 +31,17 @@ SELECT doc_id, count(*)::BIGINT AS n_pages_used,
        md5(string_agg(substring(text, (page_idx*1000 + 1)::INTEGER, 1000), chr(10) || chr(10) ORDER BY page_idx)) AS document_md5
 FROM selected_pages GROUP BY doc_id""")
 def ag_document(spark, sf):
-    """Per-page OCR text (1000 characters of the document per page) joined in page order."""
-    p = PG.select_pages(page_plans(spark, sf))
-    p = p.withColumn("page_text", F.substring("text", (F.col("page_idx") * 1000 + 1).cast("int"), 1000))
-    d = PG.assemble_document(p, "doc_id", "page_idx", "page_text")
+    """Per-page OCR text (1000 characters of the document per page) joined in page order.
+    Page texts are cut into an array before the explode, so the document text is not
+    copied into every page row."""
+    p = page_plans(spark, sf)
+    st, en = PG.page_bounds("n_pages", "start", "end")
+    pages = F.when(st <= en, F.transform(
+        F.sequence(st.cast("bigint"), en.cast("bigint")),
+        lambda i: F.struct(i.alias("page_idx"),
+                           F.substring("text", (i * 1000 + 1).cast("int"), 1000).alias("page_text"))))
+    ex = p.select("doc_id", F.explode(pages).alias("pg")).select("doc_id", "pg.page_idx", "pg.page_text")
+    d = PG.assemble_document(ex, "doc_id", "page_idx", "page_text")
     return d.select("doc_id", F.col("n_pages_used").cast("bigint").alias("n_pages_used"),
                     F.md5("document").alias("document_md5"))
 

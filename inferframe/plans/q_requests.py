@@ -303,7 +303,7 @@ PROMPT_MODES = list(R.OCR_PROMPTS) + ["prompt_table_en"]  # the last one is not
 
 
 def prompt_pages(spark, sf):
-    pages = select_pages(page_plans(spark, sf))
+    pages = select_pages(page_plans(spark, sf).drop("text"))
     modes = F.array(*[F.lit(m) for m in PROMPT_MODES])
     mode = F.element_at(modes, ((F.col("doc_id") + F.col("page_idx")) % len(PROMPT_MODES) + 1).cast("int"))
     bbox = F.when(F.col("doc_id") % 2 == 1, F.array(F.lit(0), F.lit(0), F.col("w_pt"), F.col("h_pt")))

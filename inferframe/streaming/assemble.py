@@ -35,41 +35,45 @@ CONTENT_STATE = T.StructType([
 ])
 
 
-def _emit(key, seqs, contents, finish, complete) -> pd.DataFrame:
-    order = sorted(range(len(seqs)), key=lambda i: seqs[i])
-    upto = [i for i in order if finish is None or seqs[i] <= finish]
-    text = "".join(contents[i] or "" for i in upto)
+def _emit(key, frags: pd.DataFrame, finish, complete) -> pd.DataFrame:
+    f = frags.sort_values("seq")
+    if finish is not None:
+        f = f[f["seq"] <= finish]
+    text = "".join(f["content"].fillna("").tolist())
     return pd.DataFrame({"request_id": [key], "content": [text],
-                         "n_chunks": [len(upto)], "complete": [complete]})
+                         "n_chunks": [len(f)], "complete": [complete]})
 
 
 def _content_state_fn(ttl_ms: int):
+    """Vectorised state update: fragments of the micro-batch are appended to the stored
+    ones with pandas (duplicates by ``seq`` dropped), no per-row Python loop."""
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rid = key[0]
         if state.hasTimedOut:
             seqs, contents, finish, _ = state.get
             state.remove()
-            yield _emit(rid, list(seqs), list(contents), finish, False)
+            yield _emit(rid, pd.DataFrame({"seq": list(seqs), "content": list(contents)}),
+                        finish, False)
             return
+        new = pd.concat(list(pdfs), ignore_index=True)
         if state.exists:
             seqs, contents, finish, max_ts = state.get
-            seqs, contents = list(seqs), list(contents)
+            old = pd.DataFrame({"seq": list(seqs), "content": list(contents)})
         else:
-            seqs, contents, finish, max_ts = [], [], None, 0
-        have = dict(zip(seqs, contents))
-        for pdf in pdfs:
-            for s, c, fr, ts in zip(pdf["seq"], pdf["content"], pdf["finish_reason"], pdf["ts_ms"]):
-                have.setdefault(int(s), c)
-                if fr is not None and not (isinstance(fr, float) and pd.isna(fr)):
-                    finish = int(s) if finish is None else min(finish, int(s))
-                max_ts = max(max_ts, int(ts))
-        seqs = list(have.keys())
-        contents = [have[s] for s in seqs]
-        if finish is not None and sum(1 for s in seqs if s <= finish) == finish + 1:
+            old, finish, max_ts = pd.DataFrame({"seq": [], "content": []}), None, 0
+        frags = (pd.concat([old, new[["seq", "content"]]], ignore_index=True)
+                 .drop_duplicates("seq", keep="first"))
+        fin_new = new.loc[new["finish_reason"].notna(), "seq"]
+        if len(fin_new):
+            f = int(fin_new.min())
+            finish = f if finish is None else min(int(finish), f)
+        max_ts = max(int(max_ts), int(new["ts_ms"].max()))
+        if finish is not None and int((frags["seq"] <= finish).sum()) == finish + 1:
             state.remove()
-            yield _emit(rid, seqs, contents, finish, True)
+            yield _emit(rid, frags, finish, True)
             return
-        state.update((seqs, contents, finish, max_ts))
+        state.update((frags["seq"].astype("int64").tolist(), frags["content"].tolist(),
+                      finish, max_ts))
         state.setTimeoutTimestamp(max_ts + ttl_ms)
     return fn
 
