@@ -18,7 +18,7 @@ from inferframe.streaming.assemble import stream_assemble_content, stream_assemb
 from inferframe.streaming.tasks import track_tasks
 
 N_FILES = 8
-TASK_TIMEOUT = "7 days"
+TASK_TIMEOUT = "1 day"
 
 
 def _land(df, name, spark, files=N_FILES):
