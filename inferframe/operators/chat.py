@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inferframe.operators.ordered import change_ordinal, ordered_concat
+from inferframe.operators.ordered import change_ordinal, ordered_collect, ordered_concat
+from inferframe.operators.sizing import broadcast_if_small
 
 
 def content_deltas(chunks: DataFrame, content: str = "content") -> DataFrame:
@@ -63,14 +64,16 @@ def tool_call_boundaries(chunks: DataFrame, key: str = "request_id", seq: str =
     return change_ordinal(chunks, key, seq, index, out="call_ordinal")
 
 
-def pack_conversation(messages: DataFrame, key: str = "conv_id", turn: str = "turn") -> DataFrame:
+def pack_conversation(messages: DataFrame, key: str = "conv_id", turn: str = "turn",
+                      bucket_size: int = 1024) -> DataFrame:
     """AG3: the ordered message list of each conversation (turn order; the key and turn
-    are dropped from the elements)."""
+    are dropped from the elements). Two-level: messages are first packed per
+    (conversation, turn bucket), so a very long conversation is not gathered row by row
+    in one task."""
     cols = [c for c in ("role", "text", "tool_call_id", "name") if c in messages.columns]
-    packed = messages.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(turn).alias("_turn"), *cols))).alias("_m"))
-    return packed.select(key, F.transform("_m", lambda m: F.struct(*[m[c].alias(c) for c in cols]))
-                         .alias("messages"), F.size("_m").alias("n_messages"))
+    packed = ordered_collect(messages, [key], turn, F.struct(*cols), out="messages",
+                             bucket_size=bucket_size)
+    return packed.withColumn("n_messages", F.size("messages"))
 
 
 def history_prefix(messages: DataFrame, key: str = "conv_id", turn: str = "turn",
@@ -91,8 +94,8 @@ def dispatch_tools(calls: DataFrame, registry: DataFrame, name_col: str = "tool_
                    ) -> tuple[DataFrame, DataFrame]:
     """JN5: (known calls joined to the registry, unknown calls). The registry is a small
     dimension: broadcast inner join for known, broadcast left-anti for unknown."""
-    reg = F.broadcast(registry.select(F.col("name").alias(name_col), "description",
-                                      "params_schema"))
+    reg = broadcast_if_small(registry.select(F.col("name").alias(name_col), "description",
+                                             "params_schema"))
     return calls.join(reg, name_col, "inner"), calls.join(reg, name_col, "left_anti")
 
 

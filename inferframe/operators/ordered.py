@@ -44,6 +44,20 @@ def ordered_concat(df: DataFrame, keys: list[str], order: str, value: str, sep:
     return parts.groupBy(*keys).agg(*final)
 
 
+def ordered_collect(df: DataFrame, keys: list[str], order: str, value: Column, out: str = "items",
+                    bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
+    """``collect_list(value)`` in ``order`` per key, in two levels (per-bucket partial arrays,
+    then the buckets' arrays flattened in order)."""
+    bucket = F.floor(F.col(order) / F.lit(bucket_size)).alias("_b")
+    parts = df.groupBy(*keys, bucket).agg(
+        F.min(order).alias("_o"),
+        F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), value.alias("v")))),
+                    lambda x: x["v"]).alias("_a"))
+    return parts.groupBy(*keys).agg(F.flatten(F.transform(
+        F.array_sort(F.collect_list(F.struct(F.col("_o").alias("o"), F.col("_a").alias("a")))),
+        lambda x: x["a"])).alias(out))
+
+
 def change_ordinal(df: DataFrame, key: str, order: str, value: str, out: str = "ordinal",
                    bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
     """Running count of value changes along ``order`` within ``key``: a row starts a new

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from inferframe import refdata as R
 from inferframe.functions.scalars import data_uri
+from inferframe.operators.sizing import broadcast_if_small
 
 PART = T.StructType([T.StructField("type", T.StringType()),
                      T.StructField("text", T.StringType()),
@@ -254,7 +255,8 @@ def with_prompt(df: DataFrame, prompts: DataFrame, mode: str = "mode", bbox: str
     """PRJ9 + JN3: template lookup by mode (broadcast left join on a tiny dimension),
     image-token prefix, and the box appended for the grounding template. Unknown modes
     and grounding without a box give ``prompt`` NULL and ``prompt_error`` set."""
-    t = F.broadcast(prompts.select(F.col("mode").alias("_mode"), F.col("template").alias("_template")))
+    t = broadcast_if_small(prompts.select(F.col("mode").alias("_mode"),
+                                          F.col("template").alias("_template")))
     j = df.join(t, F.col(mode) == F.col("_mode"), "left")
     grounding = F.col(mode) == "prompt_grounding_ocr"
     box = bbox_text(F.col(bbox)) if bbox else _null_str()
@@ -302,9 +304,7 @@ def expand_profiles(requests: DataFrame, profiles: DataFrame, on: str = "family"
                     max_profiles: int = 10_000) -> DataFrame:
     """JN4: run each request under every profile of its family. Profiles are a small
     dimension (size checked), joined by equi-key with a broadcast hint."""
-    n = profiles.limit(max_profiles + 1).count()
-    p = F.broadcast(profiles) if n <= max_profiles else profiles
-    return requests.join(p, on, "inner")
+    return requests.join(broadcast_if_small(profiles, max_profiles), on, "inner")
 
 
 def resolve_model(requests: DataFrame, catalog: DataFrame, endpoint: str = "endpoint",
@@ -312,7 +312,8 @@ def resolve_model(requests: DataFrame, catalog: DataFrame, endpoint: str = "endp
     """JN8: default model of an endpoint = first listed (``min_by(model_id, pos)``), once per
     endpoint, broadcast to the requests; a pinned model wins."""
     first = catalog.groupBy("endpoint").agg(F.min_by("model_id", "pos").alias("_default_model"))
-    j = requests.join(F.broadcast(first), requests[endpoint] == first["endpoint"], "left") \
+    first = broadcast_if_small(first)
+    j = requests.join(first, requests[endpoint] == first["endpoint"], "left") \
         .drop(first["endpoint"])
     model = F.coalesce(F.col(pinned), F.col("_default_model")) if pinned else F.col("_default_model")
     return j.withColumn("model", model).drop("_default_model")

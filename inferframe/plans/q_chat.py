@@ -116,7 +116,8 @@ def tool_requests(spark, sf):
 
 
 def tool_calls(spark, sf):
-    resp = invoke(tool_requests(spark, sf), offline_transport)
+    # answers are reused by several branches: store them once (reliable checkpoint)
+    resp = invoke(tool_requests(spark, sf), offline_transport, durable=True)
     return RS.explode_tool_calls(resp).select(
         "request_id", F.col("call_idx").cast("bigint").alias("call_idx"), "tool_call_id",
         "tool_name", "arguments")

@@ -186,10 +186,8 @@ def jn_reconcile(spark, sf):
 
 @query("jn_pending", sql=f"WITH {SQL_RECONCILE} SELECT request_id, outcome AS reason FROM rec WHERE outcome <> 'ok'")
 def jn_pending(spark, sf):
-    """The retry set: never answered (anti join) plus failed calls."""
+    """The retry set: never answered plus failed calls, from one reconcile pass (the
+    response log is read once)."""
     req = chat_requests(spark, sf).select("request_id")
-    log = earlier_log(spark, sf)
-    never = OP.pending(req, log).withColumn("reason", F.lit("pending"))
-    failed = (RS.with_outcome(log).filter(F.col("outcome") != "ok")
-              .select("request_id", F.col("outcome").alias("reason")))
-    return never.select("request_id", "reason").unionByName(failed)
+    rs = OP.retry_set(req, earlier_log(spark, sf))
+    return rs.select("request_id", F.col("outcome").alias("reason"))

@@ -80,7 +80,12 @@ def rerank_requests(spark, sf):
 
 
 def rerank_results(spark, sf):
-    req = rerank_requests(spark, sf)
+    """Requests are written once (reliable checkpoint) before sending: the candidate lists
+    are needed again to attach the answers, and must not be recomputed."""
+    from inferframe.session import checkpoint_root
+    checkpoint_root(spark)
+    req = rerank_requests(spark, sf).select("query_id", "request_id", "kind", "body",
+                                            "doc_ids").checkpoint(eager=True)
     resp = invoke(req, offline_transport)
     return req.select("query_id", "doc_ids"), resp
 
