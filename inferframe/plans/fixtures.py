@@ -26,25 +26,24 @@ def content_chunks(spark: SparkSession, sf: str) -> DataFrame:
     heartbeat right after); the last text fragment carries ``finish_reason='stop'``;
     ``created`` = epoch + seq seconds.
 
-    The fragments are cut into an array first and exploded once, so the document text is
-    not copied into every generated row (linear, not quadratic, in the text length)."""
+    The text is cut in one linear regex pass (``substring`` at growing offsets would
+    rescan UTF-8 text from its start for every fragment: quadratic per document); the
+    heartbeats are generated from the fragment count alone."""
     d = tbl(spark, sf, "documents").select("doc_id", "text")
+    cut = d.select("doc_id", F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % CHUNK_CHARS), 0).alias("a"))
+    c = cut.select("doc_id", (F.size("a") - 1).alias("last"), F.posexplode("a").alias("j", "content"))
+    text_rows = c.select(F.col("doc_id").alias("request_id"),
+                         (F.col("j") + F.floor(F.col("j") / 7)).cast("bigint").alias("seq"), "content",
+                         F.when(F.col("j") == F.col("last"), F.lit("stop")).alias("finish_reason"))
     last = F.floor((F.length("text") - 1) / CHUNK_CHARS)
-
-    def frag(j):
-        seq = (j + F.floor(j / 7)).cast("bigint")
-        piece = F.struct(seq.alias("seq"),
-                         F.substring(F.col("text"), (j * CHUNK_CHARS + 1).cast("int"), CHUNK_CHARS).alias("content"),
-                         F.when(j == last, F.lit("stop")).alias("finish_reason"))
-        beat = F.struct((seq + 1).alias("seq"), F.lit("").alias("content"),
-                        F.lit(None).cast("string").alias("finish_reason"))
-        return F.when(j % 7 == 6, F.array(piece, beat)).otherwise(F.array(piece))
-
-    frags = F.flatten(F.transform(F.sequence(F.lit(0).cast("bigint"), last), frag))
-    ex = d.select(F.col("doc_id").alias("request_id"), F.explode(frags).alias("f"))
-    return ex.select("request_id", "f.seq", "f.content", "f.finish_reason",
-                     (F.lit(EPOCH) + F.col("f.seq")).alias("created"),
-                     F.timestamp_seconds(F.lit(EPOCH) + F.col("f.seq")).alias("ts"))
+    beats = d.select("doc_id", F.explode(F.when(last >= 6, F.sequence(
+        F.lit(0).cast("bigint"), F.floor((last - 6) / 7)))).alias("h"))
+    beat_rows = beats.select(F.col("doc_id").alias("request_id"), (F.col("h") * 8 + 7).cast("bigint").alias("seq"),
+                             F.lit("").alias("content"), F.lit(None).cast("string").alias("finish_reason"))
+    rows = text_rows.unionByName(beat_rows)
+    return rows.select("request_id", "seq", "content", "finish_reason",
+                       (F.lit(EPOCH) + F.col("seq")).alias("created"),
+                       F.timestamp_seconds(F.lit(EPOCH) + F.col("seq")).alias("ts"))
 
 
 SQL_CHUNKS = f"""
@@ -67,7 +66,7 @@ def tool_chunks(spark: SparkSession, sf: str) -> DataFrame:
     ``props`` cut in 4-character fragments; ``seq`` orders fragments within the request."""
     e = tbl(spark, sf, "events").select("event_id", "user_id", "event_type", "props")
     last = F.floor((F.length("props") - 1) / 4)
-    ex = e.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("p"))
+    ex = e.select("*", F.explode(F.when(last >= 0, F.sequence(F.lit(0).cast("bigint"), last))).alias("p"))
     return ex.select(
         F.col("user_id").alias("request_id"),
         (F.col("event_id") * 1000 + F.col("p")).alias("seq"),

@@ -32,15 +32,13 @@ SELECT doc_id, count(*)::BIGINT AS n_pages_used,
 FROM selected_pages GROUP BY doc_id""")
 def ag_document(spark, sf):
     """Per-page OCR text (1000 characters of the document per page) joined in page order.
-    Page texts are cut into an array before the explode, so the document text is not
-    copied into every page row."""
+    Pages are cut in one linear pass and the requested range is kept (FL1 bounds)."""
     p = page_plans(spark, sf)
     st, en = PG.page_bounds("n_pages", "start", "end")
-    pages = F.when(st <= en, F.transform(
-        F.sequence(st.cast("bigint"), en.cast("bigint")),
-        lambda i: F.struct(i.alias("page_idx"),
-                           F.substring("text", (i * 1000 + 1).cast("int"), 1000).alias("page_text"))))
-    ex = p.select("doc_id", F.explode(pages).alias("pg")).select("doc_id", "pg.page_idx", "pg.page_text")
+    cut = p.select("doc_id", st.alias("st"), en.alias("en"),
+                   F.posexplode(F.regexp_extract_all("text", F.lit("(?s).{1,1000}"), 0))
+                   .alias("page_idx", "page_text"))
+    ex = cut.filter(F.col("page_idx").between(F.col("st"), F.col("en")))
     d = PG.assemble_document(ex, "doc_id", "page_idx", "page_text")
     return d.select("doc_id", F.col("n_pages_used").cast("bigint").alias("n_pages_used"),
                     F.md5("document").alias("document_md5"))

@@ -14,17 +14,25 @@ from inferframe.plans.fixtures import (
     SQL_CHUNKS, SQL_TASK_EVENTS, SQL_TOOL_CHUNKS, content_chunks, task_events, tbl, tool_chunks,
 )
 from inferframe.session import shared_dir
-from inferframe.streaming.assemble import stream_assemble_content, stream_assemble_tool_calls
+from inferframe.streaming.assemble import (
+    stream_assemble_content_sessions, stream_assemble_tool_calls,
+)
 from inferframe.streaming.tasks import track_tasks
 
 N_FILES = 8
 TASK_TIMEOUT = "1 day"
 
 
-def _land(df, name, spark, files=N_FILES):
-    """Write a frame as ``files`` parquet files whose rows arrive in hashed (not key) order."""
+def _land(df, name, spark, files=N_FILES, time_col=None):
+    """Write a frame as ``files`` parquet files. With ``time_col`` the files follow arrival
+    time (file i holds the i-th time range); rows inside a file are shuffled, so fragments
+    still arrive out of order within and across micro-batches."""
     path = shared_dir(spark, name)
-    df.repartition(files, F.xxhash64(*df.columns[:2])).write.parquet(path)
+    if time_col:
+        df = df.repartitionByRange(files, time_col)
+    else:
+        df = df.repartition(files, F.xxhash64(*df.columns[:2]))
+    df.sortWithinPartitions(F.xxhash64(*df.columns[:2])).write.parquet(path)
     return path
 
 
@@ -42,16 +50,29 @@ SELECT request_id, md5(string_agg(content, '' ORDER BY seq)) AS content_md5, cou
        TRUE AS complete
 FROM chunks JOIN f USING (request_id) WHERE seq <= fin GROUP BY request_id""")
 def st_content(spark, sf):
-    """Fragments arrive as a file stream in shuffled order; each message is emitted once,
-    when its finish fragment and all earlier fragments are in."""
+    """Fragments arrive as a file stream (time order across files, shuffled inside);
+    each message is emitted once, when its session (the request's stream) has ended and
+    the watermark has passed; a final far-future fragment advances the watermark so the
+    last sessions close."""
     ch = content_chunks(spark, sf)
-    src = _land(ch, "st-content-src", spark)
+    src = _land(ch, "st-content-src", spark, time_col="created")
     out, ck = shared_dir(spark, "st-content-out"), shared_dir(spark, "st-content-ck")
-    stream = spark.readStream.schema(ch.schema).option("maxFilesPerTrigger", 2).parquet(src)
-    res = stream_assemble_content(stream, watermark="2 days")
-    _run(res.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ck).outputMode("append"), spark)
-    back = spark.read.parquet(out)
+
+    def run():
+        stream = spark.readStream.schema(ch.schema).option("maxFilesPerTrigger", 2).parquet(src)
+        res = stream_assemble_content_sessions(stream, gap="5 minutes", watermark="1 hour")
+        _run(res.writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", ck).outputMode("append"), spark)
+
+    run()
+    flush = spark.createDataFrame([(-1, 0, "", None, 0)],
+                                  "request_id bigint, seq bigint, content string, finish_reason string, created bigint")
+    flush.select("request_id", "seq", "content", "finish_reason", "created",
+                 F.lit("2030-01-01 00:00:00").cast("timestamp").alias("ts")) \
+        .write.mode("append").parquet(src)
+    run()
+    run()
+    back = spark.read.parquet(out).filter(F.col("request_id") >= 0)
     return back.select("request_id", F.md5("content").alias("content_md5"), "n_chunks", "complete")
 
 

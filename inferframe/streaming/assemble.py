@@ -1,6 +1,10 @@
 """ST1/ST2: assemble streamed fragments in Structured Streaming.
 
-* ``stream_assemble_content`` (ST1) is emit-once: per request, a state holds the
+* ``stream_assemble_content_sessions`` (ST1, built-in operators only) closes a request's
+  stream after an inactivity gap: ``groupBy(request_id, session_window(ts, gap))`` in
+  append mode emits each message once, when the watermark passes the end of its session.
+  The finish marker and the fragment count give the ``complete`` flag.
+* ``stream_assemble_content`` (ST1, finish-marker variant) is emit-once: per request, a state holds the
   fragments received so far (keyed by ``seq``, so a duplicate delivery is absorbed); the
   message is emitted and the state cleared as soon as the finish fragment and every
   fragment before it (dense ``seq``) have arrived. Requests that never complete are emitted
@@ -15,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,52 +33,73 @@ CONTENT_OUT = T.StructType([
     T.StructField("complete", T.BooleanType()),
 ])
 CONTENT_STATE = T.StructType([
-    T.StructField("seqs", T.ArrayType(T.LongType())),
-    T.StructField("contents", T.ArrayType(T.StringType())),
+    T.StructField("starts", T.ArrayType(T.LongType())),
+    T.StructField("ends", T.ArrayType(T.LongType())),
+    T.StructField("texts", T.ArrayType(T.StringType())),
     T.StructField("finish_seq", T.LongType()),
     T.StructField("max_ts_ms", T.LongType()),
 ])
 
 
-def _emit(key, frags: pd.DataFrame, finish, complete) -> pd.DataFrame:
-    f = frags.sort_values("seq")
-    if finish is not None:
-        f = f[f["seq"] <= finish]
-    text = "".join(f["content"].fillna("").tolist())
-    return pd.DataFrame({"request_id": [key], "content": [text],
-                         "n_chunks": [len(f)], "complete": [complete]})
+def merge_runs(starts: np.ndarray, ends: np.ndarray, texts: np.ndarray):
+    """Merge fragment runs ``[start, end] -> text``: drop deliveries already covered by an
+    earlier run (duplicates), then join runs whose ranges touch. Returns sorted runs."""
+    order = np.argsort(starts, kind="stable")
+    starts, ends, texts = starts[order], ends[order], texts[order]
+    prev_max = np.concatenate([[-1], np.maximum.accumulate(ends)[:-1]])
+    keep = starts > prev_max
+    starts, ends, texts = starts[keep], ends[keep], texts[keep]
+    if len(starts) == 0:
+        return starts, ends, texts
+    new_run = np.concatenate([[True], starts[1:] != ends[:-1] + 1])
+    heads = np.flatnonzero(new_run)
+    tails = np.concatenate([heads[1:], [len(starts)]])
+    joined = np.array(["".join(t for t in texts[a:b] if isinstance(t, str))
+                       for a, b in zip(heads, tails)], dtype=object)
+    return starts[heads], ends[tails - 1], joined
+
+
+def _emit(key, starts, ends, texts, finish, complete) -> pd.DataFrame:
+    text = "".join(t for t in texts if isinstance(t, str))
+    n = int(finish) + 1 if complete else int(sum(e - s + 1 for s, e in zip(starts, ends)))
+    return pd.DataFrame({"request_id": [key], "content": [text], "n_chunks": [n],
+                         "complete": [complete]})
 
 
 def _content_state_fn(ttl_ms: int):
-    """Vectorised state update: fragments of the micro-batch are appended to the stored
-    ones with pandas (duplicates by ``seq`` dropped), no per-row Python loop."""
+    """Per request and micro-batch: new fragments are merged into the stored runs; the
+    message is complete when one run covers seq 0 .. finish. State stays one run per
+    request when fragments arrive in order, and absorbs reordering and duplicates."""
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rid = key[0]
         if state.hasTimedOut:
-            seqs, contents, finish, _ = state.get
+            st, en, tx, fin, _ = state.get
             state.remove()
-            yield _emit(rid, pd.DataFrame({"seq": list(seqs), "content": list(contents)}),
-                        finish, False)
+            yield _emit(rid, list(st), list(en), list(tx), fin, False)
             return
-        new = pd.concat(list(pdfs), ignore_index=True)
+        s_parts, e_parts, t_parts, fin, max_ts = [], [], [], None, 0
         if state.exists:
-            seqs, contents, finish, max_ts = state.get
-            old = pd.DataFrame({"seq": list(seqs), "content": list(contents)})
-        else:
-            old, finish, max_ts = pd.DataFrame({"seq": [], "content": []}), None, 0
-        frags = (pd.concat([old, new[["seq", "content"]]], ignore_index=True)
-                 .drop_duplicates("seq", keep="first"))
-        fin_new = new.loc[new["finish_reason"].notna(), "seq"]
-        if len(fin_new):
-            f = int(fin_new.min())
-            finish = f if finish is None else min(int(finish), f)
-        max_ts = max(int(max_ts), int(new["ts_ms"].max()))
-        if finish is not None and int((frags["seq"] <= finish).sum()) == finish + 1:
+            st, en, tx, fin, max_ts = state.get
+            s_parts.append(np.asarray(st, dtype=np.int64))
+            e_parts.append(np.asarray(en, dtype=np.int64))
+            t_parts.append(np.asarray(tx, dtype=object))
+        for pdf in pdfs:
+            seq = pdf["seq"].to_numpy(dtype=np.int64)
+            s_parts.append(seq)
+            e_parts.append(seq)
+            t_parts.append(pdf["content"].to_numpy(dtype=object))
+            f = seq[pdf["finish_reason"].notna().to_numpy()]
+            if len(f):
+                fin = int(f.min()) if fin is None else min(int(fin), int(f.min()))
+            max_ts = max(int(max_ts), int(pdf["ts_ms"].max()))
+        starts, ends, texts = merge_runs(np.concatenate(s_parts), np.concatenate(e_parts),
+                                         np.concatenate(t_parts))
+        if fin is not None and len(starts) and starts[0] == 0 and ends[0] >= fin:
             state.remove()
-            yield _emit(rid, frags, finish, True)
+            # fragments after the finish marker can only be heartbeats (empty text)
+            yield _emit(rid, starts[:1], ends[:1], texts[:1], fin, True)
             return
-        state.update((frags["seq"].astype("int64").tolist(), frags["content"].tolist(),
-                      finish, max_ts))
+        state.update((starts.tolist(), ends.tolist(), texts.tolist(), fin, max_ts))
         state.setTimeoutTimestamp(max_ts + ttl_ms)
     return fn
 
@@ -89,6 +115,27 @@ def stream_assemble_content(chunks: DataFrame, *, watermark: str = "10 minutes",
         GroupStateTimeout.EventTimeTimeout))
 
 
+def stream_assemble_content_sessions(chunks: DataFrame, *, gap: str = "5 minutes",
+                                     watermark: str = "1 hour") -> DataFrame:
+    """ST1 with a session window per request (JVM only, no Python state processor).
+
+    Output ``(request_id, content, n_chunks, complete, session_start, session_end)``;
+    ``content`` holds the fragments up to the finish marker (all, if none arrived)."""
+    src = chunks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+    agg = src.groupBy("request_id", F.session_window("ts", gap).alias("w")).agg(
+        F.collect_list(F.struct("seq", "content")).alias("_f"),
+        F.min(F.when(F.col("finish_reason").isNotNull(), F.col("seq"))).alias("_fin"))
+    frags = F.array_sort("_f")
+    kept = F.when(F.col("_fin").isNull(), frags).otherwise(
+        F.filter(frags, lambda x: x["seq"] <= F.col("_fin")))
+    return (agg.withColumn("_k", kept)
+            .select("request_id",
+                    F.array_join(F.transform("_k", lambda x: x["content"]), "").alias("content"),
+                    F.size("_k").cast("bigint").alias("n_chunks"),
+                    F.coalesce(F.size("_k") == F.col("_fin") + 1, F.lit(False)).alias("complete"),
+                    F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end")))
+
+
 def stream_assemble_tool_calls(chunks: DataFrame, *, watermark: str = "1 hour") -> DataFrame:
     """ST2 over a streaming frame ``(request_id, seq, tool_index, tool_id, tool_name,
     tool_args, ts)``; ``ts`` is the event time of the call (shared by its fragments)."""

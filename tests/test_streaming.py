@@ -31,3 +31,26 @@ def test_stream_tasks_equal_batch_with_timeout(spark):
         in_time = end is not None and end - r["first_us"] <= day_us
         want[r["task_id"]] = r["outcome"] if in_time else "timeout"
     assert got == want
+
+
+def test_finish_marker_state_processor_equals_batch(spark):
+    """The Python state-processor variant (emit on finish marker + all fragments) over a
+    shuffled file stream with a duplicated file."""
+    from pyspark.sql import functions as F
+    from inferframe.plans.fixtures import content_chunks
+    from inferframe.plans.q_streams import _land, _run
+    from inferframe.session import shared_dir
+    from inferframe.streaming.assemble import stream_assemble_content
+
+    ch = content_chunks(spark, SF_SMALL)
+    src = _land(ch, "t-src", spark)
+    ch.filter(F.col("seq") % 5 == 0).write.mode("append").parquet(src)  # duplicate deliveries
+    out, ck = shared_dir(spark, "t-out"), shared_dir(spark, "t-ck")
+    stream = spark.readStream.schema(ch.schema).option("maxFilesPerTrigger", 3).parquet(src)
+    _run(stream_assemble_content(stream, watermark="2 days").writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ck).outputMode("append"), spark)
+    got = {r["request_id"]: (r["m"], r["complete"]) for r in
+           spark.read.parquet(out).select("request_id", F.md5("content").alias("m"), "complete").collect()}
+    want = {r["request_id"]: r["content_md5"] for r in Q["ag_content"](spark, SF_SMALL).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k] == (want[k], True) for k in want)
