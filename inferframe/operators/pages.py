@@ -94,7 +94,8 @@ def pages_to_blocks(pages: DataFrame, key: str = "page_id", html: str = "html")
                                              footer.alias("raw"))))
          .otherwise(F.array().cast("array<struct<category:string,raw:string>>")),
     )
-    ex = pages.select(key, F.posexplode(blocks).alias("elem_idx", "b"))
+    ex = (pages.select(key, F.posexplode_outer(blocks).alias("elem_idx", "b"))
+          .filter(F.col("elem_idx").isNotNull()))
     return ex.select(key, F.col("elem_idx").cast("bigint").alias("elem_idx"),
                      F.col("b.category").alias("category"),
                      decode_entities(strip_tags(F.col("b.raw"))).alias("text"))

@@ -60,7 +60,8 @@ def explode_embeddings(df: DataFrame, ids: str = "ids", body: str = "body") -> D
     request's id list by ``index`` (not by arrival order), all vectors kept."""
     data = F.from_json(F.col(body), EMBEDDING_SCHEMA)["data"]
     ok = df.filter(F.col("status_code") == 200).withColumn("_data", data)
-    ex = ok.select("*", F.explode("_data").alias("_d")).drop("_data")
+    ex = (ok.select("*", F.posexplode_outer("_data").alias("_p", "_d")).drop("_data")
+            .filter(F.col("_p").isNotNull()).drop("_p"))
     return (ex.withColumn("item_id", F.try_element_at(F.col(ids), F.col("_d.index") + 1))
               .withColumn("embedding", F.col("_d.embedding"))
               .withColumn("pos", F.col("_d.index"))
@@ -72,7 +73,8 @@ def explode_rerank(df: DataFrame, body: str = "body") -> DataFrame:
     in the submitted document list (kept for JN2)."""
     res = F.from_json(F.col(body), RERANK_SCHEMA)["results"]
     ok = df.filter(F.col("status_code") == 200)
-    return (ok.select("*", F.explode(res).alias("_r"))
+    return (ok.select("*", F.posexplode_outer(res).alias("_p", "_r"))
+              .filter(F.col("_p").isNotNull()).drop("_p")
               .withColumn("idx", F.col("_r.index"))
               .withColumn("relevance_score", F.col("_r.relevance_score"))
               .drop("_r"))
@@ -90,7 +92,8 @@ def explode_tool_calls(df: DataFrame, body: str = "body") -> DataFrame:
     (bad JSON => NULL ``args``)."""
     calls = first_choice(body)["message"]["tool_calls"]
     ok = df.filter(F.col("status_code") == 200)
-    ex = ok.select("*", F.posexplode(calls).alias("call_idx", "_c"))
+    ex = (ok.select("*", F.posexplode_outer(calls).alias("call_idx", "_c"))
+            .filter(F.col("call_idx").isNotNull()))
     return (ex.withColumn("tool_call_id", F.col("_c.id"))
               .withColumn("tool_name", F.col("_c.function.name"))
               .withColumn("arguments", F.col("_c.function.arguments"))
@@ -102,7 +105,8 @@ def explode_layout(df: DataFrame, content: str = "content", with_text: bool = Tr
     """RSP7: layout JSON (list of ``{bbox, category, text}``) -> one row per element;
     position in the list is the reading order (``elem_idx``)."""
     arr = F.from_json(F.col(content), LAYOUT_SCHEMA)
-    ex = df.select("*", F.posexplode(arr).alias("elem_idx", "_e"))
+    ex = (df.select("*", F.posexplode_outer(arr).alias("elem_idx", "_e"))
+            .filter(F.col("elem_idx").isNotNull()))
     ex = (ex.withColumn("bbox", F.col("_e.bbox")).withColumn("category", F.col("_e.category")))
     if with_text:
         ex = ex.withColumn("text", F.col("_e.text"))

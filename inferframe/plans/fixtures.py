@@ -31,7 +31,10 @@ def content_chunks(spark: SparkSession, sf: str) -> DataFrame:
     heartbeats are generated from the fragment count alone."""
     d = tbl(spark, sf, "documents").select("doc_id", "text")
     cut = d.select("doc_id", F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % CHUNK_CHARS), 0).alias("a"))
-    c = cut.select("doc_id", (F.size("a") - 1).alias("last"), F.posexplode("a").alias("j", "content"))
+    # *_outer + explicit filter: a plain posexplode lets Catalyst infer size(a) > 0 and
+    # push the regex into the scan filter, evaluating it twice
+    c = (cut.select("doc_id", (F.size("a") - 1).alias("last"), F.posexplode_outer("a").alias("j", "content"))
+         .filter(F.col("j").isNotNull()))
     text_rows = c.select(F.col("doc_id").alias("request_id"),
                          (F.col("j") + F.floor(F.col("j") / 7)).cast("bigint").alias("seq"), "content",
                          F.when(F.col("j") == F.col("last"), F.lit("stop")).alias("finish_reason"))

@@ -36,9 +36,9 @@ def ag_document(spark, sf):
     p = page_plans(spark, sf)
     st, en = PG.page_bounds("n_pages", "start", "end")
     cut = p.select("doc_id", st.alias("st"), en.alias("en"),
-                   F.posexplode(F.regexp_extract_all("text", F.lit("(?s).{1,1000}"), 0))
+                   F.posexplode_outer(F.regexp_extract_all("text", F.lit("(?s).{1,1000}"), 0))
                    .alias("page_idx", "page_text"))
-    ex = cut.filter(F.col("page_idx").between(F.col("st"), F.col("en")))
+    ex = cut.filter(F.col("page_idx").isNotNull() & F.col("page_idx").between(F.col("st"), F.col("en")))
     d = PG.assemble_document(ex, "doc_id", "page_idx", "page_text")
     return d.select("doc_id", F.col("n_pages_used").cast("bigint").alias("n_pages_used"),
                     F.md5("document").alias("document_md5"))
