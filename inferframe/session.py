@@ -40,7 +40,9 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set a local one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``. Only a local-mode session without
+    the setting (tests, single-machine runs) gets a fresh local folder; on a cluster the
+    setting is required."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -50,6 +52,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        # a machine-local folder is not shared by executors and is lost with them
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster "
+                           "file system) before running jobs that store answers or streams")
     local = tempfile.mkdtemp(prefix="inferframe-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
