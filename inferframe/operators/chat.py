@@ -77,14 +77,33 @@ def pack_conversation(messages: DataFrame, key: str = "conv_id", turn: str = "tu
 
 
 def history_prefix(messages: DataFrame, key: str = "conv_id", turn: str = "turn",
-                   at_role: str | None = "assistant", max_turns: int | None = None) -> DataFrame:
+                   at_role: str | None = "assistant", max_turns: int | None = None,
+                   bucket_size: int = 4096) -> DataFrame:
     """WN2: for each turn (of role ``at_role``), the messages before it - what the client
-    sends to obtain that turn. ``max_turns`` bounds the frame (and the output size)."""
-    lo = Window.unboundedPreceding if max_turns is None else -max_turns
-    w = Window.partitionBy(key).orderBy(turn).rowsBetween(lo, -1)
-    hist = F.collect_list(F.struct(F.col(turn).alias("turn"), F.col("role").alias("role"),
-                                   F.col("text").alias("text"))).over(w)
-    out = messages.withColumn("history", hist)
+    sends to obtain that turn.
+
+    Unbounded (the client's behaviour) the output is quadratic in a conversation's length
+    by definition. With ``max_turns`` the frame is bounded and a long conversation is split:
+    rows are bucketed by ``turn div bucket_size`` and the last ``max_turns`` rows of each
+    bucket are copied into the next one (halo), so each window runs per (conversation,
+    bucket) and no task holds a whole hot conversation."""
+    item = F.struct(F.col(turn).alias("turn"), F.col("role").alias("role"),
+                    F.col("text").alias("text"))
+    if max_turns is None:
+        w = Window.partitionBy(key).orderBy(turn).rowsBetween(Window.unboundedPreceding, -1)
+        out = messages.withColumn("history", F.collect_list(item).over(w))
+    else:
+        bucket_size = max(bucket_size, max_turns)  # the halo reaches one bucket back
+        b = F.floor(F.col(turn) / F.lit(bucket_size))
+        halo = (F.col(turn) - b * bucket_size) >= (bucket_size - max_turns)
+        rows = messages.withColumn("_b", b).withColumn(
+            "_copies", F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+        rows = (rows.select("*", F.explode("_copies").alias("_shift"))
+                .withColumn("_wb", F.col("_b") + F.col("_shift")))
+        w = Window.partitionBy(key, "_wb").orderBy(turn).rowsBetween(-max_turns, -1)
+        out = (rows.withColumn("history", F.collect_list(item).over(w))
+                   .filter(F.col("_shift") == 0)
+                   .drop("_b", "_copies", "_shift", "_wb"))
     if at_role:
         out = out.filter(F.col("role") == at_role)
     return out.withColumn("n_history", F.size("history"))

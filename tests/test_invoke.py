@@ -38,3 +38,26 @@ def test_durable_invoke_reads_stored_answers(spark):
     out = invoke(req, Flaky, durable=True)
     assert "MapInPandas" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.count() == 50
+
+
+class Batched(Flaky):
+    calls = []
+
+    def call_many(self, kinds, bodies):
+        if len(bodies) > 16:
+            raise AssertionError("batch larger than requested")
+        out = []
+        for k, b in zip(kinds, bodies):
+            try:
+                out.append(self(k, b))
+            except Exception as e:  # noqa: BLE001
+                out.append(e)
+        return out
+
+
+def test_batched_transport(spark):
+    req = spark.range(0, 120).select(F.col("id").alias("request_id"), F.lit("chat").alias("kind"),
+                                     F.to_json(F.struct(F.col("id").alias("n"))).alias("body"))
+    out = invoke(req, Batched, batch_size=16).withColumn("o", classify_outcome("status_code"))
+    got = {r["o"]: r["count"] for r in out.groupBy("o").count().collect()}
+    assert got == {"connection_error": 40, "http_error": 40, "ok": 40}

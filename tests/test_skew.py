@@ -63,3 +63,18 @@ def test_overlap_block_path_equals_broadcast(spark):
     b = topk_overlap(bench, docs, 5, strategy="block", query_blocks=4, doc_buckets=3)
     cols = ["query_id", "rank", "doc_id", "score"]
     assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
+
+
+def test_history_prefix_halo_buckets_equal_plain_window(spark):
+    from inferframe.operators.chat import history_prefix
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(37)]
+    rows += [(2, t, "assistant", f"x{t}") for t in range(5)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for m in (1, 3, 4):
+        w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(-m, -1)
+        ref = (df.withColumn("h", F.collect_list(F.struct("turn", "role", "text")).over(w))
+                 .filter("role = 'assistant'"))
+        want = {(r["conv_id"], r["turn"]): [x["turn"] for x in r["h"]] for r in ref.collect()}
+        got_df = history_prefix(df, max_turns=m, bucket_size=4)
+        got = {(r["conv_id"], r["turn"]): [x["turn"] for x in r["history"]] for r in got_df.collect()}
+        assert got == want, m
