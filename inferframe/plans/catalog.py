@@ -14,7 +14,7 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 MODULES = ["q_retrieval", "q_requests", "q_responses", "q_chat", "q_validate", "q_pages",
-           "q_ops", "q_sources", "q_streams"]
+           "q_sources", "q_streams"]
 
 
 def query(name: str, sql: str | None = None):
@@ -32,8 +32,4 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every query module so the registry is filled."""
     for m in MODULES:
-        try:
-            importlib.import_module(f"inferframe.plans.{m}")
-        except ModuleNotFoundError as e:
-            if e.name != f"inferframe.plans.{m}":
-                raise
+        importlib.import_module(f"inferframe.plans.{m}")

@@ -66,9 +66,8 @@ SELECT doc_id, h, w,
 FROM page_plans""")
 def fl_aspect(spark, sf):
     """Image sizes that cannot be resized (aspect ratio > 200, zero side) are flagged."""
-    p = page_plans(spark, sf)
-    return p.select("doc_id", "h", "w", S.aspect_ratio("h", "w").alias("ratio"),
-                    S.aspect_rejected("h", "w").alias("rejected"))
+    p = PG.reject_bad_aspect(page_plans(spark, sf), "h", "w")
+    return p.select("doc_id", "h", "w", S.aspect_ratio("h", "w").alias("ratio"), "rejected")
 
 
 FACTORS = [28, 14, 8, 3]

@@ -14,6 +14,7 @@ from inferframe.plans.fixtures import (
     SQL_CHUNKS, SQL_TASK_EVENTS, SQL_TOOL_CHUNKS, content_chunks, task_events, tbl, tool_chunks,
 )
 from inferframe.session import shared_dir
+from inferframe.sources.streams import stream_chunks, stream_task_events
 from inferframe.streaming.assemble import (
     stream_assemble_content_sessions, stream_assemble_tool_calls,
 )
@@ -59,7 +60,7 @@ def st_content(spark, sf):
     out, ck = shared_dir(spark, "st-content-out"), shared_dir(spark, "st-content-ck")
 
     def run():
-        stream = spark.readStream.schema(ch.schema).option("maxFilesPerTrigger", 2).parquet(src)
+        stream = stream_chunks(spark, src, ch.schema, max_files_per_trigger=2)
         res = stream_assemble_content_sessions(stream, gap="5 minutes", watermark="1 hour")
         _run(res.writeStream.format("parquet").option("path", out)
              .option("checkpointLocation", ck).outputMode("append"), spark)
@@ -92,7 +93,7 @@ def st_tool_calls(spark, sf):
     ch = _stream_tool_chunks(spark, sf)
     src = _land(ch, "st-tools-src", spark)
     log, ck = shared_dir(spark, "st-tools-log"), shared_dir(spark, "st-tools-ck")
-    stream = spark.readStream.schema(ch.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    stream = stream_chunks(spark, src, ch.schema, max_files_per_trigger=2)
     res = stream_assemble_tool_calls(stream, watermark="40 days")
 
     def append(batch, batch_id):
@@ -129,8 +130,8 @@ def st_tasks(spark, sf):
     out, ck = shared_dir(spark, "st-tasks-out"), shared_dir(spark, "st-tasks-ck")
 
     def run():
-        s = spark.readStream.schema(submits.schema).parquet(s_src)
-        r = spark.readStream.schema(results.schema).parquet(r_src)
+        s = stream_task_events(spark, s_src, submits.schema)
+        r = stream_task_events(spark, r_src, results.schema)
         j = track_tasks(s, r, timeout=TASK_TIMEOUT)
         _run(j.writeStream.format("parquet").option("path", out)
              .option("checkpointLocation", ck).outputMode("append"), spark)

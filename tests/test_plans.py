@@ -46,3 +46,18 @@ def test_no_cross_joins_anywhere(spark):
 def test_item_scan_is_pruned(spark):
     p = plan(Q["src_items"](spark, SF_SMALL))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in p
+
+
+def test_render_blocks_json(spark):
+    import json
+    from inferframe.operators.pages import pages_to_blocks, render_blocks
+    pages = spark.createDataFrame([(1, "<html><body><article><h1>T &amp; U</h1><p>one<p><b>two</b></p>"
+                                       "</article><footer>&copy; x</footer></body></html>")],
+                                  "page_id long, html string")
+    r = render_blocks(pages_to_blocks(pages), "json").first()
+    assert json.loads(r["document"]) == [{"category": "Title", "text": "T & U"},
+                                         {"category": "Text", "text": "one"},
+                                         {"category": "Text", "text": "two"},
+                                         {"category": "Page-footer", "text": "© x"}]
+    md = render_blocks(pages_to_blocks(pages), "md").first()["document"]
+    assert md == "# T & U\n\none\n\ntwo\n\n© x"

@@ -77,3 +77,24 @@ def test_mime(spark):
     df = spark.createDataFrame([("a/B.PNG",), ("x.mp4",), ("noext",)], "p string")
     assert [r[0] for r in df.select(S.mime_of("p")).collect()] == [
         "image/png", "video/mp4", "application/octet-stream"]
+
+
+def test_smart_resize_area_bounds(spark):
+    import random
+    rnd = random.Random(3)
+    pairs = [(rnd.randint(30, 9000), rnd.randint(30, 9000)) for _ in range(2000)]
+    df = spark.createDataFrame(pairs, "h int, w int")
+    r = df.select(S.smart_resize("h", "w").alias("r")).filter("r is not null").collect()
+    assert all(x["r"]["new_h"] * x["r"]["new_w"] <= 11289600 for x in r)
+    assert all(x["r"]["new_h"] % 28 == 0 and x["r"]["new_w"] % 28 == 0 for x in r)
+
+
+def test_dot_and_cosine(spark):
+    import numpy as np
+    rows = [([1.0, 2.0, 3.0], [4.0, -5.0, 6.0]), ([0.0, 0.0], [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "a array<double>, b array<double>")
+    out = df.select(S.dot("a", "b").alias("d"), S.cosine("a", "b").alias("c")).collect()
+    a, b = np.array(rows[0][0]), np.array(rows[0][1])
+    assert out[0]["d"] == float(a @ b)
+    assert abs(out[0]["c"] - float(a @ b / np.linalg.norm(a) / np.linalg.norm(b))) < 1e-12
+    assert out[1]["c"] is None
