@@ -99,7 +99,14 @@ def task_events(spark: SparkSession, sf: str) -> DataFrame:
     status = (F.when(F.col("event_type") == "purchase", "success")
               .when(F.col("event_type") == "error", "failure").otherwise("running"))
     return e.select(F.col("user_id").alias("task_id"), F.col("event_id"),
-                    F.col("ts").cast("timestamp").alias("ts"), status.alias("status"))
+                    ntz_as_utc("ts").alias("ts"), status.alias("status"))
+
+
+def ntz_as_utc(col: str):
+    """TIMESTAMP_NTZ -> TIMESTAMP reading the wall clock as UTC, whatever the session time
+    zone (a plain cast would use the session zone). Stream operators need TIMESTAMP."""
+    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col})")
+    return F.timestamp_micros(micros)
 
 
 SQL_TASK_EVENTS = """

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from inferframe.operators import ops as OP
 from inferframe.plans.catalog import query
 from inferframe.plans.fixtures import (
-    SQL_CHUNKS, SQL_TASK_EVENTS, SQL_TOOL_CHUNKS, content_chunks, task_events, tbl, tool_chunks,
+    SQL_CHUNKS, SQL_TASK_EVENTS, SQL_TOOL_CHUNKS, content_chunks, ntz_as_utc, task_events, tbl,
+    tool_chunks,
 )
 from inferframe.session import shared_dir
 from inferframe.sources.streams import stream_chunks, stream_task_events
@@ -78,7 +79,7 @@ def st_content(spark, sf):
 
 
 def _stream_tool_chunks(spark, sf):
-    e = tbl(spark, sf, "events").select(F.col("event_id").alias("tool_index"), "ts")
+    e = tbl(spark, sf, "events").select(F.col("event_id").alias("tool_index"), ntz_as_utc("ts").alias("ts"))
     return tool_chunks(spark, sf).join(e, "tool_index")
 
 

@@ -4,7 +4,6 @@ import math
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from inferframe.functions import scalars as S
 
