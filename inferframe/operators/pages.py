@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inferframe.functions.scalars import aspect_rejected
-from inferframe.operators.ordered import ordered_concat
+from inferframe.operators.ordered import ordered_collect, ordered_concat
 
 
 def _c(x) -> Column:
@@ -116,9 +116,9 @@ def render_blocks(blocks: DataFrame, to_format: str = "md", key: str = "page_id"
         return ordered_concat(md, [key], "elem_idx", "_md", "\n\n", out="document",
                               extra={"n_blocks": (F.count("*"), "sum")})
     if to_format == "json":
-        packed = blocks.groupBy(key).agg(
-            F.array_sort(F.collect_list(F.struct("elem_idx", "category", "text"))).alias("_b"))
-        return packed.select(key, F.to_json(F.transform(
-            "_b", lambda b: F.struct(b["category"].alias("category"), b["text"].alias("text"))))
-            .alias("document"), F.size("_b").cast("bigint").alias("n_blocks"))
+        packed = ordered_collect(blocks, [key], "elem_idx",
+                                 F.struct(F.col("category").alias("category"),
+                                          F.col("text").alias("text")), out="_b")
+        return packed.select(key, F.to_json("_b").alias("document"),
+                             F.size("_b").cast("bigint").alias("n_blocks"))
     raise ValueError(f"unsupported format {to_format}")

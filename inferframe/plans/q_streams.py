@@ -98,7 +98,9 @@ def st_tool_calls(spark, sf):
     res = stream_assemble_tool_calls(stream, watermark="40 days")
 
     def append(batch, batch_id):
-        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(log)
+        # one partition per micro-batch, overwritten on retry: a re-run batch replaces
+        # its own rows instead of duplicating them
+        batch.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
 
     _run(res.writeStream.foreachBatch(append).option("checkpointLocation", ck).outputMode("update"), spark)
     back = spark.read.parquet(log)
