@@ -262,21 +262,21 @@ choice_answers AS (
 # ---------------------------------------------------------------- request families
 
 def family_of_lang(lang_col="lang"):
-    """Which model family serves a document: en/fr -> gemma, de -> qwen, else ocr."""
-    return (F.when(F.col(lang_col).isin("en", "fr"), "gemma")
-            .when(F.col(lang_col) == "de", "qwen").otherwise("ocr"))
+    """Which model family serves a document: en/fr -> chat_a, de -> chat_b, else ocr."""
+    return (F.when(F.col(lang_col).isin("en", "fr"), "chat_a")
+            .when(F.col(lang_col) == "de", "chat_b").otherwise("ocr"))
 
 
-SQL_FAMILY = "CASE WHEN lang IN ('en','fr') THEN 'gemma' WHEN lang = 'de' THEN 'qwen' ELSE 'ocr' END"
+SQL_FAMILY = "CASE WHEN lang IN ('en','fr') THEN 'chat_a' WHEN lang = 'de' THEN 'chat_b' ELSE 'ocr' END"
 
 # D6 model catalogue: endpoint per family, two listed models each; the OCR endpoint is not
 # listed (its client pins a model).
 MODEL_CATALOG = [
-    ("chat-gemma", 0, "google/gemma-4-31b-it"), ("chat-gemma", 1, "google/gemma-4-e4b-it"),
-    ("chat-qwen", 0, "Qwen/Qwen3.5-27B"), ("chat-qwen", 1, "Qwen/Qwen3.5-9B"),
-    ("embed", 0, "Qwen/Qwen3-Embedding-8B"), ("embed", 1, "BAAI/bge-m3"),
+    ("chat-a", 0, "chat-a-large"), ("chat-a", 1, "chat-a-small"),
+    ("chat-b", 0, "chat-b-large"), ("chat-b", 1, "chat-b-small"),
+    ("embed", 0, "embed-large"), ("embed", 1, "embed-small"),
 ]
-ENDPOINT_OF_FAMILY = {"gemma": "chat-gemma", "qwen": "chat-qwen", "ocr": "ocr"}
+ENDPOINT_OF_FAMILY = {"chat_a": "chat-a", "chat_b": "chat-b", "ocr": "ocr"}
 
 
 def catalog_df(spark: SparkSession) -> DataFrame:

@@ -38,9 +38,9 @@ def base_requests(spark, sf):
     return RQ.resolve_model(req, catalog_df(spark))
 
 
-SQL_MODEL = (f"CASE {SQL_FAMILY} WHEN 'gemma' THEN 'google/gemma-4-31b-it' "
-             f"WHEN 'qwen' THEN 'Qwen/Qwen3.5-27B' ELSE {_sq(R.OCR_PINNED_MODEL)} END")
-SQL_ENDPOINT = f"CASE {SQL_FAMILY} WHEN 'gemma' THEN 'chat-gemma' WHEN 'qwen' THEN 'chat-qwen' ELSE 'ocr' END"
+SQL_MODEL = (f"CASE {SQL_FAMILY} WHEN 'chat_a' THEN 'chat-a-large' "
+             f"WHEN 'chat_b' THEN 'chat-b-large' ELSE {_sq(R.OCR_PINNED_MODEL)} END")
+SQL_ENDPOINT = f"CASE {SQL_FAMILY} WHEN 'chat_a' THEN 'chat-a' WHEN 'chat_b' THEN 'chat-b' ELSE 'ocr' END"
 
 MSG_SCHEMA = "array<struct<role: string, content: string, tool_call_id: string, name: string>>"
 PARTS_SCHEMA = ("array<struct<type: string, text: string, image_url: struct<url: string>, "

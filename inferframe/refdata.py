@@ -87,14 +87,14 @@ CONVERSION_OVERRIDES = {
 # Sampling profiles: (profile, family, temperature, top_p, top_k, presence_penalty,
 # max_tokens, max_completion_tokens, enable_thinking); None = key absent.
 SAMPLING_PROFILES = [
-    ("g_think", "gemma", 1.0, 0.95, 64, None, 81920, None, True),
-    ("g_plain", "gemma", 1.0, 0.95, 64, None, 32768, None, False),
-    ("g_json", "gemma", 1.0, 0.95, 64, None, None, None, True),
-    ("g_video_plain", "gemma", 1.0, 0.95, 64, None, 81920, None, False),
-    ("q_think", "qwen", 1.0, 0.95, 20, 1.5, 81920, None, None),
-    ("q_plain", "qwen", 0.7, 0.8, 20, 1.5, 32768, None, False),
-    ("q_json", "qwen", 1.0, 0.95, 20, 1.5, None, None, None),
-    ("q_video_plain", "qwen", 1.0, 0.95, 20, 1.5, 81920, None, False),
+    ("g_think", "chat_a", 1.0, 0.95, 64, None, 81920, None, True),
+    ("g_plain", "chat_a", 1.0, 0.95, 64, None, 32768, None, False),
+    ("g_json", "chat_a", 1.0, 0.95, 64, None, None, None, True),
+    ("g_video_plain", "chat_a", 1.0, 0.95, 64, None, 81920, None, False),
+    ("q_think", "chat_b", 1.0, 0.95, 20, 1.5, 81920, None, None),
+    ("q_plain", "chat_b", 0.7, 0.8, 20, 1.5, 32768, None, False),
+    ("q_json", "chat_b", 1.0, 0.95, 20, 1.5, None, None, None),
+    ("q_video_plain", "chat_b", 1.0, 0.95, 20, 1.5, 81920, None, False),
     ("ocr", "ocr", 0.1, 0.9, None, None, None, 32768, None),
 ]
 
