@@ -168,7 +168,8 @@ selected_pages AS (
 
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
     """D4: model answers to check, derived from ``part`` (and ``labels`` for choices):
-    kinds email / city_json / car_json / city_array / grammar, one row per part and kind."""
+    kinds email / city_json / car_json / city_array / grammar / code_json, one row per part
+    and kind."""
     p = tbl(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     brand = F.lower(F.regexp_replace("p_brand", r"[^A-Za-z0-9]", ""))
     word = F.lower(F.split("p_type", " ").getItem(0))
@@ -197,6 +198,10 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
                .when(F.col("p_size") % 4 == 1, F.concat(F.lit("SELECT "), F.array_join(cols, ","),
                                                         F.lit(" FROM "), brand, F.lit(";")))
                .otherwise(F.concat(F.lit("SELECT "), F.array_join(cols, ","), F.lit(" FROM "), brand)))
+    code_num = (F.when(F.col("p_size") % 3 == 0, F.concat(F.lit(',"dog_code_number":'), F.col("p_size").cast("string")))
+                .when(F.col("p_size") % 3 == 1, F.concat(F.lit(',"dog_code_number":"'), F.col("p_size").cast("string"), F.lit('"')))
+                .otherwise(F.lit("")))
+    code = F.concat(F.lit('{"cat":"'), F.col("p_brand"), F.lit('","dog":"'), word, F.lit('"'), code_num, F.lit("}"))
     base = p.withColumn("_cf", city_full)
     kinds = F.array(
         F.struct(F.lit("email").alias("kind"), email.alias("content")),
@@ -204,6 +209,7 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.lit("car_json").alias("kind"), car.alias("content")),
         F.struct(F.lit("city_array").alias("kind"), arr.alias("content")),
         F.struct(F.lit("grammar").alias("kind"), grammar.alias("content")),
+        F.struct(F.lit("code_json").alias("kind"), code.alias("content")),
     )
     return base.select(F.col("p_partkey").alias("id"), F.explode(kinds).alias("k")) \
         .select("id", "k.kind", "k.content")
@@ -240,6 +246,10 @@ candidates AS (
          WHEN 0 THEN 'SELECT ' || array_to_string(cols, ', ') || ' FROM ' || brand
          WHEN 1 THEN 'SELECT ' || array_to_string(cols, ',') || ' FROM ' || brand || ';'
          ELSE 'SELECT ' || array_to_string(cols, ',') || ' FROM ' || brand END FROM cand_base
+  UNION ALL
+  SELECT p_partkey, 'code_json', '{"cat":"' || p_brand || '","dog":"' || word || '"' ||
+         CASE p_size % 3 WHEN 0 THEN ',"dog_code_number":' || p_size
+                         WHEN 1 THEN ',"dog_code_number":"' || p_size || '"' ELSE '' END || '}' FROM cand_base
 )"""
 
 

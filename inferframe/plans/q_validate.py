@@ -60,26 +60,31 @@ def _sql_errors(fields, vc="vc", enum=None):
 
 CITY_FIELDS = [("city", "string"), ("population", "integer")]
 CAR_FIELDS = [("brand", "string"), ("model", "string"), ("car_type", "string")]
+CODE_FIELDS = [("cat", "string"), ("dog", "string"), ("dog_code_number", "integer")]
 
 SQL_JSON_CHECK = f"""
 vcand AS (SELECT *, CASE WHEN json_valid(content) THEN content END AS vc FROM candidates),
 jcheck AS (
   SELECT id, kind, {_sql_errors(CITY_FIELDS)} AS errors FROM vcand WHERE kind = 'city_json'
   UNION ALL
-  SELECT id, kind, {_sql_errors(CAR_FIELDS, enum=('car_type', R.CAR_TYPES))} FROM vcand WHERE kind = 'car_json')"""
+  SELECT id, kind, {_sql_errors(CAR_FIELDS, enum=('car_type', R.CAR_TYPES))} FROM vcand WHERE kind = 'car_json'
+  UNION ALL
+  SELECT id, kind, {_sql_errors(CODE_FIELDS)} FROM vcand WHERE kind = 'code_json')"""
 
 
 def json_checked(spark, sf):
     city = V.check_json_schema(cands(spark, sf, "city_json"), "content", R.CITY_INFO_SCHEMA)
     car = V.check_json_schema(cands(spark, sf, "car_json"), "content", R.CAR_DESCRIPTION_SCHEMA)
-    return city.unionByName(car)
+    code = V.check_json_schema(cands(spark, sf, "code_json"), "content", R.PYTHON_R_CODE_SCHEMA)
+    return city.unionByName(car).unionByName(code)
 
 
 @query("val_json_schema", sql=f"""
 WITH {SQL_CANDIDATES}, {SQL_JSON_CHECK}
 SELECT id, kind, errors = '' AS valid, errors FROM jcheck""")
 def val_json_schema(spark, sf):
-    """CityInfo / CarDescription answers: required fields, strict JSON types, enum."""
+    """CityInfo / CarDescription / PythonRCode answers: required fields, strict JSON types,
+    enum."""
     c = json_checked(spark, sf)
     return c.select("id", "kind", "valid", F.array_join("errors", ";").alias("errors"))
 
