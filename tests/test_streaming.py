@@ -54,3 +54,30 @@ def test_finish_marker_state_processor_equals_batch(spark):
     want = {r["request_id"]: r["content_md5"] for r in Q["ag_content"](spark, SF_SMALL).collect()}
     assert got.keys() == want.keys()
     assert all(got[k] == (want[k], True) for k in want)
+
+
+def test_session_stream_drops_redelivered_fragments(spark):
+    from pyspark.sql import functions as F
+    from inferframe.plans.fixtures import content_chunks
+    from inferframe.plans.q_streams import _land, _run
+    from inferframe.session import shared_dir
+    from inferframe.streaming.assemble import stream_assemble_content_sessions
+
+    ch = content_chunks(spark, SF_SMALL)
+    src = _land(ch, "t-dup-src", spark)
+    ch.filter(F.col("seq") % 3 == 0).write.mode("append").parquet(src)  # re-sent fragments
+    out, ck = shared_dir(spark, "t-dup-out"), shared_dir(spark, "t-dup-ck")
+    stream = spark.readStream.schema(ch.schema).option("maxFilesPerTrigger", 3).parquet(src)
+    res = stream_assemble_content_sessions(stream, gap="5 minutes", watermark="1 hour")
+    _run(res.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .outputMode("append"), spark)
+    # a late far-future fragment closes the remaining sessions
+    spark.createDataFrame([(-1, 0, "", None, 0)],
+                          "request_id bigint, seq bigint, content string, finish_reason string, created bigint") \
+        .withColumn("ts", F.lit("2030-01-01 00:00:00").cast("timestamp")).write.mode("append").parquet(src)
+    _run(res.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .outputMode("append"), spark)
+    got = {r["request_id"]: r["m"] for r in spark.read.parquet(out).filter("request_id >= 0")
+           .select("request_id", F.md5("content").alias("m")).collect()}
+    want = {r["request_id"]: r["content_md5"] for r in Q["ag_content"](spark, SF_SMALL).collect()}
+    assert got == want
