@@ -78,3 +78,15 @@ def test_history_prefix_halo_buckets_equal_plain_window(spark):
         got_df = history_prefix(df, max_turns=m, bucket_size=4)
         got = {(r["conv_id"], r["turn"]): [x["turn"] for x in r["history"]] for r in got_df.collect()}
         assert got == want, m
+
+
+def test_pack_embedding_batches_sparse_ids(spark):
+    from inferframe.operators.retrieval import pack_embedding_batches
+    rnd = random.Random(11)
+    ids = rnd.sample(range(10**9), 503)
+    items = spark.createDataFrame([(i, f"t{i}") for i in ids], "item_id long, text string")
+    b = pack_embedding_batches(items, 10, dense_ids=False, buckets=4).collect()
+    seen = [i for r in b for i in r["ids"]]
+    assert sorted(seen) == sorted(ids) and len(seen) == len(ids)
+    assert all(1 <= r["n_items"] <= 10 and r["ids"] == sorted(r["ids"]) for r in b)
+    assert all(r["texts"] == [f"t{i}" for i in r["ids"]] for r in b)
