@@ -10,13 +10,25 @@ from inferframe import refdata as R
 from inferframe.operators.responses import classify_outcome
 
 
+def best_outcome(responses: DataFrame, key: str = "request_id") -> DataFrame:
+    """One row per request from a log that may hold several attempts: ``ok`` if any attempt
+    succeeded, else ``http_error`` if any got a status, else ``connection_error``. A partial
+    + final aggregation, so a request retried many times is combined map-side."""
+    rank = (F.when(F.col("status_code") == 200, 3).when(F.col("status_code").isNotNull(), 2)
+            .otherwise(1))
+    return responses.groupBy(key).agg(F.max(rank).alias("_rank"), F.count("*").alias("attempts"))
+
+
 def reconcile(requests: DataFrame, responses: DataFrame, key: str = "request_id") -> DataFrame:
     """JN7: every request with its outcome; requests without any response are
-    ``pending``. Left join on the request id (shuffle join; AQE splits skewed keys)."""
-    r = responses.select(key, "status_code", "error").withColumn("_has", F.lit(True))
-    j = requests.join(r, key, "left")
-    return j.withColumn("outcome", F.when(F.col("_has").isNull(), F.lit("pending"))
-                        .otherwise(classify_outcome("status_code"))).drop("_has")
+    ``pending``. The log is first reduced to one row per request (``best_outcome``), then
+    left-joined on the request id, so repeated attempts never duplicate requests."""
+    j = requests.join(best_outcome(responses, key), key, "left")
+    outcome = (F.when(F.col("_rank") == 3, "ok").when(F.col("_rank") == 2, "http_error")
+               .when(F.col("_rank") == 1, "connection_error").otherwise("pending"))
+    return (j.withColumn("outcome", outcome)
+             .withColumn("attempts", F.coalesce(F.col("attempts"), F.lit(0)))
+             .drop("_rank"))
 
 
 def pending(requests: DataFrame, responses: DataFrame, key: str = "request_id") -> DataFrame:

@@ -61,3 +61,16 @@ def test_batched_transport(spark):
     out = invoke(req, Batched, batch_size=16).withColumn("o", classify_outcome("status_code"))
     got = {r["o"]: r["count"] for r in out.groupBy("o").count().collect()}
     assert got == {"connection_error": 40, "http_error": 40, "ok": 40}
+
+
+def test_reconcile_with_repeated_attempts(spark):
+    from inferframe.operators.ops import pending, reconcile, retry_set
+    req = spark.createDataFrame([(i,) for i in range(6)], "request_id long")
+    log = spark.createDataFrame(
+        [(0, 200), (1, None), (1, 200), (2, 503), (2, None), (3, None), (4, 500), (4, 500)],
+        "request_id long, status_code int").withColumn("error", F.lit(None).cast("string"))
+    got = {r["request_id"]: (r["outcome"], r["attempts"]) for r in reconcile(req, log).collect()}
+    assert got == {0: ("ok", 1), 1: ("ok", 2), 2: ("http_error", 2), 3: ("connection_error", 1),
+                   4: ("http_error", 2), 5: ("pending", 0)}
+    assert [r[0] for r in pending(req, log).collect()] == [5]
+    assert sorted(r["request_id"] for r in retry_set(req, log).collect()) == [2, 3, 4, 5]
