@@ -39,7 +39,16 @@ def _land(df, name, spark, files=N_FILES, time_col=None):
 
 
 def _run(query_writer, spark):
-    q = query_writer.trigger(availableNow=True).start()
+    """Run a stream with ``availableNow``. State partitions (fixed when a checkpoint is
+    first used) follow the cluster's parallelism instead of a session default sized for
+    batch shuffles; the session setting is restored afterwards."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        q = query_writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(key, old)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -36,9 +37,34 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``inferframe`` importable in the Python workers of this session's executors
+    (the runtime form of ``--py-files``): the package is zipped once on the driver and
+    added with ``SparkContext.addPyFile``; Spark distributes it to every executor."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="inferframe-pyfiles-"), "inferframe.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``. Only a local-mode session without
     the setting (tests, single-machine runs) gets a fresh local folder; on a cluster the
