@@ -121,11 +121,11 @@ def stream_assemble_content_sessions(chunks: DataFrame, *, gap: str = "5 minutes
 
     Output ``(request_id, content, n_chunks, complete, session_start, session_end)``;
     ``content`` holds the fragments up to the finish marker (all, if none arrived)."""
-    src = (chunks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-           # at-least-once delivery: a re-sent fragment is dropped (state bounded by watermark)
-           .dropDuplicatesWithinWatermark(["request_id", "seq"]))
+    src = chunks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+    # a set of (seq, content): a re-sent fragment (at-least-once delivery) counts once,
+    # without a separate de-duplication operator and its state
     agg = src.groupBy("request_id", F.session_window("ts", gap).alias("w")).agg(
-        F.collect_list(F.struct("seq", "content")).alias("_f"),
+        F.collect_set(F.struct("seq", "content")).alias("_f"),
         F.min(F.when(F.col("finish_reason").isNotNull(), F.col("seq"))).alias("_fin"))
     frags = F.array_sort("_f")
     kept = F.when(F.col("_fin").isNull(), frags).otherwise(
@@ -141,14 +141,13 @@ def stream_assemble_content_sessions(chunks: DataFrame, *, gap: str = "5 minutes
 def stream_assemble_tool_calls(chunks: DataFrame, *, watermark: str = "1 hour") -> DataFrame:
     """ST2 over a streaming frame ``(request_id, seq, tool_index, tool_id, tool_name,
     tool_args, ts)``; ``ts`` is the event time of the call (shared by its fragments)."""
-    src = (chunks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-           .dropDuplicatesWithinWatermark(["request_id", "seq"]))
+    src = chunks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
     agg = src.groupBy("request_id", "tool_index", "ts").agg(
-        F.collect_list(F.struct("seq", "tool_args")).alias("_frags"),
+        F.collect_set(F.struct("seq", "tool_args")).alias("_frags"),
         F.min_by("tool_id", F.when(F.col("tool_id").isNotNull(), F.col("seq"))).alias("tool_id"),
         F.min_by("tool_name", F.when(F.col("tool_name").isNotNull(), F.col("seq"))).alias("tool_name"),
-        F.count("*").alias("n_fragments"))
+    )
     return agg.select(
         "request_id", "tool_index", "tool_id", "tool_name",
         F.array_join(F.transform(F.array_sort("_frags"), lambda x: x["tool_args"]), "").alias("arguments"),
-        "n_fragments")
+        F.size("_frags").cast("bigint").alias("n_fragments"))
