@@ -61,3 +61,20 @@ def test_render_blocks_json(spark):
                                          {"category": "Page-footer", "text": "© x"}]
     md = render_blocks(pages_to_blocks(pages), "md").first()["document"]
     assert md == "# T & U\n\none\n\ntwo\n\n© x"
+
+
+def test_package_is_shipped_to_executors(spark):
+    """The zip added with addPyFile holds every module of the package."""
+    import os
+    import zipfile
+    import inferframe
+    from inferframe.session import ship_package
+    ship_package(spark)
+    root = os.path.dirname(inferframe.__file__)
+    want = {os.path.relpath(os.path.join(d, f), os.path.dirname(root))
+            for d, _, fs in os.walk(root) for f in fs if f.endswith(".py")}
+    zips = [os.path.join(dp, f) for dp, _, fs in os.walk("/tmp") for f in fs
+            if f == "inferframe.zip" and "inferframe-pyfiles-" in dp]
+    assert zips
+    newest = max(zips, key=os.path.getmtime)
+    assert want <= set(zipfile.ZipFile(newest).namelist())
