@@ -174,7 +174,7 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
     """docs with one row of each class left, columns unchanged. Rows that repeat a doc_id stay or go
-    together, and equal ones of them collapse to one; null ids stay unless a named copy exists."""
+    together, and those of equal text collapse to one (any of them); null ids stay unless a named copy exists."""
     judged = written(near_duplicates(docs, **params), "judged")
     lone_null = F.col("doc_id").isNull() & F.col("component_id").isNull()
     keep = judged.where(F.col("kept") | lone_null).select("doc_id").groupBy("doc_id").agg(F.count("*").alias("same"))
@@ -182,4 +182,4 @@ def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
     kept = docs.join(keep.toDF("__kept_id", "__same"), key.eqNullSafe(F.col("__kept_id")))
     once = kept.where("__same = 1").drop("__kept_id", "__same")
     repeated = kept.where("__same > 1").drop("__kept_id", "__same")
-    return once.unionByName(repeated.dropDuplicates())
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
