@@ -9,11 +9,8 @@ cuts each document where its global position crosses a window edge. No text or i
 `sequences` builds the padded windows: a window inside one task is assembled there; only the
 fragments of windows that span tasks (boundary records) are shuffled, by sequence number.
 
-Encoding: a text is cut at ASCII white space, and the tokenizer is asked once per distinct chunk
-and worker (two-generation cache of `CACHE` chunks). For tokenizers that never join
-across white space and drop it, like the word-piece one used here, this gives the ids of the whole
-text; texts holding one of the tokenizer's special strings are encoded whole, as the library does by default.
-`end_id` follows every document.
+Encoding: see `TextEncoder`; bounded caches (two generations of `CACHE` entries) let the tokenizer run once
+per new piece of text. `end_id` follows every document.
 
 Defined results: null and empty texts are the single end id. A null doc_id is carried through.
 Repeated rows are packed each. An empty table gives no piece. Extra columns are ignored.
@@ -21,6 +18,7 @@ Repeated rows are packed each. An empty table gives no piece. Extra columns are
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,56 +29,98 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inferframe.llm.shared import ship, written
+from inferframe.llm.token_counts import byte_letters
 
 WINDOW = 4096
 END_ID = 2
-CACHE = 200_000
+CACHE = 300_000
 _encoders: dict = {}
 
 
-class ChunkEncoder(dict):
-    """chunk -> packed ids, filled on demand; old entries leave a generation at a time."""
+class Generations(dict):
+    """A bounded cache filled by `make`: when it is full its entries become the old generation."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(self) >= CACHE:
+            self.old = dict(self)
+            self.clear()
+        if len(key) <= 64:
+            self[key] = got
+        return got
+
+
+class TextEncoder:
+    """Packed ids of texts, equal to the library's for the whole text.
+
+    Tokenizers of the form "compose, squeeze white space, lower case; cut at a pattern that never takes white space;
+    byte-level pairs" are read chunk by chunk: chunks between white space, cached, and inside a
+    chunk the pattern's pieces, cached too, so the library's pair merging runs once per new piece. Chunks
+    outside plain Latin letters, where composing or letter classes could matter, go through the library whole. So
+    do texts with one of the tokenizer's special strings, and every text of a tokenizer of another form."""
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, marks))) if marks else None
-        self.old: dict[str, bytes] = {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.pattern = regex.compile(self._cut_pattern(spec)) if self._cut_pattern(spec) else None
+        self.plain = re.compile("[\x21-\x7e\u00a1-\u012f]+")
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.pieces = Generations(self._piece)
+        self.chunks = Generations(self._chunk)
+
+    @staticmethod
+    def _cut_pattern(spec: dict) -> str | None:
+        normal = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        cut = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        if normal != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cut] != ["Split", "ByteLevel"]:
+            return None
+        found = cut[0]["pattern"].get("Regex")
+        keeps = cut[0]["behavior"] == "Removed" and cut[0]["invert"] and not cut[1]["add_prefix_space"] and not cut[1]["use_regex"]
+        return found if keeps and found == SPACE_FREE else None
 
     def ids(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
-        got = self.old.get(chunk)
-        if got is None:
-            got = self.ids(chunk)
-        if len(self) >= CACHE:
-            self.old = dict(self)
-            self.clear()
-        if len(chunk) <= 64:
-            self[chunk] = got
-        return got
+    def _piece(self, piece: str) -> bytes:
+        spelled = "".join([self.letters[b] for b in piece.encode()])
+        return np.asarray([t.id for t in self.tokenizer.model.tokenize(spelled)], self.dtype).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        if self.plain.fullmatch(chunk):
+            return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk.lower())))
+        return self.ids(chunk)
 
     def text(self, text: str) -> bytes:
-        if self.special is not None and self.special.search(text):
+        if self.pattern is None or any(s in text for s in self.special):
             return self.ids(text)
-        return b"".join(map(self.__getitem__, ASCII_SPACE.split(text)))
+        # str.split cuts at all Unicode white space, and at four control characters that are none
+        chunks = ASCII_SPACE.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
+        return b"".join(map(self.chunks.__getitem__, chunks))
 
 
-#: white space that every tokenizer here drops; other Unicode spaces stay inside a chunk
+#: fixed: a cutting pattern that never takes white space
+SPACE_FREE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str) -> TextEncoder:
     import os
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
+        _encoders[path] = TextEncoder(path)
     return _encoders[path]
 
 

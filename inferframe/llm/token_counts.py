@@ -41,7 +41,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _counters: dict[str, PrefixCounter] = {}
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in vocabulary files of this kind: printable
     Latin-1 bytes stand for themselves, the others follow from code point 256 on, in byte order."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -56,7 +56,7 @@ class PrefixCounter:
         import regex
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        letter = _byte_letters()
+        letter = byte_letters()
         raw = lambda s: bytes(letter[c] for c in s)
         self.rank = {}
         for i, m in enumerate(spec["model"]["merges"]):
