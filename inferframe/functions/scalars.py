@@ -136,14 +136,14 @@ def cosine(a, b) -> Column:
     return F.when((na > 0) & (nb > 0), dot(a, b) / (na * nb))
 
 
-def flatten_options(json_text) -> Column:
+OPTION_LEVELS = 8
+
+
+def flatten_options(json_text, levels: int = OPTION_LEVELS) -> Column:
     """SC9: option JSON -> ``map<string,string>`` with nested objects flattened to dotted
     keys (``{"a":{"b":"c"}}`` -> ``a.b=c``), so the dotted and nested spellings of one
-    option compare equal. Non-object values (strings, lists) keep their JSON text; plain
-    strings are unquoted."""
-    top = F.from_json(_c(json_text), "map<string,string>")
-    entries = F.map_entries(top)
-
+    option compare equal; of several spellings of one key the last wins. Objects are opened down to
+    ``levels`` levels, deeper ones keep their JSON text, as do lists; plain strings are unquoted."""
     def expand(e):
         nested = F.from_json(e["value"], "map<string,string>")
         is_obj = F.startswith(F.ltrim(F.coalesce(e["value"], F.lit(""))), F.lit("{"))
@@ -153,8 +153,13 @@ def flatten_options(json_text) -> Column:
         return F.when(is_obj & nested.isNotNull(), inner).otherwise(
             F.array(F.struct(e["key"].alias("key"), e["value"].alias("value"))))
 
-    flat = F.flatten(F.transform(entries, expand))
-    return F.map_from_entries(flat)
+    entries = F.transform(F.map_entries(F.from_json(_c(json_text), "map<string,string>")),
+                          lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+    for _ in range(levels - 1):
+        entries = F.flatten(F.transform(entries, expand))
+    empty = F.create_map().cast("map<string,string>")
+    return F.aggregate(entries, empty, lambda m, e: F.map_concat(
+        F.map_filter(m, lambda k, v: k != e["key"]), F.create_map(e["key"], e["value"])))
 
 
 def canonical_options(m) -> Column:
@@ -166,5 +171,6 @@ def canonical_options(m) -> Column:
 
 
 def token_set(text) -> Column:
-    """Distinct lower-case ASCII word tokens of a text (array<string>)."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(_c(text)), F.lit(r"([a-z0-9]+)"), 1))
+    """Distinct lower-case words of a text (array<string>): runs of letters, marks and numbers of
+    any script."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(_c(text)), F.lit(r"([\p{L}\p{M}\p{N}]+)"), 1))

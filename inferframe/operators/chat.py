@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inferframe.operators.ordered import change_ordinal, ordered_collect, ordered_concat
+from inferframe.operators.ordered import change_ordinal, dense_ordinal, ordered_collect, ordered_concat
 from inferframe.operators.sizing import broadcast_if_small
 
 
@@ -22,10 +22,11 @@ def content_deltas(chunks: DataFrame, content: str = "content") -> DataFrame:
 def assemble_content(chunks: DataFrame, key: str = "request_id", seq: str = "seq",
                      content: str = "content", created: str = "created") -> DataFrame:
     """AG4: per request, the fragments concatenated in ``seq`` order, plus chunk and
-    heartbeat counts, first/last ``created`` and whether a finish marker arrived."""
+    heartbeat counts, first/last ``created`` and whether a finish marker arrived. A fragment
+    delivered twice counts once."""
     hb = (F.col(content).isNull() | (F.col(content) == "")).cast("bigint")
     return ordered_concat(
-        chunks, [key], seq, content, "", out="content", extra={
+        chunks, [key], seq, content, "", out="content", unique=True, extra={
             "n_chunks": (F.count("*"), "sum"),
             "n_heartbeats": (F.sum(hb), "sum"),
             "first_created": (F.min(created), "min"),
@@ -38,23 +39,18 @@ def assemble_tool_calls(chunks: DataFrame, key: str = "request_id", seq: str = "
                         index: str = "tool_index") -> DataFrame:
     """AG5: per (request, tool index): first non-NULL id, first non-NULL name, and the
     argument fragments concatenated in order. Grouping (not a stateful fold) means an index
-    that reappears later is merged, and a skipped index is harmless."""
-    first_seq = F.min(F.when(F.col("tool_id").isNotNull(), F.col(seq)))
-    first_nseq = F.min(F.when(F.col("tool_name").isNotNull(), F.col(seq)))
+    that reappears later is merged, and a skipped index is harmless. A fragment delivered twice
+    counts once. One aggregation: the first id and name travel as (seq, value) minima."""
+    def first(c: str) -> Column:
+        return F.min(F.when(F.col(c).isNotNull(), F.struct(F.col(seq).alias("s"), F.col(c).alias("v"))))
+
     out = ordered_concat(
-        chunks, [key, index], seq, "tool_args", "", out="arguments", extra={
-            "_id_seq": (first_seq, "min"), "_name_seq": (first_nseq, "min"),
+        chunks, [key, index], seq, "tool_args", "", out="arguments", unique=True, extra={
+            "_id": (first("tool_id"), "min"), "_name": (first("tool_name"), "min"),
             "n_fragments": (F.count("*"), "sum"),
         })
-    # resolve the id/name at the first sequence that carried them (per-bucket partials
-    # cannot carry min_by across buckets, so join the winning fragment back)
-    ids = chunks.filter(F.col("tool_id").isNotNull()).select(
-        key, index, F.col(seq).alias("_id_seq"), "tool_id")
-    names = chunks.filter(F.col("tool_name").isNotNull()).select(
-        key, index, F.col(seq).alias("_name_seq"), "tool_name")
-    return (out.join(ids, [key, index, "_id_seq"], "left")
-               .join(names, [key, index, "_name_seq"], "left")
-               .drop("_id_seq", "_name_seq"))
+    return (out.withColumn("tool_id", F.col("_id.v")).withColumn("tool_name", F.col("_name.v"))
+               .drop("_id", "_name"))
 
 
 def tool_call_boundaries(chunks: DataFrame, key: str = "request_id", seq: str = "seq",
@@ -84,9 +80,10 @@ def history_prefix(messages: DataFrame, key: str = "conv_id", turn: str = "turn"
 
     Unbounded (the client's behaviour) the output is quadratic in a conversation's length
     by definition. With ``max_turns`` the frame is bounded and a long conversation is split:
-    rows are bucketed by ``turn div bucket_size`` and the last ``max_turns`` rows of each
-    bucket are copied into the next one (halo), so each window runs per (conversation,
-    bucket) and no task holds a whole hot conversation."""
+    rows are numbered densely (``dense_ordinal``; turn numbers may have gaps), bucketed by
+    ``ordinal div bucket_size``, and the last ``max_turns`` rows of each bucket are copied into
+    the next one (halo), so each window runs per (conversation, bucket) and no task holds a
+    whole hot conversation."""
     item = F.struct(F.col(turn).alias("turn"), F.col("role").alias("role"),
                     F.col("text").alias("text"))
     if max_turns is None:
@@ -94,16 +91,17 @@ def history_prefix(messages: DataFrame, key: str = "conv_id", turn: str = "turn"
         out = messages.withColumn("history", F.collect_list(item).over(w))
     else:
         bucket_size = max(bucket_size, max_turns)  # the halo reaches one bucket back
-        b = F.floor(F.col(turn) / F.lit(bucket_size))
-        halo = (F.col(turn) - b * bucket_size) >= (bucket_size - max_turns)
-        rows = messages.withColumn("_b", b).withColumn(
+        rows = dense_ordinal(messages, key, turn, out="_ord")
+        b = F.floor(F.col("_ord") / F.lit(bucket_size))
+        halo = (F.col("_ord") - b * bucket_size) >= (bucket_size - max_turns)
+        rows = rows.withColumn("_b", b).withColumn(
             "_copies", F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
         rows = (rows.select("*", F.explode("_copies").alias("_shift"))
                 .withColumn("_wb", F.col("_b") + F.col("_shift")))
-        w = Window.partitionBy(key, "_wb").orderBy(turn).rowsBetween(-max_turns, -1)
+        w = Window.partitionBy(key, "_wb").orderBy("_ord").rowsBetween(-max_turns, -1)
         out = (rows.withColumn("history", F.collect_list(item).over(w))
                    .filter(F.col("_shift") == 0)
-                   .drop("_b", "_copies", "_shift", "_wb"))
+                   .drop("_b", "_copies", "_shift", "_wb", "_ord"))
     if at_role:
         out = out.filter(F.col("role") == at_role)
     return out.withColumn("n_history", F.size("history"))
@@ -119,25 +117,31 @@ def dispatch_tools(calls: DataFrame, registry: DataFrame, name_col: str = "tool_
 
 
 def attach_tool_results(calls: DataFrame, results: DataFrame,
-                        keys=("request_id", "tool_call_id")) -> DataFrame:
-    """JN6: tool results joined to the calls that produced them."""
+                        keys=("request_id", "call_idx", "tool_call_id")) -> DataFrame:
+    """JN6: tool results joined to the calls that produced them. The call's position is part of
+    the key: ids may repeat inside one answer, and every call keeps its row."""
     return calls.join(results, list(keys), "left")
 
 
 def run_tools(calls: DataFrame, tools: dict[str, Callable[[pd.DataFrame], pd.Series]],
               arg_fields: dict[str, str], name_col: str = "tool_name",
               args_col: str = "arguments") -> DataFrame:
-    """UDF2: run registered Python tools on their calls. Per tool: filter by name, parse
-    the JSON arguments JVM-side into a struct, and apply a vectorised pandas UDF to the
-    struct batch. Results of all tools are unioned by name."""
+    """UDF2: run registered Python tools on their calls, in one pass: calls of unregistered
+    tools are filtered out, the JSON arguments are parsed JVM-side into a struct, and one
+    vectorised pandas UDF hands each tool the rows of its name in the Arrow batch."""
     schema = ", ".join(f"{k} {v}" for k, v in arg_fields.items())
-    out = None
-    for name, fn in tools.items():
-        udf = F.pandas_udf(fn, T.StringType())
-        part = (calls.filter(F.col(name_col) == name)
-                .withColumn("tool_result", udf(F.from_json(F.col(args_col), schema))))
-        out = part if out is None else out.unionByName(part)
-    return out
+
+    def switch(names: pd.Series, args: pd.DataFrame) -> pd.Series:
+        out = pd.Series([None] * len(names), index=names.index, dtype=object)
+        for name, fn in tools.items():
+            mine = names == name
+            if mine.any():
+                out[mine] = list(fn(args[mine].reset_index(drop=True)))
+        return out
+
+    udf = F.pandas_udf(switch, T.StringType())
+    return (calls.filter(F.col(name_col).isin(*tools))
+            .withColumn("tool_result", udf(F.col(name_col), F.from_json(F.col(args_col), schema))))
 
 
 def append_messages(history: DataFrame, *new: DataFrame, key: str = "conv_id",

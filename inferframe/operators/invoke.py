@@ -8,14 +8,12 @@
   retried downstream stage or a lost executor then reads stored answers instead of
   calling the model again.
 
-Only the request columns enter Python (projection before ``mapInPandas``); payload
+Request ids keep their type, bodies and error texts stay whole. Only the request columns enter Python (projection before ``mapInPandas``); payload
 columns should be joined back by ``request_id`` afterwards.
 """
 
 from __future__ import annotations
 
-import hashlib
-import json
 from collections.abc import Callable
 
 import pandas as pd
@@ -23,13 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-INVOKE_SCHEMA = T.StructType([
-    T.StructField("request_id", T.LongType()),
+ANSWER_FIELDS = [
     T.StructField("kind", T.StringType()),
     T.StructField("status_code", T.IntegerType()),
     T.StructField("body", T.StringType()),
     T.StructField("error", T.StringType()),
-])
+]
 
 
 class TransportError(Exception):
@@ -45,7 +42,7 @@ def invoke(requests: DataFrame, transport_factory: Callable[[], object], *,
     A transport that also offers ``call_many(kinds, bodies) -> [(status, body) | Exception]``
     receives up to ``batch_size`` requests per call (one round trip for a batch endpoint or
     a pipelined client); otherwise requests are sent one by one."""
-    req = requests.select(F.col(id_col).cast("bigint").alias("request_id"),
+    req = requests.select(F.col(id_col).alias("request_id"),
                           F.col(kind_col).cast("string").alias("kind"),
                           F.col(body_col).cast("string").alias("body"))
     if max_in_flight:
@@ -62,12 +59,12 @@ def invoke(requests: DataFrame, transport_factory: Callable[[], object], *,
                     if isinstance(res, Exception):
                         status.append(None)
                         bodies.append(None)
-                        errors.append(f"{type(res).__name__}: {res}"[:1000])
+                        errors.append(f"{type(res).__name__}: {res}")
                     else:
                         s, b = res
                         status.append(s)
                         bodies.append(b)
-                        errors.append(None if s == 200 else (b or "")[:1000])
+                        errors.append(None if s == 200 else (b or ""))
 
                 kinds, reqs = list(pdf["kind"]), list(pdf["body"])
                 if many is not None:
@@ -97,98 +94,10 @@ def invoke(requests: DataFrame, transport_factory: Callable[[], object], *,
             if close:
                 close()
 
-    out = req.mapInPandas(run, INVOKE_SCHEMA)
+    schema = T.StructType([T.StructField("request_id", req.schema["request_id"].dataType), *ANSWER_FIELDS])
+    out = req.mapInPandas(run, schema)
     if durable:
         from inferframe.session import checkpoint_root
         checkpoint_root(out.sparkSession)
         out = out.checkpoint(eager=True)
     return out
-
-
-# ------------------------------------------------------------------- offline transport
-
-def _md5(s: str) -> str:
-    return hashlib.md5(s.encode("utf-8")).hexdigest()
-
-
-def payload_text(kind: str, req: dict) -> str:
-    """The main text of a request: last user message (string or text parts), prompt, first
-    embedding input, rerank query, or transcription file payload."""
-    if kind in ("chat", "tool"):
-        for m in reversed(req.get("messages", [])):
-            if m.get("role") == "user":
-                c = m.get("content")
-                if isinstance(c, str):
-                    return c
-                if isinstance(c, list):
-                    return "".join(p.get("text", "") for p in c if p.get("type") == "text")
-        return ""
-    if kind == "completion":
-        return req.get("prompt", "")
-    if kind == "embedding":
-        inp = req.get("input", [])
-        return inp[0] if inp else ""
-    if kind == "rerank":
-        return req.get("query", "")
-    if kind == "transcribe":
-        return req.get("file", "")
-    return ""
-
-
-class OfflineTransport:
-    """Deterministic stand-in for the model endpoints (tests, benchmarks, dry runs).
-
-    Outcome by the first hex digit of md5(payload): ``0`` connection error, ``1`` HTTP 500,
-    otherwise 200 with a body of the endpoint's shape whose values derive from md5 of the
-    inputs (so the same answers can be written in SQL)."""
-
-    def __call__(self, kind: str, body: str):
-        req = json.loads(body)
-        h = _md5(payload_text(kind, req))
-        if h[0] == "0":
-            raise TransportError("connection refused (simulated)")
-        if h[0] == "1":
-            return 500, json.dumps({"error": {"message": "simulated overload", "code": 500}})
-        if kind == "chat":
-            msg = {"role": "assistant", "content": h}
-            ctk = req.get("chat_template_kwargs") or {}
-            if ctk.get("enable_thinking"):
-                msg["reasoning"] = "thought:" + h[:8]
-            return 200, json.dumps({"choices": [{"index": 0, "message": msg,
-                                                 "finish_reason": "stop"}]})
-        if kind == "tool":
-            calls = []
-            for i in range(1 + int(h[1], 16) % 2):
-                args = {"city": "c" + h[12:16], "state": h[16:18].upper(),
-                        "unit": "celsius" if h[18 + i] < "8" else "fahrenheit"}
-                if h[20 + i] == "0":
-                    del args["unit"]
-                name = "get_current_weather" if h[10 + i] != "f" else "get_stock_price"
-                calls.append({"id": "call_" + h[2 + 4 * i:6 + 4 * i], "type": "function",
-                              "function": {"name": name,
-                                           "arguments": json.dumps(args, separators=(",", ":"))}})
-            msg = {"role": "assistant", "tool_calls": calls}
-            return 200, json.dumps({"choices": [{"index": 0, "message": msg,
-                                                 "finish_reason": "tool_calls"}]})
-        if kind == "completion":
-            return 200, json.dumps({"choices": [{"index": 0, "text": h}]})
-        if kind == "embedding":
-            data = []
-            for i, t in enumerate(req.get("input", [])):
-                e = _md5(t)
-                data.append({"index": i, "object": "embedding",
-                             "embedding": [int(e[2 * j:2 * j + 2], 16) / 256.0 for j in range(4)]})
-            return 200, json.dumps({"object": "list", "data": data})
-        if kind == "rerank":
-            q = req.get("query", "")
-            res = [{"index": i, "relevance_score": int(_md5(q + "\n" + d)[:8], 16) / 2.0 ** 32}
-                   for i, d in enumerate(req.get("documents", []))]
-            res.sort(key=lambda r: (-r["relevance_score"], r["index"]))
-            return 200, json.dumps({"results": res})
-        if kind == "transcribe":
-            return 200, json.dumps({"text": h})
-        return 404, json.dumps({"error": {"message": f"unknown kind {kind}"}})
-
-
-def offline_transport() -> OfflineTransport:
-    return OfflineTransport()

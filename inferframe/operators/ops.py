@@ -3,7 +3,7 @@ rate, WN4 task outcome."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inferframe import refdata as R
@@ -56,21 +56,34 @@ def constraint_pass_rate(validated: DataFrame, by=("kind",), valid: str = "valid
 
 
 def task_outcome(events: DataFrame, key: str = "task_id", ts: str = "ts",
-                 status: str = "status") -> DataFrame:
+                 status: str = "status", tie: str | None = None, bucket_s: int = 3600) -> DataFrame:
     """WN4: per task, the first terminal status (success/failure), when it happened, how
     many polls came before it, and first/last poll time; later states are ignored. A task
-    without a terminal event is ``running``. One aggregation (partial + final), no window."""
+    without a terminal event is ``running``. Of terminal events at one instant the lowest ``tie``
+    (a column, e.g. the event id) counts, else the lowest status.
+
+    One shuffle by (task, time bucket) for the rows, then one row per bucket by task: a bucket
+    knows its polls before its own first terminal event, the task adds up the buckets before the
+    ending one. No join of the events with themselves, no window over a whole task."""
     terminal = F.col(status).isin(R.TASK_SUCCESS, R.TASK_FAILURE)
-    agg = events.groupBy(key).agg(
-        F.min(F.when(terminal, F.col(ts))).alias("end_ts"),
-        F.min_by(F.col(status), F.when(terminal, F.col(ts))).alias("_end_status"),
-        F.min(ts).alias("first_ts"),
-        F.count("*").alias("n_events"),
-    )
-    # polls before the end need the end time: second pass over the (key, ts) pairs
-    polls = (events.join(agg.select(key, "end_ts"), key, "inner")
-             .groupBy(key).agg(F.count_if(F.col("end_ts").isNull() | (F.col(ts) < F.col("end_ts")))
-                               .alias("polls_before_end")))
-    return (agg.join(polls, key, "inner")
-               .withColumn("outcome", F.coalesce(F.col("_end_status"), F.lit("running")))
-               .drop("_end_status"))
+    end = F.struct(F.col(ts).alias("ts"), (F.col(tie) if tie else F.lit(0)).alias("tie"), F.col(status).alias("status"))
+
+    def bucket(t: Column) -> Column:
+        return F.floor(F.unix_micros(t) / (bucket_s * 1_000_000))
+
+    w = Window.partitionBy(key, "_b")
+    rows = events.withColumn("_b", bucket(F.col(ts))) \
+        .withColumn("_end_here", F.min(F.when(terminal, F.col(ts))).over(w))
+    parts = rows.groupBy(key, "_b").agg(
+        F.min(F.when(terminal, end)).alias("_end"), F.min(ts).alias("_first"), F.count("*").alias("_n"),
+        F.count_if(F.col("_end_here").isNull() | (F.col(ts) < F.col("_end_here"))).alias("_before"))
+    out = parts.groupBy(key).agg(
+        F.min("_end").alias("_end"), F.min("_first").alias("first_ts"), F.sum("_n").alias("n_events"),
+        F.collect_list(F.struct("_b", "_n", "_before")).alias("_parts"))
+    last = bucket(F.col("_end.ts"))
+    counted = F.transform("_parts", lambda p: F.when(F.col("_end").isNull() | (p["_b"] < last), p["_n"])
+                          .when(p["_b"] == last, p["_before"]).otherwise(F.lit(0)))
+    return (out.withColumn("end_ts", F.col("_end.ts"))
+               .withColumn("polls_before_end", F.aggregate(counted, F.lit(0).cast("bigint"), lambda a, x: a + x))
+               .withColumn("outcome", F.coalesce(F.col("_end.status"), F.lit("running")))
+               .drop("_end", "_parts"))

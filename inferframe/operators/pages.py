@@ -62,12 +62,35 @@ def reading_order(layout: DataFrame, key: str = "page_id", elem: str = "elem_idx
 
 # ------------------------------------------------------------------------------ CV1/CV2
 
+#: fixed: named character references decoded in texts (``&amp;`` last, so ``&amp;lt;`` stays ``&lt;``)
+ENTITIES = {"quot": '"', "apos": "'", "copy": "©", "reg": "®", "middot": "·", "hellip": "…", "ndash": "–", "mdash": "—",
+            "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»", "euro": "€", "bull": "•",
+            "lt": "<", "gt": ">", "nbsp": " ", "amp": "&"}
+
+
+def _numeric(x: Column) -> Column:
+    """``&#65;`` and ``&#x41;`` decoded; anything else after ``&#`` stays as it is."""
+    parts = F.split(x, "&#")
+
+    def one(p: Column) -> Column:
+        digits = F.regexp_extract(p, r"^([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});", 1)
+        is_hex = F.lower(F.substring(digits, 1, 1)) == "x"
+        code = F.when(is_hex, F.conv(F.regexp_replace(digits, "^[xX]", ""), 16, 10)
+                      .cast("long")).otherwise(F.conv(digits, 10, 10).cast("long"))
+        good = (digits != "") & (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        rest = F.regexp_replace(p, r"^[^;]*;", "")
+        return F.when(good, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), p))
+
+    joined = F.concat(F.try_element_at(parts, F.lit(1)), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one), ""))
+    return F.when(F.contains(x, F.lit("&#")), joined).otherwise(x)
+
+
 def decode_entities(x: Column) -> Column:
-    """Decode the named entities used by the pages (``&amp;`` last, so ``&amp;quot;``
-    stays ``&quot;``)."""
-    for ent, ch in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"),
-                    ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&amp;", "&")):
-        x = F.replace(x, F.lit(ent), F.lit(ch))
+    """Numeric and the common named character references decoded."""
+    x = _numeric(x)
+    for name, ch in ENTITIES.items():
+        x = F.replace(x, F.lit(f"&{name};"), F.lit(ch))
     return x
 
 
@@ -75,25 +98,47 @@ def strip_tags(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"<[^>]+>", ""))
 
 
+def _element(html: Column, tag: str) -> Column:
+    """Content of the first ``<tag ...>`` element, empty without one."""
+    return F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1)
+
+
+_BLOCK = r"(?i)<(h[1-6]|p|li|table)(?:\s[^>]*)?>"
+
+
 def pages_to_blocks(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """CV1: HTML page -> ordered blocks ``(elem_idx, category, text)``:
-    ``Title`` (the article's h1), ``Text`` (each ``<p>`` of the article; closing tags are
-    optional, so the article is split on the opening tag), ``Page-footer``. Navigation,
-    scripts, styles, comments and ads are outside the article and never read."""
-    article = F.regexp_extract(F.col(html), r"(?s)<article>(.*?)</article>", 1)
-    parts = F.split(article, "<p>")
-    head = F.try_element_at(parts, F.lit(1))
-    title = F.regexp_extract(head, r"(?s)<h1>(.*?)</h1>", 1)
-    footer = F.regexp_extract(F.col(html), r"(?s)<footer>(.*?)</footer>", 1)
-    paras = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
-                        lambda p: F.regexp_replace(p, r"(?s)</p>.*", ""))
-    blocks = F.concat(
-        F.array(F.struct(F.lit("Title").alias("category"), title.alias("raw"))),
-        F.transform(paras, lambda p: F.struct(F.lit("Text").alias("category"), p.alias("raw"))),
-        F.when(footer != "", F.array(F.struct(F.lit("Page-footer").alias("category"),
-                                             footer.alias("raw"))))
-         .otherwise(F.array().cast("array<struct<category:string,raw:string>>")),
-    )
+    """CV1: HTML page -> ordered blocks ``(elem_idx, category, text)``.
+
+    The text is that of ``<article>``, else ``<main>``, else ``<body>``, else the whole page, without scripts, styles,
+    navigation and comments. It is cut at the opening tags of headings, paragraphs, list items and
+    tables (closing tags are optional): ``Title`` (h1), ``Section-header`` (h2-h6), ``Text``, ``List-item``, ``Table``
+    (cells joined by " | ", rows by line ends). Text outside such a tag is a ``Text`` block too. The page's footer comes
+    last as ``Page-footer``. Tags may carry attributes and any case. A NULL page gives no block."""
+    h = F.col(html)
+    page = F.regexp_replace(h, r"(?is)<!--.*?-->|<(script|style|nav)(?:\s[^>]*)?>.*?</\1\s*>", "")
+    article, main, body = (_element(page, t) for t in ("article", "main", "body"))
+    inner = F.when(article != "", article).when(main != "", main).when(body != "", body).otherwise(page)
+    footer = _element(page, "footer")
+    # a footer inside the text comes out once, as footer; a table keeps its inner blocks
+    inner = F.regexp_replace(inner, r"(?is)<footer(?:\s[^>]*)?>.*?</footer\s*>", "")
+    inner = F.regexp_replace(F.regexp_replace(inner, r"(?i)</t[dh]\s*>\s*(?=<t[dh])", " | "), r"(?i)</tr\s*>", "\n")
+    pieces = F.split(inner, r"(?=" + _BLOCK + ")")
+
+    def blocks_of(piece: Column) -> Column:
+        tag = F.lower(F.regexp_extract(piece, r"^" + _BLOCK, 1))
+        close = r"(?is)</(?:h[1-6]|p|li|table)\s*>"
+        own = F.when(tag == "", F.lit("")).otherwise(F.regexp_replace(piece, close + r".*", ""))
+        after = F.when(tag == "", piece).otherwise(
+            F.regexp_extract(piece, close + r"(.*)$", 1))
+        category = (F.when(tag == "h1", "Title").when(tag.startswith("h"), "Section-header")
+                    .when(tag == "li", "List-item").when(tag == "table", "Table").otherwise("Text"))
+        made = F.array(F.struct(category.alias("category"), own.alias("raw"), (tag != "").alias("keep")),
+                       F.struct(F.lit("Text").alias("category"), after.alias("raw"), (strip_tags(after) != "").alias("keep")))
+        return F.filter(made, lambda b: b["keep"])
+
+    blocks = F.concat(F.flatten(F.transform(pieces, blocks_of)), F.when(
+        footer != "", F.array(F.struct(F.lit("Page-footer").alias("category"), footer.alias("raw"), F.lit(True).alias("keep"))))
+        .otherwise(F.array().cast("array<struct<category:string,raw:string,keep:boolean>>")))
     ex = (pages.select(key, F.posexplode_outer(blocks).alias("elem_idx", "b"))
           .filter(F.col("elem_idx").isNotNull()))
     return ex.select(key, F.col("elem_idx").cast("bigint").alias("elem_idx"),
@@ -110,7 +155,15 @@ def block_markdown(category: Column, text: Column) -> Column:
 
 def render_blocks(blocks: DataFrame, to_format: str = "md", key: str = "page_id") -> DataFrame:
     """CV2: blocks -> one document per page, Markdown (``# `` titles, ``- `` list items,
-    blank line between blocks) or JSON (ordered list of ``{category, text}``)."""
+    blank line between blocks), JSON (ordered list of ``{category, text}``) or doctags (one element per
+    block, named after its category, inside ``<doctag>``)."""
+    if to_format == "doctags":
+        tag = F.lower(F.regexp_replace("category", "-", "_"))
+        text = F.replace(F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+        el = blocks.withColumn("_el", F.concat(F.lit("<"), tag, F.lit(">"), text, F.lit("</"), tag, F.lit(">")))
+        out = ordered_concat(el, [key], "elem_idx", "_el", "\n", out="document",
+                             extra={"n_blocks": (F.count("*"), "sum")})
+        return out.withColumn("document", F.concat(F.lit("<doctag>\n"), F.col("document"), F.lit("\n</doctag>")))
     if to_format == "md":
         md = blocks.withColumn("_md", block_markdown(F.col("category"), F.col("text")))
         return ordered_concat(md, [key], "elem_idx", "_md", "\n\n", out="document",

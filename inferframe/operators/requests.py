@@ -194,24 +194,40 @@ def with_options(df: DataFrame, out: str = "options_json") -> DataFrame:
 def constraint_json(kind, spec=None) -> Column:
     """PRJ6: structured-output constraint fields as JSON text, by kind:
     ``choice``, ``regex`` (+ stop), ``json`` (guided_json schema), ``grammar``,
-    ``response_format`` (json_schema + decoding backend)."""
+    ``response_format`` (json_schema + decoding backend).
+
+    ``spec`` is the caller's own constraint, a literal or a column of JSON text: an array of choices, an
+    object ``{"pattern", "stop"}`` or a plain pattern string, a JSON Schema, a grammar string, or
+    ``{"name", "schema"}``. Where it is NULL or absent the built-in constraint of the kind is attached."""
     k = _c(kind)
-    choice = F.to_json(F.struct(F.array(*[F.lit(c) for c in R.CHOICES]).alias("guided_choice")))
-    regex = F.to_json(F.struct(F.lit(R.EMAIL_REGEX).alias("guided_regex"),
-                               F.array(F.lit(R.EMAIL_STOP)).alias("stop")))
-    car = json.dumps(R.CAR_DESCRIPTION_SCHEMA)
-    city = json.dumps(R.CITY_INFO_SCHEMA)
-    guided = F.lit('{"guided_json":' + car + "}")
-    grammar = F.to_json(F.struct(F.lit(R.SELECT_GRAMMAR).alias("guided_grammar")))
-    rf = F.lit('{"response_format":{"type":"json_schema","json_schema":{"name":"CityInfo",'
-               '"schema":' + city + '}},"guided_decoding_backend":"outlines"}')
+    if isinstance(spec, (dict, list)):
+        spec = F.lit(json.dumps(spec))
+    elif isinstance(spec, str):
+        spec = F.col(spec)
+    s = F.lit(None).cast("string") if spec is None else spec.cast("string")
+
+    def own(default: str) -> Column:
+        return F.coalesce(s, F.lit(default))
+
+    pattern = F.coalesce(F.get_json_object(s, "$.pattern"), s, F.lit(R.EMAIL_REGEX))
+    # a pattern of one's own has a stop string only if it says so
+    stop = F.when(s.isNull(), F.array(F.lit(R.EMAIL_STOP))) \
+        .when(F.get_json_object(s, "$.stop").isNotNull(), F.array(F.get_json_object(s, "$.stop")))
+    grammar = F.to_json(F.struct(own(R.SELECT_GRAMMAR).alias("guided_grammar")))
+    regex = F.to_json(F.struct(pattern.alias("guided_regex"), stop.alias("stop")))
+    choice = json_field("guided_choice", own(json.dumps(R.CHOICES, separators=(",", ":"))))
+    guided = json_field("guided_json", own(json.dumps(R.CAR_DESCRIPTION_SCHEMA)))
+    named = own(json.dumps({"name": "CityInfo", "schema": R.CITY_INFO_SCHEMA}))
+    rf = F.concat(F.lit('{"response_format":{"type":"json_schema","json_schema":'), named,
+                  F.lit('},"guided_decoding_backend":"outlines"}'))
     return (F.when(k == "choice", choice).when(k == "regex", regex).when(k == "json", guided)
             .when(k == "grammar", grammar).when(k == "response_format", rf))
 
 
-def with_constraint(df: DataFrame, kind, out: str = "constraint_json") -> DataFrame:
+def with_constraint(df: DataFrame, kind, spec=None, out: str = "constraint_json") -> DataFrame:
+    """PRJ6 over a frame: ``kind`` is a column or one kind for all, ``spec`` as in `constraint_json`."""
     return df.withColumn(out, constraint_json(F.lit(kind) if isinstance(kind, str) and
-                                              kind not in df.columns else F.col(kind)))
+                                              kind not in df.columns else F.col(kind), spec))
 
 
 def tools_json(registry: DataFrame) -> DataFrame:
@@ -227,16 +243,13 @@ def tools_json(registry: DataFrame) -> DataFrame:
                  F.count("*").alias("n_tools")))
 
 
-def with_tools(df: DataFrame, registry: DataFrame, max_tools: int = 1024,
-               out: str = "tools_json") -> DataFrame:
-    """PRJ7: attach the tool list to every request. The registry is a small dimension:
-    its size is checked, it is packed into one JSON text once, and that text is attached
-    as a literal (no join in the plan)."""
-    n = registry.limit(max_tools + 1).count()
-    if n > max_tools:
-        raise ValueError(f"tool registry has more than {max_tools} entries")
-    row = tools_json(registry).head(1)[0]
-    return df.withColumn(out, F.lit(row["tools_json"])).withColumn("n_tools", F.lit(row["n_tools"]))
+def with_tools(df: DataFrame, registry: DataFrame, out: str = "tools_json") -> DataFrame:
+    """PRJ7: attach the tool list to every request. The list is part of every request, so it is
+    small by nature; it is packed into one JSON text by a scalar subquery, evaluated once when
+    the query runs (no join, no job while the plan is built)."""
+    packed = tools_json(registry)
+    return (df.withColumn(out, packed.select("tools_json").scalar())
+              .withColumn("n_tools", packed.select("n_tools").scalar()))
 
 
 def with_data_uri(df: DataFrame, content: str, mime: str | Column, out: str = "url") -> DataFrame:
@@ -246,8 +259,9 @@ def with_data_uri(df: DataFrame, content: str, mime: str | Column, out: str = "u
 
 
 def bbox_text(bbox) -> Column:
-    """``[x1, y1, x2, y2]`` text of a numeric array (integers printed without decimals)."""
-    return F.concat(F.lit("["), F.array_join(F.transform(_c(bbox), lambda v: v.cast("bigint").cast("string")), ", "), F.lit("]"))
+    """``[x1, y1, x2, y2]`` text of a numeric array: each number as it is (whole ones without decimals)."""
+    number = lambda v: F.regexp_replace(v.cast("string"), r"\.0$", "")
+    return F.concat(F.lit("["), F.array_join(F.transform(_c(bbox), number), ", "), F.lit("]"))
 
 
 def with_prompt(df: DataFrame, prompts: DataFrame, mode: str = "mode", bbox: str | None = None,
@@ -300,11 +314,10 @@ def chat_body(model, messages, *extra_json: Column) -> Column:
 
 # -------------------------------------------------------------------------- JN4 / JN8 / SE2
 
-def expand_profiles(requests: DataFrame, profiles: DataFrame, on: str = "family",
-                    max_profiles: int = 10_000) -> DataFrame:
+def expand_profiles(requests: DataFrame, profiles: DataFrame, on: str = "family") -> DataFrame:
     """JN4: run each request under every profile of its family. Profiles are a small
     dimension (size checked), joined by equi-key with a broadcast hint."""
-    return requests.join(broadcast_if_small(profiles, max_profiles), on, "inner")
+    return requests.join(broadcast_if_small(profiles), on, "inner")
 
 
 def resolve_model(requests: DataFrame, catalog: DataFrame, endpoint: str = "endpoint",
@@ -319,11 +332,62 @@ def resolve_model(requests: DataFrame, catalog: DataFrame, endpoint: str = "endp
     return j.withColumn("model", model).drop("_default_model")
 
 
-def unique_requests(requests: DataFrame, key: str = "request_key", id_col: str = "request_id"
-                    ) -> DataFrame:
+def unique_requests(requests: DataFrame, key: str = "request_key", id_col: str = "request_id",
+                    temperature: str | None = None, hot_keys: int = 1000) -> DataFrame:
     """SE2: map every request to a representative with the same key (lowest id). Only the
-    representatives need to be sent; answers are joined back by key. The representative
-    comes from a partial+final aggregation (no window), so a hot key is combined map-side."""
-    reps = requests.groupBy(key).agg(F.min(id_col).alias("rep_request_id"),
-                                     F.count("*").alias("n_copies"))
-    return requests.join(reps, key, "inner")
+    representatives need to be sent; answers are joined back by key.
+
+    Sharing an answer is only right where sampling is deterministic: with ``temperature`` (a
+    column; NULL means the server's default, which samples) rows above 0 represent themselves.
+
+    One repeated request may be a third of all rows. Representatives come from a partial + final
+    aggregation; those of the ``hot_keys`` most repeated keys (that many rows at most) are
+    broadcast to the requests, so only keys with a small share each go through the shuffle join."""
+    shared = F.lit(True) if temperature is None else F.coalesce(F.col(temperature) <= 0, F.lit(False))
+    rows = requests.withColumn("_shared", shared)
+    reps = (rows.filter("_shared").groupBy(F.col(key).cast("string").alias("_k"))
+            .agg(F.min(id_col).alias("_rep"), F.count("*").alias("_n")))
+    top = reps.orderBy(F.desc("_n"), "_k").limit(hot_keys).select(
+        F.col("_k").alias("_hk"), F.col("_rep").alias("_hrep"), F.col("_n").alias("_hn"))
+    rows = rows.join(F.broadcast(top), F.col("_shared") & (F.col(key).cast("string") == F.col("_hk")), "left")
+    # rows already answered, or not shared, take a key of their own that matches nothing
+    apart = F.concat(F.lit("\u0001"), F.col(id_col).cast("string"))
+    rows = rows.withColumn("_jk", F.when(F.col("_shared") & F.col("_hk").isNull(), F.col(key).cast("string")).otherwise(apart))
+    j = rows.join(reps, F.col("_jk") == F.col("_k"), "left")
+    return (j.withColumn("rep_request_id", F.coalesce("_hrep", "_rep", F.col(id_col)))
+             .withColumn("n_copies", F.coalesce("_hn", "_n", F.lit(1).cast("bigint")))
+             .drop("_shared", "_jk", "_k", "_rep", "_n", "_hk", "_hrep", "_hn"))
+
+
+# ------------------------------------------------------------------------ other bodies
+
+def embedding_body(model, texts, encoding_format: str | None = None) -> Column:
+    """Body of an embedding request for an array of texts."""
+    fields = [_c(model).alias("model"), _c(texts).alias("input")]
+    if encoding_format:
+        fields.append(F.lit(encoding_format).alias("encoding_format"))
+    return F.to_json(F.struct(*fields))
+
+
+def rerank_body(model, query, documents, top_n=None) -> Column:
+    """Body of a rerank request: one query, an array of documents."""
+    fields = [_c(model).alias("model"), _c(query).alias("query"), _c(documents).alias("documents")]
+    if top_n is not None:
+        fields.append((F.lit(top_n) if isinstance(top_n, int) else _c(top_n)).alias("top_n"))
+    return F.to_json(F.struct(*fields))
+
+
+def transcription_body(model, file, language=None) -> Column:
+    """Fields of a transcription request; ``file`` is text or a data URI (the transport turns the
+    fields into a form upload)."""
+    fields = [_c(model).alias("model"), _c(file).alias("file")]
+    if language is not None:
+        fields.append(_c(language).alias("language"))
+    return F.to_json(F.struct(*fields))
+
+
+def conversion_body(options_json, url, kind: str = "http") -> Column:
+    """PRJ10, URL source: ``{"options": <nested options>, "sources": [{"kind", "url"}]}``. Options
+    are JSON text and keep their nesting."""
+    sources = F.to_json(F.struct(F.array(F.struct(F.lit(kind).alias("kind"), _c(url).alias("url"))).alias("sources")))
+    return merge_json_objects(json_field("options", _c(options_json)), sources)

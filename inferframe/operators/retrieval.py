@@ -1,24 +1,21 @@
 """Retrieval: JN1 top-k similarity join, JN2 attach rerank results, JN9 two-stage retrieval,
 AG1/AG2 request packing, WN1 per-query ranking.
 
-Top-k similarity never materialises (query, document) pairs as rows. Scores are computed
-inside Arrow batches with numpy and only the per-task top-k per query leaves the task:
-
-* **broadcast path** (query side within a checked size bound): the query matrix is
-  broadcast once, documents stream through ``mapInPandas`` with no shuffle of the document
-  side; each task emits at most ``k`` (+ ties) rows per query.
-* **block path** (query side above the bound): queries are hashed into ``nqb`` blocks and
-  documents into ``ndb`` buckets; each (block, bucket) group holds one query block and one
-  document bucket, so every group is bounded, and the work is spread over ``nqb * ndb``
-  tasks. Equi-grouping only; no cross join.
-
-Both paths finish with a ``row_number() <= k`` window that Catalyst turns into a partial +
-final WindowGroupLimit, so a query with many candidates sends only k rows per task.
+Top-k similarity never materialises (query, document) pairs as rows. Queries are hashed into
+``nqb`` blocks and documents into ``ndb`` blocks, as many as keep a block of either side within
+``BLOCK_BYTES`` (both numbers come from one count over each side; nothing is pulled to the
+driver). Each (query block, document block) pair is one co-group, scored with numpy, and only its
+top k per query leave the task. So every group is bounded whatever the tables' sizes, and with a
+small query side the documents move once. The result ends in a ``row_number() <= k`` window
+that Catalyst turns into a partial + final WindowGroupLimit.
+
+An exact search compares every query with every document; the blocks only spread that work.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -27,9 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inferframe.functions.scalars import token_set
+from inferframe.operators.requests import rerank_body
+from inferframe.operators.responses import explode_rerank
 
-DEFAULT_MAX_BROADCAST_QUERIES = 100_000
-DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+BLOCK_BYTES = 32 * 1024 * 1024
 _CELLS_PER_STEP = 4_000_000  # doc rows x queries scored at once inside a task
 _MAX_ROWS_PER_STEP = 2048
 
@@ -91,14 +89,6 @@ class OverlapKernel:
         return np.bincount(flat_idx, minlength=n * nq).reshape(n, nq).astype(np.float64)
 
 
-def _nbytes(obj) -> int:
-    if isinstance(obj, np.ndarray):
-        return int(obj.nbytes)
-    if isinstance(obj, (tuple, list)):
-        return sum(_nbytes(o) for o in obj)
-    return 64
-
-
 def _topk_candidates(S: np.ndarray, k: int, q_ids: np.ndarray, d_ids: np.ndarray,
                      d_extra: pd.DataFrame, exclude_self: bool, min_score) -> pd.DataFrame:
     """Rows (query, doc) whose score is among the top k of its query column (ties kept)."""
@@ -160,96 +150,67 @@ def _conform(pdf: pd.DataFrame, schema: T.StructType) -> pd.DataFrame:
     return pdf[[f.name for f in schema.fields]]
 
 
+def _blocks(rows: DataFrame, val: str, least: int, block_bytes: int) -> int:
+    """Number of blocks that keep a block of ``rows`` within ``block_bytes`` (8 bytes a number)."""
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.size(val).cast("bigint")), F.lit(0))).first()
+    return max(1, math.ceil(8 * size / block_bytes), min(least, math.ceil(n / 1000)))
+
+
 def similarity_topk(queries: DataFrame, docs: DataFrame, k: int, kernel, *,
                     query_id: str, doc_id: str, q_val: str, d_val: str,
                     doc_cols: list[str] | tuple = (), exclude_self: bool = False,
-                    min_score: float | None = None,
-                    max_broadcast_queries: int = DEFAULT_MAX_BROADCAST_QUERIES,
-                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                    strategy: str = "auto", query_blocks: int | None = None,
-                    doc_buckets: int | None = None) -> DataFrame:
-    """Generic exact top-k over a scoring kernel; see the module docstring for the plan."""
+                    min_score: float | None = None, block_bytes: int = BLOCK_BYTES,
+                    query_blocks: int | None = None, doc_blocks: int | None = None) -> DataFrame:
+    """Generic exact top-k over a scoring kernel; see the module docstring for the plan. Rows
+    with a NULL value are left out."""
     spark = docs.sparkSession
     extra = list(doc_cols)
     q = queries.select(F.col(query_id).cast("bigint").alias("query_id"),
-                       F.col(q_val).alias("qv"))
+                       F.col(q_val).alias("qv")).filter("qv is not null")
     d = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"),
-                    F.col(d_val).alias("dv"), *extra)
+                    F.col(d_val).alias("dv"), *extra).filter("dv is not null")
     schema = _out_schema(d, extra)
-
-    prepared = None
-    if strategy in ("auto", "broadcast"):
-        # size check of the query side in one bounded job: at most bound+1 rows are read
-        qpdf = q.limit(max_broadcast_queries + 1).toPandas()
-        if len(qpdf) <= max_broadcast_queries:
-            q_ids = qpdf["query_id"].to_numpy(dtype=np.int64)
-            prep = kernel.prepare_queries(list(qpdf["qv"]))
-            if _nbytes(prep) + q_ids.nbytes <= max_broadcast_bytes:
-                prepared = (q_ids, prep)
-        if prepared is None and strategy == "broadcast":
-            raise ValueError("query side exceeds the broadcast bound")
-        strategy = "broadcast" if prepared is not None else "block"
-
-    if strategy == "broadcast":
-        bc = spark.sparkContext.broadcast(prepared)
-
-        def run(it):
-            ids, prep = bc.value
-            acc = []
-            for pdf in it:
-                if len(pdf) and len(ids):
-                    acc.append(_score_batches(prep, ids, kernel, pdf, k, "dv", extra,
-                                              exclude_self, min_score))
-                    if len(acc) > 8:
-                        acc = [_reduce_topk(pd.concat(acc, ignore_index=True), k)]
-            if acc:
-                yield _conform(_reduce_topk(pd.concat(acc, ignore_index=True), k), schema)
-
-        cand = d.mapInPandas(run, schema)
-    else:
-        nqb = query_blocks or max(1, math.ceil(q.count() / max(1, max_broadcast_queries)))
-        ndb = doc_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        qrows = q.select(
-            F.pmod(F.xxhash64("query_id"), F.lit(nqb)).alias("qb"),
-            F.explode(F.sequence(F.lit(0), F.lit(ndb - 1))).alias("db"),
-            F.lit(True).alias("is_query"), F.col("query_id").alias("id"),
-            F.col("qv").alias("val"), *[F.lit(None).cast(d.schema[c].dataType).alias(c)
-                                        for c in extra])
-        drows = d.select(
-            F.explode(F.sequence(F.lit(0), F.lit(nqb - 1))).alias("qb"),
-            F.pmod(F.xxhash64("doc_id"), F.lit(ndb)).alias("db"),
-            F.lit(False).alias("is_query"), F.col("doc_id").alias("id"),
-            F.col("dv").alias("val"), *extra)
-
-        def run_group(pdf: pd.DataFrame) -> pd.DataFrame:
-            qs = pdf[pdf["is_query"]]
-            ds = pdf[~pdf["is_query"]].rename(columns={"id": "doc_id"})
-            if qs.empty or ds.empty:
-                return _empty(schema)
-            ids = qs["id"].to_numpy(dtype=np.int64)
-            prep = kernel.prepare_queries(list(qs["val"]))
-            return _conform(_score_batches(prep, ids, kernel, ds, k, "val", extra,
-                                           exclude_self, min_score), schema)
-
-        cand = qrows.unionByName(drows).groupBy("qb", "db").applyInPandas(run_group, schema)
-
+    nqb = query_blocks or _blocks(q, "qv", 1, block_bytes)
+    ndb = doc_blocks or _blocks(d, "dv", spark.sparkContext.defaultParallelism, block_bytes)
+    qrows = q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(nqb)).cast("int")) \
+        .withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(ndb - 1))))
+    drows = d.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nqb - 1)))) \
+        .withColumn("db", F.pmod(F.xxhash64("doc_id"), F.lit(ndb)).cast("int"))
+
+    def run_group(qs: pd.DataFrame, ds: pd.DataFrame) -> pd.DataFrame:
+        if qs.empty or ds.empty:
+            return _empty(schema)
+        ids = qs["query_id"].to_numpy(dtype=np.int64)
+        prep = kernel.prepare_queries(list(qs["qv"]))
+        return _conform(_score_batches(prep, ids, kernel, ds, k, "dv", extra, exclude_self, min_score), schema)
+
+    cand = qrows.groupBy("qb", "db").cogroup(drows.groupBy("qb", "db")).applyInPandas(run_group, schema)
     return rank_within_query(cand, k, query_col="query_id", score_col="score",
                              tie_col="doc_id")
 
 
+def usable_vectors(df: DataFrame, vector: str, dim: int) -> DataFrame:
+    """Rows whose vector has ``dim`` numbers, none of them NULL; the others can't be scored."""
+    v = F.col(vector)
+    return df.filter(v.isNotNull() & (F.size(v) == dim) & ~F.exists(v, lambda x: x.isNull()))
+
+
 def topk_similar(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str = "query_id",
-                 doc_id: str = "doc_id", vector: str = "embedding", doc_cols=(),
+                 doc_id: str = "doc_id", vector: str = "embedding", doc_cols=(), dim: int | None = None,
                  exclude_self: bool = False, **kw) -> DataFrame:
     """JN1: for every query vector, the k documents with the highest dot product
     (cosine for unit vectors), ties broken by ``doc_id``. Columns:
-    ``query_id, doc_id, score, <doc_cols>, rank``."""
-    return similarity_topk(queries, docs, k, DotKernel(), query_id=query_id, doc_id=doc_id,
-                           q_val=vector, d_val=vector, doc_cols=doc_cols,
-                           exclude_self=exclude_self, **kw)
+    ``query_id, doc_id, score, <doc_cols>, rank``. NULL vectors and vectors of another length
+    than ``dim`` (by default the most frequent one) take no part."""
+    if dim is None:
+        dim = docs.filter(F.col(vector).isNotNull()).agg(F.mode(F.size(vector))).first()[0] or 0
+    return similarity_topk(usable_vectors(queries, vector, dim), usable_vectors(docs, vector, dim), k, DotKernel(),
+                           query_id=query_id, doc_id=doc_id, q_val=vector, d_val=vector,
+                           doc_cols=doc_cols, exclude_self=exclude_self, **kw)
 
 
 def token_ids(text_col) -> F.Column:
-    """Distinct token ids (xxhash64 of lower-case ASCII words) — computed JVM-side."""
+    """Distinct token ids (xxhash64 of lower-case words of any script) — computed JVM-side."""
     return F.transform(token_set(text_col), lambda t: F.xxhash64(t))
 
 
@@ -328,3 +289,33 @@ def attach_rerank(candidates: DataFrame, results: DataFrame, *,
                   keys=("query_id", "idx")) -> DataFrame:
     """JN2: equi join of reranker results (positions) to the submitted candidates."""
     return candidates.join(results, list(keys), "inner")
+
+
+def retrieve_then_rerank(queries: DataFrame, docs: DataFrame, answer: Callable[[DataFrame], DataFrame], *,
+                         first_n: int, k: int, model: str = "reranker", query_id: str = "item_id",
+                         query_text: str = "text", doc_id: str = "doc_id", doc_text: str = "text") -> DataFrame:
+    """JN9: the ``first_n`` documents by shared tokens are sent for reranking, the best ``k`` of the
+    answer stay: ``query_id, rank, doc_id, relevance_score``. ``answer`` takes the requests
+    (request_id, kind, body, query, documents, doc_ids) and returns responses with the same
+    request_id, e.g. by ``invoke``. Requests should be stored before sending (``durable``)."""
+    req = rerank_requests(queries, docs, first_n, model=model, query_id=query_id, query_text=query_text,
+                          doc_id=doc_id, doc_text=doc_text)
+    results = explode_rerank(answer(req)).filter(F.col("parse_error").isNull()) \
+        .select(F.col("request_id").alias("query_id"), "idx", "relevance_score")
+    cand = candidates_with_idx(req.select(F.col("request_id").alias("query_id"), "doc_ids"))
+    return rank_within_query(attach_rerank(cand, results), k, query_col="query_id",
+                             score_col="relevance_score", tie_col="doc_id")
+
+
+def rerank_requests(queries: DataFrame, docs: DataFrame, first_n: int, *, model: str = "reranker",
+                    query_id: str = "item_id", query_text: str = "text", doc_id: str = "doc_id",
+                    doc_text: str = "text") -> DataFrame:
+    """First stage + AG2: one rerank request per query: request_id, kind, body, query, documents,
+    doc_ids, n_docs."""
+    cand = topk_overlap(queries, docs, first_n, query_id=query_id, query_text=query_text,
+                        doc_id=doc_id, doc_text=doc_text)
+    text = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(doc_text).alias("text"))
+    packed = pack_rerank_request(cand.join(text, "doc_id"), query_col="query_id", order_col="rank")
+    q = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(query_text).alias("query"))
+    return (packed.join(q, "query_id").withColumn("body", rerank_body(F.lit(model), "query", "documents"))
+            .withColumn("request_id", F.col("query_id")).withColumn("kind", F.lit("rerank")))

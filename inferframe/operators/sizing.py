@@ -1,18 +1,24 @@
-"""Size checks in front of broadcasts: a side is broadcast only when a bounded count proves
-it small; otherwise the plan keeps a shuffle join (AQE may still convert it at runtime)."""
+"""Size checks in front of broadcasts: a side is broadcast only when Spark's own size estimate of
+its plan is within a bound; otherwise the plan keeps a shuffle join (AQE may still convert it at
+runtime). The estimate comes from the optimised plan (literal rows, file sizes), in bytes, so nothing runs
+while a query is being built."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 100_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1 rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's size estimate of df, an upper bound for scans, projections, filters and aggregations."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits(df, max_rows) else df
+def fits(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    return estimated_bytes(df) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    return F.broadcast(df) if fits(df, max_bytes) else df

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inferframe import refdata as R
+from inferframe.operators.sizing import broadcast_if_small
 
 _INT_TYPES = ["BIGINT", "INT", "SMALLINT", "TINYINT"]
 
@@ -50,53 +51,167 @@ def check_regex(col, pattern: str = R.EMAIL_REGEX, stop: str | None = R.EMAIL_ST
     return full_match(strip_stop(col, stop), p)
 
 
-def _field_checks(v: Column, schema: dict) -> list[Column]:
-    """Per-field error expressions (NULL when fine) for a JSON-Schema object."""
-    errs = []
-    props = schema.get("properties", {})
-    required = set(schema.get("required", []))
-    for name, spec in props.items():
-        t = F.schema_of_variant(F.variant_get(v, f"$.{name}", "variant"))
-        missing = t.isNull() | (t == "VOID")
-        want = spec.get("type")
-        if want == "string":
-            bad_type = t != "STRING"
-        elif want == "integer":
-            bad_type = ~t.isin(_INT_TYPES)
-        elif want == "number":
-            bad_type = ~(t.isin(_INT_TYPES) | t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"))
-        elif want == "boolean":
-            bad_type = t != "BOOLEAN"
-        elif want == "object":
-            bad_type = ~t.startswith("OBJECT")
-        elif want == "array":
-            bad_type = ~t.startswith("ARRAY")
-        else:
-            bad_type = F.lit(False)
-        e = (F.when(missing, F.lit(f"missing:{name}") if name in required else F.lit(None))
-             .when(bad_type, F.lit(f"type:{name}")))
-        if "enum" in spec:
-            val = F.try_variant_get(v, f"$.{name}", "string")
-            e = F.when(e.isNotNull(), e).when(~val.isin(list(spec["enum"])), F.lit(f"enum:{name}"))
-        errs.append(e)
-    return errs
+#: keywords with no bearing on validity
+_NOTES = {"title", "description", "default", "examples", "$schema", "$id", "$defs", "definitions", "$comment"}
+_CHECKED = {"type", "properties", "required", "enum", "const", "items", "$ref", "anyOf", "allOf", "additionalProperties",
+            "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "minLength", "maxLength",
+            "minItems", "maxItems", "pattern"}
+
+
+def _resolved(spec: dict, root: dict) -> dict:
+    """spec with its ``$ref`` (into the same document) replaced by what it names."""
+    seen = 0
+    while "$ref" in spec:
+        ref = spec["$ref"]
+        if not ref.startswith("#/"):
+            raise ValueError(f"only references into the schema itself are supported: {ref}")
+        target = root
+        for part in ref[2:].split("/"):
+            target = target[part.replace("~1", "/").replace("~0", "~")]
+        spec = {**target, **{k: v for k, v in spec.items() if k != "$ref"}}
+        seen += 1
+        if seen > 32:
+            raise ValueError("circular reference")
+    return spec
+
+
+def _has_type(t: Column, want: str) -> Column:
+    number = t.isin(_INT_TYPES) | t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT")
+    kinds = {"string": t == "STRING", "integer": t.isin(_INT_TYPES), "number": number, "boolean": t == "BOOLEAN",
+             "object": t.startswith("OBJECT"), "array": t.startswith("ARRAY"), "null": t == "VOID"}
+    if want not in kinds:
+        raise ValueError(f"unknown JSON type: {want}")
+    return kinds[want]
+
+
+def _errors(v: Column, spec: dict, root: dict, path: str, depth: int = 0) -> Column:
+    """``array<string>`` of errors of the VARIANT ``v`` under ``spec``; ``path`` names it in them. A
+    keyword this check doesn't know raises: it never passes silently."""
+    if depth > 16:
+        raise ValueError("schema nested deeper than 16 levels")
+    spec = _resolved(spec, root)
+    unknown = set(spec) - _CHECKED - _NOTES
+    if unknown:
+        raise ValueError(f"unsupported schema keywords: {sorted(unknown)}")
+    t = F.schema_of_variant(v)
+    none = F.array().cast("array<string>")
+    name = path or "value"
+
+    def bad(kind: str, wrong: Column) -> Column:
+        return F.when(F.coalesce(wrong, F.lit(False)), F.array(F.lit(f"{kind}:{name}"))).otherwise(none)
+
+    parts: list[Column] = []
+    if "enum" in spec or "const" in spec:
+        allowed = spec.get("enum", [spec.get("const")])
+        text = [x for x in allowed if isinstance(x, str)]
+        rest = [x for x in allowed if not isinstance(x, str)]
+        ok = (t == "STRING") & F.coalesce(F.try_variant_get(v, "$", "string").isin(text), F.lit(False)) if text else F.lit(False)
+        for x in rest:
+            if x is None:
+                ok = ok | (t == "VOID")
+            elif isinstance(x, bool):
+                ok = ok | F.coalesce((t == "BOOLEAN") & (F.try_variant_get(v, "$", "boolean") == x), F.lit(False))
+            else:
+                ok = ok | F.coalesce(_has_type(t, "number") & (F.try_variant_get(v, "$", "double") == float(x)), F.lit(False))
+        parts.append(bad("enum", ~ok))
+    if "anyOf" in spec:
+        fits = [F.size(_errors(v, s, root, path, depth + 1)) == 0 for s in spec["anyOf"]]
+        ok = fits[0]
+        for f in fits[1:]:
+            ok = ok | f
+        parts.append(bad("any", ~ok))
+    for s in spec.get("allOf", []):
+        parts.append(_errors(v, s, root, path, depth + 1))
+    text, num = F.try_variant_get(v, "$", "string"), F.try_variant_get(v, "$", "double")
+    if "pattern" in spec:
+        parts.append(bad("pattern", (t == "STRING") & ~text.rlike(spec["pattern"])))
+    for word, wrong in (("minLength", lambda x: F.length(text) < x), ("maxLength", lambda x: F.length(text) > x)):
+        if word in spec:
+            parts.append(bad("length", (t == "STRING") & wrong(spec[word])))
+    for word, wrong in (("minimum", lambda x: num < x), ("maximum", lambda x: num > x),
+                        ("exclusiveMinimum", lambda x: num <= x), ("exclusiveMaximum", lambda x: num >= x)):
+        if word in spec:
+            parts.append(bad("range", _has_type(t, "number") & wrong(float(spec[word]))))
+    if "properties" in spec or "required" in spec:
+        props, required = spec.get("properties", {}), list(spec.get("required", []))
+        fields = []
+        for f in [*props, *(r for r in required if r not in props)]:
+            where = f"{path}.{f}" if path else f
+            inner = F.variant_get(v, f'$["{f}"]', "variant")
+            absent = F.schema_of_variant(inner).isNull() | (F.schema_of_variant(inner) == "VOID")
+            nullable = "null" in _types(_resolved(props.get(f, {}), root)) or "anyOf" in _resolved(props.get(f, {}), root)
+            if f in required:
+                gone = F.array(F.lit(f"missing:{where}"))
+            else:
+                gone = none
+            if nullable:  # an explicit null is a value here
+                absent = F.schema_of_variant(inner).isNull()
+            fields.append(F.when(absent, gone).otherwise(_errors(inner, props.get(f, {}), root, where, depth + 1)))
+        if spec.get("additionalProperties") is False:
+            extra = F.array_except(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), F.array(*[F.lit(p) for p in props]))
+            fields.append(F.transform(F.coalesce(extra, none), lambda k: F.concat(F.lit("extra:" + (path + "." if path else "")), k)))
+        if fields:
+            parts.append(F.when(t.startswith("OBJECT"), F.flatten(F.array(*fields))).otherwise(none))
+    if "items" in spec or "minItems" in spec or "maxItems" in spec:
+        elements = F.try_variant_get(v, "$", "array<variant>")
+        if "items" in spec:
+            each = F.flatten(F.transform(elements, lambda x: _errors(x, spec["items"], root, f"{path}[]", depth + 1)))
+            parts.append(F.when(t.startswith("ARRAY"), F.coalesce(F.array_distinct(each), none)).otherwise(none))
+        for word, wrong in (("minItems", lambda x: F.size(elements) < x), ("maxItems", lambda x: F.size(elements) > x)):
+            if word in spec:
+                parts.append(bad("items", t.startswith("ARRAY") & wrong(spec[word])))
+    rest = F.flatten(F.array(*parts)) if parts else none
+    types = _types(spec)
+    if not types:
+        return rest
+    ok = _has_type(t, types[0])
+    for w in types[1:]:
+        ok = ok | _has_type(t, w)
+    return F.when(~F.coalesce(ok, F.lit(False)), F.array(F.lit(f"type:{name}"))).otherwise(rest)
+
+
+def _types(spec: dict) -> list[str]:
+    want = spec.get("type", [])
+    return [want] if isinstance(want, str) else list(want)
+
+
+def variant_errors(v: Column, schema: dict) -> Column:
+    """VAL3 over a parsed VARIANT column: ``array<string>`` of errors (empty = valid)."""
+    schema = _resolved(schema, schema)
+    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    checked = _errors(v, schema, schema, "")
+    if _types(schema) == ["object"]:
+        checked = F.when(~is_obj, F.array(F.lit("not_object"))).otherwise(checked)
+    return F.when(v.isNull(), F.array(F.lit("invalid_json"))).otherwise(checked)
 
 
 def json_schema_errors(col, schema: dict) -> Column:
     """VAL3: ``array<string>`` of errors (empty = valid): ``invalid_json``, ``not_object``,
-    ``missing:f``, ``type:f``, ``enum:f``."""
-    v = F.try_parse_json(_c(col))
-    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    field_errs = F.filter(F.array(*_field_checks(v, schema)), lambda x: x.isNotNull())
-    return (F.when(v.isNull(), F.array(F.lit("invalid_json")))
-            .when(~is_obj, F.array(F.lit("not_object")))
-            .otherwise(field_errs))
+    ``missing:f``, ``type:f``, ``enum:f`` and, for nested values, the same with paths (``a.b``,
+    ``a[]``). ``$ref``/``$defs``, nested objects, arrays, unions and bounds are checked; a keyword
+    outside the supported set raises when the plan is built."""
+    return variant_errors(F.try_parse_json(_c(col)), schema)
 
 
 def check_json_schema(df: DataFrame, col: str, schema: dict, prefix: str = "") -> DataFrame:
-    errs = json_schema_errors(col, schema)
-    return (df.withColumn(f"{prefix}errors", errs)
-              .withColumn(f"{prefix}valid", F.size(F.col(f"{prefix}errors")) == 0))
+    """VAL3 as columns ``errors`` and ``valid``; the text is parsed once."""
+    parsed = df.withColumn("_v", F.try_parse_json(F.col(col)))
+    return (parsed.withColumn(f"{prefix}errors", variant_errors(F.col("_v"), schema))
+                  .withColumn(f"{prefix}valid", F.size(F.col(f"{prefix}errors")) == 0).drop("_v"))
+
+
+def array_check(v: Column, item_schema: dict, accept: str = "array") -> tuple[Column, Column, Column]:
+    """VAL4 over a parsed VARIANT: (n_items, n_bad_items, valid)."""
+    kind = F.schema_of_variant(v)
+    is_arr = F.coalesce(kind.startswith("ARRAY"), F.lit(False))
+    is_obj = F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+    items = F.try_variant_get(v, "$", "array<variant>")
+    bad_items = F.size(F.filter(items, lambda it: F.size(variant_errors(it, item_schema)) > 0))
+    n_items = F.when(is_arr, F.size(items)).when(is_obj, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    lone = F.when(F.size(variant_errors(v, item_schema)) > 0, F.lit(1)).otherwise(F.lit(0))
+    n_bad = F.when(is_arr, bad_items).when(is_obj, lone).otherwise(F.lit(0)).cast("bigint")
+    shape_ok = {"array": is_arr, "object": is_obj, "both": is_arr | is_obj}[accept]
+    return n_items, n_bad, shape_ok & (n_bad == 0)
 
 
 def check_json_array(df: DataFrame, col: str, item_schema: dict, accept: str = "array"
@@ -104,21 +219,10 @@ def check_json_array(df: DataFrame, col: str, item_schema: dict, accept: str = "
     """VAL4: the answer must be a JSON array whose every element passes the item schema
     (``accept='array'``), or a single object (``accept='object'``), or either
     (``accept='both'``). Output ``n_items``, ``n_bad_items``, ``valid``."""
-    v = F.try_parse_json(F.col(col))
-    kind = F.schema_of_variant(v)
-    is_arr = F.coalesce(kind.startswith("ARRAY"), F.lit(False))
-    is_obj = F.coalesce(kind.startswith("OBJECT"), F.lit(False))
-    items = F.from_json(F.col(col), "array<string>")  # element JSON texts
-    item_errs = F.transform(items, lambda it: F.size(json_schema_errors(it, item_schema)))
-    n_items = F.when(is_arr, F.size(items)).when(is_obj, F.lit(1)).otherwise(F.lit(0))
-    n_bad = (F.when(is_arr, F.size(F.filter(item_errs, lambda n: n > 0)))
-             .when(is_obj, F.when(F.size(json_schema_errors(F.col(col), item_schema)) > 0,
-                                  F.lit(1)).otherwise(F.lit(0)))
-             .otherwise(F.lit(0)))
-    shape_ok = {"array": is_arr, "object": is_obj, "both": is_arr | is_obj}[accept]
-    return (df.withColumn("n_items", n_items.cast("bigint"))
-              .withColumn("n_bad_items", n_bad.cast("bigint"))
-              .withColumn("valid", shape_ok & (F.col("n_bad_items") == 0)))
+    n_items, n_bad, valid = array_check(F.col("_v"), item_schema, accept)
+    return (df.withColumn("_v", F.try_parse_json(F.col(col)))
+              .withColumn("n_items", n_items).withColumn("n_bad_items", n_bad)
+              .withColumn("valid", valid).drop("_v"))
 
 
 def check_select_grammar(df: DataFrame, col: str) -> DataFrame:
@@ -135,21 +239,45 @@ def check_select_grammar(df: DataFrame, col: str) -> DataFrame:
               .withColumn("table", F.when(ok, table)))
 
 
+TOOL_SCHEMA = ("struct<properties: map<string, struct<type: string, enum: array<string>, "
+               "properties: string, items: string>>, required: array<string>>")
+
+
 def check_tool_args(calls: DataFrame, registry: DataFrame, name_col: str = "tool_name",
                     args_col: str = "arguments") -> DataFrame:
-    """VAL6: arguments checked against the schema of the named tool. The registry is
-    small (broadcast); schemas are applied per tool name (one expression per tool)."""
-    import json as _json
-    if registry.limit(1025).count() > 1024:
-        raise ValueError("tool registry too large to inline as expressions")
-    reg = registry.select("name", "params_schema").collect()  # small, size-checked dimension
-    errs = F.array(F.lit("unknown_tool"))
-    for row in reg:
-        schema = _json.loads(row["params_schema"])
-        errs = F.when(F.col(name_col) == row["name"], json_schema_errors(args_col, schema)
-                      ).otherwise(errs)
-    return (calls.withColumn("arg_errors", errs)
-                 .withColumn("args_valid", F.size("arg_errors") == 0))
+    """VAL6: arguments checked against the schema of the named tool. Schemas are data: the
+    registry is joined by tool name and its parameter rules (type, enum, required) are applied
+    to the parsed arguments, so a registry of any size costs one join and nothing is collected. A
+    rule that needs more than that (nested properties or items) is reported as
+    ``unsupported:<parameter>``, never passed."""
+    s = F.from_json("params_schema", TOOL_SCHEMA)
+    rules = F.transform(F.map_entries(s["properties"]), lambda e: F.struct(
+        e["key"].alias("name"), e["value"]["type"].alias("type"), e["value"]["enum"].alias("enum"),
+        (e["value"]["properties"].isNotNull() | e["value"]["items"].isNotNull()).alias("deep"),
+        F.coalesce(F.array_contains(s["required"], e["key"]), F.lit(False)).alias("required")))
+    reg = broadcast_if_small(registry.select(F.col("name").alias("_tool"), rules.alias("_rules")))
+    j = (calls.join(reg, F.col(name_col) == F.col("_tool"), "left")
+         .withColumn("_v", F.try_parse_json(F.col(args_col)))
+         .withColumn("_m", F.try_variant_get("_v", "$", "map<string,variant>")))
+
+    def check(r: Column) -> Column:
+        x = F.try_element_at(F.col("_m"), r["name"])
+        t = F.schema_of_variant(x)
+        wrong = F.when(r["type"] == "string", t != "STRING").when(r["type"] == "integer", ~t.isin(_INT_TYPES)) \
+            .when(r["type"] == "number", ~_has_type(t, "number")).when(r["type"] == "boolean", t != "BOOLEAN") \
+            .when(r["type"] == "object", ~t.startswith("OBJECT")).when(r["type"] == "array", ~t.startswith("ARRAY"))
+        kind = F.when(t.isNull() | (t == "VOID"), F.when(r["required"], F.lit("missing:"))) \
+            .when(r["deep"], F.lit("unsupported:")).when(F.coalesce(wrong, F.lit(False)), F.lit("type:")) \
+            .when(r["enum"].isNotNull() & ~F.coalesce(F.array_contains(r["enum"], F.try_variant_get(x, "$", "string")), F.lit(False)),
+                  F.lit("enum:"))
+        return F.concat(kind, r["name"])
+
+    found = F.filter(F.transform("_rules", check), lambda e: e.isNotNull())
+    errs = (F.when(F.col("_tool").isNull(), F.array(F.lit("unknown_tool")))
+            .when(F.col("_v").isNull(), F.array(F.lit("invalid_json")))
+            .when(F.col("_m").isNull(), F.array(F.lit("not_object"))).otherwise(found))
+    return (j.withColumn("arg_errors", errs).withColumn("args_valid", F.size("arg_errors") == 0)
+             .drop("_tool", "_rules", "_v", "_m"))
 
 
 def check_layout(df: DataFrame) -> DataFrame:

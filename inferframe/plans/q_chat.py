@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 
 from inferframe import refdata as R
 from inferframe.operators import chat as CH
-from inferframe.operators import requests as RQ
 from inferframe.operators import responses as RS
-from inferframe.operators.invoke import invoke, offline_transport
 from inferframe.operators.validate import check_tool_args
+from inferframe.plans.answers import tool_answers
 from inferframe.plans.catalog import query
 from inferframe.plans.fixtures import (
     SQL_CHUNKS, SQL_TOOL_CHUNKS, content_chunks, tbl, tool_chunks,
@@ -103,22 +102,36 @@ def wn_history(spark, sf):
                                        "\u001e")).alias("history_md5"))
 
 
+@query("wn_history_bounded", sql="""
+WITH c AS (SELECT conv_id, turn * 10 + conv_id % 7 AS turn, role, text FROM conversations),
+h AS (
+  SELECT conv_id, turn, role, count(*) OVER w AS n_history,
+         md5(string_agg(role || ':' || text, chr(30)) OVER w) AS history_md5
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))
+SELECT conv_id, turn::BIGINT AS turn, n_history::BIGINT AS n_history, coalesce(history_md5, md5('')) AS history_md5
+FROM h WHERE role = 'assistant'""")
+def wn_history_bounded(spark, sf):
+    """The last three messages before every assistant turn; turn numbers have gaps."""
+    conv = tbl(spark, sf, "conversations").withColumn("turn", F.col("turn") * 10 + F.col("conv_id") % 7)
+    h = CH.history_prefix(conv, max_turns=3, bucket_size=4)
+    return h.select("conv_id", "turn", F.col("n_history").cast("bigint").alias("n_history"),
+                    F.md5(F.array_join(F.transform("history", lambda x: CH.msg_digest(x["role"], x["text"])),
+                                       "\u001e")).alias("history_md5"))
+
+
 # --------------------------------------------------------------------------- tool round
 
-def tool_requests(spark, sf):
-    conv = tbl(spark, sf, "conversations")
-    packed = CH.pack_conversation(conv)
-    msgs = F.transform("messages", lambda m: RQ.message(m["role"], content=m["text"]))
-    r = RQ.with_tools(packed.withColumn("messages", msgs), R.tool_registry_df(spark))
-    r = r.withColumn("body", RQ.chat_body(F.lit("chat"), "messages",
-                                          RQ.json_field("tools", F.col("tools_json"))))
-    return r.withColumn("request_id", F.col("conv_id")).withColumn("kind", F.lit("tool"))
+def packed_requests(spark, sf):
+    """One request per conversation, with the text of its last user message."""
+    packed = CH.pack_conversation(tbl(spark, sf, "conversations"))
+    users = F.filter("messages", lambda m: m["role"] == "user")
+    last = F.coalesce(F.try_element_at(users, F.lit(-1))["text"], F.lit(""))
+    return packed.select(F.col("conv_id").alias("request_id"), last.alias("payload"))
 
 
 def tool_calls(spark, sf):
-    # answers are reused by several branches: store them once (reliable checkpoint)
-    resp = invoke(tool_requests(spark, sf), offline_transport, durable=True)
-    return RS.explode_tool_calls(resp).select(
+    calls = RS.explode_tool_calls(tool_answers(packed_requests(spark, sf)))
+    return calls.filter(F.col("parse_error").isNull()).select(
         "request_id", F.col("call_idx").cast("bigint").alias("call_idx"), "tool_call_id",
         "tool_name", "arguments")
 
@@ -147,6 +160,17 @@ def rsp_tool_calls(spark, sf):
     return tool_calls(spark, sf)
 
 
+@query("rsp_tool_errors", sql="""
+WITH lu AS (
+  SELECT conv_id, md5(coalesce(max_by(text, turn) FILTER (WHERE role = 'user'), '')) AS h
+  FROM conversations GROUP BY conv_id)
+SELECT conv_id AS request_id, 'malformed' AS parse_error FROM lu WHERE substr(h, 1, 1) = '2'""")
+def rsp_tool_errors(spark, sf):
+    """Successful answers without a readable message come out as reject rows."""
+    calls = RS.explode_tool_calls(tool_answers(packed_requests(spark, sf), broken="2"))
+    return calls.filter(F.col("parse_error").isNotNull()).select("request_id", "parse_error")
+
+
 @query("jn_dispatch", sql=f"""
 WITH {SQL_TOOL_CALLS}
 SELECT request_id, call_idx, tool_name, {("'" + R.WEATHER_TOOL['description'] + "'")} AS description
@@ -213,10 +237,7 @@ SELECT request_id, call_idx, tool_call_id, errors = '' AS has_result FROM checke
 def jn_tool_results(spark, sf):
     """Every call with its tool result attached (by request and tool-call id)."""
     res, checked = tool_results(spark, sf)
-    r = res.select("request_id", "tool_call_id", F.col("call_idx").alias("_ci"), "tool_result")
-    j = CH.attach_tool_results(checked, r)
-    # a duplicated tool-call id inside one answer must not cross results between calls
-    j = j.filter(F.col("_ci").isNull() | (F.col("_ci") == F.col("call_idx")))
+    j = CH.attach_tool_results(checked, res.select("request_id", "call_idx", "tool_call_id", "tool_result"))
     return j.select("request_id", "call_idx", "tool_call_id",
                     F.col("tool_result").isNotNull().alias("has_result"))
 

@@ -73,6 +73,14 @@ def fl_aspect(spark, sf):
 FACTORS = [28, 14, 8, 3]
 
 
+def _by_factor(fn):
+    """fn(x, factor) for the row's factor."""
+    out = F.lit(None).cast("bigint")
+    for f in FACTORS:
+        out = F.when(F.col("f") == f, fn("x", f).cast("bigint")).otherwise(out)
+    return out
+
+
 def _factor_rows(spark, sf):
     d = tbl(spark, sf, "documents").select("doc_id", F.col("n_chars").alias("x"))
     return d.withColumn("f", F.explode(F.array(*[F.lit(f) for f in FACTORS])))
@@ -85,28 +93,21 @@ _SQL_FACTOR_ROWS = f"(SELECT doc_id, n_chars AS x, unnest({FACTORS}) AS f FROM d
 SELECT doc_id, f, x, (round_even(x / f::DOUBLE, 0)::BIGINT * f)::BIGINT AS r FROM {_SQL_FACTOR_ROWS}""")
 def sc_round(spark, sf):
     """Closest multiple of the factor, ties to even."""
-    d = _factor_rows(spark, sf)
-    out = d.select("doc_id", "f", "x", (F.rint(F.col("x") / F.col("f").cast("double")).cast("bigint")
-                                        * F.col("f")).cast("bigint").alias("r"))
-    return out
+    return _factor_rows(spark, sf).select("doc_id", "f", "x", _by_factor(S.round_by_factor).alias("r"))
 
 
 @query("sc_ceil", sql=f"""
 SELECT doc_id, f, x, (ceil(x / f::DOUBLE)::BIGINT * f)::BIGINT AS r FROM {_SQL_FACTOR_ROWS}""")
 def sc_ceil(spark, sf):
     """Smallest multiple of the factor not below x."""
-    d = _factor_rows(spark, sf)
-    return d.select("doc_id", "f", "x", (F.ceil(F.col("x") / F.col("f").cast("double"))
-                                         * F.col("f")).cast("bigint").alias("r"))
+    return _factor_rows(spark, sf).select("doc_id", "f", "x", _by_factor(S.ceil_by_factor).alias("r"))
 
 
 @query("sc_floor", sql=f"""
 SELECT doc_id, f, x, (floor(x / f::DOUBLE)::BIGINT * f)::BIGINT AS r FROM {_SQL_FACTOR_ROWS}""")
 def sc_floor(spark, sf):
     """Largest multiple of the factor not above x."""
-    d = _factor_rows(spark, sf)
-    return d.select("doc_id", "f", "x", (F.floor(F.col("x") / F.col("f").cast("double"))
-                                         * F.col("f")).cast("bigint").alias("r"))
+    return _factor_rows(spark, sf).select("doc_id", "f", "x", _by_factor(S.floor_by_factor).alias("r"))
 
 
 RESIZE_SETTINGS = [("default", R.IMAGE_FACTOR, R.MIN_PIXELS, R.MAX_PIXELS),
@@ -232,6 +233,20 @@ def cv_render(spark, sf):
                     F.md5("document").alias("document_md5"))
 
 
+@query("cv_render_json", sql=f"""
+WITH {SQL_BLOCKS}
+SELECT page_id, count(*)::BIGINT AS n_blocks, string_agg(category, ',' ORDER BY elem_idx) AS categories,
+       md5(string_agg(text, chr(30) ORDER BY elem_idx)) AS texts_md5
+FROM blocks GROUP BY page_id""")
+def cv_render_json(spark, sf):
+    """Blocks rendered as one JSON document per page (parsed back: order, categories, texts)."""
+    r = PG.render_blocks(PG.pages_to_blocks(tbl(spark, sf, "pages")), "json")
+    d = F.from_json("document", "array<struct<category: string, text: string>>")
+    return r.select("page_id", F.col("n_blocks").cast("bigint").alias("n_blocks"),
+                    F.array_join(F.transform(d, lambda x: x["category"]), ",").alias("categories"),
+                    F.md5(F.array_join(F.transform(d, lambda x: x["text"]), "\u001e")).alias("texts_md5"))
+
+
 def layout_answers(spark, sf):
     """D9: the layout model's answer per page: JSON list of {bbox, category, text} from the
     page blocks with synthetic boxes; every 9th element is broken in one of 4 ways."""
@@ -249,7 +264,8 @@ def layout_answers(spark, sf):
     content = F.to_json(F.transform("e", lambda x: F.struct(x["col2"]["bbox"].alias("bbox"),
                                                             x["col2"]["category"].alias("category"),
                                                             x["col2"]["text"].alias("text"))))
-    return packed.select("page_id", content.alias("content"))
+    wrapped = F.concat(F.lit('{"layout":'), content, F.lit("}"))
+    return packed.select("page_id", F.when(F.col("page_id") % 2 == 0, content).otherwise(wrapped).alias("content"))
 
 
 SQL_LAYOUT = """

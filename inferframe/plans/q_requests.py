@@ -19,6 +19,7 @@ from inferframe.plans.fixtures import (
     family_of_lang, page_plans, sql_values, tbl,
 )
 from inferframe.operators.pages import select_pages
+from inferframe.operators.sizing import broadcast_if_small
 
 
 def _sq(s: str) -> str:
@@ -249,6 +250,41 @@ def prj_constraint(spark, sf):
                     _constraint_value().alias("value"))
 
 
+@query("prj_constraint_own", sql="""
+SELECT doc_id AS request_id, 'choice' AS ckind, 'guided_choice' AS keys, lang || ',' || source AS value FROM documents
+UNION ALL SELECT doc_id, 'regex', 'guided_regex', '^' || lang || '$' FROM documents
+UNION ALL SELECT doc_id, 'json', 'guided_json', source FROM documents
+UNION ALL SELECT doc_id, 'grammar', 'guided_grammar', 'start: "' || lang || '"' FROM documents
+UNION ALL SELECT doc_id, 'response_format', 'response_format,guided_decoding_backend', source FROM documents""")
+def prj_constraint_own(spark, sf):
+    """Every request with constraints of the caller's own, one of each kind, given as a column."""
+    d = tbl(spark, sf, "documents").select(F.col("doc_id").alias("request_id"), "lang", "source")
+    schema = F.to_json(F.struct(F.lit("object").alias("type"), F.col("source").alias("title")))
+    own = F.array(
+        F.struct(F.lit("choice").alias("ckind"), F.to_json(F.array("lang", "source")).alias("spec")),
+        F.struct(F.lit("regex").alias("ckind"), F.concat(F.lit("^"), F.col("lang"), F.lit("$")).alias("spec")),
+        F.struct(F.lit("json").alias("ckind"), schema.alias("spec")),
+        F.struct(F.lit("grammar").alias("ckind"), F.concat(F.lit('start: "'), F.col("lang"), F.lit('"')).alias("spec")),
+        F.struct(F.lit("response_format").alias("ckind"), F.concat(F.lit('{"name":"Own","schema":'), schema, F.lit("}")).alias("spec")))
+    r = RQ.with_constraint(d.select("request_id", F.explode(own).alias("o")).select("request_id", "o.*"), "ckind", "spec")
+    c = lambda path: F.get_json_object("constraint_json", path)
+    value = F.coalesce(F.array_join(F.from_json(c("$.guided_choice"), "array<string>"), ","), c("$.guided_regex"),
+                       c("$.guided_json.title"), c("$.guided_grammar"), c("$.response_format.json_schema.schema.title"))
+    return r.select("request_id", "ckind", body_keys("constraint_json").alias("keys"), value.alias("value"))
+
+
+@query("prj_conversion_body", sql="""
+SELECT page_id, 'options,sources' AS keys, url, 'http' AS kind, 'ppdoclayout-v3' AS layout, 'json,doctags' AS formats FROM pages""")
+def prj_conversion_body(spark, sf):
+    """URL-source conversion bodies with nested options."""
+    options = F.lit(json.dumps({"to_formats": ["json", "doctags"], "layout_custom_config": {"kind": "ppdoclayout-v3"}}))
+    p = tbl(spark, sf, "pages").select("page_id", "url").withColumn("body", RQ.conversion_body(options, "url"))
+    g = lambda path: F.get_json_object("body", path)
+    return p.select("page_id", body_keys().alias("keys"), g("$.sources[0].url").alias("url"), g("$.sources[0].kind").alias("kind"),
+                    g("$.options.layout_custom_config.kind").alias("layout"),
+                    F.array_join(F.from_json(g("$.options.to_formats"), "array<string>"), ",").alias("formats"))
+
+
 @query("prj_tools", sql=f"""
 SELECT conv_id, count(*)::BIGINT AS n_messages, 1::BIGINT AS n_tools,
        {_sq(R.WEATHER_TOOL['name'])} AS tool_name,
@@ -306,7 +342,8 @@ def prompt_pages(spark, sf):
     pages = select_pages(page_plans(spark, sf).drop("text"))
     modes = F.array(*[F.lit(m) for m in PROMPT_MODES])
     mode = F.element_at(modes, ((F.col("doc_id") + F.col("page_idx")) % len(PROMPT_MODES) + 1).cast("int"))
-    bbox = F.when(F.col("doc_id") % 2 == 1, F.array(F.lit(0), F.lit(0), F.col("w_pt"), F.col("h_pt")))
+    # boxes as fractions of a point: the prompt must show the numbers as they are
+    bbox = F.when(F.col("doc_id") % 2 == 1, F.array(F.lit(0.0), F.lit(0.5), F.col("w_pt") + F.lit(0.25), F.col("h_pt").cast("double")))
     return pages.withColumn("mode", mode).withColumn("bbox", bbox)
 
 
@@ -315,7 +352,7 @@ SQL_PROMPT_PAGES = f"""
 pp AS (
   SELECT doc_id, page_idx,
          ({'[' + ', '.join(_sq(m) for m in PROMPT_MODES) + ']'})[((doc_id + page_idx) % {len(PROMPT_MODES)} + 1)::INTEGER] AS mode,
-         CASE WHEN doc_id % 2 = 1 THEN '[0, 0, ' || w_pt || ', ' || h_pt || ']' END AS box
+         CASE WHEN doc_id % 2 = 1 THEN '[0, 0.5, ' || w_pt || '.25, ' || h_pt || ']' END AS box
   FROM {{sel}})"""
 
 
@@ -344,7 +381,7 @@ FROM pp LEFT JOIN {SQL_PROMPTS} ON pmode = mode GROUP BY mode""")
 def jn_prompt(spark, sf):
     """Template lookup by mode (broadcast join): pages per mode, how many found a template."""
     p = prompt_pages(spark, sf)
-    t = F.broadcast(R.prompts_df(spark).select(F.col("mode").alias("pmode"), "template"))
+    t = broadcast_if_small(R.prompts_df(spark).select(F.col("mode").alias("pmode"), "template"))
     j = p.join(t, F.col("mode") == F.col("pmode"), "left")
     return j.groupBy("mode").agg(F.count("*").alias("n_pages"),
                                  F.count("template").alias("n_found"),
@@ -413,3 +450,17 @@ def se_unique(spark, sf):
         "request_key", RQ.request_key(F.lit("chat"), "model", "text"))
     u = RQ.unique_requests(r)
     return u.select("request_id", "request_key", "rep_request_id", "n_copies")
+
+
+@query("se_unique_sampled", sql=f"""
+WITH k AS (SELECT doc_id, lang, md5(concat_ws(chr(31), 'chat', {SQL_MODEL}, text)) AS request_key FROM documents)
+SELECT doc_id AS request_id,
+       CASE WHEN lang = 'en' THEN min(doc_id) OVER (PARTITION BY request_key, lang = 'en') ELSE doc_id END AS rep_request_id,
+       CASE WHEN lang = 'en' THEN count(*) OVER (PARTITION BY request_key, lang = 'en') ELSE 1 END AS n_copies
+FROM k""")
+def se_unique_sampled(spark, sf):
+    """Requests that sample (temperature above 0) are never merged, deterministic ones are."""
+    r = base_requests(spark, sf).withColumn("request_key", RQ.request_key(F.lit("chat"), "model", "text")) \
+        .withColumn("temperature", F.when(F.col("lang") == "en", 0.0).otherwise(1.0))
+    u = RQ.unique_requests(r, temperature="temperature", hot_keys=2)
+    return u.select("request_id", "rep_request_id", "n_copies")

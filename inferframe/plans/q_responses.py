@@ -1,8 +1,7 @@
 """Invoke and response queries: UDF1, RSP1, RSP2, RSP5, RSP8, SRC4, JN7, AG7, SNK2.
 
-The offline transport answers from md5 of the request's payload text, so DuckDB can state
-every expected answer from the tables: first hex digit 0 => connection error, 1 => HTTP
-500, anything else => 200 with md5-derived content."""
+Responses come from `plans.answers`: logs built with Spark expressions from md5 of the
+request's payload text, so DuckDB can state every expected answer from the tables."""
 
 from __future__ import annotations
 
@@ -12,8 +11,10 @@ from inferframe.functions.scalars import base64_nolines
 from inferframe.operators import ops as OP
 from inferframe.operators import requests as RQ
 from inferframe.operators import responses as RS
-from inferframe.operators.invoke import invoke, offline_transport
+from inferframe.operators.invoke import invoke
+from inferframe.plans import answers as AN
 from inferframe.plans.catalog import query
+from inferframe.plans.fixtures import tbl
 from inferframe.plans.q_requests import base_requests
 from inferframe.session import shared_dir
 from inferframe.sources.readers import read_responses
@@ -34,35 +35,47 @@ def chat_requests(spark, sf):
              .withColumn("kind", F.lit("chat")))
 
 
-def completion_requests(spark, sf):
-    r = RQ.completion_request(base_requests(spark, sf), "text", "model")
-    return r.withColumn("kind", F.lit("completion"))
+def docs_as_requests(spark, sf):
+    return tbl(spark, sf, "documents").select(F.col("doc_id").alias("request_id"), "text", "lang", "source")
 
 
-def transcribe_requests(spark, sf):
-    r = base_requests(spark, sf)
-    body = F.to_json(F.struct(F.lit("large-v3").alias("model"),
-                              base64_nolines(F.col("text")).alias("file")))
-    return r.withColumn("body", body).withColumn("kind", F.lit("transcribe"))
+def chat_responses(spark, sf, requests=None):
+    r = docs_as_requests(spark, sf) if requests is None else requests
+    return AN.chat_answers(r, "text", F.col("lang") == "en").drop("text")
 
 
-def chat_responses(spark, sf):
-    return invoke(chat_requests(spark, sf), offline_transport)
+class Audit:
+    """A transport that sends nothing: it reads each request body and answers with what it
+    found, the dry run before a paid one. Unreadable bodies raise, as a client would."""
+
+    def __call__(self, kind: str, body: str):
+        import json
+        req = json.loads(body)
+        text = "".join(m.get("content") or "" for m in req.get("messages", []))
+        if not text.strip():
+            return 422, json.dumps({"error": {"message": "empty request"}})
+        return 200, json.dumps({"kind": kind, "messages": len(req["messages"]), "chars": len(text)})
 
 
 @query("udf_invoke", sql=f"""
+WITH d AS (SELECT doc_id, text, substr(md5(text), 1, 1) = '0' AS cut FROM documents)
 SELECT doc_id AS request_id,
-       CASE substr(md5(text), 1, 1) WHEN '0' THEN NULL WHEN '1' THEN '500' ELSE '200' END AS status,
-       CASE WHEN substr(md5(text), 1, 1) NOT IN ('0', '1') THEN md5(text) END AS content,
-       CASE substr(md5(text), 1, 1) WHEN '0' THEN 'TransportError' WHEN '1' THEN 'simulated overload' END AS error_kind
-FROM documents""")
+       CASE WHEN cut THEN NULL WHEN trim(text, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN '422' ELSE '200' END AS status,
+       CASE WHEN NOT cut AND trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> '' THEN length(text)::VARCHAR END AS chars,
+       CASE WHEN cut THEN 'JSONDecodeError'
+            WHEN trim(text, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN 'empty request' END AS error_kind
+FROM d""")
 def udf_invoke(spark, sf):
-    """Chat requests through the per-partition transport; failures become rows."""
-    r = chat_responses(spark, sf)
+    """Chat requests through a per-partition transport (a dry run that audits each body); bodies
+    cut short and refused requests become rows with the error text."""
+    req = chat_requests(spark, sf)
+    cut = F.substring(F.md5("text"), 1, 1) == "0"
+    body = F.when(cut, F.substring("body", F.lit(1), F.length("body") - 3)).otherwise(F.col("body"))
+    r = invoke(req.withColumn("body", body), Audit)
     err = (F.when(F.col("status_code").isNull(), F.regexp_extract("error", r"^(\w+):", 1))
            .when(F.col("status_code") != 200, F.get_json_object("error", "$.error.message")))
     return r.select("request_id", F.col("status_code").cast("string").alias("status"),
-                    F.get_json_object("body", "$.choices[0].message.content").alias("content"),
+                    F.when(F.col("status_code") == 200, F.get_json_object("body", "$.chars")).alias("chars"),
                     err.alias("error_kind"))
 
 
@@ -84,7 +97,7 @@ SELECT doc_id AS request_id, {SQL_OUTCOME.format(p='text')} AS outcome,
 FROM documents""")
 def rsp_completion(spark, sf):
     """Text completions: ``choices[0].text``."""
-    r = RS.parse_completion(RS.with_outcome(invoke(completion_requests(spark, sf), offline_transport)))
+    r = RS.parse_completion(RS.with_outcome(AN.completion_answers(docs_as_requests(spark, sf), "text")))
     return r.select("request_id", "outcome", "completion")
 
 
@@ -95,15 +108,21 @@ SELECT doc_id AS request_id, {SQL_OUTCOME.format(p='f')} AS outcome,
 FROM t""")
 def rsp_transcript(spark, sf):
     """Transcription answers (JSON text with ``text``)."""
-    r = RS.parse_transcript(RS.with_outcome(invoke(transcribe_requests(spark, sf), offline_transport)))
+    files = docs_as_requests(spark, sf).withColumn("file", base64_nolines(F.col("text")))
+    r = RS.parse_transcript(RS.with_outcome(AN.transcript_answers(files, "file")))
     return r.select("request_id", "outcome", "transcript")
 
 
 def all_responses(spark, sf):
-    reqs = (chat_requests(spark, sf).select("request_id", "kind", "body")
-            .unionByName(completion_requests(spark, sf).select("request_id", "kind", "body"))
-            .unionByName(transcribe_requests(spark, sf).select("request_id", "kind", "body")))
-    return invoke(reqs, offline_transport)
+    """Answers of three kinds per document, from one scan: the kinds are exploded with the
+    payload each of them would have sent."""
+    d = docs_as_requests(spark, sf)
+    kinds = F.array(F.struct(F.lit("chat").alias("kind"), F.col("text").alias("payload")),
+                    F.struct(F.lit("completion").alias("kind"), F.col("text").alias("payload")),
+                    F.struct(F.lit("transcribe").alias("kind"), base64_nolines(F.col("text")).alias("payload")))
+    r = d.select("request_id", F.explode(kinds).alias("k")).select("request_id", "k.payload", F.col("k.kind").alias("_kind"))
+    out = AN.answered(r, "any", F.to_json(F.struct(F.col("_h").alias("text"))))
+    return out.select("request_id", F.col("_kind").alias("kind"), "status_code", "body", "error")
 
 
 SQL_ALL_OUTCOMES = f"""
@@ -156,17 +175,8 @@ def src_responses(spark, sf):
 
 def earlier_log(spark, sf):
     """The response log of an earlier run that covered sources src0..src14 only."""
-    req = chat_requests(spark, sf)
-    src = tbl_sources(spark, sf)
-    earlier = req.join(src, "request_id").filter(F.col("src_no") < 15)
-    return invoke(earlier, offline_transport)
-
-
-def tbl_sources(spark, sf):
-    from inferframe.plans.fixtures import tbl
-    return tbl(spark, sf, "documents").select(
-        F.col("doc_id").alias("request_id"),
-        F.regexp_extract("source", r"(\d+)$", 1).cast("int").alias("src_no"))
+    r = docs_as_requests(spark, sf)
+    return chat_responses(spark, sf, r.filter(F.regexp_extract("source", r"(\d+)$", 1).cast("int") < 15))
 
 
 SQL_RECONCILE = f"""
@@ -180,14 +190,29 @@ rec AS (
 @query("jn_reconcile", sql=f"WITH {SQL_RECONCILE} SELECT request_id, outcome FROM rec")
 def jn_reconcile(spark, sf):
     """All current requests against the earlier response log: outcome or pending."""
-    req = chat_requests(spark, sf).select("request_id")
+    req = docs_as_requests(spark, sf).select("request_id")
     return OP.reconcile(req, earlier_log(spark, sf)).select("request_id", "outcome")
 
 
-@query("jn_pending", sql=f"WITH {SQL_RECONCILE} SELECT request_id, outcome AS reason FROM rec WHERE outcome <> 'ok'")
+@query("jn_pending", sql=f"WITH {SQL_RECONCILE} SELECT request_id FROM rec WHERE outcome = 'pending'")
 def jn_pending(spark, sf):
+    """Requests never answered (anti join against the log's ids)."""
+    return OP.pending(docs_as_requests(spark, sf).select("request_id"), earlier_log(spark, sf))
+
+
+@query("jn_retry", sql=f"WITH {SQL_RECONCILE} SELECT request_id, outcome AS reason FROM rec WHERE outcome <> 'ok'")
+def jn_retry(spark, sf):
     """The retry set: never answered plus failed calls, from one reconcile pass (the
     response log is read once)."""
-    req = chat_requests(spark, sf).select("request_id")
-    rs = OP.retry_set(req, earlier_log(spark, sf))
+    rs = OP.retry_set(docs_as_requests(spark, sf).select("request_id"), earlier_log(spark, sf))
     return rs.select("request_id", F.col("outcome").alias("reason"))
+
+
+@query("rsp_errors", sql="""
+SELECT doc_id AS request_id, 'overloaded, request refused' AS message, 1500 AS detail_len
+FROM documents WHERE substr(md5(text), 1, 1) = '1'""")
+def rsp_errors(spark, sf):
+    """Failed calls keep their whole error body, however long."""
+    r = chat_responses(spark, sf).filter(F.col("status_code") != 200)
+    return r.select("request_id", F.get_json_object("error", "$.error.message").alias("message"),
+                    F.length(F.get_json_object("error", "$.error.detail")).alias("detail_len"))

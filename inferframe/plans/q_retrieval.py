@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from inferframe import refdata as R
 from inferframe.operators import responses as RS
 from inferframe.operators import retrieval as RT
-from inferframe.operators.invoke import invoke, offline_transport
+from inferframe.operators import requests as RQ
+from inferframe.plans import answers as AN
 from inferframe.plans.catalog import query
 from inferframe.plans.fixtures import tbl
 
@@ -45,8 +46,8 @@ def first_stage(spark, sf, n=FIRST_STAGE_N):
 
 
 SQL_FIRST_STAGE = f"""
-qt AS (SELECT item_id, text, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS tok FROM benchmark),
-dt AS (SELECT doc_id, text, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS tok FROM documents),
+qt AS (SELECT item_id, text, list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS tok FROM benchmark),
+dt AS (SELECT doc_id, text, list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS tok FROM documents),
 sc AS (SELECT qt.item_id AS query_id, dt.doc_id, len(list_intersect(qt.tok, dt.tok)) AS overlap,
               qt.text AS qtext, dt.text AS dtext
        FROM qt, dt),
@@ -67,27 +68,18 @@ def wn_rank(spark, sf):
 
 
 def rerank_requests(spark, sf):
-    cand = first_stage(spark, sf)
-    docs = tbl(spark, sf, "documents").select("doc_id", "text")
-    cand = cand.join(docs, "doc_id")
-    packed = RT.pack_rerank_request(cand, query_col="query_id", order_col="rank")
-    bench = tbl(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"),
-                                                F.col("text").alias("query"))
-    req = packed.join(bench, "query_id").withColumn(
-        "body", F.to_json(F.struct(F.lit("reranker").alias("model"), F.col("query"),
-                                   F.col("documents"))))
-    return req.withColumn("request_id", F.col("query_id")).withColumn("kind", F.lit("rerank"))
+    return RT.rerank_requests(tbl(spark, sf, "benchmark"), tbl(spark, sf, "documents"), FIRST_STAGE_N) \
+        .withColumn("query_id", F.col("request_id"))
 
 
 def rerank_results(spark, sf):
-    """Requests are written once (reliable checkpoint) before sending: the candidate lists
-    are needed again to attach the answers, and must not be recomputed."""
+    """Requests are written once (reliable checkpoint): the candidate lists are needed again to
+    attach the answers, and must not be recomputed."""
     from inferframe.session import checkpoint_root
     checkpoint_root(spark)
-    req = rerank_requests(spark, sf).select("query_id", "request_id", "kind", "body",
-                                            "doc_ids").checkpoint(eager=True)
-    resp = invoke(req, offline_transport)
-    return req.select("query_id", "doc_ids"), resp
+    req = rerank_requests(spark, sf).select("query_id", "request_id", "query", "documents", "doc_ids") \
+        .checkpoint(eager=True)
+    return req.select("query_id", "doc_ids"), AN.rerank_answers(req, "query", "documents", broken="2")
 
 
 @query("ag_rerank_pack", sql=f"""
@@ -110,17 +102,20 @@ rr AS (
 
 @query("rsp_rerank", sql=f"""
 WITH {SQL_FIRST_STAGE}, {SQL_RERANK}
-SELECT query_id, idx, relevance_score FROM rr WHERE fault NOT IN ('0', '1')""")
+SELECT query_id, idx, relevance_score, '' AS parse_error FROM rr WHERE fault NOT IN ('0', '1', '2')
+UNION ALL
+SELECT DISTINCT query_id, -1, NULL, 'malformed' FROM rr WHERE fault = '2'""")
 def rsp_rerank(spark, sf):
-    """Rerank answers exploded to (query, position, score)."""
+    """Rerank answers exploded to (query, position, score); unreadable ones are reject rows."""
     _, resp = rerank_results(spark, sf)
     ex = RS.explode_rerank(resp)
-    return ex.select(F.col("request_id").alias("query_id"), "idx", "relevance_score")
+    return ex.select(F.col("request_id").alias("query_id"), F.coalesce("idx", F.lit(-1)).alias("idx"),
+                     "relevance_score", F.coalesce("parse_error", F.lit("")).alias("parse_error"))
 
 
 def attached(spark, sf):
     req, resp = rerank_results(spark, sf)
-    res = RS.explode_rerank(resp).select(F.col("request_id").alias("query_id"), "idx",
+    res = RS.explode_rerank(resp).filter(F.col("parse_error").isNull()).select(F.col("request_id").alias("query_id"), "idx",
                                          "relevance_score")
     cand = RT.candidates_with_idx(req)
     return RT.attach_rerank(cand, res)
@@ -128,7 +123,7 @@ def attached(spark, sf):
 
 @query("jn_rerank", sql=f"""
 WITH {SQL_FIRST_STAGE}, {SQL_RERANK}
-SELECT query_id, idx, doc_id, relevance_score FROM rr WHERE fault NOT IN ('0', '1')""")
+SELECT query_id, idx, doc_id, relevance_score FROM rr WHERE fault NOT IN ('0', '1', '2')""")
 def jn_rerank(spark, sf):
     """Rerank positions joined back to the submitted candidate documents."""
     return attached(spark, sf).select("query_id", "idx", "doc_id", "relevance_score")
@@ -138,13 +133,14 @@ def jn_rerank(spark, sf):
 WITH {SQL_FIRST_STAGE}, {SQL_RERANK}
 SELECT query_id, rank, doc_id FROM (
   SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY relevance_score DESC, doc_id)::BIGINT AS rank
-  FROM rr WHERE fault NOT IN ('0', '1'))
+  FROM rr WHERE fault NOT IN ('0', '1', '2'))
 WHERE rank <= {FINAL_K}""")
 def jn_two_stage(spark, sf):
     """Retrieve 10 by token overlap, rerank, keep the best 3 per query."""
-    a = attached(spark, sf)
-    r = RT.rank_within_query(a, FINAL_K, query_col="query_id", score_col="relevance_score",
-                             tie_col="doc_id")
+    def answer(req):
+        return AN.rerank_answers(req, "query", "documents", broken="2")
+    r = RT.retrieve_then_rerank(tbl(spark, sf, "benchmark"), tbl(spark, sf, "documents"), answer,
+                                first_n=FIRST_STAGE_N, k=FINAL_K)
     return r.select("query_id", F.col("rank").cast("bigint").alias("rank"), "doc_id")
 
 
@@ -175,18 +171,28 @@ SELECT doc_id AS item_id, pos,
        ('0x' || substr(md5(text), 7, 2))::INTEGER / 256.0 AS e3
 FROM b WHERE substr(md5(first_text), 1, 1) NOT IN ('0', '1')""")
 def rsp_embeddings(spark, sf):
-    """Embedding batches sent, answers exploded back to one vector per document."""
+    """Embedding batches answered, vectors exploded back to one per document by index."""
     items = tbl(spark, sf, "documents").select(F.col("doc_id").alias("item_id"), "text")
     b = RT.pack_embedding_batches(items, R.EMBED_BATCH_DOCUMENTS)
-    req = (b.withColumn("body", F.to_json(F.struct(F.lit("embedder").alias("model"),
-                                                   F.col("texts").alias("input"))))
-            .withColumn("request_id", F.col("batch_id")).withColumn("kind", F.lit("embedding")))
-    resp = invoke(req, offline_transport).join(req.select("request_id", "ids"), "request_id")
-    ex = RS.explode_embeddings(resp)
+    req = (b.withColumn("body", RQ.embedding_body(F.lit("embedder"), "texts"))
+            .withColumn("sent", F.from_json(F.get_json_object("body", "$.input"), "array<string>")))
+    ex = RS.explode_embeddings(AN.embedding_answers(req.withColumn("first", F.element_at("sent", 1)), "sent", "first"))
     e = F.col("embedding")
     return ex.select("item_id", "pos", *[e[i].cast("double").alias(f"e{i}") for i in range(4)])
 
 
+@query("sc_cosine", sql="""
+SELECT vec_id, round(list_dot_product(embedding::DOUBLE[], list_reverse(embedding)::DOUBLE[]), 6) AS dot,
+       round(list_cosine_similarity(embedding::DOUBLE[], list_reverse(embedding)::DOUBLE[]), 6) AS cosine
+FROM embeddings""")
+def sc_cosine(spark, sf):
+    """Dot product and cosine of every vector with its reverse."""
+    from inferframe.functions.scalars import cosine, dot
+    e = tbl(spark, sf, "embeddings").withColumn("r", F.reverse("embedding"))
+    return e.select("vec_id", F.round(dot("embedding", "r"), 6).alias("dot"),
+                    F.round(cosine("embedding", "r"), 6).alias("cosine"))
+
+
 @query("src_items", sql="SELECT doc_id AS item_id, text FROM documents UNION ALL SELECT item_id, text FROM benchmark")
 def src_items(spark, sf):
     """Item lists read with only the id and text columns (documents and benchmark)."""

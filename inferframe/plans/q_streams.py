@@ -17,38 +17,33 @@ from inferframe.plans.fixtures import (
 from inferframe.session import shared_dir
 from inferframe.sources.streams import stream_chunks, stream_task_events
 from inferframe.streaming.assemble import (
-    stream_assemble_content_sessions, stream_assemble_tool_calls,
+    stream_assemble_content, stream_assemble_tool_calls,
 )
 from inferframe.streaming.tasks import track_tasks
 
-N_FILES = 8
 TASK_TIMEOUT = "1 day"
 
 
-def _land(df, name, spark, files=N_FILES, time_col=None):
-    """Write a frame as ``files`` parquet files. With ``time_col`` the files follow arrival
-    time (file i holds the i-th time range); rows inside a file are shuffled, so fragments
-    still arrive out of order within and across micro-batches."""
+def _land(df, name, spark):
+    """Write a frame as the files of a stream, as many as the writer's tasks make; rows inside a
+    file are shuffled, so fragments arrive out of order within and across micro-batches."""
     path = shared_dir(spark, name)
-    if time_col:
-        df = df.repartitionByRange(files, time_col)
-    else:
-        df = df.repartition(files, F.xxhash64(*df.columns[:2]))
     df.sortWithinPartitions(F.xxhash64(*df.columns[:2])).write.parquet(path)
     return path
 
 
-def _run(query_writer, spark):
-    """Run a stream with ``availableNow``. State partitions (fixed when a checkpoint is
-    first used) follow the cluster's parallelism instead of a session default sized for
-    batch shuffles; the session setting is restored afterwards."""
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
-    try:
-        q = query_writer.trigger(availableNow=True).start()
-    finally:
-        spark.conf.set(key, old)
+def _own_session(spark):
+    """A session of its own for a stream: its state partitions (fixed when a checkpoint is
+    first used) follow the cluster's parallelism, and no other query's settings change."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.shuffle.partitions", str(max(1, spark.sparkContext.defaultParallelism)))
+    return own
+
+
+def _run(query_writer):
+    """Run a stream with ``availableNow`` to its end."""
+    q = query_writer.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()
@@ -61,35 +56,30 @@ SELECT request_id, md5(string_agg(content, '' ORDER BY seq)) AS content_md5, cou
        TRUE AS complete
 FROM chunks JOIN f USING (request_id) WHERE seq <= fin GROUP BY request_id""")
 def st_content(spark, sf):
-    """Fragments arrive as a file stream in shuffled order (the fixture spans less than the
-    watermark delay, so nothing is late);
-    each message is emitted once, when its session (the request's stream) has ended and
-    the watermark has passed; a final far-future fragment advances the watermark so the
-    last sessions close."""
+    """Fragments arrive as a file stream in shuffled order, some of them twice, with a pause of
+    ten minutes inside every fourth message; each message is emitted once, when its finish
+    fragment and all fragments before it are there."""
     ch = content_chunks(spark, sf)
-    src = _land(ch, "st-content-src", spark)
+    pause = F.when((F.col("request_id") % 4 == 0) & (F.col("seq") >= 20), F.expr("INTERVAL 10 MINUTES")) \
+        .otherwise(F.expr("INTERVAL 0 MINUTES"))
+    ch = ch.withColumn("ts", F.col("ts") + pause)
+    again = ch.filter(F.col("seq") % 11 == 0)
+    own = _own_session(spark)
+    src = _land(ch.unionByName(again), "st-content-src", spark)
     out, ck = shared_dir(spark, "st-content-out"), shared_dir(spark, "st-content-ck")
-
-    def run():
-        stream = stream_chunks(spark, src, ch.schema, max_files_per_trigger=4)
-        res = stream_assemble_content_sessions(stream, gap="5 minutes", watermark="1 hour")
-        _run(res.writeStream.format("parquet").option("path", out)
-             .option("checkpointLocation", ck).outputMode("append"), spark)
-
-    run()
-    flush = spark.createDataFrame([(-1, 0, "", None, 0)],
-                                  "request_id bigint, seq bigint, content string, finish_reason string, created bigint")
-    flush.select("request_id", "seq", "content", "finish_reason", "created",
-                 F.lit("2030-01-01 00:00:00").cast("timestamp").alias("ts")) \
-        .write.mode("append").parquet(src)
-    run()  # availableNow also runs the no-data batch that closes what the watermark passed
-    back = spark.read.parquet(out).filter(F.col("request_id") >= 0)
+    res = stream_assemble_content(stream_chunks(own, src, ch.schema, max_files_per_trigger=4), watermark="1 day")
+    _run(res.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).outputMode("append"))
+    back = spark.read.schema(res.schema).parquet(out)
     return back.select("request_id", F.md5("content").alias("content_md5"), "n_chunks", "complete")
 
 
 def _stream_tool_chunks(spark, sf):
+    """Fragments of a call one second apart, every fifth call's first fragment delivered twice."""
     e = tbl(spark, sf, "events").select(F.col("event_id").alias("tool_index"), ntz_as_utc("ts").alias("ts"))
-    return tool_chunks(spark, sf).join(e, "tool_index")
+    ch = tool_chunks(spark, sf).join(e, "tool_index")
+    p = (F.col("seq") % 1000).cast("int")
+    ch = ch.withColumn("ts", F.col("ts") + F.make_dt_interval(secs=p))
+    return ch.unionByName(ch.filter((p == 0) & (F.col("tool_index") % 5 == 0)))
 
 
 @query("st_tool_calls", sql=f"""
@@ -101,9 +91,10 @@ def st_tool_calls(spark, sf):
     """Tool-call fragments as a file stream: watermarked aggregation in update mode, each
     micro-batch appended to a change log; the result is the latest row per call."""
     ch = _stream_tool_chunks(spark, sf)
+    own = _own_session(spark)
     src = _land(ch, "st-tools-src", spark)
     log, ck = shared_dir(spark, "st-tools-log"), shared_dir(spark, "st-tools-ck")
-    stream = stream_chunks(spark, src, ch.schema, max_files_per_trigger=2)
+    stream = stream_chunks(own, src, ch.schema, max_files_per_trigger=4)
     res = stream_assemble_tool_calls(stream, watermark="40 days")
 
     def append(batch, batch_id):
@@ -111,7 +102,7 @@ def st_tool_calls(spark, sf):
         # its own rows instead of duplicating them
         batch.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
 
-    _run(res.writeStream.foreachBatch(append).option("checkpointLocation", ck).outputMode("update"), spark)
+    _run(res.writeStream.foreachBatch(append).option("checkpointLocation", ck).outputMode("update"))
     back = spark.read.parquet(log)
     latest = back.groupBy("request_id", "tool_index").agg(
         F.max_by(F.struct("tool_id", "tool_name", "arguments", "n_fragments"), "batch_id").alias("r"))
@@ -122,7 +113,7 @@ def st_tool_calls(spark, sf):
 SQL_TASKS = f"""
 s AS (SELECT task_id, min(ts) AS st FROM task_events GROUP BY task_id),
 r AS (SELECT task_id, min(ts) FILTER (WHERE status IN ('success', 'failure')) AS rt,
-             min_by(status, ts) FILTER (WHERE status IN ('success', 'failure')) AS rs
+             arg_min(status, (ts, event_id)) FILTER (WHERE status IN ('success', 'failure')) AS rs
       FROM task_events GROUP BY task_id)"""
 
 
@@ -131,39 +122,30 @@ WITH {SQL_TASK_EVENTS}, {SQL_TASKS}
 SELECT task_id, CASE WHEN rt IS NOT NULL AND rt <= st + INTERVAL {TASK_TIMEOUT.split()[0]} DAY THEN rs ELSE 'timeout' END AS outcome
 FROM s JOIN r USING (task_id)""")
 def st_tasks(spark, sf):
-    """Task submissions and terminal results as two streams, joined with a time bound;
-    tasks without a result in time come out as ``timeout`` once the watermark passes."""
+    """The raw log of polls as a stream; each task is answered once, by its first terminal state
+    within a day or as ``timeout``. A last far-future poll moves the watermark past all deadlines."""
     te = task_events(spark, sf)
-    submits = te.groupBy("task_id").agg(F.min("ts").alias("ts"))
-    terminal = te.filter(F.col("status").isin("success", "failure"))
-    results = terminal.groupBy("task_id").agg(F.min("ts").alias("ts"),
-                                              F.min_by("status", "ts").alias("status"))
-    s_src, r_src = _land(submits, "st-submits", spark, 4), _land(results, "st-results", spark, 4)
+    own = _own_session(spark)
+    src = _land(te, "st-tasks-src", spark)
+    flush = spark.createDataFrame([(-1, -1, "2090-01-01 00:00:00", "running")], "task_id bigint, event_id bigint, ts string, status string")
     out, ck = shared_dir(spark, "st-tasks-out"), shared_dir(spark, "st-tasks-ck")
 
     def run():
-        s = stream_task_events(spark, s_src, submits.schema)
-        r = stream_task_events(spark, r_src, results.schema)
-        j = track_tasks(s, r, timeout=TASK_TIMEOUT)
-        _run(j.writeStream.format("parquet").option("path", out)
-             .option("checkpointLocation", ck).outputMode("append"), spark)
+        res = track_tasks(stream_task_events(own, src, te.schema), timeout=TASK_TIMEOUT, watermark="40 days", tie="event_id")
+        _run(res.writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", ck).outputMode("append"))
+        return res.schema
 
     run()
-    # a later submission/result pair moves both watermarks past every pending deadline
-    flush_s = spark.createDataFrame([(-1, "2030-01-01 00:00:00")], "task_id bigint, ts string") \
-        .select("task_id", F.col("ts").cast("timestamp").alias("ts"))
-    flush_r = flush_s.withColumn("status", F.lit("success"))
-    flush_s.write.mode("append").parquet(s_src)
-    flush_r.write.mode("append").parquet(r_src)
-    run()  # availableNow also runs the no-data batch that closes what the watermark passed
-    back = spark.read.parquet(out).filter(F.col("task_id") >= 0)
-    return back.select("task_id", "outcome")
+    flush.select(*[F.col(f.name).cast(f.dataType) for f in te.schema.fields]).write.mode("append").parquet(src)
+    schema = run()  # availableNow also runs the no-data batch that answers what the watermark passed
+    return spark.read.schema(schema).parquet(out).filter(F.col("task_id") >= 0)
 
 
 @query("wn_task_outcome", sql=f"""
 WITH {SQL_TASK_EVENTS},
 a AS (SELECT task_id, min(ts) FILTER (WHERE status IN ('success', 'failure')) AS end_ts,
-             min_by(status, ts) FILTER (WHERE status IN ('success', 'failure')) AS end_status,
+             arg_min(status, (ts, event_id)) FILTER (WHERE status IN ('success', 'failure')) AS end_status,
              min(ts) AS first_ts, count(*) AS n_events
       FROM task_events GROUP BY task_id)
 SELECT a.task_id, coalesce(end_status, 'running') AS outcome,
@@ -172,7 +154,7 @@ SELECT a.task_id, coalesce(end_status, 'running') AS outcome,
 FROM a""")
 def wn_task_outcome(spark, sf):
     """First terminal status per task, when it came and how many polls preceded it."""
-    t = OP.task_outcome(task_events(spark, sf))
+    t = OP.task_outcome(task_events(spark, sf), tie="event_id")
     return t.select("task_id", "outcome", F.unix_micros("first_ts").alias("first_us"),
                     F.unix_micros("end_ts").cast("string").alias("end_us"),
                     F.col("n_events").cast("bigint").alias("n_events"),

@@ -9,7 +9,7 @@ from inferframe.operators import ops as OP
 from inferframe.operators import responses as RS
 from inferframe.operators import validate as V
 from inferframe.plans.catalog import query
-from inferframe.plans.fixtures import SQL_CANDIDATES, SQL_CHOICE, candidates, choice_answers
+from inferframe.plans.fixtures import SQL_CANDIDATES, SQL_CHOICE, candidates, choice_answers, tbl
 
 
 def cands(spark, sf, kind):
@@ -72,11 +72,23 @@ jcheck AS (
   SELECT id, kind, {_sql_errors(CODE_FIELDS)} FROM vcand WHERE kind = 'code_json')"""
 
 
+SCHEMAS = {"city_json": R.CITY_INFO_SCHEMA, "car_json": R.CAR_DESCRIPTION_SCHEMA, "code_json": R.PYTHON_R_CODE_SCHEMA}
+
+
+def schema_errors(v, kind="kind"):
+    """Errors of each answer under the schema of its kind (NULL for kinds without one)."""
+    out = None
+    for name, schema in SCHEMAS.items():
+        e = V.variant_errors(v, schema)
+        out = F.when(F.col(kind) == name, e) if out is None else out.when(F.col(kind) == name, e)
+    return out
+
+
 def json_checked(spark, sf):
-    city = V.check_json_schema(cands(spark, sf, "city_json"), "content", R.CITY_INFO_SCHEMA)
-    car = V.check_json_schema(cands(spark, sf, "car_json"), "content", R.CAR_DESCRIPTION_SCHEMA)
-    code = V.check_json_schema(cands(spark, sf, "code_json"), "content", R.PYTHON_R_CODE_SCHEMA)
-    return city.unionByName(car).unionByName(code)
+    """All schema-bound answers from one scan: parsed once, checked by kind."""
+    c = candidates(spark, sf).filter(F.col("kind").isin(*SCHEMAS))
+    return (c.withColumn("_v", F.try_parse_json("content")).withColumn("errors", schema_errors(F.col("_v")))
+            .withColumn("valid", F.size("errors") == 0).drop("_v"))
 
 
 @query("val_json_schema", sql=f"""
@@ -140,14 +152,50 @@ SELECT kind, count(*)::BIGINT AS n, sum(valid::INTEGER)::BIGINT AS n_valid,
        sum(valid::INTEGER)::BIGINT / count(*) AS pass_rate
 FROM v GROUP BY kind""")
 def ag_pass_rate(spark, sf):
-    """Share of answers meeting their constraint, per constraint kind."""
-    ch = val_choice(spark, sf).select(F.lit("choice").alias("kind"), "valid")
-    em = val_regex(spark, sf).select(F.lit("email").alias("kind"), "valid")
-    js = json_checked(spark, sf).select("kind", "valid")
-    ar = val_json_array(spark, sf).select(F.lit("city_array").alias("kind"), "valid")
-    gr = val_grammar(spark, sf).select(F.lit("grammar").alias("kind"), "valid")
-    allv = ch.unionByName(em).unionByName(js).unionByName(ar).unionByName(gr)
-    return OP.constraint_pass_rate(allv)
+    """Share of answers meeting their constraint, per constraint kind: one scan of the answers,
+    the check picked by kind."""
+    kind, v = F.col("kind"), F.col("_v")
+    valid = (F.when(kind == "email", V.check_regex("content"))
+             .when(kind == "grammar", V.full_match("content", GRAMMAR_RE))
+             .when(kind == "city_array", V.array_check(v, R.CITY_INFO_SCHEMA, "array")[2])
+             .otherwise(F.size(schema_errors(v)) == 0))
+    parsed = F.when(~kind.isin("email", "grammar"), F.try_parse_json("content"))
+    c = candidates(spark, sf).withColumn("_v", parsed).select("kind", valid.alias("valid"))
+    return OP.constraint_pass_rate(val_choice(spark, sf).select(F.lit("choice").alias("kind"), "valid").unionByName(c))
+
+
+NESTED_SCHEMA = {
+    "type": "object",
+    "$defs": {"CarType": {"type": "string", "enum": R.CAR_TYPES},
+              "Part": {"type": "object", "required": ["size"],
+                       "properties": {"size": {"type": "integer", "maximum": 25}, "tags": {"type": "array", "items": {"type": "string"}}}}},
+    "properties": {"car_type": {"$ref": "#/$defs/CarType"}, "part": {"$ref": "#/$defs/Part"},
+                   "note": {"anyOf": [{"type": "string"}, {"type": "null"}]}},
+    "required": ["car_type", "part"],
+}
+
+
+@query("val_json_nested", sql=f"""
+WITH p AS (
+  SELECT p_partkey AS id, p_size, ({['sedan', 'SUV', 'Truck', 'Coupe', 'van']})[(p_size % 5 + 1)::INTEGER] AS car FROM part)
+SELECT id, concat_ws(';',
+    CASE WHEN p_size % 5 = 0 AND p_size % 7 = 0 THEN 'type:car_type' WHEN car NOT IN ({', '.join(f"'{c}'" for c in R.CAR_TYPES)}) THEN 'enum:car_type' END,
+    CASE WHEN p_size % 6 = 0 THEN 'missing:part.size' WHEN p_size > 25 THEN 'range:part.size' END,
+    CASE WHEN p_size % 4 = 0 THEN 'type:part.tags[]' END,
+    CASE WHEN p_size % 3 = 0 THEN 'any:note' END) AS errors
+FROM p""")
+def val_json_nested(spark, sf):
+    """A schema with references, nested objects, lists and unions."""
+    p = tbl(spark, sf, "part").select(F.col("p_partkey").alias("id"), "p_size")
+    n = F.col("p_size")
+    car = F.element_at(F.array(*[F.lit(x) for x in ("sedan", "SUV", "Truck", "Coupe", "van")]), (n % 5 + 1).cast("int"))
+    car = F.when((n % 5 == 0) & (n % 7 == 0), F.lit("7")).otherwise(F.concat(F.lit('"'), car, F.lit('"')))
+    size = F.when(n % 6 == 0, F.lit("")).otherwise(F.concat(F.lit('"size":'), n.cast("string"), F.lit(",")))
+    tags = F.when(n % 4 == 0, F.lit('["a",1]')).otherwise(F.lit('["a","b"]'))
+    note = F.when(n % 3 == 0, F.lit("5")).when(n % 3 == 1, F.lit("null")).otherwise(F.lit('"x"'))
+    body = F.concat(F.lit('{"car_type":'), car, F.lit(',"part":{'), size, F.lit('"tags":'), tags, F.lit('},"note":'), note, F.lit("}"))
+    c = V.check_json_schema(p.withColumn("content", body), "content", NESTED_SCHEMA)
+    return c.select("id", F.array_join("errors", ";").alias("errors"))
 
 
 @query("rsp_struct", sql=f"""

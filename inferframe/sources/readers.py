@@ -10,12 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RESPONSE_SCHEMA = T.StructType([
-    T.StructField("request_id", T.LongType()),
-    T.StructField("kind", T.StringType()),
-    T.StructField("status_code", T.IntegerType()),
-    T.StructField("body", T.StringType()),
-])
+def response_schema(id_type: str = "bigint") -> T.StructType:
+    """Columns of a response log, as `invoke` writes it. `id_type` is the type of the request
+    ids: logs keyed by text ids are read with "string"."""
+    return T._parse_datatype_string(
+        f"request_id {id_type}, kind string, status_code int, body string, error string")
+
+
+PART = T.StructType([T.StructField("type", T.StringType()),
+                     T.StructField("text", T.StringType()),
+                     T.StructField("url", T.StringType())])
+CALL = T.StructType([T.StructField("id", T.StringType()),
+                     T.StructField("name", T.StringType()),
+                     T.StructField("arguments", T.StringType())])
 
 
 def read_items(spark: SparkSession, path: str, id_col: str = "doc_id",
@@ -51,28 +58,41 @@ def read_media(spark: SparkSession, path: str, glob: str = "*", with_content: bo
 
 def read_conversations(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """SRC3: conversation messages normalised to the ``messages`` shape: one row per message
-    with union-typed content kept as two nullable columns (``text``, ``parts``) and the
-    tool columns present (NULL when unused)."""
-    df = spark.read.format(fmt).load(path)
-    part = T.StructType([T.StructField("type", T.StringType()),
-                         T.StructField("text", T.StringType()),
-                         T.StructField("url", T.StringType())])
-    call = T.StructType([T.StructField("id", T.StringType()),
-                         T.StructField("name", T.StringType()),
-                         T.StructField("arguments", T.StringType())])
+    with union-typed content kept as two nullable columns (``text``, ``parts``) and the tool
+    columns. Columns the source has are kept (fields of parts and calls are matched by name);
+    absent ones are NULL. Text sources such as JSON lines are read with the fixed schema."""
+    shape = {"parts": T.ArrayType(PART), "tool_calls": T.ArrayType(CALL),
+             "tool_call_id": T.StringType(), "name": T.StringType()}
+    if fmt == "json":
+        fields = [T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
+                  T.StructField("role", T.StringType()), T.StructField("text", T.StringType()),
+                  *(T.StructField(k, v) for k, v in shape.items())]
+        df = spark.read.schema(T.StructType(fields)).json(path)
+    else:
+        df = spark.read.format(fmt).load(path)
+
+    def kept(name: str, to: T.DataType):
+        if name not in df.columns:
+            return F.lit(None).cast(to).alias(name)
+        have = df.schema[name].dataType
+        if isinstance(to, T.ArrayType) and isinstance(have, T.ArrayType) and isinstance(have.elementType, T.StructType):
+            names = have.elementType.fieldNames()
+            return F.transform(name, lambda x: F.struct(*[
+                (x[f.name] if f.name in names else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in to.elementType.fields])).alias(name)
+        return F.col(name).cast(to).alias(name)
+
     return df.select(
         F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"),
         F.col("role").cast("string"), F.col("text").cast("string"),
-        F.lit(None).cast(T.ArrayType(part)).alias("parts"),
-        F.lit(None).cast(T.ArrayType(call)).alias("tool_calls"),
-        F.lit(None).cast("string").alias("tool_call_id"),
-        F.lit(None).cast("string").alias("name"),
-    )
+        *(kept(k, v) for k, v in shape.items()))
 
 
-def read_responses(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """SRC4: a response log ``(request_id, kind, status_code, body)`` with a fixed schema.
+def read_responses(spark: SparkSession, path: str, fmt: str = "json",
+                   id_type: str = "bigint") -> DataFrame:
+    """SRC4: a response log ``(request_id, kind, status_code, body, error)`` with a fixed schema.
     Response logs are never schema-inferred: the body stays text and is parsed per kind."""
+    schema = response_schema(id_type)
     if fmt == "json":
-        return spark.read.schema(RESPONSE_SCHEMA).json(path)
-    return spark.read.format(fmt).schema(RESPONSE_SCHEMA).load(path)
+        return spark.read.schema(schema).json(path)
+    return spark.read.format(fmt).schema(schema).load(path)

@@ -1,18 +1,17 @@
 """ST1/ST2: assemble streamed fragments in Structured Streaming.
 
-* ``stream_assemble_content_sessions`` (ST1, built-in operators only) closes a request's
-  stream after an inactivity gap: ``groupBy(request_id, session_window(ts, gap))`` in
-  append mode emits each message once, when the watermark passes the end of its session.
-  The finish marker and the fragment count give the ``complete`` flag.
-* ``stream_assemble_content`` (ST1, finish-marker variant) is emit-once: per request, a state holds the
-  fragments received so far (keyed by ``seq``, so a duplicate delivery is absorbed); the
+* ``stream_assemble_content`` (ST1) is emit-once: per request, a state holds the
+  fragments received so far (as runs of ``seq``, so a duplicate delivery is absorbed); the
   message is emitted and the state cleared as soon as the finish fragment and every
-  fragment before it (dense ``seq``) have arrived. Requests that never complete are emitted
-  as incomplete when the event-time watermark passes their last fragment plus ``ttl``.
-  Fragments arriving after emission are dropped (late).
-* ``stream_assemble_tool_calls`` (ST2) is a watermarked streaming aggregation in update
-  mode: every micro-batch emits the changed (request, index) rows; the sink keeps the
-  latest row per key. State is evicted once the watermark passes the call's event time.
+  fragment before it (dense ``seq``) have arrived, however long the pauses between them.
+  Requests that never complete are emitted as incomplete when the event-time watermark passes
+  their last fragment plus ``ttl``. Fragments arriving after emission are dropped (late).
+* ``stream_assemble_content_sessions`` is the built-in form for streams without reliable finish
+  markers: a request's stream ends with an inactivity gap (``session_window``), so a longer pause
+  splits a message.
+* ``stream_assemble_tool_calls`` (ST2) keeps one state per (request, tool index): the fragments
+  seen so far, as runs where ``seq`` is contiguous. Every micro-batch emits the changed calls; the sink keeps the
+  latest row per call. A call's state goes when the watermark passes its last fragment plus ``ttl``.
 """
 
 from __future__ import annotations
@@ -100,7 +99,7 @@ def _content_state_fn(ttl_ms: int):
             yield _emit(rid, starts[:1], ends[:1], texts[:1], fin, True)
             return
         state.update((starts.tolist(), ends.tolist(), texts.tolist(), fin, max_ts))
-        state.setTimeoutTimestamp(max_ts + ttl_ms)
+        state.setTimeoutTimestamp(max(max_ts + ttl_ms, state.getCurrentWatermarkMs() + 1))
     return fn
 
 
@@ -138,16 +137,58 @@ def stream_assemble_content_sessions(chunks: DataFrame, *, gap: str = "5 minutes
                     F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end")))
 
 
-def stream_assemble_tool_calls(chunks: DataFrame, *, watermark: str = "1 hour") -> DataFrame:
+CALL_OUT = T.StructType([
+    T.StructField("request_id", T.LongType()), T.StructField("tool_index", T.LongType()),
+    T.StructField("tool_id", T.StringType()), T.StructField("tool_name", T.StringType()),
+    T.StructField("arguments", T.StringType()), T.StructField("n_fragments", T.LongType()),
+])
+CALL_STATE = T.StructType([
+    T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("ends", T.ArrayType(T.LongType())),
+    T.StructField("texts", T.ArrayType(T.StringType())),
+    T.StructField("id_seq", T.LongType()), T.StructField("tool_id", T.StringType()),
+    T.StructField("name_seq", T.LongType()), T.StructField("tool_name", T.StringType()),
+    T.StructField("max_ts_ms", T.LongType()),
+])
+
+
+def _first(seq: np.ndarray, values: np.ndarray, old_seq, old):
+    """The value with the lowest seq among the stored one and the new non-NULL ones."""
+    have = np.array([isinstance(v, str) for v in values], bool)
+    if have.any():
+        i = int(np.argmin(np.where(have, seq, np.iinfo(np.int64).max)))
+        if old_seq is None or int(seq[i]) < old_seq:
+            return int(seq[i]), values[i]
+    return old_seq, old
+
+
+def _call_state_fn(ttl_ms: int):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        st, en, tx, id_seq, tool_id, name_seq, tool_name, max_ts = state.get if state.exists else ([], [], [], None, None, None, None, 0)
+        s_parts, e_parts, t_parts = [np.asarray(st, np.int64)], [np.asarray(en, np.int64)], [np.asarray(tx, object)]
+        for pdf in pdfs:
+            seq = pdf["seq"].to_numpy(dtype=np.int64)
+            s_parts.append(seq)
+            e_parts.append(seq)
+            t_parts.append(pdf["tool_args"].to_numpy(dtype=object))
+            id_seq, tool_id = _first(seq, pdf["tool_id"].to_numpy(dtype=object), id_seq, tool_id)
+            name_seq, tool_name = _first(seq, pdf["tool_name"].to_numpy(dtype=object), name_seq, tool_name)
+            max_ts = max(int(max_ts), int(pdf["ts_ms"].max()))
+        starts, ends, texts = merge_runs(np.concatenate(s_parts), np.concatenate(e_parts), np.concatenate(t_parts))
+        state.update((starts.tolist(), ends.tolist(), texts.tolist(), id_seq, tool_id, name_seq, tool_name, max_ts))
+        state.setTimeoutTimestamp(max(max_ts + ttl_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"request_id": [key[0]], "tool_index": [key[1]], "tool_id": [tool_id], "tool_name": [tool_name],
+                            "arguments": ["".join(t for t in texts if isinstance(t, str))],
+                            "n_fragments": [int((ends - starts + 1).sum())]})
+    return fn
+
+
+def stream_assemble_tool_calls(chunks: DataFrame, *, watermark: str = "1 hour", ttl_ms: int = 3_600_000) -> DataFrame:
     """ST2 over a streaming frame ``(request_id, seq, tool_index, tool_id, tool_name,
-    tool_args, ts)``; ``ts`` is the event time of the call (shared by its fragments)."""
-    src = chunks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-    agg = src.groupBy("request_id", "tool_index", "ts").agg(
-        F.collect_set(F.struct("seq", "tool_args")).alias("_frags"),
-        F.min_by("tool_id", F.when(F.col("tool_id").isNotNull(), F.col("seq"))).alias("tool_id"),
-        F.min_by("tool_name", F.when(F.col("tool_name").isNotNull(), F.col("seq"))).alias("tool_name"),
-    )
-    return agg.select(
-        "request_id", "tool_index", "tool_id", "tool_name",
-        F.array_join(F.transform(F.array_sort("_frags"), lambda x: x["tool_args"]), "").alias("arguments"),
-        F.size("_frags").cast("bigint").alias("n_fragments"))
+    tool_args, ts)``: fragments of a call may come at different times, out of order and twice."""
+    src = (chunks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+           .withColumn("ts_ms", (F.unix_micros("ts") / 1000).cast("bigint")))
+    return (src.groupBy("request_id", "tool_index").applyInPandasWithState(
+        _call_state_fn(ttl_ms), CALL_OUT, CALL_STATE, "update", GroupStateTimeout.EventTimeTimeout))

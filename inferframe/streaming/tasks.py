@@ -1,26 +1,69 @@
 """ST3: track asynchronous tasks with a timeout instead of polling forever.
 
-Submissions and terminal results arrive as two streams. A stream-stream LEFT OUTER join on
-the task id with the time bound ``rt BETWEEN st AND st + timeout`` (watermarks on both
-sides) matches each submission with its result; a submission whose result did not arrive
-in time is emitted once the watermark passes ``st + timeout`` with a NULL result, which
-becomes ``timeout``. Join state is bounded by the watermark, not by history."""
+The stream is the raw log of polls. Per task a state keeps the first poll's time and the earliest
+terminal event; once the watermark passes the task's deadline (first poll + timeout) the task is
+answered once: the first terminal state if it came in time, else ``timeout``. Later events of an
+answered task change nothing. The answered mark goes when the watermark passes ``keep`` after it, so
+state is bounded by the watermark, not by history."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from inferframe import refdata as R
+
+TASK_OUT = T.StructType([T.StructField("task_id", T.LongType()), T.StructField("outcome", T.StringType())])
+TASK_STATE = T.StructType([
+    T.StructField("first_us", T.LongType()), T.StructField("end_us", T.LongType()), T.StructField("end_tie", T.LongType()),
+    T.StructField("status", T.StringType()), T.StructField("answered", T.BooleanType())])
+
+
+def _task_state_fn(timeout_us: int, keep_us: int):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            first, end, tie, status, answered = state.get
+            if answered:
+                state.remove()
+                return
+            in_time = end is not None and end <= first + timeout_us
+            state.update((first, end, tie, status, True))
+            state.setTimeoutTimestamp(max((first + timeout_us + keep_us) // 1000, state.getCurrentWatermarkMs() + 1))
+            yield pd.DataFrame({"task_id": [key[0]], "outcome": [status if in_time else "timeout"]})
+            return
+        first, end, tie, status, answered = state.get if state.exists else (None, None, None, None, False)
+        if answered:
+            for _ in pdfs:
+                pass
+            state.setTimeoutTimestamp(max((first + timeout_us + keep_us) // 1000, state.getCurrentWatermarkMs() + 1))
+            return
+        for pdf in pdfs:
+            low = int(pdf["ts_us"].min())
+            first = low if first is None else min(first, low)
+            over = pdf[pdf["status"].isin([R.TASK_SUCCESS, R.TASK_FAILURE])].sort_values(["ts_us", "tie", "status"])
+            if len(over):
+                row = over.iloc[0]
+                if end is None or (int(row["ts_us"]), int(row["tie"])) < (end, tie):
+                    end, tie, status = int(row["ts_us"]), int(row["tie"]), row["status"]
+        state.update((first, end, tie, status, False))
+        state.setTimeoutTimestamp(max((first + timeout_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+    return fn
+
 
+def track_tasks(events: DataFrame, timeout: str = "7 days", watermark: str = "1 hour", tie: str | None = None,
+                keep: str = "30 days") -> DataFrame:
+    """One row (task_id, outcome) per task of a streaming frame (task_id, ts, status). Of terminal events
+    at one instant the lowest ``tie`` (a column) counts."""
+    def micros(span: str) -> int:
+        n, unit = span.split()
+        return int(float(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")] * 1_000_000)
 
-def track_tasks(submits: DataFrame, results: DataFrame, timeout: str = "7 days",
-                watermark: str = "1 hour") -> DataFrame:
-    s = (submits.select(F.col("task_id").alias("s_task_id"), F.col("ts").cast("timestamp").alias("st"))
-         .withWatermark("st", watermark))
-    r = (results.select(F.col("task_id").alias("r_task_id"), F.col("ts").cast("timestamp").alias("rt"),
-                        F.col("status").alias("r_status"))
-         .withWatermark("rt", watermark))
-    cond = ((F.col("s_task_id") == F.col("r_task_id")) & (F.col("rt") >= F.col("st"))
-            & (F.col("rt") <= F.col("st") + F.expr(f"INTERVAL {timeout}")))
-    j = s.join(r, cond, "leftOuter")
-    return j.select(F.col("s_task_id").alias("task_id"), "st", "rt",
-                    F.coalesce(F.col("r_status"), F.lit("timeout")).alias("outcome"))
+    src = (events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+           .withColumn("ts_us", F.unix_micros("ts")).withColumn("tie", F.col(tie).cast("bigint") if tie else F.lit(0).cast("bigint")))
+    return src.groupBy("task_id").applyInPandasWithState(
+        _task_state_fn(micros(timeout), micros(keep)), TASK_OUT, TASK_STATE, "append", GroupStateTimeout.EventTimeTimeout)

@@ -47,20 +47,20 @@ def test_topk_block_path_equals_broadcast(spark):
     emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
     kw = dict(query_id="vec_id", doc_id="vec_id", vector="embedding", doc_cols=["label"],
               exclude_self=True)
-    a = topk_similar(emb, emb, 4, strategy="broadcast", **kw)
-    b = topk_similar(emb, emb, 4, strategy="block", query_blocks=3, doc_buckets=5, **kw)
+    a = topk_similar(emb, emb, 4, query_blocks=1, doc_blocks=1, **kw)
+    b = topk_similar(emb, emb, 4, query_blocks=3, doc_blocks=5, **kw)
     cols = ["query_id", "rank", "doc_id", "label"]
     assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
-    # the automatic choice falls back to the block path when the bound is exceeded
-    c = topk_similar(emb, emb, 4, max_broadcast_queries=10, **kw)
+    # blocks follow the byte bound
+    c = topk_similar(emb, emb, 4, block_bytes=20_000, **kw)
     assert sorted(c.select(cols).collect()) == sorted(a.select(cols).collect())
 
 
 def test_overlap_block_path_equals_broadcast(spark):
     bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    a = topk_overlap(bench, docs, 5, strategy="broadcast")
-    b = topk_overlap(bench, docs, 5, strategy="block", query_blocks=4, doc_buckets=3)
+    a = topk_overlap(bench, docs, 5, query_blocks=1, doc_blocks=1)
+    b = topk_overlap(bench, docs, 5, query_blocks=4, doc_blocks=3)
     cols = ["query_id", "rank", "doc_id", "score"]
     assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
 
@@ -80,6 +80,51 @@ def test_history_prefix_halo_buckets_equal_plain_window(spark):
         assert got == want, m
 
 
+def test_null_and_odd_vectors_take_no_part(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.5, 0.5]), (3, None), (4, [1.0]), (5, [None, 1.0]), (6, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk_similar(df, df, 2, query_id="vec_id", doc_id="vec_id", exclude_self=True).collect()
+    assert {(r.query_id, r["rank"], r.doc_id) for r in got} == {(1, 1, 2), (1, 2, 6), (2, 1, 1), (2, 2, 6), (6, 1, 2), (6, 2, 1)}
+
+
+def test_sparse_orders_stay_exact_with_a_hot_key(spark):
+    from inferframe.operators.chat import history_prefix
+    from inferframe.operators.ordered import dense_ordinal
+    rnd = random.Random(5)
+    rows = [(1 if i % 3 == 0 else 2 + i % 20, o, rnd.choice([None, 1, 2])) for i, o in enumerate(rnd.sample(range(10**7), 900))]
+    df = spark.createDataFrame(rows, "k int, s long, v int")
+    w = Window.partitionBy("k").orderBy("s")
+    want = {(r.k, r.s): r.n - 1 for r in df.withColumn("n", F.row_number().over(w)).collect()}
+    got = {(r.k, r.s): r.o for r in dense_ordinal(df, "k", "s", out="o", bucket_size=100, fan=50).collect()}
+    assert got == want
+    ref = df.withColumn("c", F.when((F.row_number().over(w) == 1) | ~F.col("v").eqNullSafe(F.lag("v").over(w)), 1).otherwise(0)) \
+        .withColumn("o", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    got = {(r.k, r.s): r.o for r in change_ordinal(df, "k", "s", "v", out="o", bucket_size=1000, fan=7).collect()}
+    assert got == {(r.k, r.s): r.o for r in ref.collect()}
+    turns = spark.createDataFrame([(1, 10 * t, "assistant", f"m{t}") for t in range(40)], "conv_id long, turn long, role string, text string")
+    got = {r.turn: r.n_history for r in history_prefix(turns, max_turns=3, bucket_size=4).collect()}
+    assert got == {10 * t: min(3, t) for t in range(40)}
+
+
+def test_repeated_fragments_count_once(spark):
+    from inferframe.operators.chat import assemble_content, assemble_tool_calls
+    c = spark.createDataFrame([(1, 0, "a", None, 5), (1, 0, "a", None, 5), (1, 1, "b", "stop", 6), (1, 2, "", None, 7), (1, 2, "", None, 7)],
+                              "request_id long, seq long, content string, finish_reason string, created long")
+    r = assemble_content(c).first()
+    assert (r.content, r.n_chunks, r.n_heartbeats) == ("ab", 3, 1)
+    t = spark.createDataFrame([(1, 0, 0, "id", "f", "{"), (1, 0, 0, "id", "f", "{"), (1, 1, 0, None, None, "}")],
+                              "request_id long, seq long, tool_index long, tool_id string, tool_name string, tool_args string")
+    r = assemble_tool_calls(t).collect()
+    assert len(r) == 1 and (r[0].tool_id, r[0].tool_name, r[0].arguments, r[0].n_fragments) == ("id", "f", "{}", 2)
+
+
+def test_tool_results_with_repeated_ids(spark):
+    from inferframe.operators.chat import attach_tool_results
+    calls = spark.createDataFrame([(1, 0, "x"), (1, 1, "x")], "request_id long, call_idx long, tool_call_id string")
+    res = spark.createDataFrame([(1, 1, "x", "ok")], "request_id long, call_idx long, tool_call_id string, tool_result string")
+    assert sorted((r.call_idx, r.tool_result) for r in attach_tool_results(calls, res).collect()) == [(0, None), (1, "ok")]
+
+
 def test_pack_embedding_batches_sparse_ids(spark):
     from inferframe.operators.retrieval import pack_embedding_batches
     rnd = random.Random(11)
