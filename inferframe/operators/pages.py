@@ -130,6 +130,7 @@ def pages_to_blocks(pages: DataFrame, key: str = "page_id", html: str = "html")
         own = F.when(tag == "", F.lit("")).otherwise(F.regexp_replace(piece, close + r".*", ""))
         after = F.when(tag == "", piece).otherwise(
             F.regexp_extract(piece, close + r"(.*)$", 1))
+        own = F.when(tag == "table", F.regexp_replace(own, r"\s+$", "")).otherwise(own)
         category = (F.when(tag == "h1", "Title").when(tag.startswith("h"), "Section-header")
                     .when(tag == "li", "List-item").when(tag == "table", "Table").otherwise("Text"))
         made = F.array(F.struct(category.alias("category"), own.alias("raw"), (tag != "").alias("keep")),

@@ -97,3 +97,60 @@ def test_dot_and_cosine(spark):
     assert out[0]["d"] == float(a @ b)
     assert abs(out[0]["c"] - float(a @ b / np.linalg.norm(a) / np.linalg.norm(b))) < 1e-12
     assert out[1]["c"] is None
+
+
+def test_flatten_options_all_levels_last_wins(spark):
+    from pyspark.sql import functions as F
+    from inferframe.functions import scalars as S
+    df = spark.createDataFrame([('{"a.b":"1","a":{"b":"2","c":{"d":{"e":[1,2]}}},"z":null}',)], "o string")
+    r = df.select(S.flatten_options("o").alias("m")).first().m
+    assert r == {"a.b": "2", "a.c.d.e": "[1,2]", "z": None}
+    assert df.select(F.size(S.flatten_options("o"))).first()[0] == 3
+
+
+def test_bbox_text_keeps_fractions(spark):
+    from pyspark.sql import functions as F
+    from inferframe.operators.requests import bbox_text
+    df = spark.range(1).select(bbox_text(F.array(F.lit(0.75), F.lit(1.5), F.lit(2.0))).alias("f"), bbox_text(F.array(F.lit(1), F.lit(2))).alias("i"))
+    assert tuple(df.first()) == ("[0.75, 1.5, 2]", "[1, 2]")
+
+
+def test_token_set_of_any_script(spark):
+    from inferframe.functions.scalars import token_set
+    df = spark.createDataFrame([("Über élève straße 東京 x2 x2",)], "t string")
+    assert df.select(token_set("t")).first()[0] == ["über", "élève", "straße", "東京", "x2"]
+
+
+def test_blocks_of_general_pages(spark):
+    from inferframe.operators.pages import pages_to_blocks, render_blocks
+    pages = [
+        (1, '<ARTICLE class="a"><h1 id=x>T &amp; U</h1>lead<p class="b">one &#233;&#x41;</p>tail<h2>S</h2><ul><li>i<li>j</ul></ARTICLE><footer>f</footer>'),
+        (2, "<body><script>var x='<p>no</p>'</script><nav>n</nav><p>only</p></body>"),
+        (3, "plain <b>text</b>"),
+        (4, "<main><table><tr><th>a</th><th>b</th></tr><tr><td>1</td><td>2</td></tr></table></main>"),
+        (5, None), (6, ""),
+    ]
+    got = pages_to_blocks(spark.createDataFrame(pages, "page_id long, html string"))
+    by = {}
+    for r in got.orderBy("page_id", "elem_idx").collect():
+        by.setdefault(r.page_id, []).append((r.category, r.text))
+    assert by[1] == [("Title", "T & U"), ("Text", "lead"), ("Text", "one éA"), ("Text", "tail"), ("Section-header", "S"),
+                     ("List-item", "i"), ("List-item", "j"), ("Page-footer", "f")]
+    assert by[2] == [("Text", "only")] and by[3] == [("Text", "plain text")]
+    assert by[4] == [("Table", "a | b\n1 | 2")] and 5 not in by and 6 not in by
+    doc = render_blocks(got.filter("page_id = 2"), "doctags").first().document
+    assert doc == "<doctag>\n<text>only</text>\n</doctag>"
+
+
+def test_schema_checks_never_pass_silently(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from inferframe.operators.validate import json_schema_errors
+    schema = {"$defs": {"E": {"enum": ["a", "b"]}}, "type": "object", "required": ["e"],
+              "properties": {"e": {"$ref": "#/$defs/E"}, "l": {"type": "array", "items": {"type": "object", "required": ["n"], "properties": {"n": {"type": "integer"}}}}}}
+    rows = ['{"e":"a"}', '{"e":123}', '{"l":[]}', '{"e":"b","l":[{"n":1},{}]}', "[]", "x", '{"e":"a","l":[{"n":"1"}]}']
+    df = spark.createDataFrame([(r,) for r in rows], "c string")
+    got = [r[0] for r in df.select(json_schema_errors("c", schema)).collect()]
+    assert got == [[], ["enum:e"], ["missing:e"], ["missing:l[].n"], ["not_object"], ["invalid_json"], ["type:l[].n"]]
+    with pytest.raises(ValueError):
+        json_schema_errors(F.lit("{}"), {"type": "object", "properties": {"a": {"oneOf": []}}})
