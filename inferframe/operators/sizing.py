@@ -1,7 +1,9 @@
-"""Size checks in front of broadcasts: a side is broadcast only when Spark's own size estimate of
-its plan is within a bound; otherwise the plan keeps a shuffle join (AQE may still convert it at
-runtime). The estimate comes from the optimised plan (literal rows, file sizes), in bytes, so nothing runs
-while a query is being built."""
+"""Size checks in front of broadcasts: a side is broadcast only when it is known to be small in
+bytes; otherwise the plan keeps a shuffle join (AQE may still convert it at runtime).
+
+Spark's size estimate of the optimised plan (literal rows, file sizes) answers without running
+anything. Only frames without an estimate (built from Python rows) are measured, by one job over
+at most a bounded number of their rows."""
 
 from __future__ import annotations
 
@@ -9,15 +11,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+DEFAULT_MAX_BROADCAST_ROWS = 100_000
+_UNKNOWN = 1 << 60
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Spark's size estimate of df, an upper bound for scans, projections, filters and aggregations."""
+    """Spark's size estimate of df; at least 2^60 where it knows nothing."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def measured_bytes(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> int | None:
+    """Bytes of df as JSON, None if it has more than ``max_rows`` rows."""
+    size = F.octet_length(F.to_json(F.struct(*[df[f"`{c}`"] for c in df.columns])))
+    n, total = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return total if n <= max_rows else None
+
+
 def fits(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    return estimated_bytes(df) <= max_bytes
+    size = estimated_bytes(df)
+    if size >= _UNKNOWN:
+        size = measured_bytes(df)
+    return size is not None and size <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:

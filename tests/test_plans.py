@@ -4,9 +4,10 @@ queries, broadcast of small dimensions, pruned scans."""
 import pytest
 
 import __spark_entry__ as E
+from inferframe.plans import catalog
 from tests.conftest import SF_SMALL
 
-Q = E.queries()
+Q = {k: v for k, v in E.queries().items() if k in catalog.QUERIES}
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
             "FlatMapCoGroupsInPandas", "PythonUDF")
 
@@ -30,6 +31,17 @@ def test_builtin_queries_stay_in_the_jvm(spark, name):
     assert not any(n in p for n in PY_NODES), name
 
 
+@pytest.mark.parametrize("name", ["rsp_chat", "rsp_completion", "rsp_transcript", "rsp_outcome", "ag_outcomes", "rsp_embeddings",
+                                  "rsp_tool_calls", "jn_dispatch", "val_tool_args", "jn_reconcile", "jn_pending"])
+def test_response_queries_call_nothing(spark, name):
+    p = plan(Q[name](spark, SF_SMALL))
+    assert not any(n in p for n in PY_NODES), name
+
+
+def test_pass_rate_reads_each_table_once(spark):
+    assert plan(Q["ag_pass_rate"](spark, SF_SMALL)).count("FileScan parquet") == 2
+
+
 @pytest.mark.parametrize("name", ["jn_prompt", "jn_dispatch", "jn_profiles", "jn_model"])
 def test_small_dimensions_are_broadcast(spark, name):
     assert "BroadcastHashJoin" in plan(Q[name](spark, SF_SMALL))
