@@ -5,14 +5,18 @@ classes are those of the graph "share a bucket and are confirmed". Members that
 connected need no further comparison, so each round compares only a few *centres* of every
 unfinished bucket with the members outside the centres' classes:
 
-* round 1 takes the smallest node of every bucket: linear in the bucket rows, and enough for a
-  family of copies;
-* later rounds take the next 4, 16, 64, ... nodes of buckets that still hold several classes.
+* round 1 takes one centre per bucket: linear in the bucket rows, and enough for a family of copies
+  around one text when the centre is that text. The caller gives members a weight: the
+  lightest member is the centre, so a caller that can tell central nodes says so there. It may
+  also leave out members that it can prove to have no link in the bucket, and say of a pair that it
+  can't be confirmed;
+* later rounds take the next 16, 256, 4096, ... nodes of buckets that still hold several classes.
 
 A bucket is finished when its members form one class or all but one of them have been centres:
 then every pair in it was compared or was already connected. No pair is dropped, no bucket is
-capped. A bucket of n mutually unconfirmed members costs its n(n-1)/2 comparisons, the price of
-exactness, spread over rounds and tasks; bucket keys are chosen selective so that this is rare.
+capped. A bucket of n members that are neither confirmed nor left out costs its n(n-1)/2
+comparisons, the price of exactness, spread over rounds and tasks; bucket keys are chosen selective
+so that this is rare.
 
 All state between rounds is written to the shared folder, links included: nothing is collected.
 """
@@ -21,12 +25,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inferframe.llm.shared import written
 
-GROWTH = 4
+GROWTH = 16
 
 
 def star_labels(edges: DataFrame) -> DataFrame:
@@ -57,31 +61,40 @@ def star_labels(edges: DataFrame) -> DataFrame:
     return leaves.unionByName(state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def linked(rows: DataFrame, prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame | None:
+Confirm = Callable[[DataFrame], DataFrame]
+Possible = Callable[[Column, Column], Column]
+
+
+def linked(rows: DataFrame, prepare: Callable[[DataFrame], tuple[Confirm, DataFrame, Possible]]) -> DataFrame | None:
     """(node, root) of all nodes with a confirmed link; None when there is none.
 
     rows: (bucket, node), each pair once.
-    prepare: gets the nodes (node) that share a bucket with another, returns the function that
-    takes distinct candidate pairs (a, b) and returns the confirmed ones."""
+    prepare: gets the rows (bucket, node) of buckets with two members or more. Returns a function
+    that takes distinct candidate pairs (a, b) and returns the confirmed ones; the members (bucket,
+    node, weight, info) to compare; and a condition on two members' info that every link meets."""
     # tables that meet again on the bucket are written first: the join then has an exchange of its
     # own on either side, which adaptive execution can split where one bucket is hot
-    centre = written(rows.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("n"))
-                     .where("n > 1").select("bucket", "centre"), "centres")
-    spread = written(rows.join(centre, "bucket").select("bucket", "node", "centre"), "buckets")
-    nodes = written(spread.select("node").distinct(), "nodes")
-    if not nodes.limit(1).count():
+    several = written(rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "several")
+    spread = written(rows.join(several, "bucket").select("bucket", "node"), "buckets")
+    if not spread.limit(1).count():
         return None
-    confirm = prepare(nodes)
-    pairs = spread.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    confirm, spread, possible = prepare(spread)
+    spread = written(spread.select("bucket", "node", "weight", "info"), "weighed")
+    lightest = F.struct("weight", "node", "info")
+    centre = written(spread.groupBy("bucket").agg(F.min(lightest).alias("c"), F.count("*").alias("n"))
+                     .where("n > 1").select("bucket", F.col("c.node").alias("centre"), F.col("c.info").alias("centre_info")), "centres")
+    spread = written(spread.join(centre, "bucket"), "members")
+    may = possible(F.col("info"), F.col("centre_info"))
+    pairs = spread.where((F.col("node") != F.col("centre")) & may).select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
     links = written(confirm(written(pairs.distinct(), "pairs")), "links")
-    open_rows, roots, tried, width = spread, None, 1, GROWTH
+    open_rows, roots, tried, width = spread.select("bucket", "node", "weight", "info"), None, 1, GROWTH
     while True:
         if links.limit(1).count():
             roots = written(star_labels(links), "roots")
-        labelled = open_rows.select("bucket", "node")
+        labelled = open_rows.select("bucket", "node", "weight", "info")
         if roots is not None:
             labelled = labelled.join(roots, "node", "left") \
-                .select("bucket", "node", F.coalesce("root", "node").alias("class"))
+                .select("bucket", "node", "weight", "info", F.coalesce("root", "node").alias("class"))
         else:
             labelled = labelled.withColumn("class", F.col("node"))
         labelled = written(labelled, "labelled")
@@ -92,22 +105,22 @@ def linked(rows: DataFrame, prepare: Callable[[DataFrame], Callable[[DataFrame],
             return roots
         open_rows = written(labelled.join(still, "bucket"), "open")
         centres = written(next_centres(open_rows, tried, width), "centres")
-        pairs = open_rows.join(centres, "bucket").where("class <> centre_class") \
+        pairs = open_rows.join(centres, "bucket").where((F.col("class") != F.col("centre_class")) & may) \
             .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
         links = written(links.unionByName(confirm(written(pairs.distinct(), "pairs"))), "links")
         tried, width = tried + width, width * GROWTH
 
 
 def next_centres(rows: DataFrame, tried: int, width: int) -> DataFrame:
-    """Members number tried + 1 ... tried + width of each bucket, by node order.
+    """Members number tried + 1 ... tried + width of each bucket, lightest first.
 
-    A rank per bucket in two steps: the smallest `tried + width` nodes of each (bucket, salt),
+    A rank per bucket in two steps: the first `tried + width` nodes of each (bucket, salt),
     then of each bucket, so no task sorts a whole hot bucket."""
     top = tried + width
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(64)))
-    part = Window.partitionBy("bucket", "salt").orderBy("node")
-    whole = Window.partitionBy("bucket").orderBy("node")
+    part = Window.partitionBy("bucket", "salt").orderBy("weight", "node")
+    whole = Window.partitionBy("bucket").orderBy("weight", "node")
     return salted.withColumn("r", F.row_number().over(part)).where(F.col("r") <= top) \
         .withColumn("r", F.row_number().over(whole)) \
         .where((F.col("r") <= top) & (F.col("r") > tried)) \
-        .select("bucket", F.col("node").alias("centre"), F.col("class").alias("centre_class"))
+        .select("bucket", F.col("node").alias("centre"), F.col("class").alias("centre_class"), F.col("info").alias("centre_info"))

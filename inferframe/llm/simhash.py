@@ -202,7 +202,10 @@ def near_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
         bits = sum((F.bit_count(half("a", i).bitwiseXOR(half("b", i))) for i in (0, 1)), F.lit(0))
         return pairs.where(bits <= radius)
 
-    roots = linked(rows, lambda nodes: confirm)
+    def prepare(spread: DataFrame):
+        return confirm, spread.withColumn("weight", F.lit(0.0)).withColumn("info", F.lit(0)), lambda x, y: F.lit(True)
+
+    roots = linked(rows, prepare)
     if roots is None:
         return classes.select(F.col("node").alias("fingerprint"), F.col("first_id").alias("near_class"))
     rooted = classes.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))

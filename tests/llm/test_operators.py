@@ -245,6 +245,34 @@ def test_min_and_max_estimate_similarity():
     assert abs(math.sqrt(same) - j) < 0.08  # a band of one minimum and one maximum agrees with j squared
 
 
+def test_a_family_with_far_copies_costs_its_members(spark):
+    # one text, near copies of it, and copies too far from anything: linear work, exact result
+    r, vocab = random.Random(11), vocabulary(900, 2)
+    base = [r.choice(vocab) + str(i) for i in range(150)]
+    docs = []
+    for i in range(120):
+        w = list(base)
+        for j in r.sample(range(150), r.choice([0, 1, 2, 3, 6, 8, 12])):
+            w[j] = f"own{i}x{j}"
+        docs.append((i, " ".join(w)))
+    want = [(d, n, c) for (d, _), (n, c) in zip(docs, brute.components(docs, 3, 85), strict=True)]
+    seen = []
+    real = minhash.linked
+
+    def counted(rows, prepare):
+        def watched(spread):
+            confirm, members, possible = prepare(spread)
+            return (lambda pairs: (seen.append(pairs.count()), confirm(pairs))[1]), members, possible
+        return real(rows, watched)
+
+    minhash.linked = counted
+    try:
+        out = got(minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 3, 85), "doc_id", "n_shingles", "component_id")
+    finally:
+        minhash.linked = real
+    assert out == wanted(want) and sum(seen) < 3 * len(docs)
+
+
 def test_components_of_chains_need_no_all_pairs(spark):
     # one bucket of 60 nodes; links only between neighbours on a line, and some nodes alone
     confirmed = []
@@ -253,7 +281,7 @@ def test_components_of_chains_need_no_all_pairs(spark):
         def confirm(pairs):
             confirmed.append(pairs.count())
             return pairs.where((F.col("b") - F.col("a") == 1) & (F.col("b") < 40))
-        return confirm
+        return confirm, nodes.select("bucket", "node", F.lit(0.0).alias("weight"), F.lit(0).alias("info")), lambda x, y: F.lit(True)
 
     rows = spark.range(60).select(F.lit(1).alias("bucket"), F.col("id").alias("node"))
     roots = dict(components.linked(rows, prepare).collect())
@@ -265,7 +293,7 @@ def test_components_of_chains_need_no_all_pairs(spark):
         def confirm(pairs):
             confirmed.append(pairs.count())
             return pairs
-        return confirm
+        return confirm, nodes.select("bucket", "node", F.lit(0.0).alias("weight"), F.lit(0).alias("info")), lambda x, y: F.lit(True)
 
     assert dict(components.linked(star, prepare_star).collect()) == {i: 1 for i in range(1, 500)}
     assert sum(confirmed) == 498  # a family of copies costs one comparison per member
