@@ -9,7 +9,9 @@
 * ``stream_assemble_content_sessions`` is the built-in form for streams without reliable finish
   markers: a request's stream ends with an inactivity gap (``session_window``), so a longer pause
   splits a message.
-* ``stream_assemble_tool_calls`` (ST2) keeps one state per (request, tool index): the fragments
+* ``stream_tool_call_snapshots`` (ST2, built-in operators only) is an aggregation in update mode; it is the faster
+  form for streams that end (backfills, ``availableNow``), as its state lasts as long as the query.
+* ``stream_assemble_tool_calls`` (ST2, for endless streams) keeps one state per (request, tool index): the fragments
   seen so far, as runs where ``seq`` is contiguous. Every micro-batch emits the changed calls; the sink keeps the
   latest row per call. A call's state goes when the watermark passes its last fragment plus ``ttl``.
 """
@@ -192,3 +194,17 @@ def stream_assemble_tool_calls(chunks: DataFrame, *, watermark: str = "1 hour",
            .withColumn("ts_ms", (F.unix_micros("ts") / 1000).cast("bigint")))
     return (src.groupBy("request_id", "tool_index").applyInPandasWithState(
         _call_state_fn(ttl_ms), CALL_OUT, CALL_STATE, "update", GroupStateTimeout.EventTimeTimeout))
+
+
+def stream_tool_call_snapshots(chunks: DataFrame) -> DataFrame:
+    """ST2 as a streaming aggregation in update mode, same columns as `stream_assemble_tool_calls`: a
+    call's fragments may come at any time, out of order and twice. State is kept until the query ends."""
+    def first(c: str):
+        return F.min(F.when(F.col(c).isNotNull(), F.struct(F.col("seq").alias("s"), F.col(c).alias("v"))))
+
+    agg = chunks.groupBy("request_id", "tool_index").agg(
+        F.collect_set(F.struct("seq", "tool_args")).alias("_f"), first("tool_id").alias("_id"), first("tool_name").alias("_name"))
+    return agg.select(
+        "request_id", "tool_index", F.col("_id.v").alias("tool_id"), F.col("_name.v").alias("tool_name"),
+        F.array_join(F.transform(F.array_sort("_f"), lambda x: x["tool_args"]), "").alias("arguments"),
+        F.size("_f").cast("bigint").alias("n_fragments"))
