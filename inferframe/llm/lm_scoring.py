@@ -49,6 +49,7 @@ from inferframe.llm.shared import crc_mod, ship, written
 FOLDS, HELD = 10, 0
 ADD = 0.1
 SHARD_TOKENS = 400_000
+BLOCK_BYTES = 4 << 20
 LAMBDA_BLOCKS = 16
 LAMBDA_LEAST, LAMBDA_MOST, LAMBDA_NONE = 0.02, 0.98, 0.9
 CLASSES = 64
@@ -76,7 +77,7 @@ def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     from pyspark import TaskContext
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
-        for i, j, data, offsets in T.slices(batch.column(2)):
+        for i, j, data, offsets in T.slices(batch.column(2), BLOCK_BYTES):
             word, first = T.words(T.lower_ascii(data), offsets)
             vocab, tokens = np.unique(word, return_inverse=True)
             learn = np.asarray(batch.column(1).slice(i, j - i).to_pylist(), bool)

@@ -33,7 +33,7 @@ from inferframe.llm.token_counts import byte_letters
 
 WINDOW = 4096
 END_ID = 2
-CACHE = 300_000
+CACHE = 100_000
 _encoders: dict = {}
 
 

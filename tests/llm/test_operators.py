@@ -165,7 +165,7 @@ def test_packing_round_trip(docs, rows, empty, window):
 
 def test_scores_equal_a_plain_model(docs, rows, empty, monkeypatch):
     monkeypatch.setattr(lm_scoring, "SHARD_TOKENS", 700)
-    monkeypatch.setattr(textcore, "SLICE_BYTES", 900)
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 900)
     uni, bi = brute.lm(rows)
     out = lm_scoring.score(docs).collect()
     have = wanted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens) for r in out)
