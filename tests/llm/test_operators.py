@@ -202,6 +202,33 @@ def test_scores_equal_a_plain_model(docs, rows, empty, monkeypatch):
     assert lm_scoring.score(empty).count() == 0
 
 
+def test_weights_cover_all_blocks(docs, rows, monkeypatch):
+    # more than 16 blocks, cut in two ways: one rule, the plain model's
+    monkeypatch.setattr(lm_scoring, "SHARD_TOKENS", 700)
+    uni, bi = brute.lm(rows)
+    once, all_ = [0] * lm_scoring.CLASSES, [0] * lm_scoring.CLASSES
+    for d, t in rows:
+        if d is not None and zlib.crc32(str(d).encode()) % 10:
+            w = ["<b>", *brute.words(t), "<e>"]
+            for h, x in zip(w, w[1:], strict=False):
+                once[int(math.log2(uni[h]))] += bi[h, x] == 1
+                all_[int(math.log2(uni[h]))] += 1
+    lam = [min(max(o / n, 0.02), 0.98) if n else 0.9 for o, n in zip(once, all_, strict=True)]
+    total, v = brute.base_score("", uni)[3:]
+    p = lambda x: (uni[x] + 0.1) / (total + 0.1 * (v + 1))
+    want = {}
+    for d, t in rows:
+        w, s = ["<b>", *brute.words(t), "<e>"], 0.0
+        for h, x in zip(w, w[1:], strict=False):
+            a = lam[int(math.log2(uni[h]))] if uni[h] else 1.0
+            s += math.log10(((1 - a) * bi[h, x] / uni[h] if uni[h] else 0.0) + a * p(x))
+        want[d, len(w) - 1] = s
+    for parts in (24, 40):
+        assert lm_scoring.blocks(docs.repartition(parts)).count() > 16
+        for r in lm_scoring.score(docs.repartition(parts)).collect():
+            assert math.isclose(r.score, want[r.doc_id, r.n_tokens], rel_tol=1e-9), r
+
+
 def test_probabilities_of_a_history_add_up(docs, rows):
     uni, bi = brute.lm(rows)
     total, v = brute.base_score("", uni)[3:]
