@@ -10,8 +10,8 @@ Training: document labels (`quality` 0 or 1) stand in for line labels. Lines of
 are content. Lines of bad documents start as boilerplate and are then relabelled twice by the
 fitted chain, each bad document keeping at least its most suspicious line; so clean lines inside
 bad documents come out as content. At most `TRAIN_DOCS` labelled documents are used (the first by
-a hash of doc_id), the documented bound of what reaches the driver: one small integer per line and
-indicator, of at most `TRAIN_LINES` lines per document. Decoding covers every line of every text.
+a hash of doc_id), the documented bound of what reaches the driver: one small integer per indicator
+of each of their lines. Training takes every line of these documents, decoding every line of every text.
 
 A text is rejected beforehand (`base_failed`) below `MIN_WORDS` words, or when more than
 `MAX_REPEAT_PERCENT` of its words lie in 8-word windows found twice or more.
@@ -40,7 +40,6 @@ MAX_REPEAT_PERCENT = 30
 WINDOW_WORDS = 8
 MIN_CONTENT_SHARE = 0.5
 TRAIN_DOCS = 2000
-TRAIN_LINES = 64
 
 #: upper bucket edges of each indicator group; a group of k edges has k + 1 indicators
 EDGES = {
@@ -176,68 +175,82 @@ def viterbi(emit: np.ndarray, trans: np.ndarray) -> np.ndarray:
     return out
 
 
-def _expectations(emit: np.ndarray, mask: np.ndarray, trans: np.ndarray):
-    """Forward-backward over padded sequences (docs, lines, 2): label and transition marginals."""
-    d, n, _ = emit.shape
-    fwd = np.zeros((d, n, 2))
-    fwd[:, 0] = emit[:, 0]
-    for i in range(1, n):
-        step = np.logaddexp(fwd[:, i - 1, 0, None] + trans[0], fwd[:, i - 1, 1, None] + trans[1]) + emit[:, i]
-        fwd[:, i] = np.where(mask[:, i, None], step, fwd[:, i - 1])
-    bwd = np.zeros((d, n, 2))
-    for i in range(n - 2, -1, -1):
-        nxt = emit[:, i + 1] + bwd[:, i + 1]
-        step = np.logaddexp(nxt[:, 0, None] + trans[:, 0], nxt[:, 1, None] + trans[:, 1])
-        bwd[:, i] = np.where(mask[:, i + 1, None], step, bwd[:, i + 1])
-    z = np.logaddexp(fwd[:, -1, 0], fwd[:, -1, 1])[:, None, None]
-    label = np.exp(fwd + bwd - z) * mask[:, :, None]
-    pair = np.zeros((2, 2))
-    if n > 1:
-        joint = fwd[:, :-1, :, None] + trans + (emit + bwd)[:, 1:, None, :] - z[..., None]
-        pair = (np.exp(np.minimum(joint, 0)) * mask[:, 1:, None, None]).sum((0, 1))
-    return label, pair
+def _chain(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Log-space product of 2 x 2 matrices, row by row."""
+    return np.logaddexp(x[:, :, 0, None] + y[:, 0, None, :], x[:, :, 1, None] + y[:, 1, None, :])
+
+
+def _expectations(emit: np.ndarray, rank: np.ndarray, tail: np.ndarray, trans: np.ndarray):
+    """Forward-backward over all texts at once: label and transition marginals, log partition sums. emit is (lines, 2) of texts one
+    after the other; `rank` and `tail` count a line's predecessors and successors in its text. Products of the
+    step matrices double their reach each turn, so a long text costs the logarithm of its lines in turns."""
+    step = trans + emit[:, None, :]
+    fwd, bwd = np.where((rank == 0)[:, None, None], emit[:, None, :], step), np.zeros((len(emit), 2, 2))
+    inner = np.flatnonzero(tail > 0)
+    bwd[inner] = step[inner + 1]
+    reach = 1
+    while reach <= rank.max():
+        i, j = np.flatnonzero(rank >= reach), np.flatnonzero(tail > reach)
+        fwd[i] = _chain(fwd[i - reach], fwd[i])
+        bwd[j] = _chain(bwd[j], bwd[j + reach])
+        reach *= 2
+    alpha = fwd[:, 0]
+    beta = np.where((tail > 0)[:, None], np.logaddexp(bwd[:, :, 0], bwd[:, :, 1]), 0.0)
+    last = np.arange(len(emit)) + tail
+    z = np.logaddexp(alpha[last, 0], alpha[last, 1])[:, None]
+    label = np.exp(alpha + beta - z)
+    joint = alpha[inner, :, None] + step[inner + 1] + beta[inner + 1, None, :] - z[inner, :, None]
+    return label, np.exp(np.minimum(joint, 0)).sum(0), z[rank == 0, 0]
 
 
 def fit(docs: list[tuple[int, np.ndarray]], rounds: int = 3, steps: int = 60) -> tuple[np.ndarray, np.ndarray]:
     """Weights (features, 2) and transitions (2, 2) from (quality, line features) of documents."""
     weight, trans = np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
     weight[:, 0] += 1e-3
-    docs = [(q, x[:TRAIN_LINES]) for q, x in docs if len(x)]
+    docs = [(q, x) for q, x in docs if len(x)]
     if len({q for q, _ in docs}) < 2:
         return weight, trans
-    longest = max(len(x) for _, x in docs)
     quality = np.array([q for q, _ in docs])
-    feats = np.full((len(docs), longest, len(EDGES)), N_FEATURES)
-    mask = np.zeros((len(docs), longest), bool)
-    for i, (_, x) in enumerate(docs):
-        feats[i, :len(x)], mask[i, :len(x)] = x, True
+    size = np.array([len(x) for _, x in docs])
+    first = np.cumsum(size) - size
+    feats = np.concatenate([x for _, x in docs])
+    doc = np.repeat(np.arange(len(docs)), size)
+    rank = np.arange(len(feats)) - first[doc]
+    tail = size[doc] - 1 - rank
+    inner = np.flatnonzero(tail > 0)
     # both kinds of document weigh the same
-    balance = np.where(quality == 1, 0.5 / (quality == 1).mean(), 0.5 / (quality == 0).mean())[:, None] * mask
-    truth = np.broadcast_to((quality == 0)[:, None], mask.shape) & mask
-    flat = feats[mask]
+    balance = np.where(quality == 1, 0.5 / (quality == 1).mean(), 0.5 / (quality == 0).mean())[doc]
+    bad_line = (quality == 0)[doc]
+    truth = bad_line
+    emission = lambda: sum(weight[feats[:, g]] for g in range(len(EDGES)))
     for turn in range(rounds):
-        gold = np.stack([mask & ~truth, truth], axis=2).astype(float)
-        seen_pair = np.stack([[(gold[:, :-1, a] * gold[:, 1:, b]).sum() for b in (0, 1)] for a in (0, 1)])
+        gold = np.stack([~truth, truth], axis=1).astype(float)
+        seen_pair = gold[inner].T @ gold[inner + 1]
         square_w, square_t = np.full_like(weight, 1e-6), np.full((2, 2), 1e-6)
+        best = (-np.inf, weight, trans)
         for _ in range(steps):
-            padded = np.vstack([weight, np.zeros((1, 2))])
-            emit = padded[feats].sum(2)
-            label, pair = _expectations(emit, mask, trans)
-            delta = ((gold - label) * balance[:, :, None])[mask]
-            grad = np.stack([np.bincount(flat.ravel(), np.repeat(delta[:, c], len(EDGES)), N_FEATURES) for c in (0, 1)],
+            emit = emission()
+            label, pair, z = _expectations(emit, rank, tail, trans)
+            fits = (emit * gold * balance[:, None]).sum() + (trans[truth[inner].astype(int), truth[inner + 1].astype(int)] * balance[inner]).sum() \
+                - (z * balance[first]).sum() - 5e-4 * len(docs) * ((weight ** 2).sum() + (trans ** 2).sum())
+            if fits > best[0]:
+                best = fits, weight.copy(), trans.copy()
+            delta = (gold - label) * balance[:, None]
+            grad = np.stack([sum(np.bincount(feats[:, g], delta[:, c], N_FEATURES) for g in range(len(EDGES))) for c in (0, 1)],
                             axis=1) / len(docs) - 1e-3 * weight
             grad_t = (seen_pair - pair) / len(docs) - 1e-3 * trans
             square_w += grad ** 2
             square_t += grad_t ** 2
             weight += 0.3 * grad / np.sqrt(square_w)
             trans += 0.1 * grad_t / np.sqrt(square_t)
+        # over long texts a step can overshoot: the likeliest weights of the round go on
+        _, weight, trans = best
         if turn < rounds - 1:
-            emit = np.vstack([weight, np.zeros((1, 2))])[feats].sum(2)
-            label, _ = _expectations(emit, mask, trans)
-            bad = label[:, :, 1] > 0.5
-            worst = np.where(mask, label[:, :, 1], -1).argmax(1)
-            bad[np.arange(len(docs)), worst] = True
-            truth = bad & mask & (quality == 0)[:, None]
+            suspicion = _expectations(emission(), rank, tail, trans)[0][:, 1]
+            bad = suspicion > 0.5
+            order = np.lexsort((rank, -suspicion, doc))
+            bad[order[first]] = True  # the first line of the highest value
+            truth = bad & bad_line
     return weight, trans
 
 
@@ -245,7 +258,7 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for batch in batches:
         for i, j, data, offsets in T.slices(batch.column(1)):
             lines = Lines(data, offsets)
-            rows = [lines.features[a:b][:TRAIN_LINES].astype("<i2").tobytes()
+            rows = [lines.features[a:b].astype("<i2").tobytes()
                     for a, b in zip(lines.line_at[:-1], lines.line_at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(rows, pa.binary())],
                                              names=["quality", "features"])

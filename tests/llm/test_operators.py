@@ -368,6 +368,41 @@ def test_trained_lines_on_held_out_documents(spark):
     assert np.mean([r.kept for r in rows if r.quality == 1]) > 0.95
 
 
+def test_training_covers_every_line(spark):
+    # long texts: junk only after their first hundred lines
+    r, vocab = random.Random(21), vocabulary(300, 5)
+    clean = lambda n: [" ".join(r.choice(vocab) for _ in range(9)) + "." for _ in range(n)]
+    junk = lambda n: [f"BUY {r.randint(0, 99)} !!! $$$ CLICK | NOW {r.randint(0, 99999)} ***" for _ in range(n)]
+    docs = [(i, "\n".join(clean(200) if i % 2 else clean(100) + junk(100))) for i in range(20)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    share = {x.doc_id: x.content_share for x in line_crf.line_quality(frame, line_crf.train(frame, labels)).collect()}
+    words = {i: [len(x.split()) for x in t.split("\n")] for i, t in docs}
+    for i in range(20):  # no junk line counts as content
+        assert share[i] > 0.95 if i % 2 else share[i] < sum(words[i][:100]) / sum(words[i]) + 0.05, (i, share[i])
+
+
+def test_marginals_equal_all_sequences():
+    import itertools
+    r = np.random.default_rng(9)
+    sizes = [1, 2, 7, 1, 5, 8]
+    emit, trans = r.normal(size=(sum(sizes), 2)), r.normal(size=(2, 2))
+    rank = np.concatenate([np.arange(n) for n in sizes])
+    tail = np.concatenate([np.arange(n)[::-1] for n in sizes])
+    label, pair, _ = line_crf._expectations(emit, rank, tail, trans)
+    want, want_pair, at = np.zeros_like(emit), np.zeros((2, 2)), 0
+    for n in sizes:
+        seqs = list(itertools.product((0, 1), repeat=n))
+        p = np.exp([sum(emit[at + i, y] for i, y in enumerate(s)) + sum(trans[a, b] for a, b in itertools.pairwise(s)) for s in seqs])
+        for s, x in zip(seqs, p / p.sum(), strict=True):
+            for i, y in enumerate(s):
+                want[at + i, y] += x
+            for a, b in itertools.pairwise(s):
+                want_pair[a, b] += x
+        at += n
+    assert np.allclose(label, want) and np.allclose(pair, want_pair)
+
+
 # ------------------------------------------------------------------------------- op 7
 
 def test_edited_texts(docs, rows, empty, monkeypatch):
