@@ -9,8 +9,8 @@ by gradient ascent on the conditional likelihood; decoding is Viterbi over the t
 Training: document labels (`quality` 0 or 1) stand in for line labels. Lines of good documents
 are content. Lines of bad documents start as boilerplate and are then relabelled twice by the
 fitted chain, each bad document keeping at least its most suspicious line; so clean lines inside
-bad documents come out as content. At most `TRAIN_DOCS` labelled documents are used (the first by
-a hash of doc_id), the documented bound of what reaches the driver: one small integer per indicator
+bad documents come out as content. At most `TRAIN_DOCS` labelled documents are used (the first of
+each kind by a hash of doc_id, half of them from either kind or more where the other has fewer), the documented bound of what reaches the driver: one small integer per indicator
 of each of their lines. Training takes every line of these documents, decoding every line of every text.
 
 A text is rejected beforehand (`base_failed`) below `MIN_WORDS` words, or when more than
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from inferframe.llm import textcore as T
-from inferframe.llm.shared import ship
+from inferframe.llm.shared import ship, written
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -267,10 +267,13 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> tuple[np.ndarray, np.ndarray]:
     """Fit the chain on at most `max_docs` labelled documents."""
     ship(docs.sparkSession)
-    sample = labels.where(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").alias("__id")) \
-        .agg(F.min(F.col("quality").cast("int")).alias("__quality")) \
-        .join(docs.select(F.col("doc_id").alias("__id")).distinct(), "__id", "left_semi") \
-        .orderBy(F.xxhash64("__id"), "__id").limit(max_docs)
+    known = written(labels.where(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").alias("__id"))
+                    .agg(F.min(F.col("quality").cast("int")).alias("__quality"))
+                    .join(docs.select(F.col("doc_id").alias("__id")).distinct(), "__id", "left_semi"), "labelled")
+    n = dict(known.groupBy("__quality").count().collect())
+    bad = min(n.get(0, 0), max(max_docs // 2, max_docs - n.get(1, 0)))
+    first = lambda q, k: known.where(F.col("__quality") == q).orderBy(F.xxhash64("__id"), "__id").limit(k)
+    sample = first(0, bad).unionByName(first(1, max_docs - bad))
     text = docs.select(F.col("doc_id").alias("__id"), F.col("text").cast("string").alias("__text")) \
         .join(F.broadcast(sample), "__id").select("__quality", "__text")
     rows = text.mapInArrow(_feature_batches, "quality int, features binary").collect()

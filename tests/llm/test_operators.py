@@ -403,6 +403,26 @@ def test_marginals_equal_all_sequences():
     assert np.allclose(label, want) and np.allclose(pair, want_pair)
 
 
+def test_training_takes_both_kinds_where_one_is_rare(spark):
+    docs = spark.createDataFrame([(i, "BUY !!! $$$ NOW 99\n" * 5 if i % 50 == 7 else f"A quiet line of words, number {i}.\n" * 5)
+                                  for i in range(200)], "doc_id long, text string")
+    order = [r.doc_id for r in docs.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").collect()]
+    rare = order[-1]  # the last by the sample's hash
+    labels = docs.select("doc_id", (F.col("doc_id") != rare).cast("int").alias("quality"))
+    weight, _ = line_crf.train(docs, labels, max_docs=20)
+    assert not np.array_equal(weight, line_crf.fit([])[0])
+    # the bound is used up: 19 of the common kind, and all of one kind only where the other has none
+    seen, real = [], line_crf.fit
+    line_crf.fit = lambda found: (seen.append(sorted(q for q, _ in found)), real(found))[1]
+    try:
+        line_crf.train(docs, labels, max_docs=20)
+        line_crf.train(docs, docs.select("doc_id", (F.col("doc_id") % 2).alias("quality")), max_docs=20)
+        line_crf.train(docs, docs.select("doc_id", F.lit(1).alias("quality")), max_docs=20)
+    finally:
+        line_crf.fit = real
+    assert seen == [[0] + 19 * [1], 10 * [0] + 10 * [1], 20 * [1]]
+
+
 # ------------------------------------------------------------------------------- op 7
 
 def test_edited_texts(docs, rows, empty, monkeypatch):
