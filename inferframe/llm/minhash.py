@@ -40,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from inferframe.llm import textcore as T
 from inferframe.llm.components import linked
@@ -137,6 +138,12 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
                     miss: float = 1e-6) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text): documents are
     linked when 100 * |A and B| >= percent * |A or B| over distinct word shingles."""
+    return _judged(docs, shingle_words, percent, rows, miss).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def _judged(docs: DataFrame, shingle_words: int = 5, percent: int = 80, rows: int = 6, miss: float = 1e-6) -> DataFrame:
+    """doc_id, n_shingles, node (digest of the set), root (one node of its class), component_id of every row of docs."""
     if rows % 2:
         raise ValueError("rows counts minima and maxima in pairs: it must be even")
     spark = docs.sparkSession
@@ -158,16 +165,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
 
     roots = linked(banded, prepare)
     if roots is None:
-        named = classes.select("node", F.col("first_id").alias("component_id"))
+        named = classes.select("node", F.col("node").alias("root"), F.col("first_id").alias("component_id"))
     else:
         root = F.coalesce("root", "node")
         all_ = classes.join(roots, "node", "left").select("node", "first_id", root.alias("root"))
         names = all_.groupBy("root").agg(F.min("first_id").alias("component_id"))
-        named = written(all_.join(names, "root").select("node", "component_id"), "named")
+        named = written(all_.join(names, "root").select("node", "root", "component_id"), "named")
     out = sig.select("doc_id", "n_shingles", F.col("digest").alias("node")).join(named, "node", "left")
     name = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", name.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == name, F.lit(False)).alias("kept"))
+    return out.select("doc_id", "n_shingles", "node", "root", name.alias("component_id"))
 
 
 def _prepared(spread: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int):
@@ -222,14 +228,39 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     return written(found.join(nodes.select("node"), "node").dropDuplicates(["node"]), "sets")
 
 
+def _node_batches(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in T.slices(batch.column(0)):
+                sets, at = _sets(data, offsets, k)
+                digest = pa.array(_digests(sets, at), mask=np.diff(at) == 0)
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns[1:]), digest],
+                                                 names=[*batch.schema.names[1:], "__node"])
+    return run
+
+
 def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
-    """docs with one row of each class left, columns unchanged. Rows that repeat a doc_id stay or go
-    together, and those of equal text collapse to one (any of them); null ids stay unless a named copy exists."""
-    judged = written(near_duplicates(docs, **params), "judged")
-    lone_null = F.col("doc_id").isNull() & F.col("component_id").isNull()
-    keep = judged.where(F.col("kept") | lone_null).select("doc_id").groupBy("doc_id").agg(F.count("*").alias("same"))
+    """docs with one row of each class left, columns unchanged: a row of the smallest doc_id, or of a null id
+    where no row of the class has a name. Rows that repeat a doc_id, or have none, are told apart by their shingle
+    sets; those without shingles collapse to one (any of them) where doc_id and text are equal."""
+    judged = written(_judged(docs, **params), "judged")
+    same = written(judged.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("same"), F.first("component_id").alias("name"))
+                   .where("same > 1 or name = doc_id"), "same")
     key = docs["doc_id"].cast("long")
-    kept = docs.join(keep.toDF("__kept_id", "__same"), key.eqNullSafe(F.col("__kept_id")))
-    once = kept.where("__same = 1").drop("__kept_id", "__same")
-    repeated = kept.where("__same > 1").drop("__kept_id", "__same")
-    return once.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
+    # an id of one row stands for its row, without another look at the text
+    single = docs.join(same.where("same = 1").select(F.col("doc_id").alias("__kept_id")), key == F.col("__kept_id")).drop("__kept_id")
+    many = docs.join(same.where("same > 1").select(F.col("doc_id").alias("__kept_id")), key == F.col("__kept_id"), "left_semi") \
+        .unionByName(docs.where(key.isNull()))
+    hidden = [ST.StructField(f"__c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
+    extra = [ST.StructField("__id", ST.LongType()), ST.StructField("__text", ST.StringType()), ST.StructField("__node", ST.LongType())]
+    text = F.col("text").cast("string")
+    noded = many.select(text.alias("__in"), *(many[f"`{c}`"].alias(h.name) for c, h in zip(docs.columns, hidden, strict=True)),
+                        F.col("doc_id").cast("long").alias("__id"), text.alias("__text")) \
+        .mapInArrow(_node_batches(params.get("shingle_words", 5)), ST.StructType([*hidden, *extra]))
+    first = judged.where("n_shingles > 0").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("w")) \
+        .select(F.col("w.doc_id").alias("__first"), F.col("w.node").alias("__first_node"))
+    chosen = noded.where("__node is not null").join(
+        first, (F.col("__node") == F.col("__first_node")) & F.col("__id").eqNullSafe(F.col("__first")), "left_semi").dropDuplicates(["__node"])
+    bare = noded.where("__node is null").dropDuplicates(["__id", "__text"])
+    rest = chosen.unionByName(bare).select(*(F.col(h.name).alias(c) for c, h in zip(docs.columns, hidden, strict=True)))
+    return single.unionByName(rest)

@@ -259,6 +259,20 @@ def test_near_duplicates_keep_one_row(docs, rows, empty):
     assert {i for i in ids if i is not None} == want
 
 
+def test_one_row_of_each_class_stays_whatever_its_id(spark):
+    r, vocab = random.Random(31), vocabulary(400, 7)
+    a, b, c, d = ([r.choice(vocab) + str(i) for i in range(80)] for _ in range(4))
+    near = lambda w, i: " ".join([*w[:79], f"edit{i}"])
+    rows = [(1, " ".join(a)), (None, near(a, 1)),                      # a null id that copies a named document
+            (None, " ".join(b)), (None, near(b, 2)), (None, near(b, 3)),  # null ids near copies of each other
+            (5, " ".join(c)), (5, near(a, 4)), (5, near(c, 5)),        # one id: a kept row, copies of another and of itself
+            (9, " ".join(d)), (8, near(d, 6)), (10, ""), (None, ""), (None, None), (None, "")]
+    out = minhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=3, percent=85).collect()
+    kind = lambda t: t.split()[0] if t else t
+    assert wanted((x.doc_id, kind(x.text)) for x in out) == wanted(
+        [(1, a[0]), (None, b[0]), (5, c[0]), (8, d[0]), (10, ""), (None, ""), (None, None)])
+
+
 def test_min_and_max_estimate_similarity():
     import pyarrow as pa
     a = " ".join(f"w{i}" for i in range(400))
