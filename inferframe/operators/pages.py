@@ -99,8 +99,21 @@ def strip_tags(x: Column) -> Column:
 
 
 def _element(html: Column, tag: str) -> Column:
-    """Content of the first ``<tag ...>`` element, empty without one."""
-    return F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1)
+    """Content of all outermost ``<tag ...>`` elements in order, a blank between two; empty without one.
+    Where closing tags are missing, the content ends at the last one."""
+    opening, closing = rf"(?i)^<{tag}(?:\s[^>]*)?>", rf"(?i)^</{tag}\s*>"
+    pieces = F.split(html, rf"(?i)(?=<{tag}(?:\s[^>]*)?>|</{tag}\s*>)")
+
+    def step(s: Column, x: Column) -> Column:
+        opens, closes = x.rlike(opening), x.rlike(closing)
+        depth = F.when(opens, s["depth"] + 1).when(closes, F.greatest(s["depth"] - 1, F.lit(0))).otherwise(s["depth"])
+        gap = F.when(opens & (s["depth"] == 0) & (s["text"] != ""), " ").otherwise("")
+        text = F.when(depth > 0, F.concat(s["text"], gap, F.regexp_replace(x, rf"(?i)^</?{tag}(?:\s[^>]*)?>", ""))).otherwise(s["text"])
+        done = F.when(closes & (s["depth"] > 0), s["text"]).otherwise(s["done"])
+        return F.struct(depth.alias("depth"), text.alias("text"), done.alias("done"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.lit("").alias("done"))
+    return F.aggregate(pieces, start, step, lambda s: s["done"])
 
 
 _BLOCK = r"(?i)<(h[1-6]|p|li|table)(?:\s[^>]*)?>"
@@ -109,7 +122,7 @@ _BLOCK = r"(?i)<(h[1-6]|p|li|table)(?:\s[^>]*)?>"
 def pages_to_blocks(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """CV1: HTML page -> ordered blocks ``(elem_idx, category, text)``.
 
-    The text is that of ``<article>``, else ``<main>``, else ``<body>``, else the whole page, without scripts, styles,
+    The text is that of all ``<article>``, else ``<main>``, else ``<body>``, else the whole page, without scripts, styles,
     navigation and comments. It is cut at the opening tags of headings, paragraphs, list items and
     tables (closing tags are optional): ``Title`` (h1), ``Section-header`` (h2-h6), ``Text``, ``List-item``, ``Table``
     (cells joined by " | ", rows by line ends). Text outside such a tag is a ``Text`` block too. The page's footer comes
