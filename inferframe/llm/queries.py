@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from inferframe.llm import (langid, line_crf, lm_scoring, minhash, mixing, packing, simhash, token_counts,
-                            url_reputation, warc_revisits)
+from inferframe.llm import (langid, line_crf, lm_scoring, minhash, mixing, packing, simhash, suffix_dedup,
+                            token_counts, url_reputation, warc_revisits)
 from inferframe.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,3 +199,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.train(docs))
+
+
+@query("op12_suffix_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
