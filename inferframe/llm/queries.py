@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from inferframe.llm import (langid, line_crf, lm_scoring, minhash, mixing, packing, simhash, suffix_dedup,
-                            token_counts, url_reputation, warc_revisits)
+from inferframe.llm import (langid, line_crf, lm_scoring, minhash, mixing, packing, periodic_runs, simhash,
+                            suffix_dedup, token_counts, url_reputation, warc_revisits)
 from inferframe.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,6 +201,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.train(docs))
 
 
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(periodic_runs.with_periodic_tails(table(spark, sf_dir, "documents")))
+
+
 @query("op12_suffix_dedup")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))

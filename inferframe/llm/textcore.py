@@ -159,3 +159,13 @@ def reduce_rows(ufunc: np.ufunc, values: np.ndarray, at: np.ndarray, empty) -> n
     if len(full):
         out[full] = ufunc.reduceat(values, at[full], axis=0)
     return out
+
+
+def ordinals(sizes: np.ndarray) -> np.ndarray:
+    """0 .. size - 1 for each size, one after the other."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The pieces of `data` at starts, one after the other."""
+    return data[ordinals(sizes) + np.repeat(starts, sizes)]
