@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from inferframe.llm import (langid, line_crf, lm_scoring, minhash, mixing, packing, periodic_runs, simhash,
-                            suffix_dedup, token_counts, url_reputation, warc_revisits)
+from inferframe.llm import (hard_negatives, langid, line_crf, lm_scoring, minhash, mixing, packing, periodic_runs,
+                            simhash, suffix_dedup, token_counts, url_reputation, warc_revisits)
 from inferframe.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -209,3 +209,24 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_suffix_dedup")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
+
+
+@query("op13_spanning_tree_negatives", """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_dot_product(a.q, b.q)::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (select * from s where same qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select p.anchor_id, p.id as positive_id,
+  (row_number() over (partition by p.anchor_id, p.id order by s.score desc, s.id))::int as rank,
+  s.id as negative_id, p.score as positive_score, s.score as negative_score
+from p join s using (anchor_id) where not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score
+qualify row_number() over (partition by p.anchor_id, p.id order by s.score desc, s.id) <= 5
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = hard_negatives.with_moved_labels(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
