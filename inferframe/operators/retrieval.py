@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from inferframe.functions.scalars import token_set
 from inferframe.operators.requests import rerank_body
 from inferframe.operators.responses import explode_rerank
+from inferframe.session import shared_dir
 
 BLOCK_BYTES = 32 * 1024 * 1024
 _CELLS_PER_STEP = 4_000_000  # doc rows x queries scored at once inside a task
@@ -196,16 +197,18 @@ def usable_vectors(df: DataFrame, vector: str, dim: int) -> DataFrame:
 
 
 def topk_similar(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str = "query_id",
-                 doc_id: str = "doc_id", vector: str = "embedding", doc_cols=(), dim: int | None = None,
-                 exclude_self: bool = False, **kw) -> DataFrame:
+                 doc_id: str = "doc_id", vector: str = "embedding", doc_vector: str | None = None, doc_cols=(),
+                 dim: int | None = None, exclude_self: bool = False, **kw) -> DataFrame:
     """JN1: for every query vector, the k documents with the highest dot product
     (cosine for unit vectors), ties broken by ``doc_id``. Columns:
     ``query_id, doc_id, score, <doc_cols>, rank``. NULL vectors and vectors of another length
-    than ``dim`` (by default the most frequent one) take no part."""
+    than ``dim`` (by default the most frequent one) take no part. ``doc_vector``: the documents' column, if named
+    otherwise."""
+    doc_vector = doc_vector or vector
     if dim is None:
-        dim = docs.filter(F.col(vector).isNotNull()).agg(F.mode(F.size(vector))).first()[0] or 0
-    return similarity_topk(usable_vectors(queries, vector, dim), usable_vectors(docs, vector, dim), k, DotKernel(),
-                           query_id=query_id, doc_id=doc_id, q_val=vector, d_val=vector,
+        dim = docs.filter(F.col(doc_vector).isNotNull()).agg(F.mode(F.size(doc_vector))).first()[0] or 0
+    return similarity_topk(usable_vectors(queries, vector, dim), usable_vectors(docs, doc_vector, dim), k, DotKernel(),
+                           query_id=query_id, doc_id=doc_id, q_val=vector, d_val=doc_vector,
                            doc_cols=doc_cols, exclude_self=exclude_self, **kw)
 
 
@@ -293,13 +296,19 @@ def attach_rerank(candidates: DataFrame, results: DataFrame, *,
 
 def retrieve_then_rerank(queries: DataFrame, docs: DataFrame, answer: Callable[[DataFrame], DataFrame], *,
                          first_n: int, k: int, model: str = "reranker", query_id: str = "item_id",
-                         query_text: str = "text", doc_id: str = "doc_id", doc_text: str = "text") -> DataFrame:
-    """JN9: the ``first_n`` documents by shared tokens are sent for reranking, the best ``k`` of the
-    answer stay: ``query_id, rank, doc_id, relevance_score``. ``answer`` takes the requests
+                         query_text: str = "text", doc_id: str = "doc_id", doc_text: str = "text",
+                         candidates: DataFrame | None = None) -> DataFrame:
+    """JN9: the ``first_n`` documents of the first stage are sent for reranking, the best ``k`` of the
+    answer stay: ``query_id, rank, doc_id, relevance_score``. The first stage is the overlap of tokens, or ``candidates``
+    (query_id, doc_id, rank) as ``topk_similar`` or ``VectorIndex.topk`` give them. ``answer`` takes the requests
     (request_id, kind, body, query, documents, doc_ids) and returns responses with the same
-    request_id, e.g. by ``invoke``. Requests should be stored before sending (``durable``)."""
-    req = rerank_requests(queries, docs, first_n, model=model, query_id=query_id, query_text=query_text,
-                          doc_id=doc_id, doc_text=doc_text)
+    request_id, e.g. by ``invoke``. Requests are stored in the shared folder before they are sent: answers refer to
+    positions in the list that was sent, so the first stage must not run again."""
+    spark = queries.sparkSession
+    path = shared_dir(spark, "rerank-requests")
+    rerank_requests(queries, docs, first_n, model=model, query_id=query_id, query_text=query_text,
+                    doc_id=doc_id, doc_text=doc_text, candidates=candidates).write.parquet(path)
+    req = spark.read.parquet(path)
     results = explode_rerank(answer(req)).filter(F.col("parse_error").isNull()) \
         .select(F.col("request_id").alias("query_id"), "idx", "relevance_score")
     cand = candidates_with_idx(req.select(F.col("request_id").alias("query_id"), "doc_ids"))
@@ -309,11 +318,14 @@ def retrieve_then_rerank(queries: DataFrame, docs: DataFrame, answer: Callable[[
 
 def rerank_requests(queries: DataFrame, docs: DataFrame, first_n: int, *, model: str = "reranker",
                     query_id: str = "item_id", query_text: str = "text", doc_id: str = "doc_id",
-                    doc_text: str = "text") -> DataFrame:
+                    doc_text: str = "text", candidates: DataFrame | None = None) -> DataFrame:
     """First stage + AG2: one rerank request per query: request_id, kind, body, query, documents,
-    doc_ids, n_docs."""
-    cand = topk_overlap(queries, docs, first_n, query_id=query_id, query_text=query_text,
-                        doc_id=doc_id, doc_text=doc_text)
+    doc_ids, n_docs. ``candidates``: see ``retrieve_then_rerank``."""
+    if candidates is None:
+        cand = topk_overlap(queries, docs, first_n, query_id=query_id, query_text=query_text,
+                            doc_id=doc_id, doc_text=doc_text)
+    else:
+        cand = candidates.filter(F.col("rank") <= first_n).select("query_id", "doc_id", "rank")
     text = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(doc_text).alias("text"))
     packed = pack_rerank_request(cand.join(text, "doc_id"), query_col="query_id", order_col="rank")
     q = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(query_text).alias("query"))

@@ -8,6 +8,7 @@ from inferframe import refdata as R
 from inferframe.operators import responses as RS
 from inferframe.operators import retrieval as RT
 from inferframe.operators import requests as RQ
+from inferframe.operators.vector_index import VectorIndex
 from inferframe.plans import answers as AN
 from inferframe.plans.catalog import query
 from inferframe.plans.fixtures import tbl
@@ -37,6 +38,16 @@ def jn_topk(spark, sf):
     return knn(spark, sf)
 
 
+@query("jn_topk_index")
+def jn_topk_index(spark, sf):
+    """The same search through the index: probes calibrated for a recall above 0.9, true scores."""
+    emb = tbl(spark, sf, "embeddings")
+    index = VectorIndex.build(emb, doc_id="vec_id", doc_cols=["label"])
+    found = index.calibrate(emb, TOPK, query_id="vec_id", exclude_self=True)
+    r = index.topk(emb, TOPK, probes=found["probes"], query_id="vec_id", exclude_self=True)
+    return r.select("query_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", "label", "score")
+
+
 def first_stage(spark, sf, n=FIRST_STAGE_N):
     """Benchmark items as queries against all documents, token-overlap score."""
     bench = tbl(spark, sf, "benchmark")
@@ -144,6 +155,29 @@ def jn_two_stage(spark, sf):
     return r.select("query_id", F.col("rank").cast("bigint").alias("rank"), "doc_id")
 
 
+@query("jn_two_stage_vectors", sql=f"""
+WITH s AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS doc_id, list_dot_product(q.embedding::DOUBLE[], d.embedding::DOUBLE[]) AS score
+  FROM embeddings q JOIN embeddings d ON q.vec_id <> d.vec_id WHERE q.vec_id IN (SELECT doc_id FROM documents)),
+stage1 AS (
+  SELECT query_id, rank, r.doc_id, a.text AS qtext, b.text AS dtext FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s) r
+  JOIN documents a ON a.doc_id = query_id JOIN documents b ON b.doc_id = r.doc_id WHERE rank <= {FIRST_STAGE_N}),
+{SQL_RERANK}
+SELECT query_id, rank, doc_id FROM (
+  SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY relevance_score DESC, doc_id)::BIGINT AS rank
+  FROM rr WHERE fault NOT IN ('0', '1', '2'))
+WHERE rank <= {FINAL_K}""")
+def jn_two_stage_vectors(spark, sf):
+    """First stage by vectors: each document's 10 nearest by embedding (of the same id), reranked by text, the best 3 kept."""
+    emb, docs = tbl(spark, sf, "embeddings"), tbl(spark, sf, "documents")
+    cand = RT.topk_similar(emb.join(docs.select(F.col("doc_id").alias("vec_id")), "vec_id", "left_semi"), emb, FIRST_STAGE_N,
+                           query_id="vec_id", doc_id="vec_id", exclude_self=True)
+    r = RT.retrieve_then_rerank(docs, docs, lambda req: AN.rerank_answers(req, "query", "documents", broken="2"),
+                                first_n=FIRST_STAGE_N, k=FINAL_K, query_id="doc_id", candidates=cand)
+    return r.select("query_id", F.col("rank").cast("bigint").alias("rank"), "doc_id")
+
+
 @query("ag_embed_batches", sql=f"""
 SELECT doc_id // {R.EMBED_BATCH_DOCUMENTS} AS batch_id, count(*)::BIGINT AS n_items,
        string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS ids,
