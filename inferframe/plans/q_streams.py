@@ -17,7 +17,7 @@ from inferframe.plans.fixtures import (
 from inferframe.session import shared_dir
 from inferframe.sources.streams import stream_chunks, stream_task_events
 from inferframe.streaming.assemble import (
-    stream_assemble_content, stream_tool_call_snapshots,
+    stream_assemble_content, stream_assemble_tool_calls,
 )
 from inferframe.streaming.tasks import track_tasks
 
@@ -38,6 +38,8 @@ def _own_session(spark):
     own = spark.newSession()
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     own.conf.set("spark.sql.shuffle.partitions", str(max(1, spark.sparkContext.defaultParallelism)))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass",
+                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     return own
 
 
@@ -88,14 +90,14 @@ SELECT request_id, tool_index, max(tool_id) AS tool_id, max(tool_name) AS tool_n
        string_agg(tool_args, '' ORDER BY seq) AS arguments, count(*)::BIGINT AS n_fragments
 FROM tool_chunks GROUP BY request_id, tool_index""")
 def st_tool_calls(spark, sf):
-    """Tool-call fragments as a file stream: aggregation in update mode, each
-    micro-batch appended to a change log; the result is the latest row per call."""
+    """Tool-call fragments as a file stream: one state per call, dropped by event time, in update mode; each
+    micro-batch is appended to a change log; the result is the latest row per call."""
     ch = _stream_tool_chunks(spark, sf)
     own = _own_session(spark)
     src = _land(ch, "st-tools-src", spark)
     log, ck = shared_dir(spark, "st-tools-log"), shared_dir(spark, "st-tools-ck")
     stream = stream_chunks(own, src, ch.schema, max_files_per_trigger=4)
-    res = stream_tool_call_snapshots(stream)
+    res = stream_assemble_tool_calls(stream, watermark="40 days")  # the files hold their rows in no order of time
 
     def append(batch, batch_id):
         # one partition per micro-batch, overwritten on retry: a re-run batch replaces

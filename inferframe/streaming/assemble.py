@@ -1,19 +1,23 @@
 """ST1/ST2: assemble streamed fragments in Structured Streaming.
 
-* ``stream_assemble_content`` (ST1) is emit-once: per request, a state holds the
-  fragments received so far (as runs of ``seq``, so a duplicate delivery is absorbed); the
-  message is emitted and the state cleared as soon as the finish fragment and every
-  fragment before it (dense ``seq``) have arrived, however long the pauses between them.
-  Requests that never complete are emitted as incomplete when the event-time watermark passes
-  their last fragment plus ``ttl``. Fragments arriving after emission are dropped (late).
+* ``stream_assemble_content`` (ST1) answers each request once. ``stream_content_events`` is the same stream with the
+  counts of late fragments. A request's state is a book (which fragments are there, as runs of ``seq``;
+  where the message ends) and a list to which every new fragment is appended once; a message is
+  never rewritten while it grows. It is emitted as soon as the finish fragment and every fragment before it (dense
+  ``seq``) have arrived, however long the pauses between them, or as incomplete when the watermark passes its last
+  fragment plus ``ttl``. Then the fragments go and the book stays as a mark: fragments that are
+  delivered again, or come too late, are dropped and counted. The mark goes when the watermark passes the
+  last fragment plus ``ttl`` once more; by then the watermark itself keeps re-deliveries out.
 * ``stream_assemble_content_sessions`` is the built-in form for streams without reliable finish
   markers: a request's stream ends with an inactivity gap (``session_window``), so a longer pause
   splits a message.
-* ``stream_tool_call_snapshots`` (ST2, built-in operators only) is an aggregation in update mode; it is the faster
-  form for streams that end (backfills, ``availableNow``), as its state lasts as long as the query.
-* ``stream_assemble_tool_calls`` (ST2, for endless streams) keeps one state per (request, tool index): the fragments
-  seen so far, as runs where ``seq`` is contiguous. Every micro-batch emits the changed calls; the sink keeps the
-  latest row per call. A call's state goes when the watermark passes its last fragment plus ``ttl``.
+* ``stream_assemble_tool_calls`` (ST2) keeps the same kind of state per (request, tool index). Every micro-batch emits
+  the changed calls; the sink keeps the latest row per call. A call's state goes when the watermark passes its last
+  fragment plus ``ttl``.
+* ``stream_tool_call_snapshots`` (ST2, built-in operators only) is an aggregation in update mode; its state
+  lasts as long as the query, so it is for streams that end (backfills, ``availableNow``).
+
+The stateful forms need the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
 """
 
 from __future__ import annotations
@@ -25,95 +29,141 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-CONTENT_OUT = T.StructType([
-    T.StructField("request_id", T.LongType()),
-    T.StructField("content", T.StringType()),
-    T.StructField("n_chunks", T.LongType()),
-    T.StructField("complete", T.BooleanType()),
+EVENT_OUT = T.StructType([
+    T.StructField("request_id", T.LongType()), T.StructField("event", T.StringType()),
+    T.StructField("content", T.StringType()), T.StructField("n_chunks", T.LongType()),
+    T.StructField("complete", T.BooleanType()), T.StructField("n_late", T.LongType()),
 ])
-CONTENT_STATE = T.StructType([
-    T.StructField("starts", T.ArrayType(T.LongType())),
-    T.StructField("ends", T.ArrayType(T.LongType())),
-    T.StructField("texts", T.ArrayType(T.StringType())),
-    T.StructField("finish_seq", T.LongType()),
-    T.StructField("max_ts_ms", T.LongType()),
+CALL_OUT = T.StructType([
+    T.StructField("request_id", T.LongType()), T.StructField("tool_index", T.LongType()),
+    T.StructField("tool_id", T.StringType()), T.StructField("tool_name", T.StringType()),
+    T.StructField("arguments", T.StringType()), T.StructField("n_fragments", T.LongType()),
 ])
 
 
-def merge_runs(starts: np.ndarray, ends: np.ndarray, texts: np.ndarray):
-    """Merge fragment runs ``[start, end] -> text``: drop deliveries already covered by an
-    earlier run (duplicates), then join runs whose ranges touch. Returns sorted runs."""
-    order = np.argsort(starts, kind="stable")
-    starts, ends, texts = starts[order], ends[order], texts[order]
-    prev_max = np.concatenate([[-1], np.maximum.accumulate(ends)[:-1]])
-    keep = starts > prev_max
-    starts, ends, texts = starts[keep], ends[keep], texts[keep]
-    if len(starts) == 0:
-        return starts, ends, texts
-    new_run = np.concatenate([[True], starts[1:] != ends[:-1] + 1])
-    heads = np.flatnonzero(new_run)
-    tails = np.concatenate([heads[1:], [len(starts)]])
-    joined = np.array(["".join(t for t in texts[a:b] if isinstance(t, str))
-                       for a, b in zip(heads, tails)], dtype=object)
-    return starts[heads], ends[tails - 1], joined
-
-
-def _emit(key, starts, ends, texts, finish, complete) -> pd.DataFrame:
-    text = "".join(t for t in texts if isinstance(t, str))
-    n = int(finish) + 1 if complete else int(sum(e - s + 1 for s, e in zip(starts, ends)))
-    return pd.DataFrame({"request_id": [key], "content": [text], "n_chunks": [n],
-                         "complete": [complete]})
-
-
-def _content_state_fn(ttl_ms: int):
-    """Per request and micro-batch: new fragments are merged into the stored runs; the
-    message is complete when one run covers seq 0 .. finish. State stays one run per
-    request when fragments arrive in order, and absorbs reordering and duplicates."""
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rid = key[0]
-        if state.hasTimedOut:
-            st, en, tx, fin, _ = state.get
-            state.remove()
-            yield _emit(rid, list(st), list(en), list(tx), fin, False)
-            return
-        s_parts, e_parts, t_parts, fin, max_ts = [], [], [], None, 0
-        if state.exists:
-            st, en, tx, fin, max_ts = state.get
-            s_parts.append(np.asarray(st, dtype=np.int64))
-            e_parts.append(np.asarray(en, dtype=np.int64))
-            t_parts.append(np.asarray(tx, dtype=object))
-        for pdf in pdfs:
-            seq = pdf["seq"].to_numpy(dtype=np.int64)
-            s_parts.append(seq)
-            e_parts.append(seq)
-            t_parts.append(pdf["content"].to_numpy(dtype=object))
-            f = seq[pdf["finish_reason"].notna().to_numpy()]
-            if len(f):
-                fin = int(f.min()) if fin is None else min(int(fin), int(f.min()))
-            max_ts = max(int(max_ts), int(pdf["ts_ms"].max()))
-        starts, ends, texts = merge_runs(np.concatenate(s_parts), np.concatenate(e_parts),
-                                         np.concatenate(t_parts))
-        if fin is not None and len(starts) and starts[0] == 0 and ends[0] >= fin:
-            state.remove()
-            # fragments after the finish marker can only be heartbeats (empty text)
-            yield _emit(rid, starts[:1], ends[:1], texts[:1], fin, True)
+def merge_runs(starts: np.ndarray, ends: np.ndarray, seq: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Add fragments ``seq`` to the sorted runs [start, end]: (starts, ends, fresh), where ``fresh`` marks the first
+    delivery of each fragment that no run held."""
+    fresh = np.zeros(len(seq), bool)
+    fresh[np.unique(seq, return_index=True)[1]] = True
+    at = np.searchsorted(starts, seq, side="right") - 1
+    if len(starts):
+        fresh &= (at < 0) | (seq > ends[at])
+    if not fresh.any():
+        return starts, ends, fresh
+    s, e = np.concatenate([starts, seq[fresh]]), np.concatenate([ends, seq[fresh]])
+    order = np.argsort(s)
+    s, e = s[order], e[order]
+    head = np.ones(len(s), bool)
+    head[1:] = s[1:] != e[:-1] + 1
+    first = np.flatnonzero(head)
+    return s[first], e[np.append(first[1:], len(s)) - 1], fresh
+
+
+class _Fragments(StatefulProcessor):
+    """State shared by ST1 and ST2: ``book`` and the appended ``parts``; one timer per key, moved lazily."""
+
+    BOOK = "starts array<bigint>, ends array<bigint>, last_ms bigint"
+
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.book = handle.getValueState("book", self.BOOK)
+        self.parts = handle.getListState("parts", "seq bigint, content string")
+
+    def close(self) -> None:
+        pass
+
+    @staticmethod
+    def read(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+        return pd.concat(list(rows), ignore_index=True)
+
+    def append(self, starts, ends, pdf: pd.DataFrame, text: str):
+        """Store the new fragments; the runs with them."""
+        seq = pdf["seq"].to_numpy(dtype=np.int64)
+        starts, ends, fresh = merge_runs(np.asarray(starts, np.int64), np.asarray(ends, np.int64), seq)
+        texts = pdf[text].to_numpy(dtype=object)[fresh]
+        if fresh.any():
+            self.parts.appendList([(int(q), t if isinstance(t, str) else "") for q, t in zip(seq[fresh], texts)])
+        return starts, ends, fresh
+
+    def text(self, upto: int | None = None) -> str:
+        return "".join(t for q, t in sorted(self.parts.get()) if upto is None or q <= upto)
+
+    def wake(self, at_ms: int, timers) -> None:
+        self.handle.registerTimer(max(at_ms, timers.getCurrentWatermarkInMs() + 1))
+
+
+class _Messages(_Fragments):
+    BOOK = _Fragments.BOOK + ", finish bigint, emitted boolean, late bigint"
+
+    @staticmethod
+    def row(key, event: str, content=None, n=None, complete=None, late=None) -> pd.DataFrame:
+        return pd.DataFrame({"request_id": [key[0]], "event": [event], "content": [content], "n_chunks": [n],
+                             "complete": [complete], "n_late": [late]})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = self.read(rows)
+        known = self.book.get()
+        starts, ends, last, finish, emitted, late = known or ([], [], 0, None, False, 0)
+        if emitted:
+            self.book.update((starts, ends, last, finish, True, late + len(pdf)))
             return
-        state.update((starts.tolist(), ends.tolist(), texts.tolist(), fin, max_ts))
-        state.setTimeoutTimestamp(max(max_ts + ttl_ms, state.getCurrentWatermarkMs() + 1))
-    return fn
+        starts, ends, _ = self.append(starts, ends, pdf, "content")
+        marks = pdf.loc[pdf["finish_reason"].notna(), "seq"]
+        if len(marks):
+            finish = int(marks.min()) if finish is None else min(finish, int(marks.min()))
+        last = max(last, int(pdf["ts_ms"].max()))
+        if known is None:
+            self.wake(last + self.ttl_ms, timerValues)
+        if finish is not None and len(starts) and starts[0] <= 0 and ends[0] >= finish:
+            content = self.text(finish)
+            self.parts.clear()
+            self.book.update(([], [], last, finish, True, 0))
+            yield self.row(key, "message", content, finish + 1, True)
+        else:
+            self.book.update((starts.tolist(), ends.tolist(), last, finish, False, 0))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        starts, ends, last, finish, emitted, late = self.book.get()
+        due = last + self.ttl_ms
+        if expiredTimerInfo.getExpiryTimeInMs() < due:
+            self.wake(due, timerValues)
+        elif emitted:
+            self.book.clear()
+            if late:
+                yield self.row(key, "late", late=late)
+        else:
+            content, n = self.text(), sum(e - s + 1 for s, e in zip(starts, ends))
+            self.parts.clear()
+            last = max(last, timerValues.getCurrentWatermarkInMs())
+            self.book.update(([], [], last, finish, True, 0))
+            self.wake(last + self.ttl_ms, timerValues)
+            yield self.row(key, "message", content, n, False)
+
+
+def _timed(chunks: DataFrame, watermark: str) -> DataFrame:
+    return (chunks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+            .withColumn("ts_ms", (F.unix_micros("ts") / 1000).cast("bigint")))
+
+
+def stream_content_events(chunks: DataFrame, *, watermark: str = "10 minutes", ttl_ms: int = 3_600_000) -> DataFrame:
+    """ST1 over a streaming frame ``(request_id, seq, content, finish_reason, ts)``: one row with ``event = 'message'``
+    per request (content, n_chunks, complete) and, where fragments came after it, one with ``event = 'late'``
+    and their number ``n_late`` when the request's mark goes."""
+    return _timed(chunks, watermark).groupBy("request_id").transformWithStateInPandas(
+        _Messages(ttl_ms), EVENT_OUT, "Append", "EventTime")
 
 
 def stream_assemble_content(chunks: DataFrame, *, watermark: str = "10 minutes",
                             ttl_ms: int = 3_600_000) -> DataFrame:
-    """ST1 over a streaming frame ``(request_id, seq, content, finish_reason, ts)``."""
-    src = (chunks.withColumn("ts", F.col("ts").cast("timestamp"))
-           .withWatermark("ts", watermark)
-           .withColumn("ts_ms", (F.unix_micros("ts") / 1000).cast("bigint")))
-    return (src.groupBy("request_id").applyInPandasWithState(
-        _content_state_fn(ttl_ms), CONTENT_OUT, CONTENT_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout))
+    """ST1: one row ``(request_id, content, n_chunks, complete)`` per request."""
+    return stream_content_events(chunks, watermark=watermark, ttl_ms=ttl_ms).filter(F.col("event") == "message") \
+        .select("request_id", "content", "n_chunks", "complete")
 
 
 def stream_assemble_content_sessions(chunks: DataFrame, *, gap: str = "5 minutes",
@@ -139,20 +189,6 @@ def stream_assemble_content_sessions(chunks: DataFrame, *, gap: str = "5 minutes
                     F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end")))
 
 
-CALL_OUT = T.StructType([
-    T.StructField("request_id", T.LongType()), T.StructField("tool_index", T.LongType()),
-    T.StructField("tool_id", T.StringType()), T.StructField("tool_name", T.StringType()),
-    T.StructField("arguments", T.StringType()), T.StructField("n_fragments", T.LongType()),
-])
-CALL_STATE = T.StructType([
-    T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("ends", T.ArrayType(T.LongType())),
-    T.StructField("texts", T.ArrayType(T.StringType())),
-    T.StructField("id_seq", T.LongType()), T.StructField("tool_id", T.StringType()),
-    T.StructField("name_seq", T.LongType()), T.StructField("tool_name", T.StringType()),
-    T.StructField("max_ts_ms", T.LongType()),
-])
-
-
 def _first(seq: np.ndarray, values: np.ndarray, old_seq, old):
     """The value with the lowest seq among the stored one and the new non-NULL ones."""
     have = np.array([isinstance(v, str) for v in values], bool)
@@ -163,37 +199,40 @@ def _first(seq: np.ndarray, values: np.ndarray, old_seq, old):
     return old_seq, old
 
 
-def _call_state_fn(ttl_ms: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        st, en, tx, id_seq, tool_id, name_seq, tool_name, max_ts = state.get if state.exists else ([], [], [], None, None, None, None, 0)
-        s_parts, e_parts, t_parts = [np.asarray(st, np.int64)], [np.asarray(en, np.int64)], [np.asarray(tx, object)]
-        for pdf in pdfs:
-            seq = pdf["seq"].to_numpy(dtype=np.int64)
-            s_parts.append(seq)
-            e_parts.append(seq)
-            t_parts.append(pdf["tool_args"].to_numpy(dtype=object))
-            id_seq, tool_id = _first(seq, pdf["tool_id"].to_numpy(dtype=object), id_seq, tool_id)
-            name_seq, tool_name = _first(seq, pdf["tool_name"].to_numpy(dtype=object), name_seq, tool_name)
-            max_ts = max(int(max_ts), int(pdf["ts_ms"].max()))
-        starts, ends, texts = merge_runs(np.concatenate(s_parts), np.concatenate(e_parts), np.concatenate(t_parts))
-        state.update((starts.tolist(), ends.tolist(), texts.tolist(), id_seq, tool_id, name_seq, tool_name, max_ts))
-        state.setTimeoutTimestamp(max(max_ts + ttl_ms, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"request_id": [key[0]], "tool_index": [key[1]], "tool_id": [tool_id], "tool_name": [tool_name],
-                            "arguments": ["".join(t for t in texts if isinstance(t, str))],
-                            "n_fragments": [int((ends - starts + 1).sum())]})
-    return fn
+class _ToolCalls(_Fragments):
+    BOOK = _Fragments.BOOK + ", id_seq bigint, tool_id string, name_seq bigint, tool_name string"
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = self.read(rows)
+        known = self.book.get()
+        starts, ends, last, id_seq, tool_id, name_seq, tool_name = known or ([], [], 0, None, None, None, None)
+        starts, ends, fresh = self.append(starts, ends, pdf, "tool_args")
+        seq = pdf["seq"].to_numpy(dtype=np.int64)
+        id_seq, tool_id = _first(seq, pdf["tool_id"].to_numpy(dtype=object), id_seq, tool_id)
+        name_seq, tool_name = _first(seq, pdf["tool_name"].to_numpy(dtype=object), name_seq, tool_name)
+        last = max(last, int(pdf["ts_ms"].max()))
+        if known is None:
+            self.wake(last + self.ttl_ms, timerValues)
+        self.book.update((starts.tolist(), ends.tolist(), last, id_seq, tool_id, name_seq, tool_name))
+        if fresh.any():  # a batch of re-deliveries changes nothing
+            yield pd.DataFrame({"request_id": [key[0]], "tool_index": [key[1]], "tool_id": [tool_id], "tool_name": [tool_name],
+                                "arguments": [self.text()], "n_fragments": [int((ends - starts + 1).sum())]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        due = self.book.get()[2] + self.ttl_ms
+        if expiredTimerInfo.getExpiryTimeInMs() < due:
+            self.wake(due, timerValues)
+        else:
+            self.book.clear()
+            self.parts.clear()
+        yield from ()
 
 
 def stream_assemble_tool_calls(chunks: DataFrame, *, watermark: str = "1 hour", ttl_ms: int = 3_600_000) -> DataFrame:
     """ST2 over a streaming frame ``(request_id, seq, tool_index, tool_id, tool_name,
     tool_args, ts)``: fragments of a call may come at different times, out of order and twice."""
-    src = (chunks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-           .withColumn("ts_ms", (F.unix_micros("ts") / 1000).cast("bigint")))
-    return (src.groupBy("request_id", "tool_index").applyInPandasWithState(
-        _call_state_fn(ttl_ms), CALL_OUT, CALL_STATE, "update", GroupStateTimeout.EventTimeTimeout))
+    return _timed(chunks, watermark).groupBy("request_id", "tool_index").transformWithStateInPandas(
+        _ToolCalls(ttl_ms), CALL_OUT, "Update", "EventTime")
 
 
 def stream_tool_call_snapshots(chunks: DataFrame) -> DataFrame:
