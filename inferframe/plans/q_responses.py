@@ -18,7 +18,8 @@ from inferframe.plans.fixtures import tbl
 from inferframe.plans.q_requests import base_requests
 from inferframe.session import shared_dir
 from inferframe.sources.readers import read_responses
-from inferframe.sources.sinks import write_outcomes
+from inferframe.sources.sinks import DEAD_SINK, OK_SINK, read_outcomes, stream_outcomes, write_outcome_batch, write_outcomes
+from inferframe.sources.streams import stream_chunks
 
 SQL_OUTCOME = ("CASE substr(md5({p}), 1, 1) WHEN '0' THEN 'connection_error' "
                "WHEN '1' THEN 'http_error' ELSE 'ok' END")
@@ -160,6 +161,21 @@ def snk_outcomes(spark, sf):
                                        F.countDistinct("kind").alias("n_kinds"))
 
 
+@query("snk_outcomes_stream", sql=f"""
+WITH {SQL_ALL_OUTCOMES}
+SELECT CASE WHEN outcome = 'ok' THEN 'ok' ELSE 'dead' END AS sink, kind, outcome, count(*)::BIGINT AS n FROM all_out GROUP BY 1, 2, 3""")
+def snk_outcomes_stream(spark, sf):
+    """The same responses as a file stream into two sinks with a commit record per micro-batch; one batch is sent
+    to the sink once more, as after a crash, and changes nothing."""
+    src, path, ck = (shared_dir(spark, f"outcome-stream-{x}") for x in ("src", "out", "ck"))
+    rows = all_responses(spark, sf).select("kind", "status_code")
+    rows.write.parquet(src)
+    stream_outcomes(stream_chunks(spark, src, rows.schema, max_files_per_trigger=4), path, ck, available_now=True).awaitTermination()
+    write_outcome_batch(spark.read.parquet(src), 0, path)
+    back = [read_outcomes(spark, path, sink, rows.schema).select(F.lit(sink).alias("sink"), "kind", "status_code") for sink in (OK_SINK, DEAD_SINK)]
+    return RS.with_outcome(back[0].union(back[1])).groupBy("sink", "kind", "outcome").agg(F.count("*").alias("n"))
+
+
 @query("src_responses", sql=f"""
 SELECT doc_id AS request_id, 'chat' AS kind, {SQL_OUTCOME.format(p='text')} AS outcome,
        CASE WHEN substr(md5(text), 1, 1) NOT IN ('0', '1') THEN md5(text) END AS content

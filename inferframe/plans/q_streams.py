@@ -19,7 +19,7 @@ from inferframe.sources.streams import stream_chunks, stream_task_events
 from inferframe.streaming.assemble import (
     stream_assemble_content, stream_assemble_tool_calls,
 )
-from inferframe.streaming.tasks import track_tasks
+from inferframe.streaming.tasks import join_tasks, track_tasks
 
 TASK_TIMEOUT = "1 day"
 
@@ -144,6 +144,38 @@ def st_tasks(spark, sf):
     return spark.read.schema(schema).parquet(out).filter(F.col("task_id") >= 0)
 
 
+@query("st_tasks_join", sql=f"""
+WITH {SQL_TASK_EVENTS}, {SQL_TASKS}
+SELECT task_id, epoch_us(st) AS submit_us,
+       CASE WHEN rt <= st + INTERVAL {TASK_TIMEOUT.split()[0]} DAY THEN rs ELSE 'timeout' END AS outcome,
+       CASE WHEN rt <= st + INTERVAL {TASK_TIMEOUT.split()[0]} DAY THEN epoch_us(rt)::VARCHAR ELSE 'none' END AS result_us
+FROM s JOIN r USING (task_id)""")
+def st_tasks_join(spark, sf):
+    """Submissions (each task's first poll) and results (its terminal states) as two streams, joined within a day. A heartbeat
+    on both streams, a day and the watermark's hour after the last event, closes the log."""
+    te = task_events(spark, sf)
+    submits = te.groupBy("task_id").agg(F.min("ts").alias("submit_ts"))
+    results = te.filter(F.col("status") != "running").select("task_id", "event_id", F.col("ts").alias("result_ts"), "status")
+    own = _own_session(spark)
+    paths = [_land(submits, "st-submits-src", spark), _land(results, "st-results-src", spark)]
+    end = te.select((F.max("ts") + F.expr(f"INTERVAL {TASK_TIMEOUT}") + F.expr("INTERVAL 2 HOURS")).alias("t"))
+    out, ck = shared_dir(spark, "st-join-out"), shared_dir(spark, "st-join-ck")
+
+    def run():
+        res = join_tasks(stream_task_events(own, paths[0], submits.schema), stream_task_events(own, paths[1], results.schema),
+                         timeout=TASK_TIMEOUT, watermark="1 hour", tie="event_id")
+        _run(res.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).outputMode("append"))
+        return res.schema
+
+    run()
+    end.select(F.lit(-1).cast("bigint").alias("task_id"), F.col("t").alias("submit_ts")).write.mode("append").parquet(paths[0])
+    end.select(F.lit(-1).cast("bigint").alias("task_id"), F.lit(-1).cast("bigint").alias("event_id"), F.col("t").alias("result_ts"),
+               F.lit("failure").alias("status")).write.mode("append").parquet(paths[1])
+    back = spark.read.schema(run()).parquet(out).filter("task_id >= 0")
+    return back.select("task_id", F.unix_micros("submit_ts").alias("submit_us"), "outcome",
+                       F.coalesce(F.unix_micros("result_ts").cast("string"), F.lit("none")).alias("result_us"))
+
+
 @query("wn_task_outcome", sql=f"""
 WITH {SQL_TASK_EVENTS},
 a AS (SELECT task_id, min(ts) FILTER (WHERE status IN ('success', 'failure')) AS end_ts,
