@@ -13,7 +13,7 @@ from tests.conftest import SF_SMALL
 
 def test_one_query_per_operator():
     found = [k for k in E.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in found) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in found) == list(range(1, 14))
     assert E.queries().keys() >= {"pipeline", *queries.QUERIES}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "language", "near_duplicates", "mix", "pack"]
 
