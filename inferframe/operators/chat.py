@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,23 +126,46 @@ def attach_tool_results(calls: DataFrame, results: DataFrame,
 
 def run_tools(calls: DataFrame, tools: dict[str, Callable[[pd.DataFrame], pd.Series]],
               arg_fields: dict[str, str], name_col: str = "tool_name",
-              args_col: str = "arguments") -> DataFrame:
+              args_col: str = "arguments", one_by_one: bool = False) -> DataFrame:
     """UDF2: run registered Python tools on their calls, in one pass: calls of unregistered
     tools are filtered out, the JSON arguments are parsed JVM-side into a struct, and one
-    vectorised pandas UDF hands each tool the rows of its name in the Arrow batch."""
+    vectorised pandas UDF hands each tool the rows of its name in the Arrow batch.
+
+    Columns ``tool_result`` and ``tool_error``. A tool that raises, or returns another number of results than it had calls, fails its
+    own calls of that batch only: their result is NULL and the error says why; other tools and batches go
+    on. With ``one_by_one`` such calls are then run again one at a time, so that only the failing
+    ones fail; that is for tools that may be called twice."""
     schema = ", ".join(f"{k} {v}" for k, v in arg_fields.items())
 
-    def switch(names: pd.Series, args: pd.DataFrame) -> pd.Series:
-        out = pd.Series([None] * len(names), index=names.index, dtype=object)
+    def attempt(fn, args: pd.DataFrame) -> tuple[list, str | None]:
+        try:
+            got = list(fn(args))
+        except Exception as e:  # noqa: BLE001 - every failure becomes rows
+            return [None] * len(args), f"{type(e).__name__}: {e}"
+        if len(got) != len(args):
+            return [None] * len(args), f"ValueError: {len(got)} results for {len(args)} calls"
+        return [None if x is None else str(x) for x in got], None
+
+    def switch(names: pd.Series, args: pd.DataFrame) -> pd.DataFrame:
+        result = np.full(len(names), None, dtype=object)
+        error = result.copy()
         for name, fn in tools.items():
-            mine = names == name
-            if mine.any():
-                out[mine] = list(fn(args[mine].reset_index(drop=True)))
-        return out
-
-    udf = F.pandas_udf(switch, T.StringType())
+            mine = np.flatnonzero((names == name).to_numpy())
+            if not len(mine):
+                continue
+            own = args.iloc[mine].reset_index(drop=True)
+            got, failed = attempt(fn, own)
+            if failed and one_by_one and len(mine) > 1:
+                for i, at in enumerate(mine):
+                    (result[at],), error[at] = attempt(fn, own.iloc[i:i + 1].reset_index(drop=True))
+            else:
+                result[mine], error[mine] = got, failed
+        return pd.DataFrame({"tool_result": result, "tool_error": error})
+
+    udf = F.pandas_udf(switch, "tool_result string, tool_error string")
     return (calls.filter(F.col(name_col).isin(*tools))
-            .withColumn("tool_result", udf(F.col(name_col), F.from_json(F.col(args_col), schema))))
+            .withColumn("_t", udf(F.col(name_col), F.from_json(F.col(args_col), schema)))
+            .select("*", "_t.tool_result", "_t.tool_error").drop("_t"))
 
 
 def append_messages(history: DataFrame, *new: DataFrame, key: str = "conv_id",

@@ -8,11 +8,13 @@ allowed. Errors are reported as ``kind:field`` strings in schema order.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inferframe import refdata as R
-from inferframe.operators.sizing import broadcast_if_small
+from inferframe.operators.schema_rules import KNOWN as _CHECKED, NOTES as _NOTES, check_args
 
 _INT_TYPES = ["BIGINT", "INT", "SMALLINT", "TINYINT"]
 
@@ -51,13 +53,6 @@ def check_regex(col, pattern: str = R.EMAIL_REGEX, stop: str | None = R.EMAIL_ST
     return full_match(strip_stop(col, stop), p)
 
 
-#: keywords with no bearing on validity
-_NOTES = {"title", "description", "default", "examples", "$schema", "$id", "$defs", "definitions", "$comment"}
-_CHECKED = {"type", "properties", "required", "enum", "const", "items", "$ref", "anyOf", "allOf", "additionalProperties",
-            "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "minLength", "maxLength",
-            "minItems", "maxItems", "pattern"}
-
-
 def _resolved(spec: dict, root: dict) -> dict:
     """spec with its ``$ref`` (into the same document) replaced by what it names."""
     seen = 0
@@ -239,45 +234,22 @@ def check_select_grammar(df: DataFrame, col: str) -> DataFrame:
               .withColumn("table", F.when(ok, table)))
 
 
-TOOL_SCHEMA = ("struct<properties: map<string, struct<type: string, enum: array<string>, "
-               "properties: string, items: string>>, required: array<string>>")
-
-
 def check_tool_args(calls: DataFrame, registry: DataFrame, name_col: str = "tool_name",
                     args_col: str = "arguments") -> DataFrame:
-    """VAL6: arguments checked against the schema of the named tool. Schemas are data: the
-    registry is joined by tool name and its parameter rules (type, enum, required) are applied
-    to the parsed arguments, so a registry of any size costs one join and nothing is collected. A
-    rule that needs more than that (nested properties or items) is reported as
-    ``unsupported:<parameter>``, never passed."""
-    s = F.from_json("params_schema", TOOL_SCHEMA)
-    rules = F.transform(F.map_entries(s["properties"]), lambda e: F.struct(
-        e["key"].alias("name"), e["value"]["type"].alias("type"), e["value"]["enum"].alias("enum"),
-        (e["value"]["properties"].isNotNull() | e["value"]["items"].isNotNull()).alias("deep"),
-        F.coalesce(F.array_contains(s["required"], e["key"]), F.lit(False)).alias("required")))
-    reg = broadcast_if_small(registry.select(F.col("name").alias("_tool"), rules.alias("_rules")))
-    j = (calls.join(reg, F.col(name_col) == F.col("_tool"), "left")
-         .withColumn("_v", F.try_parse_json(F.col(args_col)))
-         .withColumn("_m", F.try_variant_get("_v", "$", "map<string,variant>")))
-
-    def check(r: Column) -> Column:
-        x = F.try_element_at(F.col("_m"), r["name"])
-        t = F.schema_of_variant(x)
-        wrong = F.when(r["type"] == "string", t != "STRING").when(r["type"] == "integer", ~t.isin(_INT_TYPES)) \
-            .when(r["type"] == "number", ~_has_type(t, "number")).when(r["type"] == "boolean", t != "BOOLEAN") \
-            .when(r["type"] == "object", ~t.startswith("OBJECT")).when(r["type"] == "array", ~t.startswith("ARRAY"))
-        kind = F.when(t.isNull() | (t == "VOID"), F.when(r["required"], F.lit("missing:"))) \
-            .when(r["deep"], F.lit("unsupported:")).when(F.coalesce(wrong, F.lit(False)), F.lit("type:")) \
-            .when(r["enum"].isNotNull() & ~F.coalesce(F.array_contains(r["enum"], F.try_variant_get(x, "$", "string")), F.lit(False)),
-                  F.lit("enum:"))
-        return F.concat(kind, r["name"])
-
-    found = F.filter(F.transform("_rules", check), lambda e: e.isNotNull())
-    errs = (F.when(F.col("_tool").isNull(), F.array(F.lit("unknown_tool")))
-            .when(F.col("_v").isNull(), F.array(F.lit("invalid_json")))
-            .when(F.col("_m").isNull(), F.array(F.lit("not_object"))).otherwise(found))
-    return (j.withColumn("arg_errors", errs).withColumn("args_valid", F.size("arg_errors") == 0)
-             .drop("_tool", "_rules", "_v", "_m"))
+    """VAL6: arguments checked against the schema of the named tool, every keyword VAL3 knows included, at any depth:
+    ``arg_errors`` (sorted) and ``args_valid``. Schemas are data (``schema_rules``). What is not known of a schema
+    is ``unsupported:...``, two different schemas of one name ``ambiguous_tool``: never passed."""
+    checked = check_args(calls, registry, schema_col=name_col, json_col=args_col)
+    return checked.withColumn("arg_errors", F.transform("arg_errors", lambda e: F.when(e == "unknown_schema", "unknown_tool")
+                                                        .when(e == "ambiguous_schema", "ambiguous_tool").otherwise(e)))
+
+
+def check_json_schema_deep(df: DataFrame, col: str, schema: dict, prefix: str = "") -> DataFrame:
+    """VAL3 for schemas of any depth, recursive references included: columns ``errors`` (sorted) and ``valid``. Works level
+    by level over stored tables (``schema_rules``); ``check_json_schema`` is one expression for schemas that end."""
+    registry = df.sparkSession.createDataFrame([("schema", json.dumps(schema))], "name string, params_schema string")
+    return check_args(df.withColumn("__schema", F.lit("schema")), registry, schema_col="__schema", json_col=col,
+                      errors=f"{prefix}errors", valid=f"{prefix}valid").drop("__schema")
 
 
 def check_layout(df: DataFrame) -> DataFrame:

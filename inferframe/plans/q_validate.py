@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from inferframe import refdata as R
 from inferframe.operators import ops as OP
 from inferframe.operators import responses as RS
 from inferframe.operators import validate as V
+from inferframe.operators.validate import check_tool_args
 from inferframe.plans.catalog import query
 from inferframe.plans.fixtures import SQL_CANDIDATES, SQL_CHOICE, candidates, choice_answers, tbl
 
@@ -210,3 +213,91 @@ def rsp_struct(spark, sf):
     p = RS.parse_struct(c, "content", {"city": "string", "population": "bigint"})
     return p.filter("valid").select("id", F.col("parsed.city").alias("city"),
                                     F.col("parsed.population").alias("population"))
+
+
+#: stand-in tools: one with nested rules, one whose schema refers to itself
+RULED_TOOLS = [
+    ("order", {
+        "type": "object", "required": ["n", "p"], "additionalProperties": False,
+        "properties": {
+            "n": {"type": "integer", "minimum": 1, "maximum": 40},
+            "s": {"type": ["string", "null"], "maxLength": 13},
+            "p": {"type": "string", "pattern": "^Brand#[1-3]"},
+            "dim": {"$ref": "#/$defs/size"},
+            "tags": {"type": "array", "maxItems": 2, "items": {"enum": ["STANDARD", "SMALL", "BRUSHED", "TIN", "COPPER"]}}},
+        "$defs": {"size": {"type": "object", "required": ["w", "h"], "additionalProperties": False,
+                           "properties": {"w": {"type": "number", "exclusiveMinimum": 3}, "h": {"type": "number"}}}}}),
+    ("tree", {"$ref": "#/$defs/node", "$defs": {"node": {
+        "type": "object", "required": ["value"],
+        "properties": {"value": {"anyOf": [{"type": "integer"}, {"type": "null"}]},
+                       "children": {"type": "array", "items": {"$ref": "#/$defs/node"}}}}}}),
+]
+
+SQL_RULED_CALLS = """
+calls AS (
+  SELECT p_partkey AS id, p_partkey % 3 AS leaf, (p_size % 6)::INTEGER AS depth,
+    CASE WHEN p_partkey % 4 = 3 THEN 'tree' ELSE 'order' END AS tool_name,
+    CASE WHEN p_partkey % 4 = 3 THEN
+      repeat('{"value":1,"children":[', (p_size % 6)::INTEGER)
+      || CASE p_partkey % 3 WHEN 0 THEN '{"value":"x"}' WHEN 1 THEN '{"value":null}' ELSE '{"children":[]}' END
+      || repeat(']}', (p_size % 6)::INTEGER)
+    ELSE
+      '{"n":' || (p_size - 5) || CASE WHEN p_partkey % 8 = 0 THEN '.5' ELSE '' END || ',"p":"' || p_brand || '"'
+      || CASE p_partkey % 3 WHEN 0 THEN ',"s":12' WHEN 1 THEN ',"s":null' ELSE ',"s":"' || p_name || p_size || '"' END
+      || CASE WHEN p_partkey % 5 = 0 THEN ',"extra":1' ELSE '' END
+      || ',"dim":{"w":' || (p_size % 9) || CASE WHEN p_partkey % 7 = 0 THEN '' ELSE ',"h":1.5' END
+      || CASE WHEN p_partkey % 11 = 0 THEN ',"d":0' ELSE '' END || '}'
+      || ',"tags":["' || replace(CASE WHEN p_size % 2 = 0 THEN p_type ELSE split_part(p_type, ' ', 1) END, ' ', '","') || '"]}'
+    END AS arguments
+  FROM part)"""
+
+
+def ruled_calls(spark, sf):
+    """Arguments for ``RULED_TOOLS`` from the columns of ``part``, many of them against a rule."""
+    k, z = F.col("p_partkey"), F.col("p_size")
+    depth = (z % 6).cast("int")
+    tree = F.concat(F.repeat(F.lit('{"value":1,"children":['), depth),
+                    F.when(k % 3 == 0, '{"value":"x"}').when(k % 3 == 1, '{"value":null}').otherwise('{"children":[]}'),
+                    F.repeat(F.lit("]}"), depth))
+    order = F.concat(
+        F.lit('{"n":'), (z - 5).cast("string"), F.when(k % 8 == 0, ".5").otherwise(""), F.lit(',"p":"'), "p_brand", F.lit('"'),
+        F.when(k % 3 == 0, ',"s":12').when(k % 3 == 1, ',"s":null').otherwise(F.concat(F.lit(',"s":"'), "p_name", z.cast("string"), F.lit('"'))),
+        F.when(k % 5 == 0, ',"extra":1').otherwise(""), F.lit(',"dim":{"w":'), (z % 9).cast("string"),
+        F.when(k % 7 == 0, "").otherwise(',"h":1.5'), F.when(k % 11 == 0, ',"d":0').otherwise(""), F.lit("}"),
+        F.lit(',"tags":["'), F.replace(F.when(z % 2 == 0, F.col("p_type")).otherwise(F.split_part("p_type", F.lit(" "), F.lit(1))),
+                                       F.lit(" "), F.lit('","')), F.lit('"]}'))
+    tool = F.when(k % 4 == 3, "tree").otherwise("order")
+    return tbl(spark, sf, "part").select(k.alias("id"), tool.alias("tool_name"), F.when(tool == "tree", tree).otherwise(order).alias("arguments"))
+
+
+@query("val_tool_args_full", sql=f"""
+WITH {SQL_RULED_CALLS},
+o AS (
+  SELECT id, arguments AS a, json_extract_string(arguments, '$.s') AS s, json_extract_string(arguments, '$.p') AS p,
+    json_type(arguments, '$.n') AS nt, (arguments->>'$.n')::DOUBLE AS n, json_type(arguments, '$.s') AS st,
+    (arguments->>'$.tags[*]') AS tags, (arguments->>'$.dim.w')::DOUBLE AS w
+  FROM calls WHERE tool_name = 'order'),
+e AS (
+  SELECT id, [
+    CASE WHEN nt NOT IN ('BIGINT', 'UBIGINT') THEN 'type:n' WHEN n < 1 OR n > 40 THEN 'range:n' END,
+    CASE WHEN st NOT IN ('VARCHAR', 'NULL') THEN 'type:s' WHEN st = 'VARCHAR' AND length(s) > 13 THEN 'length:s' END,
+    CASE WHEN NOT regexp_matches(p, '^Brand#[1-3]') THEN 'pattern:p' END,
+    CASE WHEN json_exists(a, '$.extra') THEN 'extra:extra' END,
+    CASE WHEN w <= 3 THEN 'range:dim.w' END, CASE WHEN NOT json_exists(a, '$.dim.h') THEN 'missing:dim.h' END,
+    CASE WHEN json_exists(a, '$.dim.d') THEN 'extra:dim.d' END,
+    CASE WHEN len(tags) > 2 THEN 'items:tags' END,
+    CASE WHEN len(list_filter(tags, lambda x: x NOT IN ('STANDARD', 'SMALL', 'BRUSHED', 'TIN', 'COPPER'))) > 0 THEN 'enum:tags[]' END] AS errs
+  FROM o
+  UNION ALL
+  SELECT id, [CASE leaf WHEN 0 THEN 'any:' || repeat('children[].', depth) || 'value'
+                        WHEN 2 THEN 'missing:' || repeat('children[].', depth) || 'value' END]
+  FROM calls WHERE tool_name = 'tree')
+SELECT id, tool_name, array_to_string(list_sort(list_filter(errs, lambda x: x IS NOT NULL)), ';') AS errors,
+  len(list_filter(errs, lambda x: x IS NOT NULL)) = 0 AS args_valid
+FROM e JOIN calls USING (id)""")
+def val_tool_args_full(spark, sf):
+    """Arguments against whole tool schemas: bounds, type lists, patterns, closed objects, nested objects and arrays,
+    references and a schema that refers to itself."""
+    registry = spark.createDataFrame([(n, json.dumps(s)) for n, s in RULED_TOOLS], "name string, params_schema string")
+    c = check_tool_args(ruled_calls(spark, sf), registry)
+    return c.select("id", "tool_name", F.array_join("arg_errors", ";").alias("errors"), "args_valid")
