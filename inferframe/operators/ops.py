@@ -1,5 +1,5 @@
 """Run bookkeeping: JN7 reconcile / pending, AG7 outcome summary, AG8 constraint pass
-rate, WN4 task outcome."""
+rate and reasons of failure, WN4 task outcome."""
 
 from __future__ import annotations
 
@@ -55,6 +55,26 @@ def constraint_pass_rate(validated: DataFrame, by=("kind",), valid: str = "valid
             .withColumn("pass_rate", F.col("n_valid") / F.col("n")))
 
 
+def constraint_errors(validated: DataFrame, by=("kind",), errors: str = "errors") -> DataFrame:
+    """AG8: why answers fail, per kind and reason: ``n`` answers with the reason, their ``share`` of the kind's answers, and the
+    path it was most often found at (ties: the first by name). ``errors`` holds ``reason:path`` strings; a reason counts once an answer, answers without
+    errors (or with NULL) only in the share. Combined map-side; the paths of a reason are counted before they are compared."""
+    n_all = validated.groupBy(*by).agg(F.count("*").alias("n_all"))
+    parts = F.transform(F.array_distinct(errors), lambda e: F.struct(
+        F.substring_index(e, ":", 1).alias("reason"), F.when(F.contains(e, F.lit(":")), F.substring(e, F.instr(e, ":") + 1, F.length(e)))
+        .otherwise("").alias("at")))
+    rows = validated.select(*by, F.explode(F.map_entries(F.aggregate(
+        parts, F.create_map().cast("map<string,array<string>>"), lambda m, x: F.map_concat(
+            F.map_filter(m, lambda k, v: k != x["reason"]),
+            F.create_map(x["reason"], F.concat(F.coalesce(F.try_element_at(m, x["reason"]), F.array()), F.array(x["at"]))))))).alias("e")) \
+        .select(*by, F.col("e.key").alias("reason"), F.col("e.value").alias("places"))
+    places = rows.select(*by, "reason", F.explode("places").alias("place")).groupBy(*by, "reason", "place").agg(F.count("*").alias("k"))
+    top = places.groupBy(*by, "reason").agg(F.min(F.struct((-F.col("k")).alias("k"), "place")).alias("t"))
+    counts = rows.groupBy(*by, "reason").agg(F.count("*").alias("n"))
+    return counts.join(top, [*by, "reason"]).join(n_all, list(by)).select(
+        *by, "reason", "n", (F.col("n") / F.col("n_all")).alias("share"), F.col("t.place").alias("most_at"))
+
+
 def task_outcome(events: DataFrame, key: str = "task_id", ts: str = "ts",
                  status: str = "status", tie: str | None = None, bucket_s: int = 3600) -> DataFrame:
     """WN4: per task, the first terminal status (success/failure), when it happened, how

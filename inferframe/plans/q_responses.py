@@ -11,7 +11,7 @@ from inferframe.functions.scalars import base64_nolines
 from inferframe.operators import ops as OP
 from inferframe.operators import requests as RQ
 from inferframe.operators import responses as RS
-from inferframe.operators.invoke import invoke
+from inferframe.operators.invoke import invoke, invoke_resumable
 from inferframe.plans import answers as AN
 from inferframe.plans.catalog import query
 from inferframe.plans.fixtures import tbl
@@ -58,21 +58,41 @@ class Audit:
         return 200, json.dumps({"kind": kind, "messages": len(req["messages"]), "chars": len(text)})
 
 
-@query("udf_invoke", sql=f"""
+SQL_INVOKE = f"""
 WITH d AS (SELECT doc_id, text, substr(md5(text), 1, 1) = '0' AS cut FROM documents)
 SELECT doc_id AS request_id,
        CASE WHEN cut THEN NULL WHEN trim(text, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN '422' ELSE '200' END AS status,
        CASE WHEN NOT cut AND trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> '' THEN length(text)::VARCHAR END AS chars,
        CASE WHEN cut THEN 'JSONDecodeError'
             WHEN trim(text, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN 'empty request' END AS error_kind
-FROM d""")
+FROM d"""
+
+
+@query("udf_invoke", sql=SQL_INVOKE)
 def udf_invoke(spark, sf):
     """Chat requests through a per-partition transport (a dry run that audits each body); bodies
     cut short and refused requests become rows with the error text."""
-    req = chat_requests(spark, sf)
+    return audited(invoke(audit_requests(spark, sf), Audit))
+
+
+@query("udf_invoke_resumed", sql=SQL_INVOKE)
+def udf_invoke_resumed(spark, sf):
+    """The same calls by three runs on one answer log: the first two end after a round, the third sends what is left. Refused
+    bodies (no status) are sent again by each run and stay errors."""
+    req, log = audit_requests(spark, sf), shared_dir(spark, "answer-log")
+    size = max(1, req.count() // 4)
+    for rounds in (1, 1, None):
+        r = invoke_resumable(req, Audit, log, round_size=size, max_rounds=rounds)
+    return audited(r)
+
+
+def audit_requests(spark, sf):
     cut = F.substring(F.md5("text"), 1, 1) == "0"
     body = F.when(cut, F.substring("body", F.lit(1), F.length("body") - 3)).otherwise(F.col("body"))
-    r = invoke(req.withColumn("body", body), Audit)
+    return chat_requests(spark, sf).withColumn("body", body)
+
+
+def audited(r):
     err = (F.when(F.col("status_code").isNull(), F.regexp_extract("error", r"^(\w+):", 1))
            .when(F.col("status_code") != 200, F.get_json_object("error", "$.error.message")))
     return r.select("request_id", F.col("status_code").cast("string").alias("status"),

@@ -10,6 +10,7 @@ from inferframe import refdata as R
 from inferframe.operators import ops as OP
 from inferframe.operators import responses as RS
 from inferframe.operators import validate as V
+from inferframe.operators.struct_schema import parse_answer
 from inferframe.operators.validate import check_tool_args
 from inferframe.plans.catalog import query
 from inferframe.plans.fixtures import SQL_CANDIDATES, SQL_CHOICE, candidates, choice_answers, tbl
@@ -301,3 +302,40 @@ def val_tool_args_full(spark, sf):
     registry = spark.createDataFrame([(n, json.dumps(s)) for n, s in RULED_TOOLS], "name string, params_schema string")
     c = check_tool_args(ruled_calls(spark, sf), registry)
     return c.select("id", "tool_name", F.array_join("arg_errors", ";").alias("errors"), "args_valid")
+
+
+#: stand-in: the arguments of the first tool as an answer to be read into a nested type
+ORDER_ANSWER = {
+    "type": "object", "required": ["n", "dim"], "$defs": RULED_TOOLS[0][1]["$defs"],
+    "properties": {"n": {"type": ["integer", "number"]}, "s": {"anyOf": [{"type": "string"}, {"type": "null"}]}, "p": {"type": "string"},
+                   "dim": {"$ref": "#/$defs/size"}, "tags": {"type": "array", "items": {"type": "string"}}},
+}
+
+
+@query("rsp_struct_nested", sql=f"""
+WITH {SQL_RULED_CALLS}
+SELECT id, (arguments->>'$.n')::DOUBLE AS n, coalesce(arguments->>'$.s', '') AS s, arguments->>'$.p' AS p,
+  (arguments->>'$.dim.w')::DOUBLE AS w, (arguments->>'$.dim.h')::DOUBLE AS h,
+  array_to_string(arguments->>'$.tags[*]', '|') AS tags
+FROM calls WHERE tool_name = 'order' AND id % 3 <> 0 AND id % 7 <> 0 AND id % 11 <> 0 AND (arguments->>'$.dim.w')::DOUBLE > 3""")
+def rsp_struct_nested(spark, sf):
+    """Valid answers read into a nested struct (objects, a list, a union with null) compiled from their JSON Schema."""
+    a = parse_answer(ruled_calls(spark, sf).filter("tool_name = 'order'"), "arguments", ORDER_ANSWER)
+    p = F.col("parsed")
+    return a.filter("parsed is not null").select(
+        "id", p["n"].alias("n"), F.coalesce(p["s"], F.lit("")).alias("s"), p["p"].alias("p"), p["dim"]["w"].alias("w"),
+        p["dim"]["h"].alias("h"), F.array_join(p["tags"], "|").alias("tags"))
+
+
+@query("ag_error_reasons", sql=f"""
+WITH {SQL_CANDIDATES}, {SQL_JSON_CHECK},
+e AS (SELECT kind, id, unnest(string_split(errors, ';')) AS e FROM jcheck WHERE errors <> ''),
+p AS (SELECT kind, id, split_part(e, ':', 1) AS reason, CASE WHEN contains(e, ':') THEN substr(e, instr(e, ':') + 1) ELSE '' END AS place FROM e),
+c AS (SELECT kind, reason, count(DISTINCT id)::BIGINT AS n FROM p GROUP BY 1, 2),
+t AS (SELECT kind, reason, place, row_number() OVER (PARTITION BY kind, reason ORDER BY count(DISTINCT id) DESC, place) AS rn FROM p GROUP BY 1, 2, 3),
+a AS (SELECT kind, count(*) AS n_all FROM jcheck GROUP BY 1)
+SELECT kind, reason, n, n / n_all AS share, place AS most_at FROM c JOIN t USING (kind, reason) JOIN a USING (kind) WHERE rn = 1""")
+def ag_error_reasons(spark, sf):
+    """Why structured answers fail: count, share and commonest place of each reason, per kind."""
+    c = candidates(spark, sf).filter(~F.col("kind").isin("email", "grammar", "city_array")).withColumn("_v", F.try_parse_json("content"))
+    return OP.constraint_errors(c.select("kind", schema_errors(F.col("_v")).alias("errors")))
