@@ -6,10 +6,15 @@ A page is the unit of parallelism: a document's pages are generated with
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inferframe.functions.scalars import aspect_rejected
+from inferframe.operators.html_blocks import page_blocks
 from inferframe.operators.ordered import ordered_collect, ordered_concat
 
 
@@ -62,102 +67,39 @@ def reading_order(layout: DataFrame, key: str = "page_id", elem: str = "elem_idx
 
 # ------------------------------------------------------------------------------ CV1/CV2
 
-#: fixed: named character references decoded in texts (``&amp;`` last, so ``&amp;lt;`` stays ``&lt;``)
-ENTITIES = {"quot": '"', "apos": "'", "copy": "©", "reg": "®", "middot": "·", "hellip": "…", "ndash": "–", "mdash": "—",
-            "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»", "euro": "€", "bull": "•",
-            "lt": "<", "gt": ">", "nbsp": " ", "amp": "&"}
-
-
-def _numeric(x: Column) -> Column:
-    """``&#65;`` and ``&#x41;`` decoded; anything else after ``&#`` stays as it is."""
-    parts = F.split(x, "&#")
-
-    def one(p: Column) -> Column:
-        digits = F.regexp_extract(p, r"^([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});", 1)
-        is_hex = F.lower(F.substring(digits, 1, 1)) == "x"
-        code = F.when(is_hex, F.conv(F.regexp_replace(digits, "^[xX]", ""), 16, 10)
-                      .cast("long")).otherwise(F.conv(digits, 10, 10).cast("long"))
-        good = (digits != "") & (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        rest = F.regexp_replace(p, r"^[^;]*;", "")
-        return F.when(good, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), p))
-
-    joined = F.concat(F.try_element_at(parts, F.lit(1)), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one), ""))
-    return F.when(F.contains(x, F.lit("&#")), joined).otherwise(x)
-
-
-def decode_entities(x: Column) -> Column:
-    """Numeric and the common named character references decoded."""
-    x = _numeric(x)
-    for name, ch in ENTITIES.items():
-        x = F.replace(x, F.lit(f"&{name};"), F.lit(ch))
-    return x
-
-
-def strip_tags(x: Column) -> Column:
-    return F.trim(F.regexp_replace(x, r"<[^>]+>", ""))
-
-
-def _element(html: Column, tag: str) -> Column:
-    """Content of all outermost ``<tag ...>`` elements in order, a blank between two; empty without one.
-    Where closing tags are missing, the content ends at the last one."""
-    opening, closing = rf"(?i)^<{tag}(?:\s[^>]*)?>", rf"(?i)^</{tag}\s*>"
-    pieces = F.split(html, rf"(?i)(?=<{tag}(?:\s[^>]*)?>|</{tag}\s*>)")
-
-    def step(s: Column, x: Column) -> Column:
-        opens, closes = x.rlike(opening), x.rlike(closing)
-        depth = F.when(opens, s["depth"] + 1).when(closes, F.greatest(s["depth"] - 1, F.lit(0))).otherwise(s["depth"])
-        gap = F.when(opens & (s["depth"] == 0) & (s["text"] != ""), " ").otherwise("")
-        text = F.when(depth > 0, F.concat(s["text"], gap, F.regexp_replace(x, rf"(?i)^</?{tag}(?:\s[^>]*)?>", ""))).otherwise(s["text"])
-        done = F.when(closes & (s["depth"] > 0), s["text"]).otherwise(s["done"])
-        return F.struct(depth.alias("depth"), text.alias("text"), done.alias("done"))
-
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.lit("").alias("done"))
-    return F.aggregate(pieces, start, step, lambda s: s["done"])
-
-
-_BLOCK = r"(?i)<(h[1-6]|p|li|table)(?:\s[^>]*)?>"
-
+#: pages read before their blocks are handed on
+PAGES_AT_ONCE = 64
 
 def pages_to_blocks(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """CV1: HTML page -> ordered blocks ``(elem_idx, category, text)``.
 
-    The text is that of all ``<article>``, else ``<main>``, else ``<body>``, else the whole page, without scripts, styles,
-    navigation and comments. It is cut at the opening tags of headings, paragraphs, list items and
-    tables (closing tags are optional): ``Title`` (h1), ``Section-header`` (h2-h6), ``Text``, ``List-item``, ``Table``
-    (cells joined by " | ", rows by line ends). Text outside such a tag is a ``Text`` block too. The page's footer comes
-    last as ``Page-footer``. Tags may carry attributes and any case. A NULL page gives no block."""
-    h = F.col(html)
-    page = F.regexp_replace(h, r"(?is)<!--.*?-->|<(script|style|nav)(?:\s[^>]*)?>.*?</\1\s*>", "")
-    article, main, body = (_element(page, t) for t in ("article", "main", "body"))
-    inner = F.when(article != "", article).when(main != "", main).when(body != "", body).otherwise(page)
-    footer = _element(page, "footer")
-    # a footer inside the text comes out once, as footer; a table keeps its inner blocks
-    inner = F.regexp_replace(inner, r"(?is)<footer(?:\s[^>]*)?>.*?</footer\s*>", "")
-    inner = F.regexp_replace(F.regexp_replace(inner, r"(?i)</t[dh]\s*>\s*(?=<t[dh])", " | "), r"(?i)</tr\s*>", "\n")
-    pieces = F.split(inner, r"(?=" + _BLOCK + ")")
-
-    def blocks_of(piece: Column) -> Column:
-        tag = F.lower(F.regexp_extract(piece, r"^" + _BLOCK, 1))
-        close = r"(?is)</(?:h[1-6]|p|li|table)\s*>"
-        own = F.when(tag == "", F.lit("")).otherwise(F.regexp_replace(piece, close + r".*", ""))
-        after = F.when(tag == "", piece).otherwise(
-            F.regexp_extract(piece, close + r"(.*)$", 1))
-        own = F.when(tag == "table", F.regexp_replace(own, r"\s+$", "")).otherwise(own)
-        category = (F.when(tag == "h1", "Title").when(tag.startswith("h"), "Section-header")
-                    .when(tag == "li", "List-item").when(tag == "table", "Table").otherwise("Text"))
-        made = F.array(F.struct(category.alias("category"), own.alias("raw"), (tag != "").alias("keep")),
-                       F.struct(F.lit("Text").alias("category"), after.alias("raw"), (strip_tags(after) != "").alias("keep")))
-        return F.filter(made, lambda b: b["keep"])
-
-    blocks = F.concat(F.flatten(F.transform(pieces, blocks_of)), F.when(
-        footer != "", F.array(F.struct(F.lit("Page-footer").alias("category"), footer.alias("raw"), F.lit(True).alias("keep"))))
-        .otherwise(F.array().cast("array<struct<category:string,raw:string,keep:boolean>>")))
-    ex = (pages.select(key, F.posexplode_outer(blocks).alias("elem_idx", "b"))
-          .filter(F.col("elem_idx").isNotNull()))
-    return ex.select(key, F.col("elem_idx").cast("bigint").alias("elem_idx"),
-                     F.col("b.category").alias("category"),
-                     decode_entities(strip_tags(F.col("b.raw"))).alias("text"))
+    The text is that of all ``<article>``, else of all ``<main>`` (whichever hold text), else the whole page, without head, title,
+    scripts, styles, navigation, advertising (``<div class="ad">``) and comments. Blocks are headings, paragraphs, list items and
+    tables, whose end tags are optional: ``Title`` (h1), ``Section-header`` (h2-h6), ``Text``, ``List-item``, ``Table``
+    (cells joined by " | ", rows by line ends). Text outside such an element is a ``Text`` block too, divided by block-level elements.
+    The page's footers come last as one ``Page-footer``. Tags may carry attributes in quotes, any case, and may be
+    left open. A NULL page gives no block.
+
+    Every page is read once with a stack of open elements (``html_blocks``), in Arrow batches: which text belongs to which
+    element depends on all open ones, which no expression over the page can follow. Rows stay where they are."""
+    kind = pages.schema[key].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0)
+            for first in range(0, batch.num_rows, PAGES_AT_ONCE):
+                part = batch.column(1).slice(first, PAGES_AT_ONCE)
+                blocks = [page_blocks(page) for page in part.to_pylist()]
+                n = [len(b) for b in blocks]
+                yield pa.RecordBatch.from_arrays([
+                    keys.take(pa.array([first + i for i, k in enumerate(n) for _ in range(k)], pa.int64())),
+                    pa.array([i for k in n for i in range(k)], pa.int64()),
+                    pa.array([c for b in blocks for c, _ in b], pa.string()), pa.array([t for b in blocks for _, t in b], pa.string())],
+                    [key, "elem_idx", "category", "text"])
+
+    return pages.select(key, F.col(html).cast("string").alias("html")).mapInArrow(run, T.StructType([
+        T.StructField(key, kind), T.StructField("elem_idx", T.LongType()), T.StructField("category", T.StringType()),
+        T.StructField("text", T.StringType())]))
 
 
 def block_markdown(category: Column, text: Column) -> Column:

@@ -233,6 +233,18 @@ def cv_render(spark, sf):
                     F.md5("document").alias("document_md5"))
 
 
+@query("cv_render_doctags", sql=f"""
+WITH {SQL_BLOCKS},
+e AS (SELECT *, lower(replace(category, '-', '_')) AS tag, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS t FROM blocks)
+SELECT page_id, count(*)::BIGINT AS n_blocks,
+  md5('<doctag>' || chr(10) || string_agg('<' || tag || '>' || t || '</' || tag || '>', chr(10) ORDER BY elem_idx) || chr(10) || '</doctag>') AS document_md5
+FROM e GROUP BY page_id""")
+def cv_render_doctags(spark, sf):
+    """Blocks rendered as one doctags document per page."""
+    r = PG.render_blocks(PG.pages_to_blocks(tbl(spark, sf, "pages")), "doctags")
+    return r.select("page_id", F.col("n_blocks").cast("bigint").alias("n_blocks"), F.md5("document").alias("document_md5"))
+
+
 @query("cv_render_json", sql=f"""
 WITH {SQL_BLOCKS}
 SELECT page_id, count(*)::BIGINT AS n_blocks, string_agg(category, ',' ORDER BY elem_idx) AS categories,
