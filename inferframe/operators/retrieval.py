@@ -3,11 +3,12 @@ AG1/AG2 request packing, WN1 per-query ranking.
 
 Top-k similarity never materialises (query, document) pairs as rows. Queries are hashed into
 ``nqb`` blocks and documents into ``ndb`` blocks, as many as keep a block of either side within
-``BLOCK_BYTES`` (both numbers come from one count over each side; nothing is pulled to the
-driver). Each (query block, document block) pair is one co-group, scored with numpy, and only its
-top k per query leave the task. So every group is bounded whatever the tables' sizes, and with a
-small query side the documents move once. The result ends in a ``row_number() <= k`` window
-that Catalyst turns into a partial + final WindowGroupLimit.
+``BLOCK_BYTES`` (both numbers come from one count over each side). Where one block holds all
+queries, it is broadcast and the documents stay where they are; otherwise nothing is pulled to the
+driver and each (query block, document block) pair is one co-group. Either way blocks are scored with
+numpy and only the top k per query leave a task, so every group is bounded whatever the tables' sizes.
+The result ends in a ``row_number() <= k`` window that Catalyst turns into a partial + final
+WindowGroupLimit.
 
 An exact search compares every query with every document; the blocks only spread that work.
 """
@@ -15,7 +16,7 @@ An exact search compares every query with every document; the blocks only spread
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -172,6 +173,9 @@ def similarity_topk(queries: DataFrame, docs: DataFrame, k: int, kernel, *,
                     F.col(d_val).alias("dv"), *extra).filter("dv is not null")
     schema = _out_schema(d, extra)
     nqb = query_blocks or _blocks(q, "qv", 1, block_bytes)
+    if nqb == 1 and doc_blocks is None:
+        cand = _against_all_queries(q, d, k, kernel, schema, extra, exclude_self, min_score)
+        return rank_within_query(cand, k, query_col="query_id", score_col="score", tie_col="doc_id")
     ndb = doc_blocks or _blocks(d, "dv", spark.sparkContext.defaultParallelism, block_bytes)
     qrows = q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(nqb)).cast("int")) \
         .withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(ndb - 1))))
@@ -190,6 +194,25 @@ def similarity_topk(queries: DataFrame, docs: DataFrame, k: int, kernel, *,
                              tie_col="doc_id")
 
 
+def _against_all_queries(q: DataFrame, d: DataFrame, k: int, kernel, schema: T.StructType, extra: list[str], exclude_self: bool,
+                         min_score) -> DataFrame:
+    """Top-k candidates where all queries are one block: its values, counted to be within ``block_bytes``, are broadcast and each task scores
+    its own documents, which stay where they are."""
+    rows = q.toArrow()
+    shared = q.sparkSession.sparkContext.broadcast((rows["query_id"].to_numpy(), rows["qv"].to_pylist()))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, values = shared.value
+        prep = kernel.prepare_queries(values) if len(ids) else None
+        for pdf in batches:
+            if len(ids) and len(pdf):
+                found = _score_batches(prep, ids, kernel, pdf, k, "dv", extra, exclude_self, min_score)
+                if len(found):
+                    yield _conform(found, schema)
+
+    return d.mapInPandas(run, schema)
+
+
 def usable_vectors(df: DataFrame, vector: str, dim: int) -> DataFrame:
     """Rows whose vector has ``dim`` numbers, none of them NULL; the others can't be scored."""
     v = F.col(vector)

@@ -17,7 +17,7 @@ from inferframe.plans.fixtures import (
 from inferframe.session import shared_dir
 from inferframe.sources.streams import stream_chunks, stream_task_events
 from inferframe.streaming.assemble import (
-    stream_assemble_content, stream_assemble_tool_calls,
+    stream_assemble_content, stream_assemble_tool_calls, stream_tool_call_snapshots,
 )
 from inferframe.streaming.tasks import join_tasks, track_tasks
 
@@ -84,20 +84,20 @@ def _stream_tool_chunks(spark, sf):
     return ch.unionByName(ch.filter((p == 0) & (F.col("tool_index") % 5 == 0)))
 
 
-@query("st_tool_calls", sql=f"""
+SQL_ST_TOOL_CALLS = f"""
 WITH {SQL_TOOL_CHUNKS}
 SELECT request_id, tool_index, max(tool_id) AS tool_id, max(tool_name) AS tool_name,
        string_agg(tool_args, '' ORDER BY seq) AS arguments, count(*)::BIGINT AS n_fragments
-FROM tool_chunks GROUP BY request_id, tool_index""")
-def st_tool_calls(spark, sf):
-    """Tool-call fragments as a file stream: one state per call, dropped by event time, in update mode; each
-    micro-batch is appended to a change log; the result is the latest row per call."""
+FROM tool_chunks GROUP BY request_id, tool_index"""
+
+
+def _latest_calls(spark, sf, assemble):
+    """Run an update-mode stream of calls; each micro-batch is appended to a change log, the result is the latest row per call."""
     ch = _stream_tool_chunks(spark, sf)
     own = _own_session(spark)
     src = _land(ch, "st-tools-src", spark)
     log, ck = shared_dir(spark, "st-tools-log"), shared_dir(spark, "st-tools-ck")
-    stream = stream_chunks(own, src, ch.schema, max_files_per_trigger=4)
-    res = stream_assemble_tool_calls(stream, watermark="40 days")  # the files hold their rows in no order of time
+    res = assemble(stream_chunks(own, src, ch.schema, max_files_per_trigger=4))
 
     def append(batch, batch_id):
         # one partition per micro-batch, overwritten on retry: a re-run batch replaces
@@ -105,13 +105,24 @@ def st_tool_calls(spark, sf):
         batch.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
 
     _run(res.writeStream.foreachBatch(append).option("checkpointLocation", ck).outputMode("update"))
-    back = spark.read.parquet(log)
-    latest = back.groupBy("request_id", "tool_index").agg(
+    latest = spark.read.parquet(log).groupBy("request_id", "tool_index").agg(
         F.max_by(F.struct("tool_id", "tool_name", "arguments", "n_fragments"), "batch_id").alias("r"))
     return latest.select("request_id", "tool_index", "r.tool_id", "r.tool_name", "r.arguments",
                          F.col("r.n_fragments").cast("bigint").alias("n_fragments"))
 
 
+@query("st_tool_calls", sql=SQL_ST_TOOL_CALLS)
+def st_tool_calls(spark, sf):
+    """Tool-call fragments as a file stream that ends: aggregation in update mode."""
+    return _latest_calls(spark, sf, stream_tool_call_snapshots)
+
+
+@query("st_tool_calls_endless", sql=SQL_ST_TOOL_CALLS)
+def st_tool_calls_endless(spark, sf):
+    """The same stream in the form for endless streams: a state per call that event time drops."""
+    return _latest_calls(spark, sf, lambda s: stream_assemble_tool_calls(s, watermark="40 days"))  # the files are in no order of time
+
+
 SQL_TASKS = f"""
 s AS (SELECT task_id, min(ts) AS st FROM task_events GROUP BY task_id),
 r AS (SELECT task_id, min(ts) FILTER (WHERE status IN ('success', 'failure')) AS rt,

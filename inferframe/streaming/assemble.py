@@ -2,8 +2,8 @@
 
 * ``stream_assemble_content`` (ST1) answers each request once. ``stream_content_events`` is the same stream with the
   counts of late fragments. A request's state is a book (which fragments are there, as runs of ``seq``;
-  where the message ends) and a list to which every new fragment is appended once; a message is
-  never rewritten while it grows. It is emitted as soon as the finish fragment and every fragment before it (dense
+  where the message ends; the latest fragments) and a list to which fragments are moved in large pieces, so a long
+  message is not rewritten while it grows. It is emitted as soon as the finish fragment and every fragment before it (dense
   ``seq``) have arrived, however long the pauses between them, or as incomplete when the watermark passes its last
   fragment plus ``ttl``. Then the fragments go and the book stays as a mark: fragments that are
   delivered again, or come too late, are dropped and counted. The mark goes when the watermark passes the
@@ -25,8 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -62,10 +61,17 @@ def merge_runs(starts: np.ndarray, ends: np.ndarray, seq: np.ndarray) -> tuple[n
     return s[first], e[np.append(first[1:], len(s)) - 1], fresh
 
 
+#: characters of text kept in the book itself; beyond, they go to the list
+INLINE_CHARS = 32_768
+
+
 class _Fragments(StatefulProcessor):
-    """State shared by ST1 and ST2: ``book`` and the appended ``parts``; one timer per key, moved lazily."""
+    """State shared by ST1 and ST2: the ``book`` of a key, with the fragments not yet moved to the list of ``parts``, and one
+    timer, moved lazily. Every access to state costs a round trip, so a short message is one value; a long one
+    is appended to the list in pieces of ``INLINE_CHARS``, each written once."""
 
-    BOOK = "starts array<bigint>, ends array<bigint>, last_ms bigint"
+    BOOK = "starts array<bigint>, ends array<bigint>, last_ms bigint, seq array<bigint>, text array<string>, spilled boolean"
+    NEW = ([], [], 0, [], [], False)
 
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
@@ -78,21 +84,24 @@ class _Fragments(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    @staticmethod
-    def read(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-        return pd.concat(list(rows), ignore_index=True)
-
-    def append(self, starts, ends, pdf: pd.DataFrame, text: str):
-        """Store the new fragments; the runs with them."""
-        seq = pdf["seq"].to_numpy(dtype=np.int64)
-        starts, ends, fresh = merge_runs(np.asarray(starts, np.int64), np.asarray(ends, np.int64), seq)
-        texts = pdf[text].to_numpy(dtype=object)[fresh]
-        if fresh.any():
-            self.parts.appendList([(int(q), t if isinstance(t, str) else "") for q, t in zip(seq[fresh], texts)])
-        return starts, ends, fresh
-
-    def text(self, upto: int | None = None) -> str:
-        return "".join(t for q, t in sorted(self.parts.get()) if upto is None or q <= upto)
+    def append(self, known: tuple, rows: list[Row], column: str) -> tuple[tuple, bool]:
+        """(the shared part of the book with the new fragments, whether there was one)."""
+        starts, ends, last, held, text, spilled = known
+        starts, ends, fresh = merge_runs(np.asarray(starts, np.int64), np.asarray(ends, np.int64), np.array([r.seq for r in rows], np.int64))
+        new = [r for r, f in zip(rows, fresh.tolist()) if f]
+        held, text = [*held, *(r.seq for r in new)], [*text, *(r[column] or "" for r in new)]
+        if sum(map(len, text)) > INLINE_CHARS:
+            self.parts.appendList(list(zip(held, text)))
+            held, text, spilled = [], [], True
+        return (starts.tolist(), ends.tolist(), max(last, *(r.ts_ms for r in rows)), held, text, spilled), bool(new)
+
+    def text(self, known: tuple, upto: int | None = None) -> str:
+        held = [*zip(known[3], known[4]), *(self.parts.get() if known[5] else ())]
+        return "".join(t for q, t in sorted(held) if upto is None or q <= upto)
+
+    def forget(self, known: tuple) -> None:
+        if known[5]:
+            self.parts.clear()
 
     def wake(self, at_ms: int, timers) -> None:
         self.handle.registerTimer(max(at_ms, timers.getCurrentWatermarkInMs() + 1))
@@ -102,35 +111,32 @@ class _Messages(_Fragments):
     BOOK = _Fragments.BOOK + ", finish bigint, emitted boolean, late bigint"
 
     @staticmethod
-    def row(key, event: str, content=None, n=None, complete=None, late=None) -> pd.DataFrame:
-        return pd.DataFrame({"request_id": [key[0]], "event": [event], "content": [content], "n_chunks": [n],
-                             "complete": [complete], "n_late": [late]})
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = self.read(rows)
-        known = self.book.get()
-        starts, ends, last, finish, emitted, late = known or ([], [], 0, None, False, 0)
+    def row(key, event: str, content=None, n=None, complete=None, late=None) -> Row:
+        return Row(request_id=key[0], event=event, content=content, n_chunks=n, complete=complete, n_late=late)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        rows = list(rows)
+        stored = self.book.get()
+        known, (finish, emitted, late) = (tuple(stored[:6]), stored[6:]) if stored else (self.NEW, (None, False, 0))
         if emitted:
-            self.book.update((starts, ends, last, finish, True, late + len(pdf)))
+            self.book.update((*known, finish, True, late + len(rows)))
             return
-        starts, ends, _ = self.append(starts, ends, pdf, "content")
-        marks = pdf.loc[pdf["finish_reason"].notna(), "seq"]
-        if len(marks):
-            finish = int(marks.min()) if finish is None else min(finish, int(marks.min()))
-        last = max(last, int(pdf["ts_ms"].max()))
-        if known is None:
-            self.wake(last + self.ttl_ms, timerValues)
-        if finish is not None and len(starts) and starts[0] <= 0 and ends[0] >= finish:
-            content = self.text(finish)
-            self.parts.clear()
-            self.book.update(([], [], last, finish, True, 0))
+        known, _ = self.append(known, rows, "content")
+        finish = min([r.seq for r in rows if r.finish_reason is not None] + ([] if finish is None else [finish]), default=None)
+        if stored is None:
+            self.wake(known[2] + self.ttl_ms, timerValues)
+        if finish is not None and known[0] and known[0][0] <= 0 and known[1][0] >= finish:
+            content = self.text(known, finish)
+            self.forget(known)
+            self.book.update(([], [], known[2], [], [], False, finish, True, 0))
             yield self.row(key, "message", content, finish + 1, True)
         else:
-            self.book.update((starts.tolist(), ends.tolist(), last, finish, False, 0))
+            self.book.update((*known, finish, False, 0))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        starts, ends, last, finish, emitted, late = self.book.get()
-        due = last + self.ttl_ms
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        stored = self.book.get()
+        known, (finish, emitted, late) = tuple(stored[:6]), stored[6:]
+        due = known[2] + self.ttl_ms
         if expiredTimerInfo.getExpiryTimeInMs() < due:
             self.wake(due, timerValues)
         elif emitted:
@@ -138,10 +144,10 @@ class _Messages(_Fragments):
             if late:
                 yield self.row(key, "late", late=late)
         else:
-            content, n = self.text(), sum(e - s + 1 for s, e in zip(starts, ends))
-            self.parts.clear()
-            last = max(last, timerValues.getCurrentWatermarkInMs())
-            self.book.update(([], [], last, finish, True, 0))
+            content, n = self.text(known), sum(e - s + 1 for s, e in zip(*known[:2]))
+            self.forget(known)
+            last = max(known[2], timerValues.getCurrentWatermarkInMs())
+            self.book.update(([], [], last, [], [], False, finish, True, 0))
             self.wake(last + self.ttl_ms, timerValues)
             yield self.row(key, "message", content, n, False)
 
@@ -155,7 +161,7 @@ def stream_content_events(chunks: DataFrame, *, watermark: str = "10 minutes", t
     """ST1 over a streaming frame ``(request_id, seq, content, finish_reason, ts)``: one row with ``event = 'message'``
     per request (content, n_chunks, complete) and, where fragments came after it, one with ``event = 'late'``
     and their number ``n_late`` when the request's mark goes."""
-    return _timed(chunks, watermark).groupBy("request_id").transformWithStateInPandas(
+    return _timed(chunks, watermark).groupBy("request_id").transformWithState(
         _Messages(ttl_ms), EVENT_OUT, "Append", "EventTime")
 
 
@@ -189,49 +195,44 @@ def stream_assemble_content_sessions(chunks: DataFrame, *, gap: str = "5 minutes
                     F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end")))
 
 
-def _first(seq: np.ndarray, values: np.ndarray, old_seq, old):
+def _first(rows: list[Row], column: str, old_seq, old):
     """The value with the lowest seq among the stored one and the new non-NULL ones."""
-    have = np.array([isinstance(v, str) for v in values], bool)
-    if have.any():
-        i = int(np.argmin(np.where(have, seq, np.iinfo(np.int64).max)))
-        if old_seq is None or int(seq[i]) < old_seq:
-            return int(seq[i]), values[i]
-    return old_seq, old
+    have = [(r.seq, r[column]) for r in rows if r[column] is not None and (old_seq is None or r.seq < old_seq)]
+    return min(have, default=(old_seq, old))
 
 
 class _ToolCalls(_Fragments):
     BOOK = _Fragments.BOOK + ", id_seq bigint, tool_id string, name_seq bigint, tool_name string"
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = self.read(rows)
-        known = self.book.get()
-        starts, ends, last, id_seq, tool_id, name_seq, tool_name = known or ([], [], 0, None, None, None, None)
-        starts, ends, fresh = self.append(starts, ends, pdf, "tool_args")
-        seq = pdf["seq"].to_numpy(dtype=np.int64)
-        id_seq, tool_id = _first(seq, pdf["tool_id"].to_numpy(dtype=object), id_seq, tool_id)
-        name_seq, tool_name = _first(seq, pdf["tool_name"].to_numpy(dtype=object), name_seq, tool_name)
-        last = max(last, int(pdf["ts_ms"].max()))
-        if known is None:
-            self.wake(last + self.ttl_ms, timerValues)
-        self.book.update((starts.tolist(), ends.tolist(), last, id_seq, tool_id, name_seq, tool_name))
-        if fresh.any():  # a batch of re-deliveries changes nothing
-            yield pd.DataFrame({"request_id": [key[0]], "tool_index": [key[1]], "tool_id": [tool_id], "tool_name": [tool_name],
-                                "arguments": [self.text()], "n_fragments": [int((ends - starts + 1).sum())]})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        due = self.book.get()[2] + self.ttl_ms
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        rows = list(rows)
+        stored = self.book.get()
+        known, names = (tuple(stored[:6]), stored[6:]) if stored else (self.NEW, (None, None, None, None))
+        known, changed = self.append(known, rows, "tool_args")
+        id_seq, tool_id = _first(rows, "tool_id", *names[:2])
+        name_seq, tool_name = _first(rows, "tool_name", *names[2:])
+        if stored is None:
+            self.wake(known[2] + self.ttl_ms, timerValues)
+        self.book.update((*known, id_seq, tool_id, name_seq, tool_name))
+        if changed:  # a batch of re-deliveries changes nothing
+            yield Row(request_id=key[0], tool_index=key[1], tool_id=tool_id, tool_name=tool_name, arguments=self.text(known),
+                      n_fragments=sum(e - s + 1 for s, e in zip(*known[:2])))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        known = tuple(self.book.get()[:6])
+        due = known[2] + self.ttl_ms
         if expiredTimerInfo.getExpiryTimeInMs() < due:
             self.wake(due, timerValues)
         else:
             self.book.clear()
-            self.parts.clear()
+            self.forget(known)
         yield from ()
 
 
 def stream_assemble_tool_calls(chunks: DataFrame, *, watermark: str = "1 hour", ttl_ms: int = 3_600_000) -> DataFrame:
     """ST2 over a streaming frame ``(request_id, seq, tool_index, tool_id, tool_name,
     tool_args, ts)``: fragments of a call may come at different times, out of order and twice."""
-    return _timed(chunks, watermark).groupBy("request_id", "tool_index").transformWithStateInPandas(
+    return _timed(chunks, watermark).groupBy("request_id", "tool_index").transformWithState(
         _ToolCalls(ttl_ms), CALL_OUT, "Update", "EventTime")
 
 
