@@ -46,11 +46,7 @@ RECOGNITION_MODES = {
     "formula": "Formula Recognition:",
     "table": "Table Recognition:",
 }
-OCR_SYSTEM_INSTRUCTION = (
-    "Recognize the text in the image and output in Markdown format. Preserve the original "
-    "layout (headings/paragraphs/tables/formulas). Do not fabricate content that does not "
-    "exist in the image."
-)
+OCR_SYSTEM_INSTRUCTION = "Recognize the text in the image and output in Markdown format. Preserve the original layout (headings/paragraphs/tables/formulas). Do not fabricate content that does not exist in the image."
 OCR_PINNED_MODEL = "zai-org/GLM-OCR"
 
 # Prefix put in front of the prompt for the layout OCR model.
