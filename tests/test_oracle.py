@@ -13,10 +13,11 @@ ORACLE = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 def test_every_query_has_an_oracle():
     assert len(QUERIES) >= 79
-    assert set(QUERIES) == set(ORACLE)
+    # an approximate search: its recall is measured in test_vector_index
+    assert set(QUERIES) - set(ORACLE) == {"jn_topk_index"} and set(ORACLE) < set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     got = QUERIES[name](spark, SF_SMALL).toPandas()
     sql = ORACLE[name].replace("/root/testdata/sf0.01/", SF_SMALL + "/")
