@@ -6,11 +6,11 @@ zero; the signs of the sums are the fingerprint (32 hex digits, a sum of zero gi
 texts whose weighted term vectors lie at angle a differ in a / pi of the bits on average, so
 `likeness` turns a share d of differing bits into the cosine cos(pi d), cut off at 0.
 
-Near pairs: `near_classes` cuts the fingerprint into radius + 1 blocks. Fingerprints within the radius
-agree in at least one block, so one table per block, keyed by that block (32 bits at the
-default radius of 3), meets every pair; candidates are confirmed on all bits. Equal fingerprints are
-one class beforehand, and members of a bucket are linked by `components.linked`, without
-enumerating the pairs of a family of copies.
+Near pairs: `near_classes` cuts the fingerprint into radius + 2 blocks. Fingerprints within the radius
+agree in at least two blocks, so permuted tables, one for each two blocks, keyed by both (51 bits or so at the
+default radius of 3; hashed, so a collision only adds a candidate), meet every pair. Candidates are compared on all bits
+within the join, so only links leave it. Equal fingerprints are one class beforehand, and members of a bucket are
+linked by `components.linked`; a bucket whose members are not linked costs comparisons of two words a pair, no rows.
 
 The next document in descending doc_id order is found without a global sort: doc_id quantiles cut
 the ids into ranges, one shuffle brings each range together, and each range also receives a copy
@@ -188,9 +188,12 @@ def near_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fingerprint, near_class) for prints (doc_id, fingerprint): near_class is the smallest doc_id of
     the class connected by fingerprints that differ in at most `radius` bits."""
     classes = written(prints.groupBy(F.col("fingerprint").alias("node")).agg(F.min("doc_id").alias("first_id")), "fingerprints")
-    cuts = [round(32 * i / (radius + 1)) for i in range(radius + 2)]
-    blocks = F.array(*[F.concat(F.lit(f"{i}:"), F.substring("node", cuts[i] + 1, cuts[i + 1] - cuts[i])) for i in range(radius + 1)])
-    rows = classes.select(F.explode(blocks).alias("bucket"), "node")
+    # radius + 2 blocks, a table for each two of them: fingerprints within the radius agree in two blocks at least
+    n = radius + 2
+    cuts = [round(32 * i / n) for i in range(n + 1)]
+    blocks = [F.substring("node", cuts[i] + 1, cuts[i + 1] - cuts[i]) for i in range(n)]
+    keys = F.array(*[F.xxhash64(F.lit(n * i + j), blocks[i], blocks[j]) for i in range(n) for j in range(i + 1, n)])
+    rows = classes.select(F.explode(keys).alias("bucket"), "node")
 
     def half(c: str, i: int) -> Column:
         # signed 64-bit value of 16 hex digits, in two 32-bit parts
@@ -198,12 +201,15 @@ def near_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
         low = F.conv(F.substring(c, 16 * i + 9, 8), 16, 10).cast("long")
         return F.shiftleft(high, 32).bitwiseOR(low)
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        bits = sum((F.bit_count(half("a", i).bitwiseXOR(half("b", i))) for i in (0, 1)), F.lit(0))
-        return pairs.where(bits <= radius)
+    def within(x: Column, y: Column) -> Column:
+        return F.bit_count(x["a"].bitwiseXOR(y["a"])) + F.bit_count(x["b"].bitwiseXOR(y["b"])) <= radius
+
+    def bits(c: str) -> Column:
+        return F.struct(half(c, 0).alias("a"), half(c, 1).alias("b"))
 
     def prepare(spread: DataFrame):
-        return confirm, spread.withColumn("weight", F.lit(0.0)).withColumn("info", F.lit(0)), lambda x, y: F.lit(True)
+        # a pair that meets this condition is a link, so none is handed on that is not
+        return lambda pairs: pairs, spread.withColumn("weight", F.lit(0.0)).withColumn("info", bits("node")), within
 
     roots = linked(rows, prepare)
     if roots is None:

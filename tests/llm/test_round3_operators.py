@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from inferframe.llm import hard_negatives, periodic_runs, suffix_dedup
+from inferframe.llm import hard_negatives, periodic_runs, simhash, suffix_dedup
 from tests.conftest import SF_SMALL
 from tests.llm import brute
 
@@ -123,6 +123,34 @@ def test_repeats_in_the_documents(spark):
     assert suffix_dedup.repeat_report(docs.limit(0)).collect() == []
 
 
+# ---------------------------------------------------------------- fingerprints in a radius
+
+@pytest.mark.parametrize("radius", [1, 3])
+def test_all_fingerprints_within_the_radius_meet(spark, radius):
+    rng = random.Random(radius)
+    prints = []
+    for _ in range(25):
+        base = rng.getrandbits(128)
+        for _ in range(rng.randint(1, 8)):
+            prints.append(base ^ sum(1 << b for b in rng.sample(range(128), rng.randint(0, radius + 2))))
+    hot = rng.getrandbits(128)  # many that share most blocks and are mostly not linked
+    prints += [hot ^ sum(1 << b for b in rng.sample(range(128), 4)) for _ in range(60)]
+    rows = [(i, f"{p:032x}") for i, p in enumerate(prints)]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= radius:
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    got = {r.fingerprint: r.near_class for r in simhash.near_classes(spark.createDataFrame(rows, "doc_id long, fingerprint string"), radius).collect()}
+    assert got == {p: min(find(j) for j, q in rows if q == p) for i, p in rows}
+
+
 # ---------------------------------------------------------------- hard negatives
 
 def vector_rows(seed, wide=False):
