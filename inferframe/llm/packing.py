@@ -9,7 +9,7 @@ cuts each document where its global position crosses a window edge. No text or i
 `sequences` builds the padded windows: a window inside one task is assembled there; only the
 fragments of windows that span tasks (boundary records) are shuffled, by sequence number.
 
-Encoding: see `TextEncoder`; bounded caches (two generations of `CACHE` entries) let the tokenizer run once
+Encoding: see `TextEncoder`; caches bounded in bytes (two generations of `CACHE_BYTES`) let the tokenizer run once
 per new piece of text. `end_id` follows every document.
 
 Defined results: null and empty texts are the single end id. A null doc_id is carried through.
@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,9 @@ from inferframe.llm.token_counts import byte_letters
 
 WINDOW = 4096
 END_ID = 2
-CACHE = 100_000
+#: bytes of one generation of a cache, with what Python adds to an entry (two strings, a slot, its share of the table)
+CACHE_BYTES = 64 << 20
+ENTRY_BYTES = 180
 _encoders: dict = {}
 
 
@@ -42,16 +45,17 @@ class Generations(dict):
 
     def __init__(self, make):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.old, self.held = make, {}, 0
 
     def __missing__(self, key: str) -> bytes:
         got = self.old.get(key)
         if got is None:
             got = self.make(key)
-        if len(self) >= CACHE:
-            self.old = dict(self)
-            self.clear()
         if len(key) <= 64:
+            self.held += ENTRY_BYTES + len(key) + len(got)
+            if self.held > CACHE_BYTES:
+                self.old, self.held = dict(self), 0
+                self.clear()
             self[key] = got
         return got
 
@@ -72,6 +76,8 @@ class TextEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -95,12 +101,16 @@ class TextEncoder:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        spelled = "".join([self.letters[b] for b in piece.encode()])
-        return np.asarray([t.id for t in self.tokenizer.model.tokenize(spelled)], self.dtype).tobytes()
+        # the letters of printable ASCII bytes are those characters themselves
+        spelled = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            low = chunk.lower()
+            return self.pieces[chunk if low == chunk else low]
         if self.plain.fullmatch(chunk):
-            return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk.lower())))
+            return b"".join([self.pieces[p] for p in self.pattern.findall(chunk.lower())])
         return self.ids(chunk)
 
     def text(self, text: str) -> bytes:
@@ -108,7 +118,7 @@ class TextEncoder:
             return self.ids(text)
         # str.split cuts at all Unicode white space, and at four control characters that are none
         chunks = ASCII_SPACE.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
-        return b"".join(map(self.chunks.__getitem__, chunks))
+        return b"".join([self.chunks[c] for c in chunks])
 
 
 #: fixed: a cutting pattern that never takes white space
