@@ -10,15 +10,10 @@ Steps
    shingle set per document (`signatures`).
 2. Documents with equal sets form one class at once (sets are told apart by a 64-bit digest); only one
    representative per class goes on, so thousands of exact copies cost one row each.
-3. Representatives meet in band buckets; `components.linked` compares members by the exact rule
-   on whole shingle sets and returns connected classes. Among the candidates each shingle is counted
-   once more. Shingles of its own bound a document's common part with anyone: a document whose rest can't
-   reach the threshold with any set as large as the bucket's smallest leaves the bucket. Each set also
-   has a bitmap of `BITMAP` bits, one bit per shingle: bits that only one of two sets has count shingles that only
-   it has, so they bound the common part from above, and pairs meet the exact check only where
-   the bounds allow the link (`_prepared`; no link is lost). The document with the smallest share of own
-   shingles is the centre of a bucket, since the text that a family was copied from has none.
-   So families cost their number of members, not of pairs.
+3. Representatives meet in band buckets; `set_links.linked` compares members, first with one centre a bucket, then in blocks
+   where a bucket still holds several classes. A bitmap of each set bounds the common part of two sets from above (bits that only one
+   has count shingles that only it has); pairs within the bound are decided on the whole shingle sets. No link is lost, and
+   a family costs about its number of members in exact checks.
 
 Bands: `rows` values per band and as many bands as bring the chance to miss a pair at exactly the
 threshold under `miss` (1e-6: 30 bands for 0.85, 46 for 0.8; closer pairs are missed less). Sets too small for two different sets to reach the
@@ -43,11 +38,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from inferframe.llm import textcore as T
-from inferframe.llm.components import linked
+from inferframe.llm.set_links import bitmap, linked
 from inferframe.llm.shared import ship, written
 
 BROADCAST_IDS = 500_000
-BITMAP = 2048
 
 
 def bands_for(percent: int, rows: int, miss: float) -> int:
@@ -109,24 +103,14 @@ def _set_batches(k: int):
         for batch in batches:
             for _, _, data, offsets in T.slices(batch.column(1)):
                 sets, at = _sets(data, offsets, k)
-                n = len(at) - 1
                 yield pa.RecordBatch.from_arrays([
                     pa.array(_digests(sets, at)),
                     pa.ListArray.from_arrays(at.astype(np.int32), pa.array(sets.view(np.int64))),
-                    pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * (BITMAP // 64),
-                                             pa.array(_bitmaps(sets, at).view(np.int64).ravel()))],
+                    pa.array([bitmap(sets[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())],
                     names=["node", "shingles", "bits"])
     return run
 
 
-def _bitmaps(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """(documents, BITMAP / 64) words with one bit set per shingle."""
-    out = np.zeros((len(at) - 1, BITMAP // 64), np.uint64)
-    docs = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    np.bitwise_or.at(out, (docs, (sets % T.U(BITMAP // 64)).astype(np.int64)), T.U(1) << (sets >> T.U(58)))
-    return out
-
-
 def signatures(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
     """doc_id, n_shingles, digest of the shingle set, band keys (none without shingles)."""
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
@@ -156,12 +140,18 @@ def _judged(docs: DataFrame, shingle_words: int = 5, percent: int = 80, rows: in
         F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
     # two different sets need at least this many shingles to reach the threshold
     least = math.ceil(percent / (100 - percent)) if percent < 100 else 1 << 60
-    banded = classes.where(F.col("n") >= least).select("node", F.explode("bands").alias("bucket"))
+    banded = classes.where(F.col("n") >= least).select("node", F.col("n").alias("size"), F.explode("bands").alias("bucket"))
+
+    def prepare(nodes: DataFrame):
+        sets = candidate_sets(docs, nodes.select("node").join(classes.select("node", "first_id"), "node"), shingle_words)
 
-    def prepare(spread: DataFrame):
-        nodes = spread.select("node").distinct().join(classes.select("node", "first_id", "n"), "node")
-        nodes = written(nodes, "candidates")
-        return _prepared(spread, nodes, candidate_sets(docs, nodes, shingle_words), percent)
+        def confirm(pairs: DataFrame) -> DataFrame:
+            whole = sets.select("node", "shingles")
+            both = pairs.join(whole.toDF("b", "sb"), "b").join(whole.toDF("a", "sa"), "a")
+            return both.withColumn("i", F.size(F.array_intersect("sa", "sb"))).where(
+                F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent).select(*pairs.columns)
+
+        return confirm, sets.select("node", "bits"), percent
 
     roots = linked(banded, prepare)
     if roots is None:
@@ -176,45 +166,6 @@ def _judged(docs: DataFrame, shingle_words: int = 5, percent: int = 80, rows: in
     return out.select("doc_id", "n_shingles", "node", "root", name.alias("component_id"))
 
 
-def _prepared(spread: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int):
-    """What `components.linked` needs: the exact check, the members that may have a link, and the bound on pairs."""
-    def confirm(pairs: DataFrame) -> DataFrame:
-        size = nodes.select("node", "n")
-        near = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b") \
-            .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        whole = sets.select("node", "shingles")
-        both = near.join(whole.toDF("b", "sb"), "b").join(whole.toDF("a", "sa"), "a")
-        return both.withColumn("i", F.size(F.array_intersect("sa", "sb"))).where(
-            F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent).select("a", "b")
-
-    def possible(x, y):
-        # the common part has at most the shared shingles of either set, and lacks what only one has
-        def only(a, b):
-            bits = F.zip_with(a["bits"], b["bits"], lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
-            return F.aggregate(bits, F.lit(0), lambda s, c: s + c)
-
-        common = F.least(x["shared"], y["shared"], x["n"] - only(x, y), y["n"] - only(y, x))
-        return common * 100 >= (x["n"] + y["n"] - common) * percent
-
-    known = written(nodes.join(own_shingles(sets), "node", "left").join(sets.select("node", "bits"), "node").select(
-        "node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"), "bits"), "known")
-    rows = written(spread.join(known, "node"), "sized")
-    least = written(rows.groupBy("bucket").agg(F.min("n").alias("least")), "least")
-    # with a partner of m shingles, m not below the bucket's least, the similarity is at most
-    # shared / (n + m - shared), and a partner can't be smaller than the common part
-    union = F.greatest(F.col("n"), F.col("n") + F.col("least") - F.col("shared"))
-    members = rows.join(least, "bucket").where(F.col("shared") * 100 >= union * percent)
-    return confirm, members.select("bucket", "node", (1 - F.col("shared") / F.col("n")).alias("weight"),
-                                   F.struct("n", "shared", "bits").alias("info")), possible
-
-
-def own_shingles(sets: DataFrame) -> DataFrame:
-    """(node, own): how many of a candidate's shingles no other candidate has."""
-    each = sets.select("node", F.explode("shingles").alias("shingle"))
-    alone = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
-    return alone.groupBy("node").agg(F.count("*").alias("own"))
-
-
 def candidate_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     """(node, shingles): the whole set of every candidate class, recomputed from the text of the
     document that names it. The id list is broadcast when it is counted small, else shuffled."""
@@ -224,7 +175,7 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     # null ids name classes too: null-safe
     wanted = text.join(ids.withColumnRenamed("doc_id", "wanted"), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-    found = wanted.mapInArrow(_set_batches(k), "node long, shingles array<long>, bits array<long>")
+    found = wanted.mapInArrow(_set_batches(k), "node long, shingles array<long>, bits binary")
     return written(found.join(nodes.select("node"), "node").dropDuplicates(["node"]), "sets")
 
 
