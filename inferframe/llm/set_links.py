@@ -96,11 +96,15 @@ def _edges(size, class_, side, cross: bool, bits: list[bytes], percent: int):
     found = [np.zeros((3, 0))]
     for w in np.unique(width).tolist():
         own = np.flatnonzero(width == w)
-        wide = np.flatnonzero(width == 2 * w)
-        rows = np.concatenate([own, wide])  # sets of other widths differ too much in size
-        table = stacked([bits[i] for i in own])
-        if len(wide):
-            table = np.concatenate([table, folded(stacked([bits[i] for i in wide]))])
+        # a set of width w has at most w shingles, one of a greater width v more than v / 2: beyond this they differ too much in size
+        rows, tables = [own], [stacked([bits[i] for i in own])]
+        for v in [v for v in np.unique(width).tolist() if w < v and v * percent <= 200 * w]:
+            rows.append(np.flatnonzero(width == v))
+            wide = stacked([bits[i] for i in rows[-1]])
+            while wide.shape[1] > tables[0].shape[1]:
+                wide = folded(wide)
+            tables.append(wide)
+        rows, table = np.concatenate(rows), np.concatenate(tables)
         full, n, c, s = filled(table), size[rows], class_[rows], side[rows]
         for i in range(len(own)):
             near = i + 1 + np.flatnonzero((c[i + 1:] != c[i]) & (np.minimum(n[i + 1:], n[i]) * 100 >= np.maximum(n[i + 1:], n[i]) * percent)
