@@ -6,7 +6,8 @@ Top-k similarity never materialises (query, document) pairs as rows. Queries are
 ``BLOCK_BYTES`` (both numbers come from one count over each side). Where one block holds all
 queries, it is broadcast and the documents stay where they are; otherwise nothing is pulled to the
 driver and each (query block, document block) pair is one co-group. Either way blocks are scored with
-numpy and only the top k per query leave a task, so every group is bounded whatever the tables' sizes.
+numpy in tiles, the top k per query are held while they are, and only they leave a task, so every group is
+bounded whatever the tables' sizes and however many scores are equal.
 The result ends in a ``row_number() <= k`` window that Catalyst turns into a partial + final
 WindowGroupLimit.
 
@@ -30,8 +31,7 @@ from inferframe.operators.responses import explode_rerank
 from inferframe.session import shared_dir
 
 BLOCK_BYTES = 32 * 1024 * 1024
-_CELLS_PER_STEP = 4_000_000  # doc rows x queries scored at once inside a task
-_MAX_ROWS_PER_STEP = 2048
+_TILE = 1024  # queries and documents scored at once inside a task: a tile of scores is 8 MB
 
 
 # ----------------------------------------------------------------------------- kernels
@@ -44,9 +44,10 @@ class DotKernel:
             return np.zeros((0, 0))
         return np.stack([np.asarray(v, dtype=np.float64) for v in qvals])
 
-    def score(self, qprep: np.ndarray, dvals) -> np.ndarray:
-        D = np.stack([np.asarray(v, dtype=np.float64) for v in dvals])
-        return D @ qprep.T
+    prepare_docs = prepare_queries
+
+    def score(self, qprep: np.ndarray, dprep: np.ndarray) -> np.ndarray:
+        return qprep @ dprep.T
 
 
 class OverlapKernel:
@@ -54,7 +55,7 @@ class OverlapKernel:
 
     Queries are held as an inverted index (sorted vocabulary -> CSR list of query
     positions); a document batch is scored by expanding its vocabulary hits into
-    (document, query) increments and counting them with ``bincount``. Memory is linear in
+    (query, document) increments and counting them with ``bincount``. Memory is linear in
     the hits, not in vocabulary x queries."""
 
     def prepare_queries(self, qvals: list):
@@ -69,14 +70,18 @@ class OverlapKernel:
         indptr = np.concatenate([starts, [len(tok)]]).astype(np.int64)
         return vocab, indptr, qpos, len(arrays)
 
-    def score(self, qprep, dvals) -> np.ndarray:
-        vocab, indptr, qpos, nq = qprep
-        n = len(dvals)
-        if len(vocab) == 0 or n == 0:
-            return np.zeros((n, nq), dtype=np.float64)
-        lens = np.fromiter((len(v) for v in dvals), dtype=np.int64, count=n)
+    def prepare_docs(self, dvals: list):
+        lens = np.fromiter((len(v) for v in dvals), dtype=np.int64, count=len(dvals))
         flat = (np.concatenate([np.asarray(v, dtype=np.int64) for v in dvals])
                 if lens.sum() else np.zeros(0, np.int64))
+        return lens, flat
+
+    def score(self, qprep, dprep) -> np.ndarray:
+        vocab, indptr, qpos, nq = qprep
+        lens, flat = dprep
+        n = len(lens)
+        if len(vocab) == 0 or n == 0:
+            return np.zeros((nq, n), dtype=np.float64)
         rows = np.repeat(np.arange(n, dtype=np.int64), lens)
         pos = np.minimum(np.searchsorted(vocab, flat), len(vocab) - 1)
         hit = vocab[pos] == flat
@@ -84,56 +89,78 @@ class OverlapKernel:
         cnt = indptr[hpos + 1] - indptr[hpos]
         total = int(cnt.sum())
         if total == 0:
-            return np.zeros((n, nq), dtype=np.float64)
+            return np.zeros((nq, n), dtype=np.float64)
         first = np.repeat(indptr[hpos] - (np.cumsum(cnt) - cnt), cnt)
         qsel = qpos[first + np.arange(total, dtype=np.int64)]
-        flat_idx = np.repeat(hrows, cnt) * nq + qsel
-        return np.bincount(flat_idx, minlength=n * nq).reshape(n, nq).astype(np.float64)
-
-
-def _topk_candidates(S: np.ndarray, k: int, q_ids: np.ndarray, d_ids: np.ndarray,
-                     d_extra: pd.DataFrame, exclude_self: bool, min_score) -> pd.DataFrame:
-    """Rows (query, doc) whose score is among the top k of its query column (ties kept)."""
-    if exclude_self:
-        S = np.where(d_ids[:, None] == q_ids[None, :], -np.inf, S)
-    if min_score is not None:
-        S = np.where(S >= min_score, S, -np.inf)
-    n = S.shape[0]
-    if n > k:
-        kth = np.partition(S, n - k, axis=0)[n - k]
-        mask = (S >= kth[None, :]) & np.isfinite(S)
-    else:
-        mask = np.isfinite(S)
-    r, c = np.nonzero(mask)
-    out = pd.DataFrame({"query_id": q_ids[c], "doc_id": d_ids[r], "score": S[r, c]})
-    for col in d_extra.columns:
-        out[col] = d_extra[col].to_numpy()[r]
+        flat_idx = qsel * n + np.repeat(hrows, cnt)
+        return np.bincount(flat_idx, minlength=n * nq).reshape(nq, n).astype(np.float64)
+
+
+def _best(S: np.ndarray, k: int) -> np.ndarray:
+    """Positions (ascending) of the ``k`` largest numbers of each row of ``S``; of equal ones the first."""
+    kth = np.partition(S, S.shape[1] - k, axis=1)[:, S.shape[1] - k, None]
+    keep, tied = S > kth, S == kth
+    left = k - keep.sum(1)
+    many = tied.sum(1) > left
+    tied[many] &= np.cumsum(tied[many], axis=1, dtype=np.int32) <= left[many, None]
+    return np.nonzero(keep | tied)[1].reshape(len(S), k)
+
+
+class _TopK:
+    """The k best documents of each query of one block, fed with tiles of documents in the order of their ids: of equal
+    scores the earlier document stays, so what is held is k scores and positions a query, whatever is fed."""
+
+    def __init__(self, kernel, q_ids: np.ndarray, values: list, k: int):
+        self.kernel, self.ids, self.k = kernel, q_ids, k
+        self.preps = [kernel.prepare_queries(values[s:s + _TILE]) for s in range(0, len(q_ids), _TILE)]
+        self.score = np.full((len(q_ids), k), -np.inf)
+        self.place = np.full((len(q_ids), k), -1, dtype=np.int64)
+
+    def feed(self, values: list, d_ids: np.ndarray, first: int, exclude_self: bool, min_score) -> None:
+        """Score one tile of documents; ``first`` is the place of its first one."""
+        docs = self.kernel.prepare_docs(values)
+        for i, prep in enumerate(self.preps):
+            at = slice(i * _TILE, min((i + 1) * _TILE, len(self.ids)))
+            S = self.kernel.score(prep, docs)
+            if exclude_self:
+                own = np.flatnonzero(np.isin(self.ids[at], d_ids))
+                S[own] = np.where(self.ids[at][own, None] == d_ids, -np.inf, S[own])
+            top = S.max(1)
+            if not np.isfinite(top).all():
+                S[~np.isfinite(S)] = -np.inf
+                top = S.max(1)
+            # the others keep what they have
+            better = np.flatnonzero((top > self.score[at].min(1)) & (min_score is None or top >= min_score))
+            if not len(better):
+                continue
+            q = better + at.start
+            scores = np.hstack([self.score[q], S[better] if min_score is None else np.where(S[better] >= min_score, S[better], -np.inf)])
+            best = _best(scores, self.k)
+            places = np.take_along_axis(self.place[q], np.minimum(best, self.k - 1), 1)
+            self.score[q] = np.take_along_axis(scores, best, 1)
+            self.place[q] = np.where(best < self.k, places, first + best - self.k)
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the query, place of the document, score) of what is held."""
+        held = np.isfinite(self.score) & ~np.isnan(self.ids)[:, None]
+        return np.nonzero(held)[0], self.place[held], self.score[held]
+
+
+def _score_batches(q_ids: np.ndarray, q_values: list, kernel, dpdf: pd.DataFrame, k: int, vec_col: str, extra_cols: list[str],
+                   exclude_self: bool, min_score) -> pd.DataFrame:
+    """Each query's k best rows of ``dpdf`` (ties by ``doc_id``), scored tile by tile."""
+    best = _TopK(kernel, q_ids, q_values, k)
+    dpdf = dpdf.sort_values("doc_id", kind="stable", ignore_index=True)
+    d_ids, values = dpdf["doc_id"].to_numpy(), dpdf[vec_col].to_numpy()
+    for s in range(0, len(dpdf), _TILE):
+        best.feed(list(values[s:s + _TILE]), d_ids[s:s + _TILE], s, exclude_self, min_score)
+    query, place, score = best.found()
+    out = pd.DataFrame({"query_id": q_ids[query], "doc_id": d_ids[place], "score": score})
+    for col in extra_cols:
+        out[col] = dpdf[col].to_numpy()[place]
     return out
 
 
-def _reduce_topk(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
-    if pdf.empty:
-        return pdf
-    pdf = pdf.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True],
-                          kind="mergesort")
-    return pdf.groupby("query_id", sort=False).head(k)
-
-
-def _score_batches(qprep, q_ids, kernel, dpdf, k, vec_col, extra_cols, exclude_self,
-                   min_score) -> pd.DataFrame:
-    nq = len(q_ids)
-    step = max(1, min(_MAX_ROWS_PER_STEP, _CELLS_PER_STEP // max(nq, 1)))
-    parts = []
-    for s in range(0, len(dpdf), step):
-        chunk = dpdf.iloc[s:s + step]
-        S = kernel.score(qprep, list(chunk[vec_col]))
-        parts.append(_topk_candidates(S, k, q_ids, chunk["doc_id"].to_numpy(),
-                                      chunk[extra_cols], exclude_self, min_score))
-    if not parts:
-        return pd.DataFrame()
-    return _reduce_topk(pd.concat(parts, ignore_index=True), k)
-
-
 def _out_schema(docs: DataFrame, extra_cols: list[str]) -> T.StructType:
     fields = [T.StructField("query_id", T.LongType()), T.StructField("doc_id", T.LongType()),
               T.StructField("score", T.DoubleType())]
@@ -186,8 +213,7 @@ def similarity_topk(queries: DataFrame, docs: DataFrame, k: int, kernel, *,
         if qs.empty or ds.empty:
             return _empty(schema)
         ids = qs["query_id"].to_numpy(dtype=np.int64)
-        prep = kernel.prepare_queries(list(qs["qv"]))
-        return _conform(_score_batches(prep, ids, kernel, ds, k, "dv", extra, exclude_self, min_score), schema)
+        return _conform(_score_batches(ids, list(qs["qv"]), kernel, ds, k, "dv", extra, exclude_self, min_score), schema)
 
     cand = qrows.groupBy("qb", "db").cogroup(drows.groupBy("qb", "db")).applyInPandas(run_group, schema)
     return rank_within_query(cand, k, query_col="query_id", score_col="score",
@@ -203,10 +229,9 @@ def _against_all_queries(q: DataFrame, d: DataFrame, k: int, kernel, schema: T.S
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, values = shared.value
-        prep = kernel.prepare_queries(values) if len(ids) else None
         for pdf in batches:
             if len(ids) and len(pdf):
-                found = _score_batches(prep, ids, kernel, pdf, k, "dv", extra, exclude_self, min_score)
+                found = _score_batches(ids, values, kernel, pdf, k, "dv", extra, exclude_self, min_score)
                 if len(found):
                     yield _conform(found, schema)
 

@@ -38,6 +38,7 @@ TRAIN_ROWS = 20_000
 TRAIN_BYTES = 64 * 1024 * 1024
 TRAIN_ROUNDS = 12
 SAMPLE_QUERIES = 256
+SCORES = 1 << 20  # of vectors against centres, held at once
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -52,16 +53,24 @@ def fit_centres(sample: np.ndarray, cells: int, rounds: int = TRAIN_ROUNDS, seed
     rng = np.random.default_rng(seed)
     centre = x[rng.permutation(len(x))[:cells]].copy()
     for _ in range(rounds):
-        score = x @ centre.T
-        own = score.argmax(1)
+        served, own = _served(x, centre)
         total = np.zeros_like(centre)
         np.add.at(total, own, x)
         empty = np.flatnonzero(np.bincount(own, minlength=len(centre)) == 0)
-        total[empty] = x[np.argsort(score.max(1))[:len(empty)]]
+        total[empty] = x[np.argsort(served)[:len(empty)]]
         centre = _unit(total)
     return centre
 
 
+def _served(x: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(score, cell) of each vector's nearest centre, a bounded number of scores at a time."""
+    best = []
+    for s in range(0, len(x), step := max(1, SCORES // len(centre))):
+        score = x[s:s + step] @ centre.T
+        best.append((score.max(1), score.argmax(1)))
+    return np.concatenate([b[0] for b in best]), np.concatenate([b[1] for b in best])
+
+
 def _vectors(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, dim)
 
@@ -73,12 +82,12 @@ def _nearest_cells(df: DataFrame, vector: str, centre: np.ndarray, n: int) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = shared.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            score = _unit(_vectors(batch.column(vector), c.shape[1])) @ c.T
-            best = np.argsort(-score, axis=1, kind="stable")[:, :n] if n > 1 else score.argmax(1)[:, None]
-            cells = pa.ListArray.from_arrays(np.arange(0, best.size + 1, best.shape[1], dtype=np.int32), best.reshape(-1).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*batch.columns, cells], [*batch.schema.names, "cells"])
+            for s in range(0, batch.num_rows, step := max(1, SCORES // len(c))):
+                part = batch.slice(s, step)
+                score = _unit(_vectors(part.column(vector), c.shape[1])) @ c.T
+                best = np.argsort(-score, axis=1, kind="stable")[:, :n] if n > 1 else score.argmax(1)[:, None]
+                cells = pa.ListArray.from_arrays(np.arange(0, best.size + 1, best.shape[1], dtype=np.int32), best.reshape(-1).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*part.columns, cells], [*part.schema.names, "cells"])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))]))
 
@@ -167,8 +176,7 @@ class VectorIndex:
         def run_group(qs: pd.DataFrame, ds: pd.DataFrame) -> pd.DataFrame:
             if qs.empty or ds.empty:
                 return RT._empty(schema)
-            kernel = RT.DotKernel()
-            return RT._conform(RT._score_batches(kernel.prepare_queries(list(qs["qv"])), qs["query_id"].to_numpy(dtype=np.int64), kernel,
+            return RT._conform(RT._score_batches(qs["query_id"].to_numpy(dtype=np.int64), list(qs["qv"]), RT.DotKernel(),
                                                  ds, k, "dv", extra, exclude_self, None), schema)
 
         found = deal(sent, "query", "query_id", "doc").groupBy(*key).cogroup(

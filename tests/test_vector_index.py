@@ -1,6 +1,7 @@
 """JN1's recall stage: measured recall, bounded groups, exactness with all probes."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +81,32 @@ def test_vector_stage_feeds_the_reranker_once(spark):
     got = RT.retrieve_then_rerank(docs, docs, answer, first_n=2, k=1, query_id="doc_id", candidates=cand)
     assert sorted((r.query_id, r.doc_id) for r in got.collect()) == [(0, 4), (1, 2)]
     assert "Join" not in plans[0] and "Relation" in plans[0]
+
+
+def test_a_block_holds_k_rows_a_query_whatever_is_scored(spark):
+    """Every query ties with every copy of one vector, and many queries meet few documents at a time."""
+    import tracemalloc
+
+    ids, values = np.arange(3000), [np.array([3.0, 4.0])] * 3000
+    docs = pd.DataFrame({"doc_id": ids[::-1], "dv": values, "label": ids[::-1] % 7})
+    tracemalloc.start()
+    got = RT._score_batches(ids, values, RT.DotKernel(), docs, 2, "dv", ["label"], True, None)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6  # 9 million pairs held at once are 200 MB and more
+    want = [(q, d) for q in range(3000) for d in ([0, 1, 2] if q < 3 else [0, 1]) if d != q][:6000]
+    assert sorted(zip(got.query_id, got.doc_id)) == want and (got.label == got.doc_id % 7).all() and (got.score == 25).all()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_tiles_equal_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    nd, nq, k = int(rng.integers(1, 2500)), int(rng.integers(1, 1200)), int(rng.integers(1, 7))
+    x, q, ids = rng.integers(-2, 3, (nd, 3)).astype(float), rng.integers(-2, 3, (nq, 3)).astype(float), rng.permutation(nd)
+    least = None if seed % 2 else 2.0
+    got = RT._score_batches(np.arange(nq), list(q), RT.DotKernel(), pd.DataFrame({"doc_id": ids, "dv": list(x)}), k, "dv", [], True, least)
+    rows = {i: sorted(zip(-g.score, g.doc_id)) for i, g in got.groupby("query_id")}
+    score = x @ q.T
+    for i in range(nq):
+        some = [(-s, d) for s, d in zip(score[:, i], ids) if d != i and (least is None or s >= least)]
+        assert rows.get(i, []) == sorted(some)[:k]
