@@ -7,7 +7,7 @@ at most a bounded number of their rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -34,5 +34,19 @@ def fits(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
     return size is not None and size <= max_bytes
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt evenly over at least as many tasks as run at once. For work that is heavy for the bytes it reads: a few MB
+    are one split or two, and the rest of the cluster would wait for them."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def settled(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with ``value`` as the column ``name``, computed once a row: a generator of one row, into which the optimizer copies
+    nothing and through which it pushes no filter on the column."""
+    once = f"__{name}"
+    return df.withColumn(once, value).select(*[df[f"`{c}`"] for c in df.columns if c != name], F.explode(F.array(F.col(once))).alias(name))
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if fits(df, max_bytes) else df

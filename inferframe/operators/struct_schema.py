@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from inferframe.operators.sizing import settled, spread
 from inferframe.operators.validate import _resolved, _types, variant_errors
 
 _SIMPLE = {"string": T.StringType(), "integer": T.LongType(), "number": T.DoubleType(), "boolean": T.BooleanType()}
@@ -97,6 +98,8 @@ def typed(v: Column, kind: T.DataType) -> Column:
 
 def parse_answer(df: DataFrame, col: str, schema: dict, out: str = "parsed", errors: str = "errors") -> DataFrame:
     """RSP9: ``df`` with the errors of the JSON text under ``schema`` (VAL3) and ``out``, the answer as a typed value of
-    ``struct_type(schema)``; NULL where there are errors. The text is parsed once and read once."""
-    parsed = df.withColumn("__v", F.try_parse_json(F.col(col))).withColumn(errors, variant_errors(F.col("__v"), schema))
-    return parsed.withColumn(out, F.when(F.size(errors) == 0, typed(F.col("__v"), struct_type(schema)))).drop("__v")
+    ``struct_type(schema)``; NULL where there are errors. The text is parsed once and read once, whatever filters follow, by
+    as many tasks as run at once."""
+    parsed = settled(spread(df), "__v", F.try_parse_json(F.col(col)))
+    checked = settled(parsed, errors, variant_errors(F.col("__v"), schema))
+    return settled(checked, out, F.when(F.size(errors) == 0, typed(F.col("__v"), struct_type(schema)))).drop("__v")
