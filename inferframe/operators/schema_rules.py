@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inferframe.operators.sizing import broadcast_if_small
+from inferframe.operators.sizing import broadcast_if_small, spread
 from inferframe.session import shared_dir
 
 NOTES = {"title", "description", "default", "examples", "$schema", "$id", "$defs", "definitions", "$comment"}
@@ -196,9 +196,7 @@ def _local_errors() -> Column:
     of_type = F.array_contains("types", kind) | (kind.eqNullSafe(F.lit("integer")) & F.array_contains("types", F.lit("number")))
     same = F.exists("allowed", lambda a: F.when(is_number, (a["kind"] == "number") & (a["number"] == number)).otherwise(
         (a["kind"] == kind) & a["text"].eqNullSafe(F.when(kind.isin("string", "boolean"), text))))
-    keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
-    members = F.try_variant_get(v, "$", "map<string,variant>")
-    size = F.size(F.try_variant_get(v, "$", "array<variant>"))
+    members, keys, size = F.col("members"), F.map_keys("members"), F.size("elements")
     within = F.when(F.col("path") == "", "").otherwise(F.concat("path", F.lit(".")))
     absent = F.filter("required", lambda r: ~F.array_contains(keys, r) | (
         (F.schema_of_variant(F.try_element_at(members, r)) == "VOID") & ~F.coalesce(F.try_element_at("properties", r)["nullable"], F.lit(False))))
@@ -245,11 +243,11 @@ def _follow() -> Column:
     any_of = F.transform("any_of", lambda n, i: row(node=n, v=v, alternatives=F.concat("alternatives", F.array(F.struct(
         own.alias("at"), i.alias("branch"), F.size("any_of").alias("branches"))))))
     within = F.when(F.col("path") == "", "").otherwise(F.concat("path", F.lit(".")))
-    named = F.filter(F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")), lambda e: F.coalesce(
+    named = F.filter(F.map_entries("members"), lambda e: F.coalesce(
         F.try_element_at("properties", e["key"])["nullable"] | (F.schema_of_variant(e["value"]) != "VOID"), F.lit(False)))
     members = F.transform(named, lambda e: row(node=F.try_element_at("properties", e["key"])["node"], path=F.concat(within, e["key"]),
                                                at=F.concat("at", F.lit("/"), e["key"]), v=e["value"]))
-    elements = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x, i: row(
+    elements = F.transform("elements", lambda x, i: row(
         node=F.col("items"), path=F.concat("path", F.lit("[]")), at=F.concat("at", F.lit("/#"), i.cast("string")), v=x))
     empty = F.array().cast(f"array<struct<error: string, {_VALUE}>>")
     follow = F.when(fits, F.concat(
@@ -270,10 +268,12 @@ def schema_errors(values: DataFrame, rules: DataFrame, levels_per_job: int = 3)
     state = values.select("row", "schema", F.lit(None).cast("string").alias("error"), F.lit(0).alias("node"), F.lit("").alias("path"),
                           F.lit("").alias("at"), "v", none.alias("alternatives"))
     found: DataFrame | None = None
-    kind, follow = _kind(F.col("v")).alias("kind"), F.explode(_follow()).alias("x")  # built once, used at every level
+    # built once, used at every level; read once a value, not once a use
+    kind, follow = _kind(F.col("v")).alias("kind"), F.explode(_follow()).alias("x")
+    parts = [F.try_variant_get("v", "$", t).alias(name) for name, t in (("members", "map<string,variant>"), ("elements", "array<variant>"))]
     while True:
         for _ in range(levels_per_job):
-            here = state.join(rules, ["schema", "node"], "left").select("*", kind)
+            here = state.join(rules, ["schema", "node"], "left").select("*", kind, *parts)
             state = here.select("row", "schema", follow).select("row", "schema", "x.*")  # one generator a level
         path = shared_dir(spark, "schema-walk")
         state.write.parquet(path)
@@ -311,10 +311,11 @@ def _resolved_alternatives(found: DataFrame) -> DataFrame:
 def check_args(calls: DataFrame, registry: DataFrame, *, schema_col: str = "tool_name", json_col: str = "arguments",
                name: str = "name", schema: str = "params_schema", errors: str = "arg_errors", valid: str = "args_valid") -> DataFrame:
     """``calls`` with ``errors`` (sorted) and ``valid``: the JSON text against the schema named by ``schema_col``. The calls are stored
-    once with a number of their own, by which errors come back to them, so they need no key and each keeps its row."""
+    once with a number of their own, by which errors come back to them, so they need no key and each keeps its row. They are dealt
+    evenly: what they are checked by weighs more than their bytes."""
     spark = calls.sparkSession
     path = shared_dir(spark, "schema-calls")
-    numbered = calls.withColumn("__row", F.monotonically_increasing_id())
+    numbered = spread(calls).withColumn("__row", F.monotonically_increasing_id())
     numbered.write.parquet(path)
     calls = spark.read.schema(numbered.schema).parquet(path)
     rule_path = shared_dir(spark, "schema-rules")
