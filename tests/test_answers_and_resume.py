@@ -47,6 +47,16 @@ def test_schema_of_a_type_and_back(spark):
         ST.json_schema(T.BinaryType())
 
 
+def test_a_filter_on_the_answer_does_not_read_it_again(spark):
+    """The texts come as one split and go to all cores; the plan holds one parse, not one for every use of the value."""
+    texts = spark.range(40).coalesce(1).select("id", F.concat(F.lit('{"name":"n'), F.col("id").cast("string"), F.lit('","parts":[]}')).alias("t"))
+    df = ST.parse_answer(texts, "t", SCHEMA).filter("parsed is not null").select("id", "parsed.name", F.size("parsed.parts").alias("n"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().replace("_", "").count("parsejson") == 1
+    assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert sorted((r.id, r.name, r.n) for r in df.collect()) == [(i, f"n{i}", 0) for i in range(40)]
+
+
 def test_answers_into_a_nested_struct(spark):
     full = {"name": "x", "kind": "a", "on": True, "level": 3, "parts": [{"size": 1, "weight": 2}, {"size": 2, "weight": None}, {}],
             "grid": [[1, 2.5], []], "note": None, "mixed": 7, "extra": {"k": [1]}, "either": "e", "any": {"z": 1}}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from inferframe.operators import schema_rules as SR
 from inferframe.operators import validate as V
 from inferframe.operators.chat import run_tools
+from inferframe.session import shared_dir
 
 RULES = {
     "flat": {"type": "object", "properties": {"n": {"type": "integer", "minimum": 1}, "s": {"type": ["string", "null"]},
@@ -66,6 +67,15 @@ def test_every_keyword_and_case(spark):
     assert [(c, got[i]) for i, c in enumerate(CASES) if got[i] != (c[2], not c[2])] == []
 
 
+def test_calls_of_one_split_are_walked_by_many_tasks(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(SR, "shared_dir", lambda s, name: kept.setdefault(name, shared_dir(s, name)) if name == "schema-calls" else shared_dir(s, name))
+    calls = spark.range(64).select(F.lit("open").alias("tool_name"), F.lit("{}").alias("arguments")).coalesce(1)
+    assert SR.check_args(calls, registry(spark)).filter("args_valid").count() == 64
+    held = spark.read.parquet(kept["schema-calls"]).groupBy(F.input_file_name().alias("f")).count().collect()
+    assert len(held) >= spark.sparkContext.defaultParallelism and max(r["count"] for r in held) <= 32
+
+
 def test_repeated_calls_keep_their_rows_and_empty_tables_work(spark):
     calls = spark.createDataFrame([("open", "{}")] * 3 + [("text", "1")] * 2, "tool_name string, arguments string")
     got = sorted((r.tool_name, r.args_valid) for r in SR.check_args(calls, registry(spark)).collect())
