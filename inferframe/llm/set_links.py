@@ -12,7 +12,8 @@ hashes), so a family that agrees in many bands is looked at once.
 
 Only pairs within the bound leave a task. The bound is never below the true common part, and every pair of different
 classes is met in the last round, so no link is lost and no bucket is capped. A hot bucket's members are dealt to blocks by hash and each
-pair of blocks is one group; a bucket of n unlinked members costs n(n-1)/2 comparisons of bitmaps, some tens of nanoseconds each.
+pair of blocks is one group, but for two blocks of its greatest class: a family of any size that holds together is dealt once for each block
+of the rest. A bucket of n unlinked members costs n(n-1)/2 comparisons of bitmaps, some tens of nanoseconds each.
 """
 
 from __future__ import annotations
@@ -202,15 +203,12 @@ def linked(rows: DataFrame, prepare: Callable[[DataFrame], tuple[Confirm, DataFr
     while True:
         forest, forests = forests > 0, forests - 1
         sorted_ = more.join(label, "node")
-        still = sorted_.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("bucket")
-        open_ = written(sorted_.join(still, "bucket").select("bucket", "n", "node", "size", "class"), "open")
+        parts = sorted_.groupBy("bucket", "class").agg(F.count("*").alias("c"))
+        still = parts.groupBy("bucket").agg(F.max(F.struct("c", "class")).alias("main"), F.count("*").alias("k")).where("k > 1").select("bucket", "main")
+        open_ = written(sorted_.join(still, "bucket").select("bucket", "n", "node", "size", "class", "main"), "open")
         if not open_.limit(1).count():
             break
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        dealt = open_.join(bits, "node").withColumn("blocks", blocks).withColumn("side", mine) \
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-            .select("bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "size", "class", "side", "bits")
+        dealt = _dealt(open_).join(bits, "node").select("bucket", "i", "j", "node", "size", "class", "side", "bits")
         pairs = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_block_batches(percent, forest), _PAIRS)
         pairs = written(pairs.distinct(), "pairs")
         if not pairs.limit(1).count():
@@ -223,6 +221,23 @@ def linked(rows: DataFrame, prepare: Callable[[DataFrame], tuple[Confirm, DataFr
     return label.select("node", F.col("class").alias("root"))
 
 
+def _dealt(open_: DataFrame) -> DataFrame:
+    """(bucket, i, j, node, size, class, side): the members of open buckets, once for each pair of blocks i <= j that they are compared in.
+
+    A bucket of one block is one group. In a larger one the members of its greatest class (`main`: its size and name), which need no
+    comparison with each other, fill blocks of their own that meet the blocks of the rest only."""
+    row = ["node", "size", "class", "side"]
+    one = open_.where(F.col("n") <= BLOCK).select("bucket", F.lit(0).alias("i"), F.lit(0).alias("j"), "node", "size", "class", F.lit(0).alias("side"))
+    inner = F.col("class") == F.col("main.class")
+    mains, rests = (F.ceil(c / BLOCK).cast("int") for c in (F.col("main.c"), F.col("n") - F.col("main.c")))
+    hash_ = F.xxhash64("node")
+    many = open_.where(F.col("n") > BLOCK) \
+        .withColumn("side", F.when(inner, rests + F.pmod(hash_, mains)).otherwise(F.pmod(hash_, rests)).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(inner, rests).otherwise(rests + mains) - 1))) \
+        .select("bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), *row)
+    return one.unionByName(many)
+
+
 def _merged(label: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
     """label with the classes that the links join made one, and whether there were any."""
     links = written(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "links")

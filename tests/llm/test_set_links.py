@@ -49,3 +49,25 @@ def test_a_hot_bucket_over_many_blocks(spark, monkeypatch):
     out = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 3, 85)
     want = [(d, n, c) for (d, _), (n, c) in zip(docs, brute.components(docs, 3, 85), strict=True)]
     assert sorted(tuple(x)[:3] for x in out.collect()) == want
+
+
+def test_a_family_that_holds_together_is_dealt_once_for_each_block_of_the_rest(spark, monkeypatch):
+    monkeypatch.setattr(set_links, "BLOCK", 10)
+    # bucket 1: a family of 200 and 15 others; bucket 2: one block; bucket 3: 25 members, none linked
+    members = [(1, 215, i, 5, 0) for i in range(200)] + [(1, 215, 200 + i, 5, 200 + i) for i in range(15)] \
+        + [(2, 9, 300 + i, 5, 300 + i // 2) for i in range(9)] + [(3, 25, 400 + i, 5, 400 + i) for i in range(25)]
+    rows = [(b, n, v, s, c, (200, 0) if b == 1 else (2, 306) if b == 2 else (1, 424)) for b, n, v, s, c in members]
+    open_ = spark.createDataFrame(rows, "bucket long, n long, node long, size long, class long, main struct<c: long, class: long>")
+    groups: dict = {}
+    for r in set_links._dealt(open_).collect():
+        groups.setdefault((r.bucket, r.i, r.j), []).append(r)
+    assert sum(len(g) for k, g in groups.items() if k[0] == 1) == 200 * 2 + 15 * 22
+    assert [k for k in groups if k[0] == 2] == [(2, 0, 0)]
+    met: dict = {}
+    for (b, i, j), g in groups.items():
+        for x in g:
+            for y in g:
+                if x.node < y.node and x["class"] != y["class"] and (i == j or x.side != y.side):
+                    met[b, x.node, y.node] = met.get((b, x.node, y.node), 0) + 1
+    wanted = {(b, x, y) for b, _, x, _, c in members for d, _, y, _, e in members if b == d and x < y and c != e}
+    assert met.keys() == wanted and set(met.values()) == {1}
