@@ -9,7 +9,7 @@ cuts each document where its global position crosses a window edge. No text or i
 `sequences` builds the padded windows: a window inside one task is assembled there; only the
 fragments of windows that span tasks (boundary records) are shuffled, by sequence number.
 
-Encoding: see `TextEncoder`; caches bounded in bytes (two generations of `CACHE_BYTES`) let the tokenizer run once
+Encoding: see `TextEncoder`; a cache bounded in bytes (two generations of `CACHE_BYTES`) lets the tokenizer run once
 per new piece of text. `end_id` follows every document.
 
 Defined results: null and empty texts are the single end id. A null doc_id is carried through.
@@ -34,8 +34,8 @@ from inferframe.llm.token_counts import byte_letters
 
 WINDOW = 4096
 END_ID = 2
-#: bytes of one generation of a cache, with what Python adds to an entry (two strings, a slot, its share of the table)
-CACHE_BYTES = 64 << 20
+#: bytes of one generation of the cache, with what Python adds to an entry (two strings, a slot, its share of the table)
+CACHE_BYTES = 48 << 20
 ENTRY_BYTES = 180
 _encoders: dict = {}
 
@@ -65,7 +65,8 @@ class TextEncoder:
 
     Tokenizers of the form "compose, squeeze white space, lower case; cut at a pattern that never takes white space;
     byte-level pairs" are read chunk by chunk: chunks between white space, cached, and inside a
-    chunk the pattern's pieces, cached too, so the library's pair merging runs once per new piece. Chunks
+    chunk the pattern's pieces, cached too, so the library's pair merging runs once per new piece. A piece is
+    a chunk that the pattern leaves whole, so both share one cache and a plain word is held once. Chunks
     outside plain Latin letters, where composing or letter classes could matter, go through the library whole. So
     do texts with one of the tokenizer's special strings, and every text of a tokenizer of another form."""
 
@@ -84,8 +85,7 @@ class TextEncoder:
         self.pattern = regex.compile(self._cut_pattern(spec)) if self._cut_pattern(spec) else None
         self.plain = re.compile("[\x21-\x7e\u00a1-\u012f]+")
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.pieces = Generations(self._piece)
-        self.chunks = Generations(self._chunk)
+        self.known = Generations(self._chunk)
 
     @staticmethod
     def _cut_pattern(spec: dict) -> str | None:
@@ -108,9 +108,10 @@ class TextEncoder:
     def _chunk(self, chunk: str) -> bytes:
         if chunk.isascii() and chunk.isalpha():
             low = chunk.lower()
-            return self.pieces[chunk if low == chunk else low]
+            return self._piece(chunk) if low == chunk else self.known[low]
         if self.plain.fullmatch(chunk):
-            return b"".join([self.pieces[p] for p in self.pattern.findall(chunk.lower())])
+            pieces = self.pattern.findall(chunk.lower())
+            return self._piece(chunk) if pieces == [chunk] else b"".join([self.known[p] for p in pieces])
         return self.ids(chunk)
 
     def text(self, text: str) -> bytes:
@@ -118,7 +119,7 @@ class TextEncoder:
             return self.ids(text)
         # str.split cuts at all Unicode white space, and at four control characters that are none
         chunks = ASCII_SPACE.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
-        return b"".join([self.chunks[c] for c in chunks])
+        return b"".join([self.known[c] for c in chunks])
 
 
 #: fixed: a cutting pattern that never takes white space

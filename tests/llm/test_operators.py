@@ -685,3 +685,12 @@ def test_canonical_urls(spark):
             "no": None, None: None, "ftp://A.b/C": "a.b/C"}
     df = spark.createDataFrame([(u,) for u in urls], "url string")
     assert {r.url: r.c for r in df.withColumn("c", warc_revisits.canonical(F.col("url"))).collect()} == urls
+
+
+def test_packing_holds_a_plain_word_once():
+    enc = packing.TextEncoder(WORDS)
+    text = "word Word word, can't 12 re-use ''s l'\u00e9t\u00e9 \u4e2d\u6587"
+    assert enc.text(text) == enc.ids(text) == enc.text(text)
+    caches = [v for v in vars(enc).values() if isinstance(v, packing.Generations)]
+    assert sum("word" in c for c in caches) == 1
+    assert all(c[k] == enc.ids(k) for c in caches for k in list(c))

@@ -59,3 +59,16 @@ def test_stages_return_document_columns(spark):
         out = stage(spark, docs, SF_SMALL)
         assert out.columns == docs.columns and out.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() == 0
+
+
+def test_pipeline_asks_for_small_batches(spark):
+    own = spark.newSession()
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = own.range(2500).selectExpr("id as doc_id", "concat('word ', id, ' and some more') as text", "'en' as lang", "'a' as source", "1L as n_chars")
+    for _, stage in corpus_pipeline.STAGES:
+        own.conf.unset(name)
+        stage(own, docs, SF_SMALL)
+        assert stage.__name__ == "mix" or own.conf.get(name) == "1000"
+    own.conf.set(name, "7")
+    corpus_pipeline.language(own, docs, SF_SMALL)
+    assert own.conf.get(name) == "7"
