@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from inferframe.llm import textcore as T
-from inferframe.llm.set_links import bitmap, linked
+from inferframe.llm.set_links import _PAIR, _PAIRS, bitmap, linked
 from inferframe.llm.shared import ship, written
 
 BROADCAST_IDS = 500_000
@@ -98,16 +98,29 @@ def _signature_batches(k: int, rows: int, bands: int):
     return run
 
 
-def _set_batches(k: int):
+def _candidate_batches(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in T.slices(batch.column(1)):
+            for i, j, data, offsets in T.slices(batch.column(1)):
                 sets, at = _sets(data, offsets, k)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(_digests(sets, at)),
-                    pa.ListArray.from_arrays(at.astype(np.int32), pa.array(sets.view(np.int64))),
-                    pa.array([bitmap(sets[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())],
-                    names=["node", "shingles", "bits"])
+                    pa.array(_digests(sets, at)), pa.array(np.diff(at).astype(np.int64)),
+                    pa.array([bitmap(sets[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+                    batch.column(1).slice(i, j - i)], names=["node", "size", "bits", "text"])
+    return run
+
+
+def _confirm_batches(k: int, percent: int):
+    """Pairs (a, b, na, nb, ca, cb, ta, tb) whose texts' whole sets reach the threshold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in T.slices(batch.column(6)):
+                rows = batch.slice(i, j - i)
+                x, at = _sets(data, offsets, k)
+                y, bt = _sets(*T.strings(rows.column(7)), k)
+                common = np.array([len(np.intersect1d(x[at[r]:at[r + 1]], y[bt[r]:bt[r + 1]], assume_unique=True)) for r in range(j - i)], np.int64)
+                linked_ = common * 100 >= (np.diff(at) + np.diff(bt) - common) * percent
+                yield pa.RecordBatch.from_arrays(list(rows.filter(pa.array(linked_)).columns[:6]), names=_PAIR)
     return run
 
 
@@ -140,18 +153,21 @@ def _judged(docs: DataFrame, shingle_words: int = 5, percent: int = 80, rows: in
         F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
     # two different sets need at least this many shingles to reach the threshold
     least = math.ceil(percent / (100 - percent)) if percent < 100 else 1 << 60
-    banded = classes.where(F.col("n") >= least).select("node", F.col("n").alias("size"), F.explode("bands").alias("bucket"))
+    banded = classes.where(F.col("n") >= least).select("node", F.explode("bands").alias("bucket"))
 
     def prepare(nodes: DataFrame):
-        sets = candidate_sets(docs, nodes.select("node").join(classes.select("node", "first_id"), "node"), shingle_words)
+        found = candidates(docs, nodes.join(classes.select("node", "first_id"), "node"), shingle_words)
 
         def confirm(pairs: DataFrame) -> DataFrame:
-            whole = sets.select("node", "shingles")
-            both = pairs.join(whole.toDF("b", "sb"), "b").join(whole.toDF("a", "sa"), "a")
-            return both.withColumn("i", F.size(F.array_intersect("sa", "sb"))).where(
-                F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent).select(*pairs.columns)
+            # only texts of these pairs move, each to its pair: a text is smaller than the 64-bit hashes of its set
+            sides = pairs.select(*_PAIR, F.explode(F.array("a", "b")).alias("node"))
+            if pairs.limit(BROADCAST_IDS // 2 + 1).count() <= BROADCAST_IDS // 2:
+                sides = F.broadcast(sides)
+            side = found.select("node", "text").join(sides, "node").groupBy(*_PAIR)
+            both = side.agg(*(F.max(F.when(F.col("node") == F.col(v), F.col("text"))).alias(f"t{v}") for v in ("a", "b")))
+            return both.mapInArrow(_confirm_batches(shingle_words, percent), _PAIRS)
 
-        return confirm, sets.select("node", "bits"), percent
+        return confirm, found.select("node", "size", "bits"), percent
 
     roots = linked(banded, prepare)
     if roots is None:
@@ -166,8 +182,8 @@ def _judged(docs: DataFrame, shingle_words: int = 5, percent: int = 80, rows: in
     return out.select("doc_id", "n_shingles", "node", "root", name.alias("component_id"))
 
 
-def candidate_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, shingles): the whole set of every candidate class, recomputed from the text of the
+def candidates(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """(node, size, bits, text): size and bitmap of the set of every candidate class, and a text that has this set: that of the
     document that names it. The id list is broadcast when it is counted small, else shuffled."""
     ids = nodes.select(F.col("first_id").alias("doc_id")).distinct()
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
@@ -175,8 +191,8 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     # null ids name classes too: null-safe
     wanted = text.join(ids.withColumnRenamed("doc_id", "wanted"), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-    found = wanted.mapInArrow(_set_batches(k), "node long, shingles array<long>, bits binary")
-    return written(found.join(nodes.select("node"), "node").dropDuplicates(["node"]), "sets")
+    found = wanted.mapInArrow(_candidate_batches(k), "node long, size long, bits binary, text string")
+    return written(found.join(nodes.select("node"), "node").dropDuplicates(["node"]), "texts")
 
 
 def _node_batches(k: int):

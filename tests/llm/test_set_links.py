@@ -71,3 +71,79 @@ def test_a_family_that_holds_together_is_dealt_once_for_each_block_of_the_rest(s
                     met[b, x.node, y.node] = met.get((b, x.node, y.node), 0) + 1
     wanted = {(b, x, y) for b, _, x, _, c in members for d, _, y, _, e in members if b == d and x < y and c != e}
     assert met.keys() == wanted and set(met.values()) == {1}
+
+
+def _hot_family(r: random.Random) -> list[tuple]:
+    """Near copies of one text, in pairs that are no copies of other pairs, and texts that only share a bucket with them."""
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for i in range(90):
+        w = list(base)
+        for j in r.sample(range(120), r.choice([2, 4, 5, 6, 9])):
+            w[j] = f"own{i % 45}x{j}"
+        docs.append((i, " ".join(w)))
+    return docs
+
+
+def test_later_rounds_meet_only_members_of_pairs_not_handed_on(spark, monkeypatch):
+    docs, wrote = _hot_family(random.Random(8)), []
+    real = set_links.written
+
+    def seen(df, name):
+        out = real(df, name)
+        wrote.append((name, out))
+        return out
+
+    monkeypatch.setattr(set_links, "written", seen)
+    out = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 3, 85)
+    want = [(d, n, c) for (d, _), (n, c) in zip(docs, brute.components(docs, 3, 85), strict=True)]
+    assert sorted(tuple(x)[:3] for x in out.collect()) == want
+    # the members of open buckets are joined with their bucket once, whatever the number of rounds
+    assert [n for n, _ in wrote].count("open") == 1
+    met = [t for n, t in wrote if n == "met"]
+    left = [t.where("node is not null").count() for t in met]
+    assert left[0] < next(t for n, t in wrote if n == "open").count() and left == sorted(left, reverse=True) and left[-1] == 0
+
+
+def test_a_block_hands_on_a_forest_and_the_members_of_other_pairs():
+    import pyarrow as pa
+    rng = np.random.default_rng(2)
+    own = [rng.integers(0, 1 << 63, 50, dtype=np.uint64) for _ in range(3)]
+    sets = [np.sort(np.append(own[0], rng.integers(0, 1 << 63, 2, dtype=np.uint64))) for _ in range(4)] + own[1:] \
+        + [np.append(own[2][1:], np.uint64(7))]
+    group = [(9, 0, 0, node, len(v), node, 0, set_links.bitmap(v)) for node, v in enumerate(sets)]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*group, strict=True), types, strict=True)], names=list("abcdefgh"))
+    rows = {f: [r for b in set_links._block_batches(85, f)(iter([batch])) for r in b.to_pylist()] for f in (True, False)}
+    # four copies of one text: six pairs, those of node 0 in the forest; nodes 5 and 6: one pair, handed on; node 4: none
+    pairs = {f: {(r["a"], r["b"]) for r in rows[f] if r["a"] is not None} for f in rows}
+    assert len(pairs[True]) == 4 and pairs[True] < pairs[False] and len(pairs[False]) == 7 and (5, 6) in pairs[True]
+    assert {r["node"] for r in rows[True] if r["node"] is not None} == {1, 2, 3}
+    assert not [r for r in rows[False] if r["node"] is not None]
+
+
+def test_only_texts_of_the_pairs_move_to_be_confirmed(spark, monkeypatch):
+    docs, plans = _hot_family(random.Random(4)), []
+    real = minhash.linked
+
+    def watched(rows, prepare):
+        def seen(nodes):
+            confirm, *rest = prepare(nodes)
+
+            def kept(pairs):
+                out = confirm(pairs)
+                plans.append(out._jdf.queryExecution().executedPlan().toString())
+                return out
+            return (kept, *rest)
+        return real(rows, seen)
+
+    monkeypatch.setattr(minhash, "linked", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if no table were small
+    try:
+        out = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 3, 85).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(tuple(x)[:3] for x in out) == [(d, n, c) for (d, _), (n, c) in zip(docs, brute.components(docs, 3, 85), strict=True)]
+    # one shuffle, of the pairs with their texts; the candidates' table is read where it lies
+    assert plans and all(p.count("Exchange hashpartitioning") == 1 for p in plans)
