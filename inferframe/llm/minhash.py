@@ -39,10 +39,7 @@ from pyspark.sql import types as ST
 
 from inferframe.llm import textcore as T
 from inferframe.llm.set_links import _PAIR, _PAIRS, bitmap, linked
-from inferframe.llm.shared import ship, written
-
-BROADCAST_IDS = 500_000
-
+from inferframe.llm.shared import ship, small, written
 
 def bands_for(percent: int, rows: int, miss: float) -> int:
     """Bands that keep the chance to miss a pair at exactly `percent` similarity under `miss`."""
@@ -161,9 +158,7 @@ def _judged(docs: DataFrame, shingle_words: int = 5, percent: int = 80, rows: in
         def confirm(pairs: DataFrame) -> DataFrame:
             # only texts of these pairs move, each to its pair: a text is smaller than the 64-bit hashes of its set
             sides = pairs.select(*_PAIR, F.explode(F.array("a", "b")).alias("node"))
-            if pairs.limit(BROADCAST_IDS // 2 + 1).count() <= BROADCAST_IDS // 2:
-                sides = F.broadcast(sides)
-            side = found.select("node", "text").join(sides, "node").groupBy(*_PAIR)
+            side = found.select("node", "text").join(small(sides), "node").groupBy(*_PAIR)
             both = side.agg(*(F.max(F.when(F.col("node") == F.col(v), F.col("text"))).alias(f"t{v}") for v in ("a", "b")))
             return both.mapInArrow(_confirm_batches(shingle_words, percent), _PAIRS)
 
@@ -185,9 +180,7 @@ def _judged(docs: DataFrame, shingle_words: int = 5, percent: int = 80, rows: in
 def candidates(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     """(node, size, bits, text): size and bitmap of the set of every candidate class, and a text that has this set: that of the
     document that names it. The id list is broadcast when it is counted small, else shuffled."""
-    ids = nodes.select(F.col("first_id").alias("doc_id")).distinct()
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = small(nodes.select(F.col("first_id").alias("doc_id")).distinct())
     text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     # null ids name classes too: null-safe
     wanted = text.join(ids.withColumnRenamed("doc_id", "wanted"), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
@@ -211,12 +204,13 @@ def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
     where no row of the class has a name. Rows that repeat a doc_id, or have none, are told apart by their shingle
     sets; those without shingles collapse to one (any of them) where doc_id and text are equal."""
     judged = written(_judged(docs, **params), "judged")
+    # ids that don't stand: those of several rows, and those of one row that goes. Where these are few no text is shuffled for them
     same = written(judged.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("same"), F.first("component_id").alias("name"))
-                   .where("same > 1 or name = doc_id"), "same")
+                   .where("same > 1 or name <> doc_id"), "same")
     key = docs["doc_id"].cast("long")
     # an id of one row stands for its row, without another look at the text
-    single = docs.join(same.where("same = 1").select(F.col("doc_id").alias("__kept_id")), key == F.col("__kept_id")).drop("__kept_id")
-    many = docs.join(same.where("same > 1").select(F.col("doc_id").alias("__kept_id")), key == F.col("__kept_id"), "left_semi") \
+    single = docs.where(key.isNotNull()).join(small(same.select(F.col("doc_id").alias("__id"))), key == F.col("__id"), "left_anti")
+    many = docs.join(small(same.where("same > 1").select(F.col("doc_id").alias("__id"))), key == F.col("__id"), "left_semi") \
         .unionByName(docs.where(key.isNull()))
     hidden = [ST.StructField(f"__c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
     extra = [ST.StructField("__id", ST.LongType()), ST.StructField("__text", ST.StringType()), ST.StructField("__node", ST.LongType())]

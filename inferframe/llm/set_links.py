@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inferframe.llm.components import star_labels
-from inferframe.llm.shared import written
+from inferframe.llm.shared import small, written
 
 BLOCK = 1024
 FORESTS = 2
@@ -194,7 +194,7 @@ def linked(rows: DataFrame, prepare: Callable[[DataFrame], tuple[Confirm, DataFr
     buckets = written(buckets.groupBy("n", "lo", "hi", "mark").agg(F.min("bucket").alias("bucket")), "buckets")
     if not buckets.limit(1).count():
         return None
-    more = written(rows.select("bucket", "node").join(buckets.where("n > 2").select("bucket", "n"), "bucket"), "members")
+    more = written(rows.select("bucket", "node").join(small(buckets.where("n > 2").select("bucket", "n")), "bucket"), "members")
     two = buckets.where("n = 2")
     nodes = written(two.select(F.explode(F.array("lo", "hi")).alias("node")).unionByName(more.select("node")).distinct(), "candidates")
     confirm, sets, percent = prepare(nodes)

@@ -147,3 +147,20 @@ def test_only_texts_of_the_pairs_move_to_be_confirmed(spark, monkeypatch):
     assert sorted(tuple(x)[:3] for x in out) == [(d, n, c) for (d, _), (n, c) in zip(docs, brute.components(docs, 3, 85), strict=True)]
     # one shuffle, of the pairs with their texts; the candidates' table is read where it lies
     assert plans and all(p.count("Exchange hashpartitioning") == 1 for p in plans)
+
+
+def test_no_text_is_shuffled_to_drop_a_few_rows(spark):
+    docs = spark.createDataFrame([*_hot_family(random.Random(6)), (500, "a b c d"), (501, None), (None, "x y z u"), (7, "one two three four")],
+                                 "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if no table were small
+    try:
+        kept = minhash.drop_near_duplicates(docs, shingle_words=3, percent=85)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        rows = kept.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange hashpartitioning(doc_id" not in plan and "hashpartitioning(cast(doc_id" not in plan
+    want = {d for d, (_, c) in ((d, x) for (d, _), x in zip(*(lambda r: (r, brute.components(r, 3, 85)))([tuple(r) for r in docs.collect()]), strict=True))
+            if d is not None and d == c}
+    assert {r.doc_id for r in rows} == want | {None} and len(rows) == len(want) + 2
