@@ -11,8 +11,9 @@
 * ``stream_assemble_content_sessions`` is the built-in form for streams without reliable finish
   markers: a request's stream ends with an inactivity gap (``session_window``), so a longer pause
   splits a message.
-* ``stream_assemble_tool_calls`` (ST2) keeps the same kind of state per (request, tool index). Every micro-batch emits
-  the changed calls; the sink keeps the latest row per call. A call's state goes when the watermark passes its last
+* ``stream_assemble_tool_calls`` (ST2) keeps the fragments per (request, tool index). Calls are short and many, so groups of
+  them share their state, which is read and written in packed pieces. Every micro-batch emits
+  the changed calls; the sink keeps the latest row per call. A call ends when the watermark passes its last
   fragment plus ``ttl``.
 * ``stream_tool_call_snapshots`` (ST2, built-in operators only) is an aggregation in update mode; its state
   lasts as long as the query, so it is for streams that end (backfills, ``availableNow``).
@@ -22,9 +23,13 @@ The stateful forms need the RocksDB state store (``spark.sql.streaming.stateStor
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,8 +40,8 @@ EVENT_OUT = T.StructType([
     T.StructField("content", T.StringType()), T.StructField("n_chunks", T.LongType()),
     T.StructField("complete", T.BooleanType()), T.StructField("n_late", T.LongType()),
 ])
-CALL_OUT = T.StructType([
-    T.StructField("request_id", T.LongType()), T.StructField("tool_index", T.LongType()),
+SHARD_OUT = T.StructType([
+    T.StructField("request_id", T.LongType()), T.StructField("tool_index", T.LongType()), T.StructField("nulls", T.IntegerType()),
     T.StructField("tool_id", T.StringType()), T.StructField("tool_name", T.StringType()),
     T.StructField("arguments", T.StringType()), T.StructField("n_fragments", T.LongType()),
 ])
@@ -66,7 +71,7 @@ INLINE_CHARS = 32_768
 
 
 class _Fragments(StatefulProcessor):
-    """State shared by ST1 and ST2: the ``book`` of a key, with the fragments not yet moved to the list of ``parts``, and one
+    """State of ST1: the ``book`` of a key, with the fragments not yet moved to the list of ``parts``, and one
     timer, moved lazily. Every access to state costs a round trip, so a short message is one value; a long one
     is appended to the list in pieces of ``INLINE_CHARS``, each written once."""
 
@@ -195,45 +200,193 @@ def stream_assemble_content_sessions(chunks: DataFrame, *, gap: str = "5 minutes
                     F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end")))
 
 
-def _first(rows: list[Row], column: str, old_seq, old):
-    """The value with the lowest seq among the stored one and the new non-NULL ones."""
-    have = [(r.seq, r[column]) for r in rows if r[column] is not None and (old_seq is None or r.seq < old_seq)]
-    return min(have, default=(old_seq, old))
+#: groups of calls that share their state. A group that a batch touches costs a few round trips to the state store,
+#: however many calls of it the batch holds, and one look through the group's ids
+SHARDS = 1024
+#: small pieces of a group's state that are merged when there are as many, and the bytes up to which a piece is small
+MERGE, SMALL = 16, 4 << 20
+#: rows of a group in a batch from which its new calls are taken as columns; fewer are quicker one by one
+COLUMNS = 256
+
+PIECE = pa.schema([("hash", pa.int64()), ("request_id", pa.int64()), ("tool_index", pa.int64()), ("nulls", pa.int8()),
+                   ("seq", pa.int64()), ("fragment", pa.bool_()), ("tool_args", pa.string()), ("tool_id", pa.string()),
+                   ("tool_name", pa.string()), ("ts_ms", pa.int64()), ("life", pa.int64())])
+
+
+#: where these columns lie in a row of a piece
+SEQ, FRAGMENT, ARGS, TOLD, TS, LIFE = 4, 5, 6, (7, 8), 9, 10
+
+
+class _Call:
+    """A call in one micro-batch: the rows known of it, and its new ones."""
+
+    __slots__ = ("known", "rows")
+
+    def __init__(self) -> None:
+        self.known, self.rows = [], []
+
+    def forget(self, before_ms: int) -> None:
+        """Leave the rows of the call's latest life, if it lasts."""
+        if self.known:
+            life = max(r[LIFE] for r in self.known)
+            self.known = [r for r in self.known if r[LIFE] == life]
+            if max(r[TS] for r in self.known) <= before_ms:
+                self.known = []
+
+    def add(self, number: int) -> list[list]:
+        """The new rows to keep: first deliveries, and those that move the call's end or tell its id or name earlier."""
+        seqs, life, last, told = set(), number, None, (None, None)
+        if self.known:
+            seqs, life, last = {r[SEQ] for r in self.known if r[FRAGMENT]}, self.known[0][LIFE], max(r[TS] for r in self.known)
+            told = [min((r[SEQ] for r in self.known if r[c] is not None), default=None) for c in TOLD]
+        kept = []
+        for r in self.rows:
+            r[FRAGMENT], r[LIFE] = r[SEQ] not in seqs, life
+            seqs.add(r[SEQ])
+            for c, q in zip(TOLD, told):
+                if q is not None and r[SEQ] >= q:
+                    r[c] = None
+            if r[FRAGMENT] or last is None or r[TS] > last or r[TOLD[0]] is not None or r[TOLD[1]] is not None:
+                kept.append(r)
+        return kept
 
+    @staticmethod
+    def result(rows: list[list]) -> tuple:
+        text = sorted((r[SEQ], r[ARGS] or "") for r in rows if r[FRAGMENT])
+        told = (min(((r[SEQ], r[c]) for r in rows if r[c] is not None), default=(None, None))[1] for c in TOLD)
+        return *told, "".join(t for _, t in text), len(text)
 
-class _ToolCalls(_Fragments):
-    BOOK = _Fragments.BOOK + ", id_seq bigint, tool_id string, name_seq bigint, tool_name string"
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        rows = list(rows)
-        stored = self.book.get()
-        known, names = (tuple(stored[:6]), stored[6:]) if stored else (self.NEW, (None, None, None, None))
-        known, changed = self.append(known, rows, "tool_args")
-        id_seq, tool_id = _first(rows, "tool_id", *names[:2])
-        name_seq, tool_name = _first(rows, "tool_name", *names[2:])
-        if stored is None:
-            self.wake(known[2] + self.ttl_ms, timerValues)
-        self.book.update((*known, id_seq, tool_id, name_seq, tool_name))
-        if changed:  # a batch of re-deliveries changes nothing
-            yield Row(request_id=key[0], tool_index=key[1], tool_id=tool_id, tool_name=tool_name, arguments=self.text(known),
-                      n_fragments=sum(e - s + 1 for s, e in zip(*known[:2])))
+class _ToolCalls(StatefulProcessor):
+    """State of a group of calls: the fragments themselves, one packed piece a micro-batch. A call's rows are found by
+    the hash of its ids, only those of the batch's calls are unpacked. A piece goes when the watermark passes the last fragment
+    of all its calls plus ``ttl``; rows of calls that have gone on since move to a new piece. A call whose own time has
+    passed is not continued (``life``: the piece in which the call began), whether its rows still lie there or not."""
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        known = tuple(self.book.get()[:6])
-        due = known[2] + self.ttl_ms
-        if expiredTimerInfo.getExpiryTimeInMs() < due:
-            self.wake(due, timerValues)
-        else:
-            self.book.clear()
-            self.forget(known)
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pieces = handle.getMapState("pieces", "number bigint", "until_ms bigint, rows binary")
+
+    def close(self) -> None:
+        pass
+
+    def load(self) -> dict[int, tuple[int, pa.RecordBatch]]:
+        return {k[0]: (v[0], pa.ipc.read_record_batch(pa.py_buffer(bytes(v[1])), PIECE)) for k, v in self.pieces.iterator()}
+
+    def store(self, number: int, until: int, rows: pa.RecordBatch, watermark: int) -> None:
+        until = max(until, watermark + 1)
+        self.pieces.updateValue((number,), (until, rows.serialize().to_pybytes()))
+        self.handle.registerTimer(until)
+
+    def rewrite(self, held: dict, numbers: list[int], watermark: int) -> None:
+        """Replace pieces by one with the rows of their calls that last."""
+        every = pa.Table.from_batches([held[n][1] for n in held], PIECE)
+        calls, at = np.unique(every["hash"].to_numpy(), return_inverse=True)
+        last = np.full(len(calls), np.iinfo(np.int64).min)
+        np.maximum.at(last, at, every["ts_ms"].to_numpy())
+        some = pa.Table.from_batches([held[n][1] for n in numbers], PIECE)
+        until = last[np.searchsorted(calls, some["hash"].to_numpy())] + self.ttl_ms
+        for n in numbers:
+            self.pieces.removeKey((n,))
+        if (until > watermark).any():
+            rows = some.filter(pa.array(until > watermark)).combine_chunks().to_batches()[0]
+            self.store(max(held) + 1, int(until.max()), rows, watermark)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        watermark, held = timerValues.getCurrentWatermarkInMs(), self.load()
+        number = max(held, default=-1) + 1
+        pdf = pd.concat(rows, ignore_index=True)
+        new = pa.table([pa.array(pdf[f.name], f.type) if f.name in pdf else pa.array(np.full(len(pdf), f.type == pa.bool_() or number), f.type)
+                        for f in PIECE], schema=PIECE)
+        wanted = new["hash"].unique()
+        found = pa.Table.from_batches([b.filter(pc.is_in(b["hash"], value_set=wanted)) for _, b in held.values()], PIECE)
+        order = np.lexsort((new["seq"].to_numpy(), new["hash"].to_numpy()))
+        new = new.take(order)
+        plain = np.zeros(len(pdf), bool)
+        if len(pdf) >= COLUMNS:
+            plain = self.plain(new) & ~pc.is_in(new["hash"], value_set=found["hash"]).to_numpy()
+        kept, frames = new.filter(pa.array(plain)), []
+        if kept.num_rows:
+            frames.append(self.whole(kept))
+        if kept.num_rows < new.num_rows:
+            more, out = self.merged(new.filter(pa.array(~plain)), found, number, watermark)
+            kept = pa.concat_tables([kept, more])
+            if out:
+                frames.append(pd.DataFrame(out, columns=SHARD_OUT.names))
+        if kept.num_rows:
+            piece, until = kept.combine_chunks().to_batches()[0], pc.max(kept["ts_ms"]).as_py() + self.ttl_ms
+            self.store(number, until, piece, watermark)
+            held[number] = until, piece
+            small = [n for n, (_, b) in held.items() if b.nbytes < SMALL]
+            if len(small) >= MERGE:
+                self.rewrite(held, small, watermark)
+        yield from frames
+
+    @staticmethod
+    def plain(new: pa.Table) -> np.ndarray:
+        """Rows, in order of hash and seq, of calls that have their hash alone and come with no fragment twice."""
+        h = new["hash"].to_numpy()
+        same = h[1:] == h[:-1]
+        odd = same & (new["seq"].to_numpy()[1:] == new["seq"].to_numpy()[:-1])
+        for c in PIECE.names[1:4]:
+            odd |= same & (new[c].to_numpy()[1:] != new[c].to_numpy()[:-1])
+        return ~np.isin(h, h[1:][odd])
+
+    @staticmethod
+    def whole(new: pa.Table) -> pd.DataFrame:
+        """The result of calls that are new and plain."""
+        h = new["hash"].to_numpy()
+        starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        ends = np.append(starts[1:], len(h))
+        texts = pa.ListArray.from_arrays(pa.array(np.append(starts, len(h)), pa.int32()), pc.fill_null(new["tool_args"], "").combine_chunks())
+
+        def told(column: str) -> list:
+            at = np.minimum.reduceat(np.where(new[column].is_valid().to_numpy(), np.arange(len(h)), len(h)), starts)
+            return new[column].take(pa.array(at, mask=at == len(h))).to_pylist()
+
+        return pd.DataFrame({**{c: new[c].to_numpy()[starts] for c in PIECE.names[1:4]}, "tool_id": told("tool_id"), "tool_name": told("tool_name"),
+                             "arguments": pc.binary_join(texts, "").to_pylist(), "n_fragments": ends - starts})
+
+    def merged(self, new: pa.Table, found: pa.Table, number: int, watermark: int) -> tuple[pa.Table, list[tuple]]:
+        """The rows to keep and the results of the other calls, one by one."""
+        calls = defaultdict(_Call)
+        for r in zip(*(c.to_pylist() for c in new.columns)):
+            calls[r[1:4]].rows.append([*r])
+        for r in zip(*(c.to_pylist() for c in found.columns)):
+            if call := calls.get(r[1:4]):
+                call.known.append(r)
+        kept, out = [], []
+        for ids, call in calls.items():
+            call.forget(watermark - self.ttl_ms)
+            rows = call.add(number)
+            kept += rows
+            if any(r[FRAGMENT] for r in rows):  # a batch of re-deliveries changes nothing
+                out.append((*ids, *call.result(call.known + rows)))
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*kept), PIECE)] if kept else PIECE.empty_table().columns, schema=PIECE), out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark, held = timerValues.getCurrentWatermarkInMs(), self.load()
+        if due := [n for n, (until, _) in held.items() if until <= watermark]:
+            self.rewrite(held, due, watermark)
         yield from ()
 
 
 def stream_assemble_tool_calls(chunks: DataFrame, *, watermark: str = "1 hour", ttl_ms: int = 3_600_000) -> DataFrame:
     """ST2 over a streaming frame ``(request_id, seq, tool_index, tool_id, tool_name,
     tool_args, ts)``: fragments of a call may come at different times, out of order and twice."""
-    return _timed(chunks, watermark).groupBy("request_id", "tool_index").transformWithState(
-        _ToolCalls(ttl_ms), CALL_OUT, "Update", "EventTime")
+    ids = ("request_id", "tool_index")
+    src = _timed(chunks, watermark)
+    src = src.select(  # no nulls in the integers: pandas would make them floats
+        F.pmod(F.hash(*ids), F.lit(SHARDS)).alias("shard"), F.xxhash64(*ids).alias("hash"),
+        *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ids),
+        sum(F.col(c).isNull().cast("int") * (i + 1) for i, c in enumerate(ids)).alias("nulls"),
+        "seq", "tool_args", "tool_id", "tool_name", F.coalesce("ts_ms", F.lit(0)).alias("ts_ms"), "ts")
+    out = src.groupBy("shard").transformWithStateInPandas(_ToolCalls(ttl_ms), SHARD_OUT, "Update", "EventTime")
+    return out.select(*(F.when(F.col("nulls").bitwiseAND(i + 1) == 0, F.col(c)).alias(c) for i, c in enumerate(ids)),
+                      "tool_id", "tool_name", "arguments", "n_fragments")
 
 
 def stream_tool_call_snapshots(chunks: DataFrame) -> DataFrame:

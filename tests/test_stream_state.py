@@ -85,3 +85,97 @@ def test_runs_of_fragments(seed):
         seen |= set(new)
         assert {x for a, b in zip(starts, ends) for x in range(a, b + 1)} == seen
         assert (starts[1:] > ends[:-1] + 1).all()
+
+
+class Store:
+    """The state of one group of calls, with its round trips counted."""
+
+    def __init__(self):
+        self.map, self.timers, self.trips = {}, set(), 0
+
+    def getMapState(self, *_):
+        return self
+
+    def iterator(self):
+        self.trips += 1
+        return iter(list(self.map.items()))
+
+    def updateValue(self, key, value):
+        self.trips += 1
+        self.map[key] = value
+
+    def removeKey(self, key):
+        self.trips += 1
+        del self.map[key]
+
+    def registerTimer(self, at_ms):
+        self.trips += 1
+        self.timers.add(at_ms)
+
+
+class Time:
+    def __init__(self, watermark):
+        self.getCurrentWatermarkInMs = lambda: watermark
+
+
+def calls_frame(rows):
+    import pandas as pd
+
+    return pd.DataFrame([(hash((r, i, n)) % 50, r, i, n, q, t, tid, name, ms) for r, i, n, q, t, tid, name, ms in rows],
+                        columns=["hash", "request_id", "tool_index", "nulls", "seq", "tool_args", "tool_id", "tool_name", "ts_ms"])
+
+
+def test_calls_of_a_batch_share_their_access_to_the_state():
+    store = Store()
+    p = A._ToolCalls(1000)
+    p.init(store)
+    for batch in range(3):
+        frame = calls_frame([(c, 0, 0, batch, "x", None, None, 10) for c in range(2000)])
+        out = [r for f in p.handleInputRows((0,), iter([frame]), Time(0)) for r in f.itertuples(index=False)]
+        assert len(out) == 2000 and {(r.arguments, r.n_fragments) for r in out} == {("x" * (batch + 1), batch + 1)}
+    assert store.trips <= 9
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_groups_of_calls_equal_a_state_for_each_call(seed, monkeypatch):
+    monkeypatch.setattr(A, "MERGE", 3)
+    monkeypatch.setattr(A, "COLUMNS", 256 if seed % 2 else 0)
+    rng, ttl, store, model, watermark = np.random.default_rng(seed), 60, Store(), {}, 0
+    p = A._ToolCalls(ttl)
+    p.init(store)
+    for batch in range(40):
+        rows = []
+        for _ in range(int(rng.integers(0, 12))):
+            ids = (int(rng.integers(0, 4)), int(rng.integers(0, 3)), int(rng.integers(0, 2)))
+            q = int(rng.integers(0, 6))
+            rows.append((*ids, q, None if q == 5 else f"<{batch // 8}.{q}>", f"c{batch}" if q < 2 else None, "f" if q == 0 else None,
+                         watermark + 1 + int(rng.integers(0, 80))))
+        want = {}
+        for ids in {r[:3] for r in rows}:
+            mine = [r for r in rows if r[:3] == ids]
+            c = model.get(ids)
+            if c is None or c["last"] + ttl <= watermark:
+                c = {"text": {}, "last": 0, "id": (None, None), "name": (None, None)}
+            fresh = {}
+            for r in mine:
+                if r[3] not in c["text"]:
+                    fresh.setdefault(r[3], r[4] or "")
+            for k, at in (("id", 5), ("name", 6)):
+                better = [(r[3], r[at]) for r in mine if r[at] is not None and (c[k][0] is None or r[3] < c[k][0])]
+                c[k] = min(better, default=c[k])
+            c["last"] = max(c["last"], *(r[7] for r in mine))
+            c["text"] |= fresh
+            model[ids] = c
+            if fresh:
+                want[ids] = (c["id"][1], c["name"][1], "".join(c["text"][q] for q in sorted(c["text"])), len(c["text"]))
+        frame = calls_frame(rows)
+        got = [r for f in (p.handleInputRows((0,), iter([frame]), Time(watermark)) if rows else ()) for r in f.itertuples(index=False, name=None)]
+        assert {r[:3]: r[3:] for r in got} == want and len(got) == len(want)
+        for at in sorted(t for t in store.timers if t <= watermark):
+            store.timers.discard(at)
+            assert not list(p.handleExpiredTimer((0,), Time(watermark), None))
+        watermark += int(rng.integers(0, 25))
+    assert store.map
+    for at in sorted(store.timers):
+        assert not list(p.handleExpiredTimer((0,), Time(10_000), None))
+    assert not store.map  # nothing outlives its calls
