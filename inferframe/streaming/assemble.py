@@ -23,6 +23,7 @@ The stateful forms need the RocksDB state store (``spark.sql.streaming.stateStor
 
 from __future__ import annotations
 
+import pickle
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -75,7 +76,8 @@ class _Fragments(StatefulProcessor):
     timer, moved lazily. Every access to state costs a round trip, so a short message is one value; a long one
     is appended to the list in pieces of ``INLINE_CHARS``, each written once."""
 
-    BOOK = "starts array<bigint>, ends array<bigint>, last_ms bigint, seq array<bigint>, text array<string>, spilled boolean"
+    #: starts and ends of the runs, last_ms, seq and text of the fragments held, whether others were spilled. The book is packed:
+    #: arrays in state are converted element by element on either side
     NEW = ([], [], 0, [], [], False)
 
     def __init__(self, ttl_ms: int):
@@ -83,12 +85,19 @@ class _Fragments(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.book = handle.getValueState("book", self.BOOK)
+        self.book = handle.getValueState("book", "packed binary")
         self.parts = handle.getListState("parts", "seq bigint, content string")
 
     def close(self) -> None:
         pass
 
+    def read(self) -> tuple | None:
+        stored = self.book.get()
+        return pickle.loads(stored[0]) if stored else None
+
+    def write(self, *book) -> None:
+        self.book.update((pickle.dumps(book),))
+
     def append(self, known: tuple, rows: list[Row], column: str) -> tuple[tuple, bool]:
         """(the shared part of the book with the new fragments, whether there was one)."""
         starts, ends, last, held, text, spilled = known
@@ -113,7 +122,7 @@ class _Fragments(StatefulProcessor):
 
 
 class _Messages(_Fragments):
-    BOOK = _Fragments.BOOK + ", finish bigint, emitted boolean, late bigint"
+    """The book goes on with finish (the least seq that ends the message), emitted and the number of late fragments."""
 
     @staticmethod
     def row(key, event: str, content=None, n=None, complete=None, late=None) -> Row:
@@ -121,10 +130,10 @@ class _Messages(_Fragments):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         rows = list(rows)
-        stored = self.book.get()
-        known, (finish, emitted, late) = (tuple(stored[:6]), stored[6:]) if stored else (self.NEW, (None, False, 0))
+        stored = self.read()
+        known, (finish, emitted, late) = (stored[:6], stored[6:]) if stored else (self.NEW, (None, False, 0))
         if emitted:
-            self.book.update((*known, finish, True, late + len(rows)))
+            self.write(*known, finish, True, late + len(rows))
             return
         known, _ = self.append(known, rows, "content")
         finish = min([r.seq for r in rows if r.finish_reason is not None] + ([] if finish is None else [finish]), default=None)
@@ -133,14 +142,14 @@ class _Messages(_Fragments):
         if finish is not None and known[0] and known[0][0] <= 0 and known[1][0] >= finish:
             content = self.text(known, finish)
             self.forget(known)
-            self.book.update(([], [], known[2], [], [], False, finish, True, 0))
+            self.write([], [], known[2], [], [], False, finish, True, 0)
             yield self.row(key, "message", content, finish + 1, True)
         else:
-            self.book.update((*known, finish, False, 0))
+            self.write(*known, finish, False, 0)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        stored = self.book.get()
-        known, (finish, emitted, late) = tuple(stored[:6]), stored[6:]
+        stored = self.read()
+        known, (finish, emitted, late) = stored[:6], stored[6:]
         due = known[2] + self.ttl_ms
         if expiredTimerInfo.getExpiryTimeInMs() < due:
             self.wake(due, timerValues)
@@ -152,7 +161,7 @@ class _Messages(_Fragments):
             content, n = self.text(known), sum(e - s + 1 for s, e in zip(*known[:2]))
             self.forget(known)
             last = max(known[2], timerValues.getCurrentWatermarkInMs())
-            self.book.update(([], [], last, [], [], False, finish, True, 0))
+            self.write([], [], last, [], [], False, finish, True, 0)
             self.wake(last + self.ttl_ms, timerValues)
             yield self.row(key, "message", content, n, False)
 
@@ -166,7 +175,8 @@ def stream_content_events(chunks: DataFrame, *, watermark: str = "10 minutes", t
     """ST1 over a streaming frame ``(request_id, seq, content, finish_reason, ts)``: one row with ``event = 'message'``
     per request (content, n_chunks, complete) and, where fragments came after it, one with ``event = 'late'``
     and their number ``n_late`` when the request's mark goes."""
-    return _timed(chunks, watermark).groupBy("request_id").transformWithState(
+    src = _timed(chunks, watermark).select("request_id", "seq", "content", "finish_reason", "ts_ms", "ts")  # each cell costs
+    return src.groupBy("request_id").transformWithState(
         _Messages(ttl_ms), EVENT_OUT, "Append", "EventTime")
 
 

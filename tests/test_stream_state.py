@@ -179,3 +179,39 @@ def test_groups_of_calls_equal_a_state_for_each_call(seed, monkeypatch):
     for at in sorted(store.timers):
         assert not list(p.handleExpiredTimer((0,), Time(10_000), None))
     assert not store.map  # nothing outlives its calls
+
+
+def test_a_message_is_kept_as_one_packed_value():
+    from pyspark.sql import Row
+
+    class Value(Store):
+        value = None
+
+        def getValueState(self, *_):
+            return self
+
+        getListState = getValueState
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+    store = Value()
+    p = A._Messages(1000)
+    p.init(store)
+
+    def rows(seqs):
+        return [Row(request_id=1, seq=q, content=f"<{q}>", finish_reason="stop" if q == 299 else None, ts_ms=10) for q in seqs]
+
+    assert not list(p.handleInputRows((1,), rows(range(299, 0, -1)), Time(0)))
+    assert [type(x) for x in store.value] == [bytes]
+    (out,) = p.handleInputRows((1,), rows([0, 5]), Time(0))
+    assert (out.content, out.n_chunks, out.complete) == ("".join(f"<{q}>" for q in range(300)), 300, True)
+    assert not list(p.handleInputRows((1,), rows([7]), Time(0)))
+    (late,) = p.handleExpiredTimer((1,), Time(5000), type("Info", (), {"getExpiryTimeInMs": lambda self: 5000})())
+    assert (late.event, late.n_late) == ("late", 1)
