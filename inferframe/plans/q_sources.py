@@ -9,7 +9,7 @@ from inferframe.plans.catalog import query
 from inferframe.plans.q_requests import base_requests
 from inferframe.operators import requests as RQ
 from inferframe.session import shared_dir
-from inferframe.sources.readers import read_conversations, read_media
+from inferframe.sources.readers import md5_of_pieces, read_conversations, read_media, read_media_pieces
 from inferframe.sources.sinks import write_requests
 
 
@@ -18,10 +18,12 @@ SELECT regexp_extract(filename, '([^/]+)$', 1) AS file_name, 'parquet' AS ext, s
        md5(content) AS content_md5, 'application/vnd.apache.parquet' AS mime
 FROM read_blob('/root/testdata/sf0.01/*.parquet')""")
 def src_media(spark, sf):
-    """The sf directory's files read as binary media rows (name, size, bytes, MIME type)."""
-    m = read_media(spark, sf, "*.parquet", with_content=True)
-    return m.select("file_name", "ext", "length", F.md5("content").alias("content_md5"),
-                    mime_of("path").alias("mime"))
+    """The sf directory's files read as binary media rows (name, size, bytes, MIME type); a large file's bytes
+    come in pieces."""
+    m = read_media(spark, sf, "*.parquet", with_content=True, large=False).withColumn("content_md5", F.md5("content"))
+    large = md5_of_pieces(read_media_pieces(spark, sf, "*.parquet"))
+    cols = ["file_name", "ext", "length", "content_md5", mime_of("path").alias("mime")]
+    return m.select(*cols).unionByName(large.select(*cols))
 
 
 @query("src_conversations", sql="""
