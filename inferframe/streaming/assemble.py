@@ -1,13 +1,15 @@
 """ST1/ST2: assemble streamed fragments in Structured Streaming.
 
 * ``stream_assemble_content`` (ST1) answers each request once. ``stream_content_events`` is the same stream with the
-  counts of late fragments. A request's state is a book (which fragments are there, as runs of ``seq``;
-  where the message ends; the latest fragments) and a list to which fragments are moved in large pieces, so a long
-  message is not rewritten while it grows. It is emitted as soon as the finish fragment and every fragment before it (dense
+  counts of late fragments. A request is emitted as soon as the finish fragment and every fragment before it (dense
   ``seq``) have arrived, however long the pauses between them, or as incomplete when the watermark passes its last
-  fragment plus ``ttl``. Then the fragments go and the book stays as a mark: fragments that are
+  fragment plus ``ttl``. Then the fragments go and a mark stays: fragments that are
   delivered again, or come too late, are dropped and counted. The mark goes when the watermark passes the
   last fragment plus ``ttl`` once more; by then the watermark itself keeps re-deliveries out.
+  Groups of requests share their state: an index with a row per request and micro-batch, and the fragments in packed parts that
+  are written once and read when a request may be whole. ``grouped=False`` gives each request a state of its own: a book
+  (which fragments are there, as runs of ``seq``; where the message ends; the latest fragments) and a list to which
+  fragments are moved in large pieces. It costs round trips per request and is for streams of few, long requests.
 * ``stream_assemble_content_sessions`` is the built-in form for streams without reliable finish
   markers: a request's stream ends with an inactivity gap (``session_window``), so a longer pause
   splits a message.
@@ -171,19 +173,246 @@ def _timed(chunks: DataFrame, watermark: str) -> DataFrame:
             .withColumn("ts_ms", (F.unix_micros("ts") / 1000).cast("bigint")))
 
 
-def stream_content_events(chunks: DataFrame, *, watermark: str = "10 minutes", ttl_ms: int = 3_600_000) -> DataFrame:
+#: groups of requests or calls that share their state. A group that a batch touches costs a few round trips to the state store,
+#: however many requests or calls of it the batch holds, and one look through the group's ids
+SHARDS = 1024
+#: small pieces of a group's state that are merged when there are as many, and the bytes up to which a piece is small
+MERGE, SMALL = 16, 4 << 20
+#: bytes of fragments in one part of a group's state
+PART_BYTES = 128 << 10
+
+PART = pa.schema([("request_id", pa.int64()), ("seq", pa.int64()), ("content", pa.large_string())])
+INDEX = np.dtype([("request_id", "i8"), ("kind", "i1"), ("part", "i8"), ("n", "i8"), ("finish", "i8"), ("last_ms", "i8")])
+#: kinds of index rows: ``n`` fragments in a part; the mark of an answered request; ``n`` late fragments of it; the end of all
+#: rows before, as a mark is too
+KEPT, MARK, LATE, GONE = range(4)
+#: finish of a request without one, and the time of rows that tell none
+NEVER, LONG_AGO = np.iinfo(np.int64).max, np.iinfo(np.int64).min
+
+
+def index_rows(ids: np.ndarray, kind: int, part=-1, n=0, finish=NEVER, last_ms=LONG_AGO) -> np.ndarray:
+    rows = np.empty(len(ids), INDEX)
+    for c, v in zip(INDEX.names, (ids, kind, part, n, finish, last_ms)):
+        rows[c] = v
+    return rows
+
+
+def live_rows(rows: np.ndarray) -> np.ndarray:
+    """The rows of an index, oldest first, that no later mark or end has replaced."""
+    ids, at = np.unique(rows["request_id"], return_inverse=True)
+    ends = np.flatnonzero((rows["kind"] == MARK) | (rows["kind"] == GONE))
+    start = np.zeros(len(ids), np.int64)
+    np.maximum.at(start, at[ends], ends)
+    return rows[(np.arange(len(rows)) >= start[at]) & (rows["kind"] != GONE)]
+
+
+class _Known:
+    """What an index of live rows tells of each request, in order of their ids: ``n`` fragments held, or late ones if it is
+    answered; finish and last_ms."""
+
+    def __init__(self, rows: np.ndarray):
+        self.ids, at = np.unique(rows["request_id"], return_inverse=True)
+        self.n = np.zeros(len(self.ids), np.int64)
+        self.finish, self.last_ms = np.full(len(self.ids), NEVER), np.full(len(self.ids), LONG_AGO)
+        self.answered = np.zeros(len(self.ids), bool)
+        np.add.at(self.n, at, rows["n"])
+        np.minimum.at(self.finish, at, rows["finish"])
+        np.maximum.at(self.last_ms, at, rows["last_ms"])
+        self.answered[at[rows["kind"] == MARK]] = True
+
+    def find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether each id is known, where)."""
+        if not len(self.ids):
+            return np.zeros(len(ids), bool), np.zeros(len(ids), np.int64)
+        at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+        return self.ids[at] == ids, at
+
+
+def first_deliveries(rows: pa.Table) -> pa.Table:
+    """Fragments in order of request and seq, each as it came first."""
+    ids, seq = rows["request_id"].to_numpy(), rows["seq"].to_numpy()
+    order = np.lexsort((seq, ids))  # stable
+    ids, seq = ids[order], seq[order]
+    first = np.ones(len(order), bool)
+    first[1:] = (ids[1:] != ids[:-1]) | (seq[1:] != seq[:-1])
+    return rows.take(pa.array(order[first]))
+
+
+def heads(ids: np.ndarray) -> np.ndarray:
+    """Where the rows of each request begin, in rows in order of requests."""
+    return np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
+
+
+def joined(content: pa.ChunkedArray, counts: np.ndarray) -> list[str]:
+    """The texts of as many fragments each as ``counts`` tells."""
+    offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int64())
+    flat = pa.concat_arrays(content.chunks) if content.num_chunks else pa.array([], content.type)
+    return pc.binary_join(pa.LargeListArray.from_arrays(offsets, flat), pa.scalar("", pa.large_string())).to_pylist()
+
+
+class _MessageGroups(StatefulProcessor):
+    """State of ST1 for a group of requests: the fragments in packed parts of about ``PART_BYTES``, in order of requests, and an
+    index of them, written in one piece a micro-batch. A request's parts are read when it may be whole, that is, when it has
+    more fragments than the seq of its finish. What was delivered twice shows then and is dropped, so
+    it is read again only after further re-deliveries. A part goes when no request has fragments in it any more.
+    The group's timer is at the earliest time that one of its requests or marks ends."""
+
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.index = handle.getMapState("index", "number bigint", "rows binary")
+        self.parts = handle.getMapState("parts", "number bigint", "rows binary")
+
+    def close(self) -> None:
+        pass
+
+    def load(self) -> tuple[list[int], np.ndarray]:
+        """(numbers of the index's pieces, its live rows)."""
+        pieces = sorted((k[0], bytes(v[0])) for k, v in self.index.iterator())
+        rows = np.frombuffer(b"".join(b for _, b in pieces), INDEX)
+        return [n for n, _ in pieces], live_rows(rows)
+
+    def save(self, numbers: list[int], held: np.ndarray, changes: list[np.ndarray]) -> np.ndarray:
+        """Add changes to the index and drop parts without live rows; returns the live rows."""
+        now = live_rows(np.concatenate([held, *changes]))
+        for n in np.setdiff1d(held["part"][held["kind"] == KEPT], now["part"]).tolist():
+            self.parts.removeKey((n,))
+        if len(numbers) + 1 < MERGE and len(now):
+            self.index.updateValue((max(numbers, default=-1) + 1,), (np.concatenate(changes).tobytes(),))
+            return now
+        for n in numbers:
+            self.index.removeKey((n,))
+        late = now[now["kind"] == LATE]
+        ids, at = np.unique(late["request_id"], return_inverse=True)
+        now = np.concatenate([now[now["kind"] != LATE], index_rows(ids, LATE, n=np.bincount(at, late["n"], len(ids)).astype(np.int64))])
+        if len(now):
+            self.index.updateValue((0,), (now.tobytes(),))
+        return now
+
+    def store(self, rows: pa.Table, number: int, finish: np.ndarray, last_ms: np.ndarray) -> np.ndarray:
+        """Write fragments, in order of requests, to new parts; returns their index rows. finish and last_ms are given per request."""
+        ids = rows["request_id"].to_numpy()
+        size = np.cumsum(pc.binary_length(rows["content"]).to_numpy() + 16)
+        at = np.repeat(np.arange(len(finish)), np.diff(np.append(heads(ids), len(ids))))
+        part = number + np.append(0, size[:-1]) // PART_BYTES
+        cuts = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (part[1:] != part[:-1])))
+        for start, end in zip(starts := heads(part), [*starts[1:], len(part)]):
+            piece = rows.slice(start, end - start).combine_chunks().to_batches()[0]
+            self.parts.updateValue((int(part[start]),), (piece.serialize().to_pybytes(),))
+        return index_rows(ids[cuts], KEPT, part[cuts], np.diff(np.append(cuts, len(ids))), finish[at[cuts]], last_ms[at[cuts]])
+
+    def fragments(self, held: np.ndarray, ids: np.ndarray) -> list[pa.RecordBatch]:
+        """The fragments held of some requests, oldest part first. A part may still have others of them that were replaced."""
+        rows = held[(held["kind"] == KEPT) & np.isin(held["request_id"], ids)]
+        out = []
+        for n in np.unique(rows["part"]).tolist():
+            part = pa.ipc.read_record_batch(pa.py_buffer(bytes(self.parts.getValue((n,))[0])), PART)
+            out.append(part.filter(pa.array(np.isin(part["request_id"].to_numpy(), rows["request_id"][rows["part"] == n]))))
+        return out
+
+    def wake(self, last_ms: np.ndarray, watermark: int) -> None:
+        if len(last_ms):
+            self.handle.registerTimer(max(int(last_ms.min()) + self.ttl_ms, watermark + 1))
+
+    @staticmethod
+    def frame(key, ids: np.ndarray, event: str, content=None, n=None, complete=None, late=None) -> pd.DataFrame:
+        shown = ids if key[0] >= 0 else None  # the group of requests without an id
+        return pd.DataFrame({"request_id": shown, "event": event, "content": content, "n_chunks": n, "complete": complete, "n_late": late},
+                            index=range(len(ids)))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        watermark, (numbers, held) = timerValues.getCurrentWatermarkInMs(), self.load()
+        pdf = pd.concat(rows, ignore_index=True)
+        if pdf[["seq", "ts_ms"]].isna().to_numpy().any():
+            raise ValueError("a fragment without seq or ts")
+        ids, at = np.unique(pdf["request_id"].to_numpy(), return_inverse=True)
+        finish, last_ms = np.full(len(ids), NEVER), np.full(len(ids), LONG_AGO)
+        ends = pdf["finish"].to_numpy(bool)
+        np.minimum.at(finish, at[ends], pdf["seq"].to_numpy()[ends])
+        np.maximum.at(last_ms, at, pdf["ts_ms"].to_numpy())
+        new = first_deliveries(pa.table([pa.array(pdf[f.name], f.type) for f in PART], schema=PART))
+        n = np.bincount(np.searchsorted(ids, new["request_id"].to_numpy()), minlength=len(ids))
+
+        known = _Known(held)
+        there, pos = known.find(ids)
+        late = there.copy()
+        late[there] = known.answered[pos[there]]
+        more = there & ~late
+        total, until, latest = n.copy(), finish.copy(), last_ms.copy()
+        total[more] += known.n[pos[more]]
+        until[more] = np.minimum(until[more], known.finish[pos[more]])
+        latest[more] = np.maximum(latest[more], known.last_ms[pos[more]])
+        full = ~late & (until != NEVER) & (total > until)
+        kept = ~late & ~full
+
+        changes = [index_rows(ids[late], LATE, n=np.bincount(at, minlength=len(ids))[late])]
+        number = int(held["part"].max(initial=-1)) + 1
+        mine = np.searchsorted(ids, new["request_id"].to_numpy())
+        wait, wait_finish, wait_last = [new.filter(pa.array(kept[mine]))], [finish[kept]], [last_ms[kept]]
+        if full.any():
+            some, end = ids[full], until[full]
+            every = pa.Table.from_batches([*self.fragments(held, some), *new.filter(pa.array(full[mine])).to_batches()], PART)
+            every = first_deliveries(every)
+            every_ids, seq = every["request_id"].to_numpy(), every["seq"].to_numpy()
+            starts = heads(every_ids)
+            of = np.searchsorted(some, every_ids)
+            upto = seq <= end[of]
+            count = np.add.reduceat(upto.astype(np.int64), starts)
+            whole = (seq[starts] <= 0) & (count == end - seq[starts] + 1)
+            changes += [index_rows(some[~whole], GONE), index_rows(some[whole], MARK, last_ms=latest[full][whole])]
+            if whole.any():
+                content = joined(every["content"].filter(pa.array(upto & whole[of])), count[whole])
+                yield self.frame(key, some[whole], "message", content, end[whole] + 1, True)
+            wait.append(every.filter(pa.array(~whole[of])))
+            wait_finish.append(end[~whole])
+            wait_last.append(latest[full][~whole])
+        for table, table_finish, table_last in zip(wait, wait_finish, wait_last):
+            if table.num_rows:
+                changes.append(self.store(table, number, table_finish, table_last))
+                number = int(changes[-1]["part"].max()) + 1
+        self.save(numbers, held, changes)
+        self.wake(latest[~late], watermark)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark, (numbers, held) = timerValues.getCurrentWatermarkInMs(), self.load()
+        known = _Known(held)
+        due = known.last_ms + self.ttl_ms <= watermark
+        gone, over = due & known.answered, due & ~known.answered
+        if due.any():
+            ids = known.ids[over]
+            if len(ids):
+                every = first_deliveries(pa.Table.from_batches(self.fragments(held, ids), PART))
+                count = np.diff(np.append(heads(every["request_id"].to_numpy()), every.num_rows))
+                yield self.frame(key, ids, "message", joined(every["content"], count), count, False)
+            told = gone & (known.n > 0)
+            if told.any():
+                yield self.frame(key, known.ids[told], "late", late=known.n[told])
+            held = self.save(numbers, held, [index_rows(known.ids[gone], GONE), index_rows(ids, MARK, last_ms=np.maximum(known.last_ms[over], watermark))])
+        self.wake(_Known(held).last_ms, watermark)
+
+
+def stream_content_events(chunks: DataFrame, *, watermark: str = "10 minutes", ttl_ms: int = 3_600_000, grouped: bool = True) -> DataFrame:
     """ST1 over a streaming frame ``(request_id, seq, content, finish_reason, ts)``: one row with ``event = 'message'``
     per request (content, n_chunks, complete) and, where fragments came after it, one with ``event = 'late'``
     and their number ``n_late`` when the request's mark goes."""
-    src = _timed(chunks, watermark).select("request_id", "seq", "content", "finish_reason", "ts_ms", "ts")  # each cell costs
-    return src.groupBy("request_id").transformWithState(
-        _Messages(ttl_ms), EVENT_OUT, "Append", "EventTime")
+    src = _timed(chunks, watermark)
+    if not grouped:
+        src = src.select("request_id", "seq", "content", "finish_reason", "ts_ms", "ts")  # each cell costs
+        return src.groupBy("request_id").transformWithState(
+            _Messages(ttl_ms), EVENT_OUT, "Append", "EventTime")
+    src = src.select(
+        F.when(F.col("request_id").isNull(), -1).otherwise(F.pmod(F.hash("request_id"), F.lit(SHARDS))).alias("shard"),
+        F.coalesce("request_id", F.lit(0)).cast("bigint").alias("request_id"), "seq", F.coalesce("content", F.lit("")).alias("content"),
+        F.col("finish_reason").isNotNull().alias("finish"), "ts_ms", "ts")
+    return src.groupBy("shard").transformWithStateInPandas(_MessageGroups(ttl_ms), EVENT_OUT, "Append", "EventTime")
 
 
 def stream_assemble_content(chunks: DataFrame, *, watermark: str = "10 minutes",
-                            ttl_ms: int = 3_600_000) -> DataFrame:
+                            ttl_ms: int = 3_600_000, grouped: bool = True) -> DataFrame:
     """ST1: one row ``(request_id, content, n_chunks, complete)`` per request."""
-    return stream_content_events(chunks, watermark=watermark, ttl_ms=ttl_ms).filter(F.col("event") == "message") \
+    return stream_content_events(chunks, watermark=watermark, ttl_ms=ttl_ms, grouped=grouped).filter(F.col("event") == "message") \
         .select("request_id", "content", "n_chunks", "complete")
 
 
@@ -210,11 +439,6 @@ def stream_assemble_content_sessions(chunks: DataFrame, *, gap: str = "5 minutes
                     F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end")))
 
 
-#: groups of calls that share their state. A group that a batch touches costs a few round trips to the state store,
-#: however many calls of it the batch holds, and one look through the group's ids
-SHARDS = 1024
-#: small pieces of a group's state that are merged when there are as many, and the bytes up to which a piece is small
-MERGE, SMALL = 16, 4 << 20
 #: rows of a group in a batch from which its new calls are taken as columns; fewer are quicker one by one
 COLUMNS = 256
 
